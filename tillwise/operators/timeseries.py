@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import day_string, week_key
+from tillwise.functions.numeric import quantile_of_sorted
 from tillwise.session import reliable_checkpoint
 
 # Order statuses that do not count as sales
@@ -150,18 +151,30 @@ def add_rolling_features(df: DataFrame, features: dict | None = None, key: str =
     ``'window'`` (feature_engineering.py: NULL until N rows exist)."""
     features = features or DEFAULT_FEATURES
     out = df
+    # one sorted window array per (column, size) serves every quantile of it;
+    # Spark's windowed ``percentile`` would rebuild a value map per feature
+    arrays = {}
+    for name, (col, n, agg, q) in features.items():
+        if agg == "quantile" and (col, n) not in arrays:
+            w = Window.partitionBy(key).orderBy(order).rowsBetween(-(n - 1), 0)
+            arr = f"_win_{col}_{n}"
+            out = out.withColumn(arr, F.array_sort(F.collect_list(F.col(col).cast("double")).over(w)))
+            arrays[(col, n)] = arr
     for name, (col, n, agg, q) in features.items():
         w = Window.partitionBy(key).orderBy(order).rowsBetween(-(n - 1), 0)
         if agg == "avg":
             v = F.avg(F.col(col).cast("double")).over(w)
+            if min_periods == "window":
+                v = F.when(F.count(F.col(col)).over(w) == n, v)
         elif agg == "quantile":
-            v = F.percentile(F.col(col).cast("double"), F.lit(q / 100.0)).over(w)
+            arr = F.col(arrays[(col, n)])
+            v = quantile_of_sorted(arr, q / 100.0)
+            if min_periods == "window":
+                v = F.when(F.size(arr) == n, v)
         else:
             raise ValueError(f"Unknown aggregation function: {agg}")
-        if min_periods == "window":
-            v = F.when(F.count(F.col(col)).over(w) == n, v)
         out = out.withColumn(name, v)
-    return out
+    return out.drop(*arrays.values())
 
 
 def add_targets(df: DataFrame, targets: dict | None = None, key: str = "sku_id", order: str = "day",
