@@ -77,7 +77,10 @@ def oracle_text(e: Entry) -> str | None:
     if e.sql is None:
         return None
     body = e.sql.strip().rstrip(";")
-    repl = ([f"round(cast({c} as double), 6) + 0.0 as {c}" for c in e.doubles]
+    # Spark rounds the shortest decimal text of a double half-up; do the same
+    # here (plain DuckDB ``round`` works on the binary value and differs on ties)
+    repl = ([f"coalesce(cast(round(try_cast(cast(cast({c} as double) as varchar) as decimal(38, 20)), 6) "
+             f"as double), round(cast({c} as double), 6)) + 0.0 as {c}" for c in e.doubles]
             + [f"cast({c} as varchar) as {c}" for c in e.strings]
             + [f"cast({c} as bigint) as {c}" for c in e.longs])
     sel = f"* replace ({', '.join(repl)})" if repl else "*"
