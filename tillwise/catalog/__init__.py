@@ -4,7 +4,7 @@ Importing this package imports every catalog module so all keys register.
 """
 
 from tillwise.catalog.base import REGISTRY, Entry, finish, oracle_text  # noqa: F401
-from tillwise.catalog import governance, metrics, people, pricing, timeseries  # noqa: F401
+from tillwise.catalog import governance, inventory, metrics, people, pricing, timeseries  # noqa: F401
 
 
 def spark_queries():
