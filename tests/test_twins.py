@@ -92,3 +92,23 @@ def test_gaps_islands_matches_loop(spark):
         grp += 0 if prev is not None and i - prev == 1 else 1
         assert got[i] == grp
         prev = i
+
+
+def test_char_error_rate_matches_python(spark):
+    from tillwise.operators import text as tx
+
+    def lev(a, b):
+        prev = list(range(len(b) + 1))
+        for i, ca in enumerate(a, 1):
+            cur = [i]
+            for j, cb in enumerate(b, 1):
+                cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (ca != cb)))
+            prev = cur
+        return prev[-1]
+    pairs = [("éte", "ete"), ("kitten", "sitting"), ("", "x"), ("naïve café", "naive cafe")]
+    df = spark.createDataFrame(pairs, "ref string, hyp string")
+    got = {(r.ref, r.hyp): (r.edits, r.cer) for r in tx.char_error_rate(df).collect()}
+    for a, b in pairs:
+        assert got[(a, b)][0] == lev(a, b)
+        if a:
+            assert abs(got[(a, b)][1] - lev(a, b) / len(a)) < 1e-12

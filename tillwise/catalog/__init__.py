@@ -4,7 +4,7 @@ Importing this package imports every catalog module so all keys register.
 """
 
 from tillwise.catalog.base import REGISTRY, Entry, finish, oracle_text  # noqa: F401
-from tillwise.catalog import core, governance, inventory, metrics, modeling, people, pricing, product, timeseries  # noqa: F401
+from tillwise.catalog import core, governance, inventory, metrics, modeling, people, pricing, product, text, timeseries  # noqa: F401
 
 
 def spark_queries():
