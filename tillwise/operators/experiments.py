@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.numeric import md5_uniform
+from tillwise.functions.numeric import md5_uniform  # noqa: F401 (re-exported)
 
 BROADCAST_ROWS = 1_000_000
 
@@ -57,3 +57,82 @@ def bootstrap_mean_ci(df: DataFrame, value: str, base: str | None = None, n_boot
         ci.select(*[F.lit(None).cast("double").alias(c) for c in pcols], *ccols))
     merged = both.agg(*[F.max(c).alias(c) for c in pcols], *[F.first(c, ignorenulls=True).alias(c) for c in ccols])
     return merged.select(*cols)
+
+
+# ------------------------------------------------------------- experiments
+Z_975 = 1.959963984540054
+Z_80 = 0.8416212335729143
+
+
+def assign_arm(key, seed: str, arms: list[str]):
+    """Deterministic arm assignment from an md5 uniform of the key."""
+    u = md5_uniform(seed, key)
+    idx = F.least(F.floor(u * len(arms)).cast("int"), F.lit(len(arms) - 1))
+    return F.element_at(F.array(*[F.lit(a) for a in arms]), idx + 1)
+
+
+def welch_ttest(df: DataFrame, value: str, arm: str, by: list[str], a: str = "A", b: str = "B") -> DataFrame:
+    """Welch t statistic and degrees of freedom per metric group from
+    one pass of conditional moments."""
+    x = F.col(value).cast("double")
+    isa, isb = F.col(arm) == a, F.col(arm) == b
+    g = df.groupBy(*by).agg(
+        F.count(F.when(isa, x)).alias("n_a"), F.count(F.when(isb, x)).alias("n_b"),
+        F.avg(F.when(isa, x)).alias("mean_a"), F.avg(F.when(isb, x)).alias("mean_b"),
+        F.var_samp(F.when(isa, x)).alias("var_a"), F.var_samp(F.when(isb, x)).alias("var_b"))
+    se2 = F.col("var_a") / F.col("n_a") + F.col("var_b") / F.col("n_b")
+    t = (F.col("mean_a") - F.col("mean_b")) / F.sqrt(se2)
+    dof = se2 * se2 / ((F.col("var_a") / F.col("n_a")) ** 2 / (F.col("n_a") - 1)
+                       + (F.col("var_b") / F.col("n_b")) ** 2 / (F.col("n_b") - 1))
+    return g.withColumn("t_stat", t).withColumn("dof", dof)
+
+
+def sample_size(df: DataFrame, value: str, by: list[str], mde_rel: float = 0.05) -> DataFrame:
+    """Users per arm to detect a relative change ``mde_rel`` of the mean
+    at alpha 0.05 (two-sided) and power 0.8, from historical variance."""
+    x = F.col(value).cast("double")
+    g = df.groupBy(*by).agg(F.avg(x).alias("mean"), F.var_samp(x).alias("variance"), F.count(x).alias("n"))
+    delta = F.lit(mde_rel) * F.col("mean")
+    need = F.ceil(F.lit(2 * (Z_975 + Z_80) ** 2) * F.col("variance") / (delta * delta))
+    return g.withColumn("n_per_arm", need)
+
+
+def uplift_by_segment(df: DataFrame, outcome: str, treated: str, segment: str) -> DataFrame:
+    """Outcome rate in treatment minus control, per segment."""
+    y = F.col(outcome).cast("double")
+    t = F.col(treated)
+    g = df.groupBy(segment).agg(F.count(F.when(t, 1)).alias("n_treat"), F.count(F.when(~t, 1)).alias("n_ctrl"),
+                                F.avg(F.when(t, y)).alias("rate_treat"), F.avg(F.when(~t, y)).alias("rate_ctrl"))
+    return g.withColumn("uplift", F.col("rate_treat") - F.col("rate_ctrl"))
+
+
+def diff_in_diff(df: DataFrame, value: str, treated: str, post: str) -> DataFrame:
+    """(treated post - treated pre) - (control post - control pre)."""
+    x = F.col(value).cast("double")
+    tr, po = F.col(treated), F.col(post)
+    g = df.agg(F.avg(F.when(tr & po, x)).alias("treated_post"), F.avg(F.when(tr & ~po, x)).alias("treated_pre"),
+               F.avg(F.when(~tr & po, x)).alias("control_post"), F.avg(F.when(~tr & ~po, x)).alias("control_pre"))
+    return g.withColumn("did", (F.col("treated_post") - F.col("treated_pre"))
+                        - (F.col("control_post") - F.col("control_pre")))
+
+
+def psi_drift(df: DataFrame, value: str, is_current: str, bins: int = 10, eps: float = 1e-6) -> DataFrame:
+    """Population stability index and binned KS between a base and a
+    current period, on equal-width bins of the base range (two scalars)."""
+    x = F.col(value).cast("double")
+    r = df.where(~F.col(is_current)).agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    lo, hi = float(r["lo"]), float(r["hi"])
+    width = (hi - lo) / bins if hi > lo else 1.0
+    b = F.least(F.greatest(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(bins - 1)).cast("int")
+    g = df.groupBy(b.alias("bin")).agg(F.count(F.when(~F.col(is_current), 1)).alias("n_base"),
+                                       F.count(F.when(F.col(is_current), 1)).alias("n_cur"))
+    tot = g.agg(F.sum("n_base").alias("a"), F.sum("n_cur").alias("c")).first()
+    sb = F.col("n_base") / F.lit(float(tot["a"] or 1))
+    sc = F.col("n_cur") / F.lit(float(tot["c"] or 1))
+    g = g.select("bin", sb.alias("base_share"), sc.alias("cur_share"))
+    g = g.withColumn("psi_term", (F.col("cur_share") - F.col("base_share"))
+                     * F.log(F.greatest(F.col("cur_share"), F.lit(eps)) / F.greatest(F.col("base_share"), F.lit(eps))))
+    w = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)  # <= bins rows
+    g = g.withColumn("cdf_gap", F.abs(F.sum("cur_share").over(w) - F.sum("base_share").over(w)))
+    all_bins = Window.partitionBy(F.lit(0))
+    return g.withColumn("psi", F.sum("psi_term").over(all_bins)).withColumn("ks", F.max("cdf_gap").over(all_bins))

@@ -179,3 +179,20 @@ def weighted_margin(plan: DataFrame, by: list[str] | None = None, strict_positiv
     cond = tot <= 0 if strict_positive else tot == 0
     return plan.groupBy(*(by or [])).agg(
         F.when(F.coalesce(cond, F.lit(True)), F.lit(0.0)).otherwise(num / tot).alias("weighted_margin"))
+
+
+# ------------------------------------------------------- T16 / T17 ranking
+def ranking_metrics(df: DataFrame, group: str, score: str, rel: str, item: str, k: int = 10) -> DataFrame:
+    """NDCG@k and recall@k per group (query): DCG of the top-k by score,
+    IDCG of the top-k by relevance; both top-k use the salted two-stage
+    ranking so a huge group is not sorted in one task."""
+    from tillwise.functions.topk import top_k_per_group
+    by_score = top_k_per_group(df, [group], [F.col(score).desc(), F.col(item).asc()], k, "rank")
+    ideal = top_k_per_group(df, [group], [F.col(rel).desc(), F.col(item).asc()], k, "rank")
+    gain = F.col(rel).cast("double") / F.log2(F.col("rank") + 1.0)
+    dcg = by_score.groupBy(group).agg(F.sum(gain).alias("dcg"), F.sum(F.col(rel).cast("double")).alias("hits"))
+    idcg = ideal.groupBy(group).agg(F.sum(gain).alias("idcg"))
+    tot = df.groupBy(group).agg(F.sum(F.col(rel).cast("double")).alias("relevant"), F.count(F.lit(1)).alias("n"))
+    j = tot.join(dcg, group).join(idcg, group)
+    return j.select(group, "n", "relevant", safe_div(F.col("dcg"), F.col("idcg")).alias(f"ndcg_at_{k}"),
+                    safe_div(F.col("hits"), F.col("relevant")).alias(f"recall_at_{k}"))

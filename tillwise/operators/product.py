@@ -191,3 +191,52 @@ def rfm_segments(orders: DataFrame, k: int = 5) -> DataFrame:
     c = ntile_exact(c, [F.col("frequency").asc(), F.col("o_custkey")], k, "f_score")
     c = ntile_exact(c, [F.col("monetary").asc(), F.col("o_custkey")], k, "m_score")
     return c.withColumn("segment", F.concat_ws("", "r_score", "f_score", "m_score"))
+
+
+# ---------------------------------------------------- T27 / T30 / T31 / T32
+def silent_entities(events: DataFrame, key: str = "user_id", ts: str = "ts", factor: float = 3.0) -> DataFrame:
+    """Entities whose silence since their last event exceeds ``factor``
+    times their own mean gap between events (mean via partial sums)."""
+    w = Window.partitionBy(key).orderBy(ts, "event_id") if "event_id" in events.columns \
+        else Window.partitionBy(key).orderBy(ts)
+    t = _micros(ts)
+    g = events.select(key, ts, *(["event_id"] if "event_id" in events.columns else [])) \
+        .withColumn("_gap", t - F.lag(t).over(w))
+    now = events.agg(F.max(_micros(ts))).first()[0]
+    s = g.groupBy(key).agg(F.avg("_gap").alias("mean_gap_us"), F.max(_micros(ts)).alias("last_us"),
+                           F.count(F.lit(1)).alias("n_events"))
+    s = s.withColumn("silence_us", F.lit(now) - F.col("last_us"))
+    return s.withColumn("is_silent", F.coalesce(F.col("silence_us") > F.lit(factor) * F.col("mean_gap_us"),
+                                                F.lit(False)))
+
+
+def price_elasticity(df: DataFrame, key: str, price: str, qty: str) -> DataFrame:
+    """Slope of log(qty) on log(price) per key (``regr_slope``)."""
+    ok = df.where((F.col(price) > 0) & (F.col(qty) > 0))
+    return ok.groupBy(key).agg(F.regr_slope(F.log(qty), F.log(price)).alias("elasticity"),
+                               F.count(F.lit(1)).alias("n"))
+
+
+def asof_price(observations: DataFrame, key: str, day: str, price: str) -> DataFrame:
+    """For every key and calendar day, the latest observed price on or
+    before that day (calendar rows and observations unioned, then
+    ``last(ignorenulls)`` in a window partitioned by key: no range join)."""
+    obs = observations.groupBy(F.col(key).alias("key"), F.col(day).alias("day")).agg(F.avg(price).alias("obs"))
+    r = obs.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
+    cal = obs.select("key").distinct().select("key", F.explode(F.sequence(F.lit(r["lo"]), F.lit(r["hi"])))
+                                              .alias("day"))
+    u = cal.join(obs, ["key", "day"], "left")
+    w = Window.partitionBy("key").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    return u.select(F.col("key").alias(key), "day", F.last("obs", ignorenulls=True).over(w).alias("price_asof"))
+
+
+def surge_ratio(events: DataFrame, ts: str = "ts", window: str = "1 hour", cap: float = 2.0) -> DataFrame:
+    """Per time window demand (views + clicks) over supply (purchases),
+    and a multiplier clipped to [1, cap]."""
+    e = events.select(F.window(F.col(ts).cast("timestamp"), window).alias("w"), "event_type")
+    g = e.groupBy("w").agg(F.count(F.when(F.col("event_type").isin("view", "click"), 1)).alias("demand"),
+                           F.count(F.when(F.col("event_type") == "purchase", 1)).alias("supply"))
+    ratio = F.col("demand") / F.greatest(F.col("supply"), F.lit(1))
+    return g.select(F.unix_micros(F.col("w.start")).alias("window_start_us"), "demand", "supply",
+                    ratio.alias("ratio"),
+                    F.least(F.lit(cap), F.greatest(F.lit(1.0), ratio / 2.0)).alias("multiplier"))
