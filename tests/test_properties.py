@@ -66,3 +66,16 @@ def test_gbt_small_and_isolation_forest(spark):
     forest, psi = md.isolation_forest(d, ["a", "b"], n_trees=20, max_samples=64, id_col="rid")
     sc = {r.rid: r.score for r in md.isolation_scores(d, ["a", "b"], forest, psi).collect()}
     assert sc["out"] == max(sc.values())
+
+
+def test_virtual_ensemble_stages_and_bounds(spark):
+    import tempfile
+    rows = [(float(i % 7), float(i % 5), float((i % 7) * 2 + (i % 5))) for i in range(300)]
+    df = md.assemble(spark.createDataFrame(rows, "a double, b double, y double"), ["a", "b"])
+    model = md.gbt_regressor(max_iter=12, step=0.3).fit(df)
+    out = md.virtual_ensemble(df, model, ["a", "b"], tempfile.mkdtemp(dir="/tmp"), k=2).collect()
+    full = {(r.a, r.b): r.prediction for r in model.transform(df).collect()}
+    for r in out[:50]:
+        assert r.lcb <= r.pred_virt <= r.ucb
+        # the last stage (n - 1) is the full model prediction
+        assert abs(r.pred[-1] - full[(r.a, r.b)]) < 1e-9

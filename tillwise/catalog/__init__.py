@@ -4,7 +4,8 @@ Importing this package imports every catalog module so all keys register.
 """
 
 from tillwise.catalog.base import REGISTRY, Entry, finish, oracle_text  # noqa: F401
-from tillwise.catalog import core, governance, insight, inventory, metrics, modeling, people, pricing, product, text, timeseries  # noqa: F401
+from tillwise.catalog import (core, governance, insight, inventory, learning, metrics, modeling,  # noqa: F401
+                              people, pricing, product, text, timeseries)
 
 
 def spark_queries():
