@@ -112,3 +112,37 @@ def test_char_error_rate_matches_python(spark):
         assert got[(a, b)][0] == lev(a, b)
         if a:
             assert abs(got[(a, b)][1] - lev(a, b) / len(a)) < 1e-12
+
+
+def test_bpe_merges_match_python(spark):
+    from collections import Counter
+
+    from tillwise.operators import text as tx
+    words = {"lower": 5, "lowest": 2, "newer": 6, "wider": 3, "new": 2, "aaa": 4, "abab": 3}
+
+    def naive(n):
+        syms = {w: list(w) for w in words}
+        out = []
+        for _ in range(n):
+            c = Counter()
+            for w, s in syms.items():
+                for a, b in zip(s, s[1:]):
+                    c[(a, b)] += words[w]
+            if not c:
+                break
+            (a, b), cnt = sorted(c.items(), key=lambda kv: (-kv[1], kv[0]))[0]
+            out.append((a, b, cnt))
+            for w, s in syms.items():
+                i, t = 0, []
+                while i < len(s):
+                    if i + 1 < len(s) and s[i] == a and s[i + 1] == b:
+                        t.append(a + b)
+                        i += 2
+                    else:
+                        t.append(s[i])
+                        i += 1
+                syms[w] = t
+        return out
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    got = [(r.left, r.right, r["count"]) for r in tx.bpe_merges(df, 8).orderBy("rank").collect()]
+    assert got == naive(8)

@@ -240,3 +240,25 @@ def surge_ratio(events: DataFrame, ts: str = "ts", window: str = "1 hour", cap:
     return g.select(F.unix_micros(F.col("w.start")).alias("window_start_us"), "demand", "supply",
                     ratio.alias("ratio"),
                     F.least(F.lit(cap), F.greatest(F.lit(1.0), ratio / 2.0)).alias("multiplier"))
+
+
+# ------------------------------------------------------------ T4 promo join
+def promo_coverage(facts: DataFrame, fact_day: str, promos: DataFrame, start: str, end: str,
+                   measure: str) -> tuple[DataFrame, DataFrame]:
+    """T4: facts falling inside promo intervals [start, end].
+
+    Intervals are expanded to their days and both sides are first reduced to
+    one row per day, so the join is an equi-join on day and never emits
+    (fact, promo) pairs. Returns (per-fact active-promo count, per-promo
+    measure total)."""
+    days = promos.select("promo_id", F.explode(F.sequence(F.to_date(start), F.to_date(end))).alias("day"))
+    active = days.groupBy("day").agg(F.count(F.lit(1)).alias("n_active_promos"))
+    f = facts.withColumn("day", F.to_date(fact_day))
+    per_fact = f.join(active, "day", "left").withColumn(
+        "n_active_promos", F.coalesce("n_active_promos", F.lit(0))).withColumn(
+        "in_promo", F.col("n_active_promos") > 0)
+    daily = f.groupBy("day").agg(F.sum(measure).alias("m"), F.count(F.lit(1)).alias("n"))
+    per_promo = days.join(daily, "day", "left").groupBy("promo_id").agg(
+        F.coalesce(F.sum("m"), F.lit(0.0)).alias(f"{measure}_in_promo"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("facts_in_promo"))
+    return per_fact, per_promo

@@ -88,3 +88,32 @@ def char_error_rate(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp") -> Dat
     d = F.levenshtein(F.col(ref), F.col(hyp))
     return pairs.withColumn("edits", d).withColumn(
         "cer", F.when(F.length(ref) > 0, d / F.length(ref)))
+
+
+def bpe_merges(word_table: DataFrame, n_merges: int = 20) -> DataFrame:
+    """Learn the first ``n_merges`` byte-pair merges on the corpus word
+    table (word, n). Words are space-separated symbol strings; each round
+    counts adjacent pairs (weighted by word frequency, one aggregation),
+    takes the most frequent pair (ties: smallest pair) and rewrites every
+    word with a non-overlapping left-to-right replacement. One job per merge
+    over the distinct-word table, checkpointed each round."""
+    from tillwise.session import reliable_checkpoint
+    spark = word_table.sparkSession
+    w = word_table.select(F.array_join(F.split("word", ""), " ").alias("sym"), "n")
+    w = reliable_checkpoint(w)
+    merges = []
+    for rank in range(1, n_merges + 1):
+        parts = F.split("sym", " ")
+        pairs = w.select("n", F.explode(F.arrays_zip(F.slice(parts, 1, F.size(parts) - 1),
+                                                     F.slice(parts, 2, F.size(parts)))).alias("p"))
+        best = (pairs.groupBy(F.col("p.0").alias("a"), F.col("p.1").alias("b")).agg(F.sum("n").alias("count"))
+                .orderBy(F.col("count").desc(), "a", "b").first())
+        if best is None:
+            break
+        a, b = best["a"], best["b"]
+        merges.append((rank, a, b, a + b, int(best["count"])))
+        pat = " " + "\\Q" + a + "\\E" + " " + "\\Q" + b + "\\E" + "(?= )"
+        padded = F.concat(F.lit(" "), F.col("sym"), F.lit(" "))
+        w = reliable_checkpoint(w.select(F.trim(F.regexp_replace(padded, F.lit(pat), F.lit(" " + a + b)))
+                                         .alias("sym"), "n"))
+    return spark.createDataFrame(merges, "rank int, left string, right string, merged string, count long")
