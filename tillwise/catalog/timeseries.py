@@ -298,6 +298,5 @@ def q_losses_ok(spark, sf_dir):
                      + " + ".join(f"avg(pred_{h}d_q90)" for h in demand.HORIZONS) + ") / 3.0 as avg_q90 from pred"),
        doubles=("avg_q10", "avg_q90"))
 def q_quality_means(spark, sf_dir):
-    f = ts.train_test_split(demand.demand_features(fx_demand_orders(spark, sf_dir)), 30)
-    test = demand.complete_rows(f.where(F.col("role") == "test"))
+    test = demand.test_window_rows(fx_demand_orders(spark, sf_dir), 30)
     return demand.quality_means(demand.quantile_baseline(test))
