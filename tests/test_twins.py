@@ -146,3 +146,20 @@ def test_bpe_merges_match_python(spark):
     df = spark.createDataFrame(list(words.items()), "word string, n long")
     got = [(r.left, r.right, r["count"]) for r in tx.bpe_merges(df, 8).orderBy("rank").collect()]
     assert got == naive(8)
+
+
+def test_keyed_sequence_hot_key_spans_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from tillwise.functions.prefix import keyed_sequence
+    rng = random.Random(11)
+    # key 0 holds most rows so it spans several range partitions
+    rows = [(0 if rng.random() < 0.7 else rng.randint(1, 5), i, rng.randint(0, 3)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    out = keyed_sequence(df, "k", ["t"], ["t"], {"run": F.col("v")}, ranges=4).collect()
+    got = {(r.k, r.t): (r.prev_t, r.run) for r in out}
+    by = {}
+    for k, t, v in sorted(rows, key=lambda r: (r[0], r[1])):
+        prev, acc = by.get(k, (None, 0))
+        assert got[(k, t)] == (prev, acc + v)
+        by[k] = (t, acc + v)

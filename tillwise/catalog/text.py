@@ -94,8 +94,11 @@ def q_negation_flags(spark, sf_dir):
 def q_ocr_error_rate(spark, sf_dir):
     """T49 on consecutive conversation turns (reference = a turn, hypothesis
     = the next one)."""
-    c = read_table(spark, sf_dir, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    pairs = c.select("conv_id", "turn", F.col("text").alias("ref"), F.lead("text").over(w).alias("hyp")) \
-        .where(F.col("hyp").isNotNull())
+    from tillwise.functions.prefix import keyed_sequence
+    c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    # pair each turn with the previous one of its conversation (range-split,
+    # so a very long conversation is not one task)
+    s = keyed_sequence(c, "conv_id", ["turn"], ["text", "turn"])
+    pairs = s.where(F.col("prev_text").isNotNull()).select(
+        "conv_id", F.col("prev_turn").alias("turn"), F.col("prev_text").alias("ref"), F.col("text").alias("hyp"))
     return tx.char_error_rate(pairs).select("conv_id", "turn", "edits", "cer")

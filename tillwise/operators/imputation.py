@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import days_between
@@ -16,19 +16,33 @@ def _check(df: DataFrame, target: str, group: str) -> None:
         raise KeyError(f"group column '{group}' not found")
 
 
+def _means(df: DataFrame, target: str, group: str) -> DataFrame:
+    """Per-group means by partial aggregation (a hot group is combined
+    map-side), joined back by group: the small side is broadcast by AQE after
+    it is measured, and a hot key on the large side is split by skew join."""
+    return df.groupBy(F.col(group).alias("_g")).agg(F.avg(nan_to_null(target)).alias("_m"))
+
+
+def _with_mean(df: DataFrame, target: str, group: str) -> DataFrame:
+    m = _means(df, target, group)
+    return df.join(m, df[group].eqNullSafe(m["_g"]), "left").drop("_g")
+
+
 def group_mean(df: DataFrame, target: str, group: str, out: str = "group_mean") -> DataFrame:
-    """Per-group mean attached to every row (window partitioned by group;
-    partial sums per partition make a hot group cheap)."""
+    """Per-group mean attached to every row."""
     _check(df, target, group)
-    return df.withColumn(out, F.avg(nan_to_null(target)).over(Window.partitionBy(group)))
+    cols = df.columns
+    return _with_mean(df, target, group).select(*cols, F.col("_m").alias(out))
 
 
 def group_mean_fill(df: DataFrame, target: str, group: str) -> DataFrame:
     """NULL/NaN values replaced by the group mean (groups of only missing
     values stay NULL)."""
     _check(df, target, group)
-    m = F.avg(nan_to_null(target)).over(Window.partitionBy(group))
-    return df.withColumn(target, F.coalesce(nan_to_null(target), m))
+    cols = df.columns
+    j = _with_mean(df, target, group)
+    return j.select(*[F.coalesce(nan_to_null(target), F.col("_m")).alias(c) if c == target else F.col(c)
+                      for c in cols])
 
 
 def fill_group_mean_floor(df: DataFrame, target: str, group: str, floor_all: bool = False) -> DataFrame:
@@ -36,13 +50,14 @@ def fill_group_mean_floor(df: DataFrame, target: str, group: str, floor_all: boo
     kept (documented behaviour) or floored too (``floor_all=True``, the
     ``src`` variant)."""
     _check(df, target, group)
-    v = nan_to_null(target)
-    m = F.avg(v).over(Window.partitionBy(group))
+    cols = df.columns
+    j = _with_mean(df, target, group)
+    v, m = nan_to_null(target), F.col("_m")
     if floor_all:
         filled = F.floor(F.coalesce(v, m)).cast("double")
     else:
         filled = F.coalesce(v, F.floor(m).cast("double"))
-    return df.withColumn(target, filled)
+    return j.select(*[filled.alias(c) if c == target else F.col(c) for c in cols])
 
 
 LOAN_FEATURES = ["age", "income", "dependents", "has_property", "has_car", "credit_score", "job_tenure",

@@ -121,10 +121,13 @@ def first_argmax(df: DataFrame, key: str, value: str, row_order: list[Column]) -
 
 
 def argmax_all_ties(df: DataFrame, key: str = "sku", value: str = "price", out: str = "is_selected") -> DataFrame:
-    """Mark every row at its group's maximum (a grouped max joined
-    back by a window partitioned on the key)."""
-    from pyspark.sql import Window
-    return df.withColumn(out, F.col(value) == F.max(value).over(Window.partitionBy(key)))
+    """Mark every row at its group's maximum: a grouped max
+    (map-side combined) joined back by key, not a window holding a whole
+    group in one task."""
+    cols = df.columns
+    mx = df.groupBy(F.col(key).alias("_k")).agg(F.max(value).alias("_max"))
+    j = df.join(mx, df[key].eqNullSafe(mx["_k"]), "left")
+    return j.select(*cols, (F.col(value) == F.col("_max")).alias(out))
 
 
 def totals(plan: DataFrame) -> tuple[float, float]:

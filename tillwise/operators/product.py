@@ -24,18 +24,16 @@ def _micros(c) -> Column:
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_minutes: int = 30) -> DataFrame:
     """A new session starts when the user was inactive for more than
     ``gap_minutes``; one row per session with start/end (epoch micros),
-    event count and duration in seconds."""
-    w = Window.partitionBy(user).orderBy(ts, "event_id") if "event_id" in events.columns \
-        else Window.partitionBy(user).orderBy(ts)
-    t = _micros(ts)
-    prev = F.lag(t).over(w)
-    new = F.when(prev.isNull() | (t - prev > F.lit(gap_minutes * 60 * 1_000_000)), 1).otherwise(0)
-    e = events.select(user, ts, *(["event_id"] if "event_id" in events.columns else [])).withColumn("_new", new)
-    e = e.withColumn("session_idx", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return e.groupBy(user, "session_idx").agg(
-        F.min(_micros(ts)).alias("start_us"), F.max(_micros(ts)).alias("end_us"),
-        F.count(F.lit(1)).alias("n_events")).withColumn(
-        "duration_s", (F.col("end_us") - F.col("start_us")) / 1_000_000.0)
+    event count and duration in seconds. Per-user order uses the range-split
+    keyed sequence, so a user with a third of all events spans many tasks."""
+    from tillwise.functions.prefix import keyed_sequence
+    e = events.select(F.col(user).alias("_u"), _micros(ts).alias("_t"), F.col("event_id"))
+    gap = F.lit(gap_minutes * 60 * 1_000_000)
+    new = F.when(F.col("prev__t").isNull() | (F.col("_t") - F.col("prev__t") > gap), 1).otherwise(0)
+    s = keyed_sequence(e, "_u", ["_t", "event_id"], ["_t"], {"session_idx": new})
+    g = s.groupBy(F.col("_u").alias(user), "session_idx").agg(
+        F.min("_t").alias("start_us"), F.max("_t").alias("end_us"), F.count(F.lit(1)).alias("n_events"))
+    return g.withColumn("duration_s", (F.col("end_us") - F.col("start_us")) / 1_000_000.0)
 
 
 # ------------------------------------------------------------------- T2 NPS
@@ -196,15 +194,14 @@ def rfm_segments(orders: DataFrame, k: int = 5) -> DataFrame:
 # ---------------------------------------------------- T27 / T30 / T31 / T32
 def silent_entities(events: DataFrame, key: str = "user_id", ts: str = "ts", factor: float = 3.0) -> DataFrame:
     """Entities whose silence since their last event exceeds ``factor``
-    times their own mean gap between events (mean via partial sums)."""
-    w = Window.partitionBy(key).orderBy(ts, "event_id") if "event_id" in events.columns \
-        else Window.partitionBy(key).orderBy(ts)
-    t = _micros(ts)
-    g = events.select(key, ts, *(["event_id"] if "event_id" in events.columns else [])) \
-        .withColumn("_gap", t - F.lag(t).over(w))
+    times their own mean gap between events (gaps from the range-split keyed
+    sequence, mean via partial sums)."""
+    from tillwise.functions.prefix import keyed_sequence
+    e = events.select(F.col(key).alias("_k"), _micros(ts).alias("_t"), F.col("event_id"))
+    g = keyed_sequence(e, "_k", ["_t", "event_id"], ["_t"]).withColumn("_gap", F.col("_t") - F.col("prev__t"))
     now = events.agg(F.max(_micros(ts))).first()[0]
-    s = g.groupBy(key).agg(F.avg("_gap").alias("mean_gap_us"), F.max(_micros(ts)).alias("last_us"),
-                           F.count(F.lit(1)).alias("n_events"))
+    s = g.groupBy(F.col("_k").alias(key)).agg(F.avg("_gap").alias("mean_gap_us"), F.max("_t").alias("last_us"),
+                                              F.count(F.lit(1)).alias("n_events"))
     s = s.withColumn("silence_us", F.lit(now) - F.col("last_us"))
     return s.withColumn("is_silent", F.coalesce(F.col("silence_us") > F.lit(factor) * F.col("mean_gap_us"),
                                                 F.lit(False)))
