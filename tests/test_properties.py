@@ -79,3 +79,25 @@ def test_virtual_ensemble_stages_and_bounds(spark):
         assert r.lcb <= r.pred_virt <= r.ucb
         # the last stage (n - 1) is the full model prediction
         assert abs(r.pred[-1] - full[(r.a, r.b)]) < 1e-9
+
+
+def test_feasible_plan_repair_and_loss_properties(spark):
+    from tillwise.operators import governance as gov
+    from tillwise.operators import pricing as pr
+    from tillwise.plans import demand
+    from tillwise.sources.fixtures import fx_demand_orders, fx_price_candidates, fx_sku_day
+    d = gov.enrich(fx_sku_day(spark, SF_SMALL))
+    assert d.where((F.col("feasible_units") > F.col("stock")) | (F.col("feasible_units") < 0)).count() == 0
+    assert d.where(F.col("lost_sales_units") < 0).count() == 0
+    cm = pr.candidate_metrics(fx_price_candidates(spark, SF_SMALL))
+    plan0 = pr.plan_max_gmv(cm)
+    g0, w0 = pr.totals(plan0)
+    for target in (0.18, 0.22, 0.5):
+        plan, meta = pr.plan_repair(cm, plan0, target)
+        g, w = pr.totals(plan)
+        assert pr.wm_of(g, w) >= pr.wm_of(g0, w0) - 1e-12
+        if meta["status"] == "feasible_after_repairs":
+            assert pr.wm_of(g, w) >= target
+    losses = demand.baseline_evaluation(fx_demand_orders(spark, SF_SMALL))
+    assert losses.where(F.col("avg_quantile_loss") < 0).count() == 0
+    assert mt.losses_ok(losses).first().losses_ok
