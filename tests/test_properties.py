@@ -101,3 +101,16 @@ def test_feasible_plan_repair_and_loss_properties(spark):
     losses = demand.baseline_evaluation(fx_demand_orders(spark, SF_SMALL))
     assert losses.where(F.col("avg_quantile_loss") < 0).count() == 0
     assert mt.losses_ok(losses).first().losses_ok
+
+
+def test_near_duplicates_group_copies_not_strangers(spark):
+    from tillwise.operators import similarity as sim
+    base = " ".join(f"w{i}" for i in range(200))
+    other = " ".join(f"z{i}" for i in range(200))
+    docs = [(1, base), (2, base), (3, base + " extra"), (4, other), (5, base)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    comp = {r.doc_id: r.component for r in sim.near_duplicate_groups(df).collect()}
+    assert comp[1] == comp[2] == comp[3] == comp[5] == 1
+    assert comp[4] == 4
+    links = sim.match_items(df).collect()
+    assert all(r.match_id == 1 for r in links if r.doc_id in (2, 3, 5))

@@ -61,3 +61,47 @@ def semantic_chunks(vectors: DataFrame, key: str = "vec_id", vec: str = "embeddi
     j = j.withColumn("_brk", F.when(F.col("cos_prev").isNull() | (F.col("cos_prev") < threshold), 1).otherwise(0))
     out = ordered_prefix_sums(j, [F.col("k")], {"chunk_id": F.col("_brk")})
     return out.select(F.col("k").alias(key), "cos_prev", "chunk_id")
+
+
+def minhash_signatures(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5,
+                       num_hashes: int = 64, seed: int = 42) -> DataFrame:
+    """MinHash signature of every document's word ``shingle``-grams over the
+    whole text (built-in ``xxhash64`` per hash seed, array minimum)."""
+    from tillwise.operators.text import tokens
+    w = tokens(text)
+    # one row per shingle; 64 hash columns and a grouped min stay in
+    # whole-stage codegen with map-side partial aggregation
+    rows = docs.select(F.col(key).alias("doc"), w.alias("w")).select(
+        "doc", F.explode(F.sequence(F.lit(1), F.greatest(F.size("w") - shingle + 1, F.lit(1)))).alias("i"), "w")
+    rows = rows.select("doc", F.array_join(F.slice("w", F.col("i"), shingle), " ").alias("s"))
+    hashed = rows.select("doc", *[F.xxhash64(F.lit(seed * 1000 + j), "s").alias(f"h{j}") for j in range(num_hashes)])
+    g = hashed.groupBy("doc").agg(*[F.min(f"h{j}").alias(f"h{j}") for j in range(num_hashes)])
+    return g.select("doc", F.array(*[F.col(f"h{j}") for j in range(num_hashes)]).alias("sig"))
+
+
+def match_items(docs: DataFrame, text: str = "text", key: str = "doc_id", bands: int = 16, rows: int = 4,
+                seed: int = 42) -> DataFrame:
+    """Near-duplicate candidates by MinHash LSH. Documents sharing a band
+    bucket are linked to the bucket's smallest document (a star, never all
+    pairs of the bucket); each link carries the signature-agreement estimate
+    of the Jaccard similarity."""
+    sig = minhash_signatures(docs, text, key, num_hashes=bands * rows, seed=seed)
+    sig = reliable_checkpoint(sig)
+    b = sig.select("doc", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
+                                                   lambda i: F.xxhash64(i, F.slice("sig", i * rows + 1, rows))))
+                   .alias("band", "bucket"))
+    rep = b.groupBy("band", "bucket").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    edges = b.join(rep, ["band", "bucket"]).where(F.col("doc") != F.col("rep")).select("doc", "rep").distinct()
+    s2 = sig.select(F.col("doc").alias("rep"), F.col("sig").alias("rsig"))
+    e = edges.join(sig, "doc").join(s2, "rep")
+    agree = F.aggregate(F.zip_with("sig", "rsig", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0),
+                        lambda a, v: a + v)
+    return e.select(F.col("doc").alias(key), F.col("rep").alias("match_id"),
+                    (agree / F.lit(float(bands * rows))).alias("est_jaccard"))
+
+
+def near_duplicate_groups(docs: DataFrame, min_jaccard: float = 0.8, key: str = "doc_id") -> DataFrame:
+    """T18 -> T19: components of the near-duplicate links above ``min_jaccard``."""
+    m = match_items(docs, key=key).where(F.col("est_jaccard") >= min_jaccard)
+    edges = m.select(F.col(key).alias("src"), F.col("match_id").alias("dst"))
+    return connected_components(docs.select(key), edges, key)
