@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.functions.dates import day_string, week_key
 from tillwise.functions.numeric import quantile_of_sorted
@@ -151,6 +152,12 @@ def add_rolling_features(df: DataFrame, features: dict | None = None, key: str =
     ``'window'`` (feature_engineering.py: NULL until N rows exist)."""
     features = features or DEFAULT_FEATURES
     out = df
+    # integral columns without NULLs get running totals for the means
+    integral = {f.name for f in df.schema.fields if not f.nullable and
+                isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))}
+    for col in sorted({c for c, n, a, q in features.values() if a == "avg"} & integral):
+        out = out.withColumn(f"_cum_{col}", F.sum(F.col(col)).over(
+            Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
     # one sorted window array per (column, size) serves every quantile of it;
     # Spark's windowed ``percentile`` would rebuild a value map per feature
     arrays = {}
@@ -162,7 +169,17 @@ def add_rolling_features(df: DataFrame, features: dict | None = None, key: str =
             arrays[(col, n)] = arr
     for name, (col, n, agg, q) in features.items():
         w = Window.partitionBy(key).orderBy(order).rowsBetween(-(n - 1), 0)
-        if agg == "avg":
+        if agg == "avg" and col in integral:
+            # exact integer trailing sum from the running total; rows seen so
+            # far from the row number (the dense panel has no NULLs)
+            base = Window.partitionBy(key).orderBy(order)
+            cum = F.col(f"_cum_{col}")
+            total = cum - F.coalesce(F.lag(cum, n).over(base), F.lit(0))
+            cnt = F.least(F.row_number().over(base), F.lit(n))
+            v = total.cast("double") / cnt
+            if min_periods == "window":
+                v = F.when(cnt == n, v)
+        elif agg == "avg":
             v = F.avg(F.col(col).cast("double")).over(w)
             if min_periods == "window":
                 v = F.when(F.count(F.col(col)).over(w) == n, v)
@@ -174,7 +191,7 @@ def add_rolling_features(df: DataFrame, features: dict | None = None, key: str =
         else:
             raise ValueError(f"Unknown aggregation function: {agg}")
         out = out.withColumn(name, v)
-    return out.drop(*arrays.values())
+    return out.drop(*arrays.values(), *[f"_cum_{c}" for c in integral if f"_cum_{c}" in out.columns])
 
 
 def add_targets(df: DataFrame, targets: dict | None = None, key: str = "sku_id", order: str = "day",
@@ -185,9 +202,26 @@ def add_targets(df: DataFrame, targets: dict | None = None, key: str = "sku_id",
     targets = targets or DEFAULT_TARGETS
     base = Window.partitionBy(key).orderBy(order)
     out = df
+    integral = {f.name for f in df.schema.fields if not f.nullable and
+                isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))}
+    cums = {}
+    for name, (col, n) in targets.items():
+        if col in integral and col not in cums:
+            # exact integer running total; window sums become differences of
+            # two offsets (O(1) per row instead of re-summing each frame)
+            cums[col] = f"_cum_{col}"
+            out = out.withColumn(cums[col], F.sum(F.col(col)).over(base.rowsBetween(Window.unboundedPreceding, 0)))
     for name, (col, n) in targets.items():
         c = F.col(col)
-        if variant == "next":
+        if col in cums:
+            cum = F.col(cums[col])
+            if variant == "next":
+                v = F.lead(cum, n).over(base) - cum
+            elif variant == "as_coded":
+                v = F.lead(cum, 1).over(base) - F.lag(cum, n - 1).over(base)
+            else:
+                raise ValueError("variant must be 'next' or 'as_coded'")
+        elif variant == "next":
             w = base.rowsBetween(1, n)
             v = F.when(F.count(c).over(w) == n, F.sum(c).over(w))
         elif variant == "as_coded":
@@ -197,7 +231,7 @@ def add_targets(df: DataFrame, targets: dict | None = None, key: str = "sku_id",
         else:
             raise ValueError("variant must be 'next' or 'as_coded'")
         out = out.withColumn(name, v.cast("double"))
-    return out
+    return out.drop(*cums.values())
 
 
 def train_test_split(df: DataFrame, test_days: int = 30, day: str = "day") -> DataFrame:
