@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.prefix import ordered_prefix_sums
+from tillwise.session import reliable_checkpoint
 from tillwise.schemas import require_columns
 
 REQUIRED = ["sku", "category", "cost", "price", "qty"]
@@ -208,7 +209,8 @@ def plan_repair(cands: DataFrame, plan: DataFrame, target: float) -> tuple[DataF
                    *[F.when(hit, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c)
                      for c in ("price", "cost", "qty", "gmv", "margin", "gp")],
                    hit.alias("repaired"))
-    return out, meta
+    # the repaired plan feeds several reports; materialise it once
+    return reliable_checkpoint(out), meta
 
 
 def plan_summary(plan: DataFrame, target: float, by: list[str] | None = None) -> DataFrame:
