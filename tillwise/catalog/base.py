@@ -54,8 +54,11 @@ def query(key: str, sql: str | None = None, doubles=(), strings=(), longs=(), no
     def deco(fn):
         if key in REGISTRY:
             raise ValueError(f"duplicate query key {key}")
-        REGISTRY[key] = Entry(key, lambda spark, sf_dir: finish(fn(spark, sf_dir)), sql,
-                              tuple(doubles), tuple(strings), tuple(longs), note)
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # naive timestamps are UTC wall-clock values, as in the oracle
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return finish(fn(spark, sf_dir))
+        REGISTRY[key] = Entry(key, build, sql, tuple(doubles), tuple(strings), tuple(longs), note)
         return fn
     return deco
 
