@@ -163,3 +163,44 @@ def test_keyed_sequence_hot_key_spans_ranges(spark):
         prev, acc = by.get(k, (None, 0))
         assert got[(k, t)] == (prev, acc + v)
         by[k] = (t, acc + v)
+
+
+def test_bundle_delivery_is_optimal_against_brute_force(spark):
+    from itertools import product
+
+    from pyspark.sql import functions as F
+
+    from tillwise.operators import inventory as inv
+    rng = random.Random(21)
+    rows, want = [], {}
+    for prod in range(12):
+        stock = rng.randint(5, 40)
+        sizes = (rng.randint(1, 3), rng.randint(4, 6), rng.randint(9, 12))
+        bounds = []
+        for mp in ("Ozz", "WB", "YM"):
+            lo = rng.randint(0, 8)
+            hi = lo + rng.randint(0, 10)
+            bounds.append((mp, lo, hi))
+            rows.append((prod, mp, lo, hi, stock, *sizes))
+
+        def reach(lo, hi):
+            ok = set()
+            for a in range(hi // sizes[0] + 1):
+                for b in range(hi // sizes[1] + 1):
+                    for c in range(hi // sizes[2] + 1):
+                        t = a * sizes[0] + b * sizes[1] + c * sizes[2]
+                        if lo <= t <= hi:
+                            ok.add(t)
+            return ok
+        opts = [reach(lo, min(hi, stock)) for _, lo, hi in bounds]
+        totals = [sum(p) for p in product(*opts) if sum(p) <= stock]
+        want[prod] = max(totals) if totals else None
+    df = spark.createDataFrame(rows, "product long, marketplace string, min_demand long, max_demand long, "
+                                     "stock long, small long, middle long, large long")
+    out = inv.bundle_delivery(df).groupBy("product").agg(F.sum("units").alias("u"), F.first("status").alias("s"))
+    got = {r["product"]: (r["u"], r["s"]) for r in out.collect()}
+    for prod, best in want.items():
+        if best is None:
+            assert got[prod][1] == "infeasible"
+        else:
+            assert got[prod] == (best, "optimal"), (prod, got[prod], best)
