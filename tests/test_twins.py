@@ -204,3 +204,33 @@ def test_bundle_delivery_is_optimal_against_brute_force(spark):
             assert got[prod][1] == "infeasible"
         else:
             assert got[prod] == (best, "optimal"), (prod, got[prod], best)
+
+
+def test_restock_lagrangian_brackets_the_integer_optimum(spark):
+    from itertools import product
+
+    from tillwise.operators import inventory as inv
+    rng = random.Random(5)
+    for trial in range(3):
+        rows = []
+        for sku in range(4):
+            cost = float(rng.randint(2, 9))
+            for pct in (10, 50):
+                rows.append((sku, pct, rng.randint(1, 6), cost * 1.5, cost, round(rng.uniform(0.1, 2.0), 4)))
+        budget = float(rng.randint(10, 40))
+        df = spark.createDataFrame(rows, "sku_id long, percentile long, demand_to_buy long, price double, "
+                                         "cost double, profit_score double")
+        alloc, info = inv.restock_lagrangian(df, budget, "profit", iters=30)
+        by = {}
+        for r in rows:
+            by.setdefault(r[0], []).append(r)
+        best = 0.0
+        # every sku picks one percentile and an integer quantity 0..demand
+        choices = [[(r, q) for r in opts for q in range(r[2] + 1)] for opts in by.values()]
+        for combo in product(*choices):
+            spend = sum(r[4] * q for r, q in combo)
+            if spend <= budget:
+                best = max(best, sum(r[5] * q for r, q in combo))
+        assert info["spent"] <= budget + 1e-9
+        assert info["value"] <= best + 1e-9
+        assert info["dual_bound"] >= best - 1e-6
