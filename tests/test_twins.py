@@ -234,3 +234,20 @@ def test_restock_lagrangian_brackets_the_integer_optimum(spark):
         assert info["spent"] <= budget + 1e-9
         assert info["value"] <= best + 1e-9
         assert info["dual_bound"] >= best - 1e-6
+
+
+def test_salted_top_k_equals_plain_ranking(spark):
+    from pyspark.sql import functions as F
+
+    from tillwise.functions.topk import top_k_per_group
+    rng = random.Random(9)
+    # group 0 is hot (most rows); scores have ties broken by id
+    rows = [(0 if rng.random() < 0.6 else rng.randint(1, 6), i, rng.randint(0, 20)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g int, id int, score int")
+    got = {(r.g, r.rank): r.id for r in top_k_per_group(df, ["g"], [F.col("score").desc(), F.col("id")], 5,
+                                                         salts=7).collect()}
+    by = {}
+    for g, i, s in rows:
+        by.setdefault(g, []).append((-s, i))
+    want = {(g, k + 1): i for g, lst in by.items() for k, (_, i) in enumerate(sorted(lst)[:5])}
+    assert got == want
