@@ -251,3 +251,28 @@ def test_salted_top_k_equals_plain_ranking(spark):
         by.setdefault(g, []).append((-s, i))
     want = {(g, k + 1): i for g, lst in by.items() for k, (_, i) in enumerate(sorted(lst)[:5])}
     assert got == want
+
+
+def test_ordered_prefix_sums_and_ntile_match_python(spark):
+    from pyspark.sql import functions as F
+
+    from tillwise.functions.prefix import ordered_prefix_sums
+    from tillwise.operators.product import ntile_exact
+    rng = random.Random(13)
+    rows = [(i, rng.randint(0, 9)) for i in range(233)]
+    df = spark.createDataFrame(rows, "id int, v int")
+    out = ordered_prefix_sums(df, [F.col("v").desc(), F.col("id")], {"cum": F.col("v")}, row_number="pos",
+                              ranges=5).collect()
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    acc = 0
+    want = {}
+    for pos, (i, v) in enumerate(order, 1):
+        acc += v
+        want[i] = (acc, pos)
+    assert {r.id: (r.cum, r.pos) for r in out} == want
+    k, n = 7, len(rows)
+    nt = {r.id: r.bucket for r in ntile_exact(df, [F.col("v").desc(), F.col("id")], k, "bucket").collect()}
+    size, extra = n // k, n % k
+    for pos, (i, v) in enumerate(order, 1):
+        b = (pos - 1) // (size + 1) + 1 if pos <= extra * (size + 1) else extra + (pos - extra * (size + 1) - 1) // size + 1
+        assert nt[i] == b
