@@ -276,3 +276,33 @@ def test_ordered_prefix_sums_and_ntile_match_python(spark):
     for pos, (i, v) in enumerate(order, 1):
         b = (pos - 1) // (size + 1) + 1 if pos <= extra * (size + 1) else extra + (pos - extra * (size + 1) - 1) // size + 1
         assert nt[i] == b
+
+
+def test_asof_price_and_retention_match_python(spark):
+    from tillwise.operators import product as pa
+    rng = random.Random(17)
+    base = dt.date(2024, 3, 1)
+    obs = [(rng.choice("ab"), base + dt.timedelta(days=rng.randint(0, 20)), float(rng.randint(1, 9)))
+           for _ in range(25)]
+    got = {(r.k, r.day): r.price_asof for r in
+           pa.asof_price(spark.createDataFrame(obs, "k string, d date, p double"), "k", "d", "p").collect()}
+    lo, hi = min(o[1] for o in obs), max(o[1] for o in obs)
+    for k in {o[0] for o in obs}:
+        day, last = lo, None
+        while day <= hi:
+            same = [o[2] for o in obs if o[0] == k and o[1] == day]
+            if same:
+                last = sum(same) / len(same)
+            assert got[(k, day)] == last
+            day += dt.timedelta(days=1)
+    acts = [(rng.randint(1, 15), base + dt.timedelta(days=rng.randint(0, 20))) for _ in range(90)]
+    ret = {r.n: (r.cohort_users, r.retained_users) for r in
+           pa.retention_day_n(spark.createDataFrame(acts, "user_id int, day date"), days=(1, 3)).collect()}
+    last_day = max(a[1] for a in acts)
+    first = {}
+    for u, d in acts:
+        first[u] = min(first.get(u, d), d)
+    for n in (1, 3):
+        cohort = [u for u, d0 in first.items() if d0 + dt.timedelta(days=n) <= last_day]
+        kept = [u for u in cohort if (u, first[u] + dt.timedelta(days=n)) in set(acts)]
+        assert ret[n] == (len(cohort), len(kept))
