@@ -306,3 +306,40 @@ def test_asof_price_and_retention_match_python(spark):
         cohort = [u for u, d0 in first.items() if d0 + dt.timedelta(days=n) <= last_day]
         kept = [u for u in cohort if (u, first[u] + dt.timedelta(days=n)) in set(acts)]
         assert ret[n] == (len(cohort), len(kept))
+
+
+def test_mrr_movements_match_python(spark):
+    from tillwise.operators import product as pa
+    rng = random.Random(23)
+    rows = []
+    for i in range(60):
+        y, m = 2024, rng.randint(1, 6)
+        rows.append((rng.randint(1, 6), dt.datetime(y, m, rng.randint(1, 28)), float(rng.choice([10, 20, 30]))))
+    df = spark.createDataFrame(rows, "o_custkey int, o_orderdate timestamp_ntz, o_totalprice double")
+    got = {r.month: r for r in pa.mrr_movements(df).collect()}
+    rev = {}
+    for c, d, p in rows:
+        k = (c, dt.date(d.year, d.month, 1))
+        rev[k] = rev.get(k, 0.0) + p
+    last = max(m for _, m in rev)
+    months = [dt.date(2024, m, 1) for m in range(1, last.month + 2)]
+    want = {m: {"mrr": 0.0, "new": 0.0, "expansion": 0.0, "contraction": 0.0, "churned": 0.0, "reactivated": 0.0}
+            for m in months}
+    for c in {c for c, _ in rev}:
+        m0 = min(m for cc, m in rev if cc == c)
+        prev = None
+        for m in months:
+            if m < m0:
+                continue
+            cur = rev.get((c, m), 0.0)
+            want[m]["mrr"] += cur
+            kind = ("new" if prev is None and cur > 0 else "expansion" if prev and cur > prev else
+                    "contraction" if prev and 0 < cur < prev else "churned" if prev and cur == 0 else
+                    "reactivated" if prev == 0 and cur > 0 else None)
+            if kind:
+                want[m][kind] += cur - (prev or 0.0)
+            prev = cur
+    for m, w in want.items():
+        if m in got:
+            for k, v in w.items():
+                assert abs(got[m][k] - v) < 1e-9, (m, k)
