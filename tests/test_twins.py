@@ -343,3 +343,16 @@ def test_mrr_movements_match_python(spark):
         if m in got:
             for k, v in w.items():
                 assert abs(got[m][k] - v) < 1e-9, (m, k)
+
+
+def test_week_missed_profits_labels_and_empty_weeks(spark):
+    from tillwise.operators import timeseries as ts
+    rows = [(dt.date(2024, 1, 1), 5.0, 7.0, 2.0),    # Monday -> week ending Sun 2024-01-07
+            (dt.date(2024, 1, 7), 3.0, 1.0, 10.0),   # Sunday -> same week
+            (dt.date(2024, 1, 22), 1.0, 4.0, 1.0)]   # weeks ending 01-14 and 01-21 are empty
+    df = spark.createDataFrame(rows, "day date, sales double, forecast double, price double")
+    got = {r.day: (r.revenue, r.missed_profits) for r in ts.week_missed_profits(df).collect()}
+    assert got == {dt.date(2024, 1, 7): (5 * 2 + 3 * 10.0, 2 * 2.0),
+                   dt.date(2024, 1, 14): (0.0, 0.0),
+                   dt.date(2024, 1, 21): (0.0, 0.0),
+                   dt.date(2024, 1, 28): (1.0, 3.0)}
