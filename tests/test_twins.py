@@ -356,3 +356,27 @@ def test_week_missed_profits_labels_and_empty_weeks(spark):
                    dt.date(2024, 1, 14): (0.0, 0.0),
                    dt.date(2024, 1, 21): (0.0, 0.0),
                    dt.date(2024, 1, 28): (1.0, 3.0)}
+
+
+def test_cohort_retention_matches_python(spark):
+    from tillwise.operators import product as pa
+    rng = random.Random(29)
+    base = dt.date(2024, 1, 1)  # a Monday
+    acts = [(rng.randint(1, 12), base + dt.timedelta(days=rng.randint(0, 34))) for _ in range(80)]
+    got = {(r.cohort, r.period): (r.users, r.cohort_size) for r in
+           pa.cohort_retention(spark.createDataFrame(acts, "user_id int, day date")).collect()}
+
+    def monday(d):
+        return d - dt.timedelta(days=d.weekday())
+    weeks = {(u, monday(d)) for u, d in acts}
+    first = {}
+    for u, w in weeks:
+        first[u] = min(first.get(u, w), w)
+    size = {}
+    for u, c in first.items():
+        size[c] = size.get(c, 0) + 1
+    want = {}
+    for u, w in weeks:
+        k = (first[u], (w - first[u]).days // 7)
+        want[k] = want.get(k, 0) + 1
+    assert got == {k: (v, size[k[0]]) for k, v in want.items()}
