@@ -380,3 +380,21 @@ def test_cohort_retention_matches_python(spark):
         k = (first[u], (w - first[u]).days // 7)
         want[k] = want.get(k, 0) + 1
     assert got == {k: (v, size[k[0]]) for k, v in want.items()}
+
+
+def test_gaps_islands_with_duplicates_uses_range_semantics(spark):
+    from tillwise.operators import timeseries as ts
+    rng = random.Random(31)
+    ids = sorted(rng.choice(range(120)) for _ in range(150))  # with duplicates
+    got = {}
+    for r in ts.gaps_islands(spark.createDataFrame([(i,) for i in ids], "log_id long"), ranges=4).collect():
+        got.setdefault(r.log_id, set()).add(r.grp)
+    grp, prev, want = 0, None, {}
+    distinct = sorted(set(ids))
+    for i in distinct:
+        m = ids.count(i)
+        first = 0 if prev is not None and i - prev == 1 else 1
+        grp += first + (m - 1)
+        want[i] = {grp}
+        prev = i
+    assert got == want
