@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import exact_dedup, mixing, packing, sharding
+from tillwise.llm import embedding_dedup, exact_dedup, mixing, packing, secrets, sharding, simhash
 from tillwise.llm.common import read
 
 SEQUENCE_TOKENS = 4096
@@ -12,6 +12,8 @@ SEQUENCE_SEGMENTS = 512
 END_ID = 2
 SHARD_BYTES = 32 << 20
 MIX_BLOCK = 32
+SIMHASH_WORDS, SIMHASH_BITS = 4, 4
+COSINE = 0.95
 #: Target shares of the sources; any other source is pooled under one share.
 MIX_SHARES = {"src0": 12} | {f"src{i}": 5 for i in range(1, 10)} | {f"src{i}": 3 for i in range(10, 20)}
 
@@ -38,11 +40,26 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), MIX_SHARES, MIX_BLOCK)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(read(spark, sf_dir, "documents"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read(spark, sf_dir, "embeddings"), COSINE)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
+    "op5_secrets": op5_secrets,
+    "op7_simhash": op7_simhash,
+    "op9_embedding_dedup": op9_embedding_dedup,
 }
 
 
