@@ -20,6 +20,7 @@ where cutting is not allowed. Sequence ids are unique, not dense.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,8 +34,8 @@ from tillwise.llm.common import slices
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, loss_tokens long")
-CACHED_WORDS = 400_000
-CACHED_LENGTH = 64
+CACHED_WORDS = 600_000
+CACHED_LENGTH = 32
 
 
 class Packer:
@@ -43,7 +44,7 @@ class Packer:
     def __init__(self, limits: tuple[int, int, int], cut: bool, waiting: int = 256):
         self.limits, self.cut = np.array(limits, dtype="f8"), cut
         self.room = waiting
-        self.demand = np.zeros((waiting, 3))
+        self.demand = np.zeros((3, waiting))
         self.keys: list = [None] * waiting
         self.used = 0
         self.sequence = 0
@@ -52,50 +53,56 @@ class Packer:
     def add(self, key, start: int, tokens: int, loss: int, segments: int = 1) -> None:
         size = int(self.limits[0])
         if self.cut:
-            while tokens >= size and loss <= self.limits[2]:
+            size = min(size, int(self.limits[2])) if loss else size
+            while tokens >= size == int(self.limits[0]):
                 bears = min(loss, size)
                 self.out.append((key, start, size, self.sequence, 0, bears))
                 self.sequence += 1
                 start, tokens, loss = start + size, tokens - size, loss - bears
+            while tokens > size:
+                self._wait(key, start, size, min(loss, size), segments)
+                start, tokens, loss = start + size, tokens - size, max(0, loss - size)
         elif tokens > size or segments > self.limits[1] or loss > self.limits[2]:
             raise ValueError(f"example {key!r} exceeds a limit: {tokens} tokens, {segments} segments, {loss} bear loss")
         if tokens:
-            if self.used == self.room:
-                self._fill()
-            self.demand[self.used] = tokens, segments, loss
-            self.keys[self.used] = (key, start)
-            self.used += 1
+            self._wait(key, start, tokens, loss, segments)
+
+    def _wait(self, key, start: int, tokens: int, loss: int, segments: int) -> None:
+        if self.used == self.room:
+            self._fill()
+        self.demand[:, self.used] = tokens, segments, loss
+        self.keys[self.used] = (key, start)
+        self.used += 1
 
     def _take(self, i: int, offset: int, tokens: int) -> None:
         key, start = self.keys[i]
-        whole = tokens == self.demand[i, 0]
-        loss = int(self.demand[i, 2]) if whole else min(tokens, int(self.demand[i, 2]))
+        whole, bears = tokens == self.demand[0, i], int(self.demand[2, i])
+        loss = bears if whole else min(tokens, bears)
         self.out.append((key, start, tokens, self.sequence, offset, loss))
         if whole:
             self.used -= 1
-            self.demand[i], self.keys[i] = self.demand[self.used], self.keys[self.used]
+            self.demand[:, i], self.keys[i] = self.demand[:, self.used], self.keys[self.used]
         else:
-            self.demand[i, 0] -= tokens
-            self.demand[i, 2] -= loss
+            self.demand[0, i] -= tokens
+            self.demand[2, i] -= loss
             self.keys[i] = (key, start + tokens)
 
     def _fill(self) -> None:
         """Close one sequence from the waiting list."""
-        left, offset = self.limits.copy(), 0
+        left, offset, scale = self.limits.copy(), 0, 1 / self.limits ** 2
         while self.used:
-            d = self.demand[:self.used]
-            fits = (d <= left).all(axis=1)
-            score = np.where(fits, d @ (left / self.limits ** 2), -1.0)
+            d = self.demand[:, :self.used]
+            score = (left * scale) @ d
+            score[(d > left[:, None]).any(axis=0)] = -1.0
             i = int(score.argmax())
             if score[i] < 0:
-                gap = int(left[0])
-                if self.cut and gap and left[1] >= 1:
-                    i = int(d[:, 0].argmax())
-                    gap = min(gap, int(d[i, 0]), int(left[2]) if d[i, 2] else gap)
+                if self.cut and left[0] and left[1] >= 1:
+                    i = int(d[0].argmax())
+                    gap = int(min(left[0], d[0, i], left[2] if d[2, i] else left[0]))
                     if gap:
                         self._take(i, offset, gap)
                 break
-            taken = d[i].copy()
+            taken = d[:, i].copy()
             self._take(i, offset, int(taken[0]))
             left -= taken
             offset += int(taken[0])
@@ -105,7 +112,7 @@ class Packer:
 
     def finish(self) -> None:
         while self.used:
-            rest = int(self.demand[:self.used, 0].sum())
+            rest = int(self.demand[0, :self.used].sum())
             if self.cut and rest < self.limits[0]:
                 size = 1 << (rest.bit_length() - 1)
                 limits, self.limits = self.limits, self.limits.copy()
@@ -123,26 +130,38 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Texts of these characters are cut by ``PIECE`` just as the vocabulary's own rules cut them.
+PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+#: The characters that stand for the 256 bytes in a byte-level vocabulary: printable
+#: Latin-1 stands for itself, the other bytes in their order for U+0100 and up.
+_OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(_OTHERS)}
+
+
 class WordIds(dict):
-    """Ids of a blank-separated stretch as little-endian unsigned 32-bit integers.
+    """Ids of a word as little-endian unsigned 32-bit integers, in a bounded cache.
 
-    The tokenizer splits at white space before its merges, so stretches between blanks
-    are independent of each other and a bounded cache of them is exact.
+    The vocabulary lower-cases, cuts a text into words and merges within each, so words
+    are independent and caching them is exact. Texts of other characters, or with what
+    may be a special token, go through the tokenizer as a whole.
     """
 
     def __init__(self, path: str):
-        self.encode = _tokenizer(path).encode
+        tokenizer = _tokenizer(path)
+        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes() if word else b""
-        if len(word) <= CACHED_LENGTH:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
+        chars = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS)
+        ids = b"".join([t.id.to_bytes(4, "little") for t in self.merge(chars)])
+        if len(self) < CACHED_WORDS and len(word) <= CACHED_LENGTH:
             self[word] = ids
         return ids
 
     def text(self, text: str) -> bytes:
-        return b"".join([self[w] for w in text.replace("\n", " ").split(" ")])
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join([self[w] for w in PIECE.findall(text.lower())])
+        return np.array(self.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
