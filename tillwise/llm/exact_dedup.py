@@ -41,9 +41,7 @@ def exact_classes(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id
 def drop_exact_copies(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that are copies; all columns stay."""
-    kept = exact_classes(docs, keep, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept"))
-    return docs.join(kept.distinct(), docs[id_col].eqNullSafe(F.col("__kept")), "left_semi")
-
-
-def lower_bytes(c: Column) -> Column:
-    return ascii_lower(c)
+    kept = (exact_classes(docs, keep, id_col, text_col).where("kept")
+            .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct())
+    sha = F.sha2(ascii_lower(F.coalesce(docs[text_col], F.lit(""))), 256)
+    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_semi")

@@ -88,14 +88,19 @@ def deviation(slots: list[str], shares: dict[str, int]) -> Fraction:
 
 
 def mix(rows: DataFrame, shares: dict[str, int], block: int = 64, other_share: int = 1,
-        id_col: str = "doc_id", source_col: str = "source", rows_per_range: int = 1 << 15) -> DataFrame:
-    """doc_id, mix_source, block, slot, position (0-based place of the row in the mix)."""
+        id_col: str = "doc_id", source_col: str = "source", rows_per_range: int = 1 << 15,
+        carry: bool = False) -> DataFrame:
+    """doc_id, mix_source, block, slot, position (0-based place of the row in the mix).
+
+    With ``carry`` the whole input row comes along as the struct ``row``.
+    """
     if any(a < 1 for a in [*shares.values(), other_share, block]):
         raise ValueError("shares and block are positive")
     shares = {OTHER: other_share} | shares
     known = F.col(source_col).isin(*[s for s in shares if s != OTHER])
     keyed = rows.select(F.col(id_col).alias("doc_id"),
-                        F.when(known, F.col(source_col)).otherwise(F.lit(OTHER)).alias("mix_source"))
+                        F.when(known, F.col(source_col)).otherwise(F.lit(OTHER)).alias("mix_source"),
+                        *([F.struct(*[rows[c] for c in rows.columns]).alias("row")] if carry else []))
     n = keyed.count()
     bits = min(31, max(0, math.ceil(math.log2(max(1, n) / rows_per_range))))
     # xxhash64 with its sign bit flipped orders like the unsigned hash; its high bits are the range
@@ -110,7 +115,7 @@ def mix(rows: DataFrame, shares: dict[str, int], block: int = 64, other_share: i
     ranked = (keyed.withColumn("i", F.row_number().over(
         Window.partitionBy("mix_source", "range").orderBy("h", "doc_id")) - 1)
         .join(starts, ["mix_source", "range"]).withColumn("rank", F.col("before") + F.col("i")))
-    blocks = ranked.select("doc_id", "mix_source", F.floor(F.col("rank") / block).alias("block"),
+    blocks = ranked.select(*keyed.drop("h", "range").columns, F.floor(F.col("rank") / block).alias("block"),
                            (F.col("rank") % block).alias("within"))
     return _placed(spark, blocks, phases, totals, block)
 
@@ -142,5 +147,9 @@ def _placed(spark, blocks: DataFrame, phases: list[dict], totals: dict[str, int]
     lack = F.lit(0).cast("long")
     for slot, missing in short:
         lack = lack + F.when(F.col("slot") > slot, F.lit(missing).cast("long")).otherwise(F.lit(0).cast("long"))
-    return placed.select("doc_id", "mix_source", "block", "slot",
-                         (F.col("slot") * block + F.col("within") - lack).alias("position"))
+    return placed.select(*[c for c in blocks.columns if c != "within"], "slot", (F.col("slot") * block + F.col("within") - lack).alias("position"))
+
+
+def mixed(rows: DataFrame, shares: dict[str, int], block: int = 64, **names) -> DataFrame:
+    """``rows`` in the order of the mix; all columns stay."""
+    return mix(rows, shares, block, carry=True, **names).orderBy("position").select("row.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import embedding_dedup, exact_dedup, mixing, packing, secrets, sharding, simhash
+from tillwise.llm import embedding_dedup, exact_dedup, mixing, packing, quality, secrets, sharding, simhash
 from tillwise.llm.common import read
 
 SEQUENCE_TOKENS = 4096
@@ -48,6 +48,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(read(spark, sf_dir, "embeddings"), COSINE)
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
     "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
     "op9_embedding_dedup": op9_embedding_dedup,
 }
 

@@ -138,3 +138,11 @@ def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: str =
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     of = labelled.select("fp", "label").join(least, "label").select("fp", "component_id")
     return rows.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, that of smallest id; all columns stay."""
+    found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
