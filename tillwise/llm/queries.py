@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import embedding_dedup, exact_dedup, mixing, packing, quality, secrets, sharding, simhash
+from tillwise.llm import embedding_dedup, exact_dedup, mixing, packing, quality, secrets, sharding, simhash, surrogates
 from tillwise.llm.common import read
 
 SEQUENCE_TOKENS = 4096
@@ -14,6 +14,8 @@ SHARD_BYTES = 32 << 20
 MIX_BLOCK = 32
 SIMHASH_WORDS, SIMHASH_BITS = 4, 4
 COSINE = 0.95
+#: Of this query; a caller of the operator brings a secret one.
+SURROGATE_KEY = "surrogates of the registered query"
 #: Target shares of the sources; any other source is pooled under one share.
 MIX_SHARES = {"src0": 12} | {f"src{i}": 5 for i in range(1, 10)} | {f"src{i}": 3 for i in range(10, 20)}
 
@@ -44,6 +46,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read(spark, sf_dir, "documents"))
 
 
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(read(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
 
@@ -62,6 +68,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
+    "op6_surrogates": op6_surrogates,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op9_embedding_dedup": op9_embedding_dedup,
