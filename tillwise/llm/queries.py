@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import embedding_dedup, exact_dedup, mixing, packing, quality, secrets, sharding, simhash, surrogates
+from tillwise.llm import embedding_dedup, exact_dedup, mixing, packing, quality, repeats, secrets, sharding, simhash, surrogates
 from tillwise.llm.common import read
 
 SEQUENCE_TOKENS = 4096
@@ -14,6 +14,7 @@ SHARD_BYTES = 32 << 20
 MIX_BLOCK = 32
 SIMHASH_WORDS, SIMHASH_BITS = 4, 4
 COSINE = 0.95
+REPEAT_WORDS = 35
 #: Of this query; a caller of the operator brings a secret one.
 SURROGATE_KEY = "surrogates of the registered query"
 #: Target shares of the sources; any other source is pooled under one share.
@@ -62,6 +63,10 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(read(spark, sf_dir, "embeddings"), COSINE)
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.drop_repeats(read(spark, sf_dir, "documents"), REPEAT_WORDS)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_sharding": op2_sharding,
@@ -72,6 +77,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_repeats": op10_repeats,
 }
 
 
