@@ -39,7 +39,10 @@ CACHED_LENGTH = 32
 
 
 class Packer:
-    """Places pieces (key, start, tokens, loss tokens) in sequences under ``limits``."""
+    """Places pieces (key, start, tokens, loss tokens) in sequences under ``limits``.
+
+    Where an example is cut, its loss-bearing tokens are taken to be its first ones.
+    """
 
     def __init__(self, limits: tuple[int, int, int], cut: bool, waiting: int = 256):
         self.limits, self.cut = np.array(limits, dtype="f8"), cut

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tillwise.llm.common import checkpointed, slices, stored
 
-LABELLED, TRAIN, DIMENSIONS, PARTS, ROUNDS = 20_000, 20_000, 1 << 17, 8, 4
+LABELLED, TRAIN, DIMENSIONS, PARTS, ROUNDS, EPOCHS = 20_000, 20_000, 1 << 17, 8, 4, 3
 STEMS, STEM_SUPPORT, STEM_PRECISION = (3, 4, 5, 6, 8), 6, 0.98
 CACHED_WORDS = 400_000
 #: Insults that the English labeller knows.
@@ -209,8 +209,8 @@ class Ftrl:
         w = -(z - np.sign(z) * self.L1) / ((self.BETA + np.sqrt(n)) / self.ALPHA + self.L2)
         return np.where(np.abs(z) <= self.L1, 0.0, w)
 
-    def learn(self, features: np.ndarray, label: float) -> None:
-        i, x = np.unique(features, return_counts=True)
+    def learn(self, i: np.ndarray, x: np.ndarray, label: float) -> None:
+        """One row: its features, how often each comes, and its label."""
         w = self.weights(i)
         error = 1 / (1 + math.exp(-max(-30.0, min(30.0, float(w @ x))))) - label
         g = error * x
@@ -226,12 +226,16 @@ def train(sample: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
         state = (z, n)
 
         def run(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
-            model, any_row = Ftrl(*(x.copy() for x in state)), False
+            model = Ftrl(*(x.copy() for x in state))
+            rows = []  # a part of the sample, hence bounded
             for batch in batches:
                 for f, bad in zip(batch.column("features"), batch.column("bad").to_pylist()):
-                    model.learn(np.append(np.asarray(f.values), DIMENSIONS), bad)
-                    any_row = True
-            if any_row:
+                    i, x = np.unique(np.append(np.asarray(f.values), DIMENSIONS), return_counts=True)
+                    rows.append((i, x, bad))
+            for _ in range(EPOCHS):
+                for row in rows:
+                    model.learn(*row)
+            if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([x.astype("f4").tobytes()], pa.binary()) for x in (model.z, model.n)], names=["z", "n"])
 
         parts = sample.mapInArrow(run, "z binary, n binary").collect()
