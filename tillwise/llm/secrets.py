@@ -6,8 +6,8 @@ frequencies agree within a Hoeffding bound, all the way down, are merged (ALERGI
 which leaves a probabilistic automaton of the format. A further automaton of the same
 make describes ordinary long words. Every candidate in every text that the base
 leaves, however many there are, is scored: it becomes a span of kind ``format`` when a
-credential automaton gives it at least the per-character likelihood that all but a
-few of its own credentials reach, and is at least ``MARGIN`` nats likelier than under
+credential automaton gives it the per-character log-likelihood that all but a few of
+its own credentials reach, less ``SLACK`` (one odd character in forty), and is at least ``MARGIN`` nats likelier than under
 the automaton of ordinary words.
 
 What the driver holds is bounded by ``SAMPLE`` strings for each of the four automata,
@@ -40,7 +40,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ALPHABET = 68  # characters that a candidate can hold
-SAMPLE, LONGEST, ALPHA, LOW_SHARE, MARGIN, CACHED = 1000, 128, 0.05, 0.01, 8.0, 200_000
+SAMPLE, LONGEST, ALPHA, LOW_SHARE, SLACK, MARGIN, CACHED = 1000, 128, 0.05, 0.01, 0.35, 8.0, 200_000
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -162,7 +162,7 @@ class Formats:
             if values := credentials[kind]:
                 a = Automaton(values)
                 scores = sorted(a.log_likelihood(v) / (len(v) + 1) for v in values)
-                self.kinds.append((a, scores[int(LOW_SHARE * len(scores))]))
+                self.kinds.append((a, scores[int(LOW_SHARE * len(scores))] - SLACK))
         self.words = Automaton(words)
         self.known: dict[str, bool] = {}
 
