@@ -266,7 +266,7 @@ def q_dq_rules(spark, sf_dir):
        sql="""with recursive
               l as (select distinct doc_id, lower(trim(line)) as line
                     from documents, unnest(string_split(text, chr(10))) as u(line)
-                    where length(lower(trim(line))) >= 20),
+                    where length(lower(trim(line))) > 0),
               rep as (select line, min(doc_id) as rep from l group by line having count(*) > 1),
               e as (select distinct l.doc_id as src, rep.rep as dst from l join rep on rep.line = l.line
                     where l.doc_id <> rep.rep),
@@ -275,17 +275,18 @@ def q_dq_rules(spark, sf_dir):
                                   union select u.dst, reach.label from reach join u on u.src = reach.v)
               select v as doc_id, min(label) as component from reach group by v""")
 def q_match_groups(spark, sf_dir):
-    """Documents connected through shared (normalised, >= 20 chars) lines."""
+    """Documents connected through shared (normalised, non-empty) lines."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return sim.connected_components(docs.select("doc_id"), sim.shared_line_edges(docs))
 
 
 @query("semantic_chunks",
        sql="""with v as (select vec_id, cast(embedding as double[]) as v from embeddings),
-                   j as (select a.vec_id, case when b.v is null then null
-                                else list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v))
-                                                                  * sqrt(list_dot_product(b.v, b.v))) end as cos_prev
-                         from v a left join v b on b.vec_id + 1 = a.vec_id)
+                   p as (select vec_id, v, lag(v) over (order by vec_id) as before from v),
+                   j as (select vec_id, case when before is not null
+                                then list_dot_product(v, before) / (sqrt(list_dot_product(v, v))
+                                                                   * sqrt(list_dot_product(before, before))) end as cos_prev
+                         from p)
               select vec_id, cos_prev,
                      sum(case when cos_prev is null or cos_prev < 0.0 then 1 else 0 end)
                        over (order by vec_id rows between unbounded preceding and current row) as chunk_id

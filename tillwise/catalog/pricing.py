@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tillwise.catalog.base import query
@@ -310,26 +312,63 @@ def q_margin_plan_run(spark, sf_dir):
     return margin_plan_run(fx_price_candidates(spark, sf_dir), TARGET)["plan"]
 
 
+# the SKU scan as a recursion over SKUs in order: per step the candidates by falling margin, the first that meets the
+# target, and a swap only if its GMV is not lower; slack = sum((margin - target) * gmv)
 PM_SQL = """
-with cm as (select *, price * qty as gmv, (price - cost) / price as margin from fx_price_candidates),
-g as (select * from cm qualify row_number() over (partition by sku order by gmv desc, price desc) = 1),
-g2 as (select * from cm qualify row_number() over (partition by sku order by gmv desc, margin desc, price desc) = 1),
-mm as (select * from cm qualify row_number() over (partition by sku order by margin desc, price desc) = 1),
-wm as (select (select sum(gmv * margin) / sum(gmv) from g) as w1, (select sum(gmv * margin) / sum(gmv) from g2) as w2),
-pick as (select sku, price from g, wm where w1 >= {t}
-         union all select sku, price from g2, wm where w1 < {t} and w2 >= {t}
-         union all select sku, price from mm, wm where w1 < {t} and w2 < {t})
+with recursive cm as (select *, price * qty as gmv, (price - cost) / price as margin from {src}),
+g as (select * from cm qualify row_number() over (partition by sku order by gmv desc, price desc, cost {dear}) = 1),
+mm as (select * from cm qualify row_number() over (partition by sku order by margin desc, price desc, cost) = 1),
+goal as (select {t} as t from g),
+total as (select sum((margin - t) * gmv) as slack from g, goal),
+steps as (select sku, gmv, (margin - t) * gmv as worth, row_number() over (order by sku) as n from g, goal),
+trial as (select steps.n, cm.sku, cm.price, cm.cost, cm.gmv >= steps.gmv as swap, (cm.margin - t) * cm.gmv - steps.worth as gain,
+                 row_number() over (partition by cm.sku order by cm.margin desc, cm.price desc, cm.cost) as place
+          from goal, cm join steps on steps.sku = cm.sku),
+scan(n, slack, price, cost) as (
+  select cast(0 as bigint), slack, cast(null as double), cast(null as double) from total
+  union all
+  select s.n + 1, case when pick.swap then s.slack + pick.gain else s.slack end,
+         case when pick.swap then pick.price end, case when pick.swap then pick.cost end
+  from (select * from scan, total where total.slack < 0 and n < (select count(*) from steps)) s(n, slack, price, cost, s0)
+  left join lateral (select t.swap, t.gain, t.price, t.cost from trial t
+                     where t.n = s.n + 1 and s.slack + t.gain >= 0 order by t.place limit 1) pick on true),
+final as (select arg_max(slack, n) as slack from scan),
+pick as (select g.sku, coalesce(scan.price, g.price) as price, coalesce(scan.cost, g.cost) as cost
+         from g join steps on steps.sku = g.sku left join scan on scan.n = steps.n, final where final.slack >= 0
+         union all select mm.sku, mm.price, mm.cost from mm, final where final.slack < 0)
 select c.sku, c.category, c.cost, c.price, c.qty, c.scenario_id, p.sku is not null as is_selected
-from fx_price_candidates c left join pick p on p.sku = c.sku and p.price = c.price"""
+from {src} c left join pick p on p.sku = c.sku and p.price = c.price and p.cost = c.cost"""
 
 
-@query("price_mask", sql=PM_SQL.format(t=0.2), doubles=CAND_DOUBLES)
+@query("price_mask", sql=PM_SQL.format(t="max(0.2)", src="fx_price_candidates", dear=""), doubles=CAND_DOUBLES)
 def q_price_mask(spark, sf_dir):
     """M17 at target 0.2 (the max-GMV plan misses it -> max-margin fallback)."""
-    return pr.price_mask(fx_price_candidates(spark, sf_dir), 0.2, [-F.col("price")])
+    return pr.price_mask(fx_price_candidates(spark, sf_dir), 0.2, [-F.col("price"), F.col("cost")])
+
+
+#: every third SKU may also be bought from a second supplier, at the same price and demand: GMV ties
+TIES_SRC = """(select * from fx_price_candidates union all
+               select sku, category, cost * (0.9 + (hash_sku % 7) * 0.01), price, qty, scenario_id
+               from (select *, cast(sku as bigint) * 31 as hash_sku from fx_price_candidates) where sku % 3 = 0)"""
+
+
+def _two_suppliers(spark, sf_dir):
+    c = fx_price_candidates(spark, sf_dir)
+    cheaper = F.col("cost") * (F.lit(0.9) + (F.col("sku").cast("long") * 31 % 7) * F.lit(0.01))
+    return c.unionByName(c.where(F.col("sku") % 3 == 0).withColumn("cost", cheaper))
+
+
+@query("price_mask_ties", sql=PM_SQL.format(t="ceil(sum(gmv * margin) / sum(gmv) * 1e5) / 1e5", src=TIES_SRC, dear="desc"), doubles=CAND_DOUBLES)
+def q_price_mask_ties(spark, sf_dir):
+    """M17 where GMV ties let the scan swap single SKUs: the dearer supplier
+    comes first, so the max-GMV plan misses the target that ties can reach."""
+    c, order = _two_suppliers(spark, sf_dir), [-F.col("price"), -F.col("cost")]
+    best = pr.totals(pr.first_argmax(pr.candidate_metrics(c), "sku", "gmv", order))
+    # the next 0.001 % above what the max-GMV plan reaches: a single swap can close the gap
+    return pr.price_mask(c, math.ceil(pr.wm_of(*best) * 1e5) / 1e5, order)
 
 
-@query("price_mask_feasible", sql=PM_SQL.format(t=0.15), doubles=CAND_DOUBLES)
+@query("price_mask_feasible", sql=PM_SQL.format(t="max(0.15)", src="fx_price_candidates", dear=""), doubles=CAND_DOUBLES)
 def q_price_mask_feasible(spark, sf_dir):
     """M17 at target 0.15 (the max-GMV plan already meets it)."""
-    return pr.price_mask(fx_price_candidates(spark, sf_dir), 0.15, [-F.col("price")])
+    return pr.price_mask(fx_price_candidates(spark, sf_dir), 0.15, [-F.col("price"), F.col("cost")])

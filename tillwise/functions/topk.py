@@ -3,7 +3,8 @@
 A plain ``row_number() over (partition by g order by ...)`` sorts a whole
 group in one task. Here rows are first ranked inside (group, salt) buckets,
 only the best ``k`` of each bucket survive, and the final rank runs over at
-most ``k x salts`` rows per group. The result equals the plain window.
+most ``k x salts`` rows per group. There are as many salts as shuffle
+partitions, so a bucket shrinks as the cluster grows. The result equals the plain window.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 
 
 def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
-                    rank_col: str = "rank", salts: int = 16, salt_key: Column | None = None) -> DataFrame:
+                    rank_col: str = "rank", salts: int | None = None, salt_key: Column | None = None) -> DataFrame:
     """Rows ranked 1..k per group by ``order`` (a strict total order)."""
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = salt_key if salt_key is not None else F.xxhash64(*[F.col(c) for c in df.columns])
     salted = df.withColumn("_salt", F.pmod(key, F.lit(salts)))
     w1 = Window.partitionBy(*group, "_salt").orderBy(*order)

@@ -2,9 +2,10 @@
 
 Bootstrap draws are ``md5``-derived uniforms keyed by (seed, replicate,
 draw): deterministic, independent of partitioning and task retries, and
-reproducible in SQL. The resampled table is small by construction (one row
-per period, e.g. per week), so the (replicate x draw) index table joins it by
-broadcast with a size bound of ``count`` rows checked on the driver.
+reproducible in SQL. Drawing n of n rows ``n_boot`` times makes n * n_boot
+draws, generated and joined with the numbered rows by Spark; aggregate to
+periods first where that is many. ``poisson_bootstrap`` needs one pass and no
+join instead.
 """
 
 from __future__ import annotations
@@ -13,8 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.numeric import md5_uniform  # noqa: F401 (re-exported)
-
-BROADCAST_ROWS = 1_000_000
+from tillwise.functions.prefix import ordered_prefix_sums
 
 
 def bootstrap_mean_ci(df: DataFrame, value: str, base: str | None = None, n_boot: int = 1000,
@@ -24,17 +24,12 @@ def bootstrap_mean_ci(df: DataFrame, value: str, base: str | None = None, n_boot
     n = df.count()
     if n == 0:
         raise ValueError("empty input")
-    if n > BROADCAST_ROWS:
-        raise ValueError("bootstrap table larger than the broadcast bound; aggregate it first")
     spark = df.sparkSession
-    # row index over a table of at most BROADCAST_ROWS rows
-    idx = df.select(F.row_number().over(Window.orderBy(order)).alias("_i"), value,
-                    *([base] if base else []))
-    idx = idx.withColumn("_i", F.col("_i") - 1)
-    draws = (spark.range(n_boot).withColumnRenamed("id", "b")
-             .select("b", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j")))
+    idx = ordered_prefix_sums(df.select(order, value, *([base] if base else [])), [F.col(order)], {}, row_number="_i")
+    idx = idx.select((F.col("_i") - 1).alias("_i"), value, *([base] if base else []))
+    draws = spark.range(n_boot * n).select(F.floor(F.col("id") / n).alias("b"), (F.col("id") % n).alias("j"))
     draws = draws.withColumn("_i", F.floor(md5_uniform(seed, F.col("b"), F.col("j")) * F.lit(n)))
-    sample = draws.join(F.broadcast(idx), "_i")
+    sample = draws.join(idx, "_i")
     aggs = [F.avg(value).alias("m")] + ([F.avg(base).alias("r")] if base else [])
     per = sample.groupBy("b").agg(*aggs)
     if base:

@@ -21,6 +21,18 @@ DEFAULT_THRESHOLDS = {
     "data": {"max_price": 10000000, "max_stock": 1000000},
 }
 
+# Alert texts of the weekly governance report, then owner and action, by type
+ALERT_TEXTS = {
+    "SUPPLY": "High lost sales due to OOS: %s GMV (period total).",
+    "MODEL": "Non-OOS WAPE is elevated: %.3f.",
+    "DATA": "Extreme price values detected (above max_price).",
+}
+ALERT_OWNERS = {
+    "SUPPLY": ("Supply/Logistics", "Review top SKUs by lost_sales_gmv; expedite inbound / redistribute / adjust safety stock."),
+    "MODEL": ("Forecast Owner (Planning/DS)", "Check promo factors, seasonality, price elasticity; review recent data changes."),
+    "DATA": ("DWH/Source Systems", "Validate price feed; check currency/scale issues; correct upstream mapping."),
+}
+
 
 def coerce_types(df: DataFrame) -> DataFrame:
     """Strict casts (fail fast under ANSI); ``actual_units`` NULL -> 0."""
@@ -153,19 +165,16 @@ def alerts(df: DataFrame, thresholds: dict | None = None) -> DataFrame:
 
     supply = alert(F.col("lost") >= F.lit(float(th["supply"]["lost_sales_gmv_week_min"])),
                    "CRIT", "SUPPLY",
-                   F.format_string("High lost sales due to OOS: %s GMV (period total).",
+                   F.format_string(ALERT_TEXTS["SUPPLY"],
                                    F.format_number("lost", 0)),
-                   "Supply/Logistics",
-                   "Review top SKUs by lost_sales_gmv; expedite inbound / redistribute / adjust safety stock.")
+                   *ALERT_OWNERS["SUPPLY"])
     model = alert(F.col("wape_non_oos") >= F.lit(float(th["model"]["wape_delta"])) + F.col("wape_raw"),
                   "WARN", "MODEL",
-                  F.format_string("Non-OOS WAPE is elevated: %.3f.", F.col("wape_non_oos")),
-                  "Forecast Owner (Planning/DS)",
-                  "Check promo factors, seasonality, price elasticity; review recent data changes.")
+                  F.format_string(ALERT_TEXTS["MODEL"], F.col("wape_non_oos")),
+                  *ALERT_OWNERS["MODEL"])
     data = alert(F.coalesce(F.col("bad_price"), F.lit(False)), "WARN", "DATA",
-                 F.lit("Extreme price values detected (above max_price)."),
-                 "DWH/Source Systems",
-                 "Validate price feed; check currency/scale issues; correct upstream mapping.")
+                 F.lit(ALERT_TEXTS["DATA"]),
+                 *ALERT_OWNERS["DATA"])
     return row.select(F.explode(F.array_compact(F.array(supply, model, data))).alias("a")).select("a.*")
 
 

@@ -4,18 +4,24 @@ expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.operators.text import tokens
 
 
 def basket_embeddings(lines: DataFrame, basket: str, item: str, dim: int = 16, seed: int = 42) -> DataFrame:
-    """Item vectors learned from baskets (Word2Vec over item sequences)."""
-    from pyspark.ml.feature import Word2Vec
-    seqs = lines.groupBy(basket).agg(F.sort_array(F.collect_list(F.col(item).cast("string"))).alias("items"))
-    w2v = Word2Vec(vectorSize=dim, minCount=1, seed=seed, inputCol="items", outputCol="v", maxIter=1)
-    return w2v.fit(seqs).getVectors().withColumnRenamed("word", item)
+    """Item vectors learned from baskets: implicit-feedback factors of the
+    basket x item counts. Training and factors stay distributed (Word2Vec
+    would hold the whole vocabulary on the driver)."""
+    from pyspark.ml.recommendation import ALS
+    counts = lines.groupBy(F.col(basket).cast("int").alias("basket"), F.col(item).cast("int").alias("item")).agg(
+        F.count(F.lit(1)).cast("float").alias("n"))
+    blocks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    model = ALS(rank=dim, implicitPrefs=True, maxIter=3, seed=seed, userCol="basket", itemCol="item", ratingCol="n",
+                numUserBlocks=blocks, numItemBlocks=blocks).fit(counts)
+    return model.itemFactors.select(F.col("id").cast("string").alias(item), F.col("features").alias("vector"))
 
 
 def kmeans_segments(df: DataFrame, vec: str, k: int = 8, seed: int = 42) -> DataFrame:
@@ -38,8 +44,8 @@ def tree_scoring(df: DataFrame, features: list[str], label: str, depth: int = 5,
 
 
 def text_classifier(docs: DataFrame, labels: DataFrame, label: str = "quality", num_features: int = 1 << 16):
-    """TF-IDF + logistic regression; returns (fitted pipeline, scored
-    labelled documents)."""
+    """TF-IDF + logistic regression fitted on the labelled documents;
+    returns (fitted pipeline, all documents scored, label NULL where there is none)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF, IDF
@@ -49,17 +55,26 @@ def text_classifier(docs: DataFrame, labels: DataFrame, label: str = "quality",
                             IDF(inputCol="tf", outputCol="features"),
                             LogisticRegression(maxIter=50, regParam=0.01)])
     model = pipe.fit(data)
-    return model, model.transform(data)
+    known = labels.select("doc_id", F.col(label).cast("double").alias("label"))
+    return model, model.transform(d).join(known, "doc_id", "left")
 
 
-def adstock(df: DataFrame, key: str, order: str, value: str, decay: float = 0.5, lags: int = 8,
-            out: str | None = None) -> DataFrame:
-    """Geometric adstock truncated at ``lags`` periods: Σ decay^k x_{t-k}."""
-    w = Window.partitionBy(key).orderBy(order)
-    expr = F.col(value)
-    for k in range(1, lags + 1):
-        expr = expr + F.lit(decay ** k) * F.coalesce(F.lag(value, k).over(w), F.lit(0.0))
-    return df.withColumn(out or f"{value}_adstock", expr)
+def adstock(df: DataFrame, key: str, order: str, value: str, decay: float = 0.5, out: str | None = None) -> DataFrame:
+    """Geometric adstock s_t = x_t + decay * s_(t-1), with its whole memory.
+    A key's rows are one per period, so the calendar bounds the group that a
+    task walks through."""
+    name = out or f"{value}_adstock"
+
+    def run(pdf):
+        pdf = pdf.sort_values(order)
+        s, carried = 0.0, []
+        for x in pdf[value].fillna(0.0).tolist():
+            s = x + decay * s
+            carried.append(s)
+        pdf[name] = carried
+        return pdf
+
+    return df.groupBy(key).applyInPandas(run, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def mmm_regression(daily: DataFrame, channels: list[str], target: str, decay: float = 0.5):

@@ -12,6 +12,7 @@ the caller's row order columns.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,14 @@ DQ_RULES = ("cost_is_nan", "price_is_nan", "qty_is_nan", "price_le_0", "qty_lt_0
 ACTION_ISSUE = "negative_margin_high_penetration"
 ACTION_TEXT = "Review promo depth / negotiate cost / adjust price floor / replace SKU in promo set"
 
+# Alert texts of the margin report, by code
+ALERT_TEXTS = {
+    "empty_plan": "No valid rows after data quality filtering.",
+    "infeasible_or_not_met": "weighted_margin=%.4f < target=%.4f.",
+    "low_margin_buffer": "buffer=%.2fpp. Risk of missing target due to forecast error / cost change.",
+    "loss_leader_penetration": "Negative margin SKUs have high GMV penetration. Check pricing strategy and supplier conditions.",
+}
+
 
 def extract_candidates(df: DataFrame) -> DataFrame:
     """B1: six columns, ``qty IS NOT NULL`` (pushed into the scan)."""
@@ -276,14 +285,13 @@ def plan_alerts(plan: DataFrame, contrib: DataFrame, target: float) -> DataFrame
         risk.select(F.lit(None).cast("long").alias("n"), F.lit(None).cast("double").alias("wm"), "risk"))
     one = base.agg(F.max("n").alias("n"), F.max("wm").alias("wm"), F.max("risk").alias("risk"))
     alerts = one.select(F.explode(F.array_compact(F.array(
-        line(F.col("n") == 0, "ALERT", "empty_plan", F.lit("No valid rows after data quality filtering.")),
+        line(F.col("n") == 0, "ALERT", "empty_plan", F.lit(ALERT_TEXTS["empty_plan"])),
         line((F.col("n") > 0) & (F.col("wm") < t), "ALERT", "infeasible_or_not_met",
-             F.format_string("weighted_margin=%.4f < target=%.4f.", F.col("wm"), t)),
+             F.format_string(ALERT_TEXTS["infeasible_or_not_met"], F.col("wm"), t)),
         line((F.col("n") > 0) & (buf < 1.0) & (F.col("wm") >= t), "ALERT", "low_margin_buffer",
-             F.format_string("buffer=%.2fpp. Risk of missing target due to forecast error / cost change.", buf)),
+             F.format_string(ALERT_TEXTS["low_margin_buffer"], buf)),
         line((F.col("n") > 0) & (F.col("risk") > 0), "ALERT", "loss_leader_penetration",
-             F.lit("Negative margin SKUs have high GMV penetration. "
-                   "Check pricing strategy and supplier conditions."))))).alias("a")).select("a.*")
+             F.lit(ALERT_TEXTS["loss_leader_penetration"]))))).alias("a")).select("a.*")
     support = _top_ids(contrib, True).select(F.lit("INFO").alias("level"), F.lit("top_support_skus").alias("code"),
                                              F.col("ids").alias("message"))
     damage = _top_ids(contrib, False).select(F.lit("INFO").alias("level"), F.lit("top_damage_skus").alias("code"),
@@ -291,19 +299,66 @@ def plan_alerts(plan: DataFrame, contrib: DataFrame, target: float) -> DataFrame
     return alerts.unionByName(support).unionByName(damage)
 
 
+def _tie_swaps(m: DataFrame, start: DataFrame, target: float, row_order: list[Column]) -> DataFrame:
+    """Per SKU that may swap: its best-margin GMV tie, the slack the swap adds,
+    and the slack from which a candidate of higher margin and lower GMV would
+    meet the target first (and end the SKU's trial without a swap)."""
+    worth = (F.col("margin") - F.lit(target)) * F.col("gmv")
+    cur = start.select("sku", F.col("gmv").alias("_g"), worth.alias("_v"))
+    c = m.withColumn("_w", worth).join(cur, "sku")
+    best = _argmax(c.where(F.col("gmv") == F.col("_g")), "sku", [F.col("margin"), *[-x for x in row_order]])
+    tie = best.select("sku", F.col("margin").alias("_tie_margin"), (F.col("_w") - F.col("_v")).alias("_gain"),
+                      F.struct(*[F.col(x) for x in m.columns]).alias("_row"))
+    ahead = (c.join(tie.select("sku", "_tie_margin"), "sku").where(F.col("margin") > F.col("_tie_margin"))
+             .groupBy("sku").agg(F.min(F.col("_v") - F.col("_w")).alias("_block")))
+    return tie.where(F.col("_gain") > 0).join(ahead, "sku", "left").select(
+        "sku", "_gain", F.coalesce("_block", F.lit(float("inf"))).alias("_block"), "_row")
+
+
 def price_mask(df: DataFrame, target: float, row_order: list[Column]) -> DataFrame:
-    """GMV-max selection if it meets ``target``; otherwise the max-margin
-    selection per SKU (first row by ``row_order`` on ties). See survey 8.7:
-    a swap can only be accepted on an exact GMV tie, which the max-margin tie
-    rule of the second attempt covers."""
+    """The GMV-max selection if it meets ``target``. Otherwise SKUs are
+    tried in order, each with its candidates by falling margin: the first with
+    which the whole selection meets the target is taken if GMV does not fall.
+    If the target is still missed, the max-margin candidate of every SKU.
+
+    GMV starts at its maximum, so only an exact GMV tie of higher margin can be
+    taken. With slack = sum((margin - target) * gmv), SKU s swaps when its gain
+    makes the slack non-negative and no candidate of higher margin does so
+    before. That scan is sequential by definition, but only SKUs with such a
+    tie take part: they are range-partitioned by SKU, and the ranges are folded
+    one after the other, each in a task of its own that hands on one number."""
     m = candidate_metrics(df)
-    g_first = first_argmax(m, "sku", "gmv", row_order)
-    g, w = totals(g_first)
-    chosen = g_first
+    start = first_argmax(m, "sku", "gmv", row_order)
+    g, w = totals(start)
+    chosen = start
     if wm_of(g, w) < target:
-        g_tie = _argmax(m, "sku", [F.col("gmv"), F.col("margin"), *[-c for c in row_order]])
-        g2, w2 = totals(g_tie)
-        chosen = g_tie if wm_of(g2, w2) >= target else first_argmax(m, "sku", "margin", row_order)
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        swaps = _tie_swaps(m, start, target, row_order).repartitionByRange(n, "sku")
+        swaps = reliable_checkpoint(swaps.withColumn("_range", F.spark_partition_id()))
+        slack, taken = w - target * g, []
+        for (part,) in swaps.select("_range").distinct().orderBy("_range").collect():
+            def fold(batches, slack=slack):
+                now = slack
+                rows = sorted((r for b in batches for r in b[["sku", "_gain", "_block"]].itertuples(index=False)))
+                kept = []
+                for sku, gain, block in rows:
+                    if now + gain >= 0 and now < block:
+                        now += gain
+                        kept.append((sku, now))
+                yield pd.DataFrame(kept, columns=["sku", "slack"])
+
+            here = reliable_checkpoint(swaps.where(F.col("_range") == part).coalesce(1)
+                                       .mapInPandas(fold, f"sku {dict(swaps.dtypes)['sku']}, slack double"))
+            slack = here.agg(F.max("slack")).first()[0] if not here.isEmpty() else slack
+            taken.append(here.select("sku"))
+        if slack >= 0 and taken:
+            accepted = taken[0]
+            for t in taken[1:]:
+                accepted = accepted.unionByName(t)
+            chosen = (start.join(accepted, "sku", "left_anti").select(*m.columns)
+                      .unionByName(swaps.join(accepted, "sku", "left_semi").select("_row.*")))
+        else:
+            chosen = first_argmax(m, "sku", "margin", row_order)
     keys = [c for c in df.columns]
     sel = chosen.select(*keys).withColumn("is_selected", F.lit(True))
     return df.join(sel, keys, "left").withColumn("is_selected", F.coalesce("is_selected", F.lit(False)))

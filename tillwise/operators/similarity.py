@@ -1,24 +1,28 @@
 """Grouping and sequence operators over documents and vectors.
 
 Connected components never emit all pairs of a group: every document links
-to one representative per shared key (a star), and labels propagate by
-iterated min-label joins, checkpointed each round.
+to one representative per shared key (a star), and components come from
+repeated contraction (``functions.components``).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.functions.prefix import ordered_prefix_sums
+from tillwise.functions import cells
+from tillwise.functions.components import components
+from tillwise.functions.prefix import keyed_sequence, ordered_prefix_sums
 from tillwise.session import reliable_checkpoint
 
 
-def shared_line_edges(docs: DataFrame, min_chars: int = 20) -> DataFrame:
-    """Edges doc -> representative (smallest doc id) of every normalised line
-    of at least ``min_chars`` characters that occurs in several documents."""
+def shared_line_edges(docs: DataFrame) -> DataFrame:
+    """Edges doc -> representative (smallest doc id) of every normalised
+    non-empty line that occurs in several documents."""
     lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("doc_id", F.lower(F.trim("line")).alias("line")).where(F.length("line") >= min_chars)
+    lines = lines.select("doc_id", F.lower(F.trim("line")).alias("line")).where(F.length("line") > 0)
     lines = lines.select("doc_id", F.xxhash64("line").alias("h"), "line").distinct()
     rep = lines.groupBy("h", "line").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
     rep = rep.where(F.col("n") > 1)
@@ -26,33 +30,21 @@ def shared_line_edges(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     return e.select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")).distinct()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "doc_id", max_iter: int = 100) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "doc_id") -> DataFrame:
     """Component label = smallest node id reachable (undirected)."""
-    und = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    und = reliable_checkpoint(und.distinct())
-    labels = reliable_checkpoint(nodes.select(F.col(node).alias("v"), F.col(node).alias("label")))
-    for _ in range(max_iter):
-        prop = und.join(labels, und.src == labels.v).select(F.col("dst").alias("v"), "label")
-        new = labels.unionByName(prop).groupBy("v").agg(F.min("label").alias("label"))
-        new = reliable_checkpoint(new)
-        changed = new.join(labels.withColumnRenamed("label", "old"), "v").where(F.col("label") != F.col("old"))
-        if changed.isEmpty():
-            labels = new
-            break
-        labels = new
-    else:
-        raise ValueError("connected components did not converge")
-    return labels.select(F.col("v").alias(node), F.col("label").alias("component"))
+    labels = reliable_checkpoint(components(edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))))
+    least = labels.groupBy("label").agg(F.min("id").alias("component"))
+    found = labels.join(least, "label").select(F.col("id").alias(node), "component")
+    return nodes.select(node).join(found, node, "left").select(node, F.coalesce("component", node).alias("component"))
 
 
 def semantic_chunks(vectors: DataFrame, key: str = "vec_id", vec: str = "embedding", threshold: float = 0.0) -> DataFrame:
     """In key order, start a new chunk where the cosine similarity with
-    the previous vector drops below ``threshold``. The previous vector comes
-    from an equi-join on the preceding key (keys are dense), the chunk id
-    from range-partitioned running counts."""
-    v = vectors.select(F.col(key).alias("k"), F.transform(vec, lambda x: x.cast("double")).alias("v"))
-    prev = v.select((F.col("k") + 1).alias("k"), F.col("v").alias("pv"))
-    j = v.join(prev, "k", "left")
+    the previous vector drops below ``threshold``. Keys may have gaps: the
+    previous row comes from ``keyed_sequence`` over range partitions, the chunk
+    id from range-partitioned running counts."""
+    v = vectors.select(F.lit(0).alias("_all"), F.col(key).alias("k"), F.transform(vec, lambda x: x.cast("double")).alias("v"))
+    j = keyed_sequence(v, "_all", ["k"], ["v"]).withColumnRenamed("prev_v", "pv")
     dot = F.aggregate(F.zip_with("v", "pv", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     na = F.sqrt(F.aggregate(F.transform("v", lambda a: a * a), F.lit(0.0), lambda s, x: s + x))
     nb = F.sqrt(F.aggregate(F.transform("pv", lambda a: a * a), F.lit(0.0), lambda s, x: s + x))
@@ -80,28 +72,52 @@ def minhash_signatures(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
 
 def match_items(docs: DataFrame, text: str = "text", key: str = "doc_id", bands: int = 16, rows: int = 4,
-                seed: int = 42) -> DataFrame:
-    """Near-duplicate candidates by MinHash LSH. Documents sharing a band
-    bucket are linked to the bucket's smallest document (a star, never all
-    pairs of the bucket); each link carries the signature-agreement estimate
-    of the Jaccard similarity."""
-    sig = minhash_signatures(docs, text, key, num_hashes=bands * rows, seed=seed)
-    sig = reliable_checkpoint(sig)
-    b = sig.select("doc", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
-                                                   lambda i: F.xxhash64(i, F.slice("sig", i * rows + 1, rows))))
-                   .alias("band", "bucket"))
-    rep = b.groupBy("band", "bucket").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    edges = b.join(rep, ["band", "bucket"]).where(F.col("doc") != F.col("rep")).select("doc", "rep").distinct()
-    s2 = sig.select(F.col("doc").alias("rep"), F.col("sig").alias("rsig"))
-    e = edges.join(sig, "doc").join(s2, "rep")
-    agree = F.aggregate(F.zip_with("sig", "rsig", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0),
-                        lambda a, v: a + v)
-    return e.select(F.col("doc").alias(key), F.col("rep").alias("match_id"),
-                    (agree / F.lit(float(bands * rows))).alias("est_jaccard"))
+                seed: int = 42, min_jaccard: float = 0.8, block: int = 2048) -> DataFrame:
+    """Near-duplicate links by MinHash LSH: (key, match_id, est_jaccard).
+
+    Documents with equal signatures are one class, linked to its smallest
+    document. Classes that share a band bucket are all compared, in bounded
+    cells (``functions.cells``); what a cell returns are the links of a spanning
+    forest over its pairs of at least ``min_jaccard``, each with its estimate.
+    So documents connected by such links come out connected, and no bucket
+    emits all its pairs."""
+    sig = reliable_checkpoint(minhash_signatures(docs, text, key, num_hashes=bands * rows, seed=seed))
+    classes = reliable_checkpoint(sig.groupBy("sig").agg(F.min("doc").alias("rep")))
+    equal = sig.join(classes, "sig").where(F.col("doc") != F.col("rep")).select(
+        F.col("doc").alias(key), F.col("rep").alias("match_id"), F.lit(1.0).alias("est_jaccard"))
+    b = classes.select("rep", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
+                                                    lambda i: F.xxhash64(i, F.slice("sig", i * rows + 1, rows)))).alias("bucket"))
+    full = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    dealt = cells.deal(b.join(full, "bucket"), "bucket", "rep", block).select("bucket", "lo", "hi", "rep")
+    members = cells.gathered(dealt.join(classes, "rep"), "bucket")
+
+    def forest(batches):
+        for table, bounds in cells.runs(batches, ["bucket", "lo", "hi"]):
+            ids, out = table.column("rep").to_numpy(), ([], [], [])
+            flat = table.column("sig").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                left = np.arange(lo, hi)
+                while left.size > 1:
+                    stack, left = [left[0]], left[1:]
+                    while stack and left.size:
+                        at = stack.pop()
+                        share = (flat[left] == flat[at]).mean(axis=1)
+                        hit = share >= min_jaccard
+                        stack += left[hit].tolist()
+                        out[0].extend(ids[left[hit]].tolist())
+                        out[1].extend([int(ids[at])] * int(hit.sum()))
+                        out[2].extend(share[hit].tolist())
+                        left = left[~hit]
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())],
+                                             names=[key, "match_id", "est_jaccard"])
+
+    close = members.select("bucket", "lo", "hi", F.col("rep").cast("long").alias("rep"), "sig").mapInArrow(
+        forest, f"{key} long, match_id long, est_jaccard double")
+    return equal.unionByName(close.distinct())
 
 
 def near_duplicate_groups(docs: DataFrame, min_jaccard: float = 0.8, key: str = "doc_id") -> DataFrame:
-    """T18 -> T19: components of the near-duplicate links above ``min_jaccard``."""
-    m = match_items(docs, key=key).where(F.col("est_jaccard") >= min_jaccard)
+    """T18 -> T19: components of the near-duplicate links."""
+    m = match_items(docs, key=key, min_jaccard=min_jaccard)
     edges = m.select(F.col(key).alias("src"), F.col("match_id").alias("dst"))
     return connected_components(docs.select(key), edges, key)

@@ -62,12 +62,11 @@ def prices_from_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     return p.withColumn("price", F.regexp_replace("raw", ",", ".").cast("double"))
 
 
-def suggest_prefix(word_table: DataFrame, k: int = 5, max_prefix: int | None = None) -> DataFrame:
+def suggest_prefix(word_table: DataFrame, k: int = 5) -> DataFrame:
     """For every prefix of every word, the ``k`` most frequent
     completions (count desc, word asc). Hot prefixes are ranked through the
     salted two-stage top-k, not in one task."""
-    n = F.length("word") if max_prefix is None else F.least(F.length("word"), F.lit(max_prefix))
-    pre = word_table.select("word", "n", F.explode(F.sequence(F.lit(1), n)).alias("len"))
+    pre = word_table.where(F.length("word") > 0).select("word", "n", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("len"))
     pre = pre.select(F.expr("substring(word, 1, len)").alias("prefix"), "word", "n")
     return top_k_per_group(pre, ["prefix"], [F.col("n").desc(), F.col("word").asc()], k)
 

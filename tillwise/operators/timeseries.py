@@ -110,7 +110,7 @@ def extract_sales(orders: DataFrame) -> DataFrame:
     """
     sales = orders.groupBy(F.to_date("ts").alias("day"), "sku_id", "sku", "price").agg(
         F.sum("qty").alias("qty"))
-    lo, hi = day_bounds(sales)
+    lo, hi = day_bounds(orders.select(F.to_date("ts").alias("day")))
     ids = sales.select("sku_id").distinct()
     grid = dense_calendar(ids, lo, hi)
     g = grid.join(sales, ["day", "sku_id"], "left")
@@ -135,8 +135,9 @@ def demand_grid(orders: DataFrame, status: DataFrame) -> DataFrame:
     The day x sku product is built as a per-key calendar (generator) reduced
     to the observed days by a semi join, so no cartesian join is planned.
     """
-    days = orders.select(F.to_date("ts").alias("day")).distinct()
-    lo, hi = day_bounds(days)
+    every = orders.select(F.to_date("ts").alias("day"))
+    days = every.distinct()
+    lo, hi = day_bounds(every)
     skus = orders.select("sku_id", "sku", "price").distinct()
     grid = dense_calendar(skus, lo, hi).join(days, "day", "left_semi")
     sales = daily_qty(valid_orders(orders, status)).withColumnRenamed("qty", "total_qty")
@@ -145,34 +146,40 @@ def demand_grid(orders: DataFrame, status: DataFrame) -> DataFrame:
                     F.coalesce("total_qty", F.lit(0)).alias("qty")).orderBy("sku_id", "day")
 
 
+def _strict(df: DataFrame, order: str) -> list[str]:
+    """The window order; with several prices a day, rows of a day go by price."""
+    return [order, "price"] if "price" in df.columns and order != "price" else [order]
+
+
 def add_rolling_features(df: DataFrame, features: dict | None = None, key: str = "sku_id",
                          order: str = "day", min_periods: str = "one") -> DataFrame:
     """Rolling mean / linear-interpolated quantile over the last N rows
     (current row included). ``min_periods='one'`` (features.py) or
     ``'window'`` (feature_engineering.py: NULL until N rows exist)."""
     features = features or DEFAULT_FEATURES
+    by = _strict(df, order)
     out = df
     # integral columns without NULLs get running totals for the means
     integral = {f.name for f in df.schema.fields if not f.nullable and
                 isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))}
     for col in sorted({c for c, n, a, q in features.values() if a == "avg"} & integral):
         out = out.withColumn(f"_cum_{col}", F.sum(F.col(col)).over(
-            Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+            Window.partitionBy(key).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)))
     # one sorted window array per (column, size) serves every quantile of it;
     # Spark's windowed ``percentile`` would rebuild a value map per feature
     arrays = {}
     for name, (col, n, agg, q) in features.items():
         if agg == "quantile" and (col, n) not in arrays:
-            w = Window.partitionBy(key).orderBy(order).rowsBetween(-(n - 1), 0)
+            w = Window.partitionBy(key).orderBy(*by).rowsBetween(-(n - 1), 0)
             arr = f"_win_{col}_{n}"
             out = out.withColumn(arr, F.array_sort(F.collect_list(F.col(col).cast("double")).over(w)))
             arrays[(col, n)] = arr
     for name, (col, n, agg, q) in features.items():
-        w = Window.partitionBy(key).orderBy(order).rowsBetween(-(n - 1), 0)
+        w = Window.partitionBy(key).orderBy(*by).rowsBetween(-(n - 1), 0)
         if agg == "avg" and col in integral:
             # exact integer trailing sum from the running total; rows seen so
             # far from the row number (the dense panel has no NULLs)
-            base = Window.partitionBy(key).orderBy(order)
+            base = Window.partitionBy(key).orderBy(*by)
             cum = F.col(f"_cum_{col}")
             total = cum - F.coalesce(F.lag(cum, n).over(base), F.lit(0))
             cnt = F.least(F.row_number().over(base), F.lit(n))
@@ -200,7 +207,7 @@ def add_targets(df: DataFrame, targets: dict | None = None, key: str = "sku_id",
     E6 (``as_coded``): ``shift(-1).rolling(N).sum()`` = rows t-N+2 .. t+1,
     NULL unless rows t-N+1 .. t+1 all exist."""
     targets = targets or DEFAULT_TARGETS
-    base = Window.partitionBy(key).orderBy(order)
+    base = Window.partitionBy(key).orderBy(*_strict(df, order))
     out = df
     integral = {f.name for f in df.schema.fields if not f.nullable and
                 isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))}

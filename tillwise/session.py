@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files go once nothing refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -44,8 +46,9 @@ def get_session(master: str | None = None, app: str = "tillwise",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local tests) a private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session. Only a local session
+    that has none (tests) gets a private folder; elsewhere a missing setting is
+    an error, as executors would write to separate disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -55,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not conf_dir:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tillwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
