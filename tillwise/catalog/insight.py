@@ -47,6 +47,36 @@ def q_ab_ttest(spark, sf_dir):
     return ex.welch_ttest(e, "value", "arm", ["event_type"])
 
 
+def _u_of(seed, *keys: str) -> str:
+    parts = ", ".join(f"cast({k} as varchar)" for k in keys)
+    return (f"(cast(cast('0x' || substr(md5(concat_ws('-', '{seed}', {parts})), 1, 8) as bigint)"
+            f" as double) / cast(4294967296 as double))")
+
+
+@query("quantile_test",
+       sql=f"""with e as (select event_id, value as v, {_arm('ab', 'user_id', ['A', 'B'])} as arm from events where value is not null),
+               ranked as (select arm, v, row_number() over (partition by arm order by v, event_id) as rank from e),
+               plan as (select arm, q, count(*) as n from e, (values (0.5), (0.9)) as t(q) group by all),
+               draws as (select arm, cast(q as double) as q, n, b, (n + 1) * cast(q as double) as mean,
+                                sqrt((n + 1) * cast(q as double) * (1 - cast(q as double))) as spread
+                         from plan, range(-1, 1000) as r(b)),
+               picks as (select arm, q, b, least(greatest(cast(round(case when b < 0 then mean else mean + spread
+                                * sqrt(-2.0 * ln(greatest({_u_of(42, 'arm', 'q', 'b', '1')}, 1e-12)))
+                                * cos(6.283185307179586 * {_u_of(42, 'arm', 'q', 'b', '2')}) end) as bigint), 1), n) as rank from draws),
+               per as (select q, b, max(v) filter (where arm = 'A') as va, max(v) filter (where arm = 'B') as vb
+                       from picks join ranked using (arm, rank) group by all)
+               select q as quantile, max(va) filter (where b < 0) as value_a, max(vb) filter (where b < 0) as value_b,
+                      max(vb - va) filter (where b < 0) as difference,
+                      quantile_cont(vb - va, 0.025) filter (where b >= 0) as ci_lower,
+                      quantile_cont(vb - va, 0.975) filter (where b >= 0) as ci_upper
+               from per group by q""",
+       doubles=("quantile", "value_a", "value_b", "difference", "ci_lower", "ci_upper"))
+def q_quantile_test(spark, sf_dir):
+    """Median and 90 % quantile of event values between two arms."""
+    e = _events(spark, sf_dir).withColumn("arm", ex.assign_arm(F.col("user_id"), "ab", ["A", "B"]))
+    return ex.quantile_test(e, "value", "arm", "event_id", [0.5, 0.9])
+
+
 @query("ab_sample_size",
        sql=f"""select event_type, avg(value) as mean, var_samp(value) as variance, count(value) as n,
                       ceil({2 * (ex.Z_975 + ex.Z_80) ** 2!r} * var_samp(value)

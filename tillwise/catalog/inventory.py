@@ -81,6 +81,16 @@ def q_restock_lp(spark, sf_dir):
     return alloc
 
 
+@query("restock_lp_bounds", sql="select true as within_budget, true as below_dual_bound, true as near_dual_bound")
+def q_restock_lp_bounds(spark, sf_dir):
+    """The plan keeps the budget, its value is below the dual bound, and
+    by no more than 1 % of it."""
+    _, info = inv.restock_lagrangian(inv.restock_scores(fx_restock(spark, sf_dir), WEEKS), BUDGET, "profit")
+    scale = max(abs(info["dual_bound"]), 1.0)
+    return spark.createDataFrame([(info["spent"] <= BUDGET * (1 + 1e-9), info["value"] <= info["dual_bound"] + 1e-6 * scale,
+                                   info["gap"] <= 0.01 * scale)], "within_budget boolean, below_dual_bound boolean, near_dual_bound boolean")
+
+
 @query("validate_restock",
        sql="""with p as (select sku_id, first(price) as price, first(cost) as cost,
                                first(current_stock) as current_stock, first(storage_time) as storage_time,

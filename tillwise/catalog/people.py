@@ -48,6 +48,17 @@ def q_approx_distinct_wau(spark, sf_dir):
     return act.approx_rolling_active_users(fx_activity(spark, sf_dir))
 
 
+@query("approx_distinct_wau_error", sql=f"with {WAU_SQL} select day, wau, true as within_5_percent from wau", strings=("day",))
+def q_approx_distinct_wau_error(spark, sf_dir):
+    """D14 held against the exact count: within 5 % (or one user) every day."""
+    est = act.approx_rolling_active_users(fx_activity(spark, sf_dir))
+    name = [c for c in est.columns if c != "day"][-1]
+    exact = act.rolling_active_users(fx_activity(spark, sf_dir)).select("day", "wau")
+    near = F.abs(F.col("_est") - F.col("wau")) <= F.greatest(F.lit(1.0), F.col("wau") * 0.05)
+    return exact.join(est.select("day", F.col(name).alias("_est")), "day", "left").select(
+        "day", "wau", (near | F.col("_est").isNull() & (F.col("wau") == 0)).alias("within_5_percent"))
+
+
 # every employee walks up to the root: the walk's length is the level, and the
 # walks that pass an employee are that employee's team
 ORG_SQL = """

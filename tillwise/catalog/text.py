@@ -101,3 +101,53 @@ def q_ocr_error_rate(spark, sf_dir):
     pairs = s.where(F.col("prev_text").isNotNull()).select(
         "conv_id", F.col("prev_turn").alias("turn"), F.col("prev_text").alias("ref"), F.col("text").alias("hyp"))
     return tx.char_error_rate(pairs).select("conv_id", "turn", "edits", "cer")
+
+
+BM25_TERMS = ["the", "license", "idiot", "ention", "que"]
+#: BM25 from counts per (document, word): k1 = 1.2, b = 0.75
+BM25_SQL = f"""
+doc as (select doc_id, {TOK.format(t="text")} as w from documents),
+size as (select doc_id, cast(len(w) as double) as dl from doc),
+whole as (select count(*) as n, avg(dl) as avg_dl from size),
+tf as (select doc_id, u.w as word, cast(count(*) as double) as tf from doc, unnest(doc.w) as u(w) group by all),
+df as (select word, cast(count(*) as double) as df from tf group by word),
+part as (select tf.doc_id, tf.word, ln(1.0 + (whole.n - df.df + 0.5) / (df.df + 0.5)) * tf.tf * 2.2
+                / (tf.tf + 1.2 * (0.25 + 0.75 * size.dl / whole.avg_dl)) as part
+         from whole, tf join df on df.word = tf.word join size on size.doc_id = tf.doc_id)"""
+
+
+@query("bm25", sql=f"""with {BM25_SQL} select doc_id, sum(part) as score from part
+                       where word in ({", ".join(repr(t) for t in BM25_TERMS)}) group by doc_id""", doubles=("score",))
+def q_bm25(spark, sf_dir):
+    """BM25 of a fixed list of terms over all documents."""
+    return tx.bm25(read_table(spark, sf_dir, "documents"), BM25_TERMS)
+
+
+RETRIEVE_SQL = f"""with {BM25_SQL},
+asked as (select distinct item_id, u.w as word from benchmark, unnest({TOK.format(t="text")}) as u(w)),
+score as (select item_id, doc_id, round(sum(part), 6) as score from part join asked on asked.word = part.word group by all),
+best as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from score qualify rank <= 10)"""
+
+
+@query("retrieve_topk", sql=RETRIEVE_SQL + " select * from best", doubles=("score",), longs=("rank",))
+def q_retrieve_topk(spark, sf_dir):
+    """The ten best documents for every benchmark item."""
+    return tx.retrieve_topk(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), "item_id", 10)
+
+
+@query("retrieve_eval",
+       sql=RETRIEVE_SQL + """, j as (select item_id, rank, score, case when contains(d.text, b.text) then 1 else 0 end as hit
+                                     from best join documents d using (doc_id) join benchmark b using (item_id)),
+            i as (select *, row_number() over (partition by item_id order by hit desc, rank) as ideal from j)
+            select item_id, sum(hit) as hits, case when sum(hit) > 0 then sum(hit / log2(rank + 1.0)) / sum(hit / log2(ideal + 1.0)) end as ndcg_at_10
+            from i group by item_id""",
+       doubles=("ndcg_at_10",), longs=("hits",))
+def q_retrieve_eval(spark, sf_dir):
+    """T45 scored with T16: a retrieved document is relevant if it holds the item's whole text."""
+    from tillwise.operators.metrics import ranking_metrics
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    best = tx.retrieve_topk(docs, items, "item_id", 10)
+    j = best.join(docs.select("doc_id", "text"), "doc_id").join(items.select("item_id", F.col("text").alias("item")), "item_id")
+    j = j.select("item_id", "doc_id", "score", F.col("text").contains(F.col("item")).cast("int").alias("hit"), (-F.col("rank")).alias("order"))
+    m = ranking_metrics(j, "item_id", "order", "hit", "doc_id", 10)
+    return m.select("item_id", F.col("relevant").cast("long").alias("hits"), "ndcg_at_10")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.numeric import md5_uniform  # noqa: F401 (re-exported)
 from tillwise.functions.prefix import ordered_prefix_sums
+from tillwise.session import reliable_checkpoint
 
 
 def bootstrap_mean_ci(df: DataFrame, value: str, base: str | None = None, n_boot: int = 1000,
@@ -54,6 +55,45 @@ def bootstrap_mean_ci(df: DataFrame, value: str, base: str | None = None, n_boot
     return merged.select(*cols)
 
 
+def quantile_test(df: DataFrame, value: str, arm: str, key: str, quantiles: list[float], a: str = "A", b: str = "B",
+                  n_boot: int = 1000, confidence: float = 0.95, seed: int = 42) -> DataFrame:
+    """Difference of quantiles between two arms with a bootstrap interval,
+    one row per quantile, without drawing samples: the p-quantile of a resample
+    of n sorted rows is the row whose rank is Binomial(n + 1, p), here by its
+    normal approximation with md5 uniforms (Box-Muller). So a replicate needs
+    one rank per arm and quantile, looked up in one range-partitioned order of
+    the rows: one sort whatever the number of replicates."""
+    rows = df.where(F.col(arm).isin(a, b) & F.col(value).isNotNull()).select(F.col(arm).alias("arm"), F.col(value).cast("double").alias("v"), F.col(key).alias("k"))
+    sizes = {r["arm"]: r["n"] for r in rows.groupBy("arm").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if set(sizes) != {a, b}:
+        raise ValueError("both arms need rows")
+    spark = df.sparkSession
+    ranked = ordered_prefix_sums(rows, [F.col("arm"), F.col("v"), F.col("k")], {}, row_number="rank")
+    first, second = sorted((a, b))
+    start = F.when(F.col("arm") == second, F.lit(sizes[first])).otherwise(F.lit(0))
+    ranked = reliable_checkpoint(ranked.select("arm", "v", (F.col("rank") - start).alias("rank")))
+    plan = spark.createDataFrame([(x, float(q), int(sizes[x])) for x in (a, b) for q in quantiles], "arm string, q double, n long")
+    u1 = F.greatest(md5_uniform(seed, F.col("arm"), F.col("q").cast("string"), F.col("b"), F.lit(1)), F.lit(1e-12))
+    u2 = md5_uniform(seed, F.col("arm"), F.col("q").cast("string"), F.col("b"), F.lit(2))
+    z = F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(6.283185307179586) * u2)
+    mean, spread = (F.col("n") + 1) * F.col("q"), F.sqrt((F.col("n") + 1) * F.col("q") * (1 - F.col("q")))
+
+    def at(rank):
+        return F.least(F.greatest(F.round(rank).cast("long"), F.lit(1)), F.col("n"))
+
+    # replicate -1 is the sample itself
+    draws = plan.select("*", F.explode(F.sequence(F.lit(-1), F.lit(n_boot - 1))).alias("b"))
+    draws = draws.select("arm", "q", "b", F.when(F.col("b") < 0, at(mean)).otherwise(at(mean + spread * z)).alias("rank"))
+    per = draws.join(ranked, ["arm", "rank"]).groupBy("q", "b").agg(
+        F.max(F.when(F.col("arm") == a, F.col("v"))).alias("va"), F.max(F.when(F.col("arm") == b, F.col("v"))).alias("vb"))
+    lo, hi = (1 - confidence) / 2, 1 - (1 - confidence) / 2
+    boot, diff = F.col("b") >= 0, F.col("vb") - F.col("va")
+    out = per.groupBy("q").agg(F.max(F.when(~boot, F.col("va"))).alias("value_a"), F.max(F.when(~boot, F.col("vb"))).alias("value_b"),
+                               F.percentile(F.when(boot, diff), [lo, hi]).alias("ci"))
+    return out.select(F.col("q").alias("quantile"), "value_a", "value_b", (F.col("value_b") - F.col("value_a")).alias("difference"),
+                      F.col("ci")[0].alias("ci_lower"), F.col("ci")[1].alias("ci_upper"))
+
+
 # ------------------------------------------------------------- experiments
 Z_975 = 1.959963984540054
 Z_80 = 0.8416212335729143

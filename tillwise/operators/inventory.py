@@ -12,7 +12,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,87 +88,89 @@ def first_choice(scores: DataFrame, goal: str) -> DataFrame:
     return g.select("_r.*")
 
 
-def restock_greedy(scores: DataFrame, budget: float, goal: str = "profit",
-                   driver_tail: int = 2000) -> DataFrame:
-    """Greedy budget allocation in (score desc, sku asc) order.
+def _buy_in_order(cand: DataFrame, budget: float, order: str) -> DataFrame:
+    """Rows of ``cand`` (cost, demand_to_buy, ...) with ``allocated_qty`` > 0:
+    in falling ``order`` (then sku_id) each gets ``min(demand, floor(left / cost))``.
 
-    Round: running sum of full costs; every row whose running sum fits gets
-    its full demand; the first row that does not fit gets
-    ``floor(remaining / cost)`` units (or is skipped when that is 0). Rows
-    after it that cost more than what is left can never be funded and are
-    dropped; the rest go to the next round. When at most ``driver_tail``
-    candidate rows remain, they are finished in order on the driver
-    (``toLocalIterator``, exact, bounded by that count).
+    Phases, each at least halving what is left. With R left, a row of cost up
+    to R/2 is always affordable until R/2 is spent, and a dearer row, once one
+    can be afforded, brings the rest below R/2. So a phase ends at the first
+    row where the running sum of full small purchases reaches R/2 or a dear row
+    is affordable; all small rows before it are bought in full, all dear ones
+    before it skipped. There are at most log2(budget / smallest cost) phases of
+    two aggregations each over one range-partitioned, checkpointed table, at
+    every size; the result is one pass over it.
     """
+    spark = cand.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col("_key"), F.col("sku_id")]
+    base = cand.withColumn("_key", -F.col(order)).where((F.col("cost") > 0) & (F.col("demand_to_buy") > 0))
+    base = reliable_checkpoint(base.repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()))
+    full = F.col("cost") * F.col("demand_to_buy")
+    left, after, phases, last = float(budget), None, F.lit(False), []
+    while left > 0:
+        behind = F.lit(True) if after is None else (F.col("_key") > after[0]) | ((F.col("_key") == after[0]) & (F.col("sku_id") > after[1]))
+        live = base.where(behind & (F.col("cost") <= left))
+        small = F.col("cost") <= left / 2
+        spent = live.groupBy("_range").agg(F.sum(F.when(small, full).otherwise(0.0)).alias("s"))
+        before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+        offsets = spent.select("_range", F.coalesce(F.sum("s").over(before), F.lit(0.0)).alias("_before"))
+        run = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+        so_far = F.col("_before") + F.sum(F.when(small, full).otherwise(0.0)).over(run)
+        seen = live.join(F.broadcast(offsets), "_range").withColumn("_so_far", so_far)
+        stops = F.when(small, F.col("_so_far") >= left / 2).otherwise(F.col("cost") <= left - F.col("_so_far"))
+        stop = seen.where(stops).agg(F.min(F.struct("_key", "sku_id", "cost", "demand_to_buy", "_so_far")).alias("r")).first()["r"]
+        inside = behind & (F.col("cost") <= left / 2)
+        if stop is None:
+            phases = phases | inside
+            break
+        ahead = (F.col("_key") < stop["_key"]) | ((F.col("_key") == stop["_key"]) & (F.col("sku_id") < stop["sku_id"]))
+        phases = phases | (inside & ahead)
+        cost, demand = stop["cost"], stop["demand_to_buy"]
+        left -= stop["_so_far"] - (cost * demand if cost <= left / 2 else 0.0)
+        qty = min(demand, math.floor(left / cost))
+        if qty > 0:
+            last.append((stop["sku_id"], float(qty)))
+            left -= qty * cost
+        after = (stop["_key"], stop["sku_id"])
+    parts = F.lit(None).cast("double")
+    for sku, qty in last:
+        parts = F.when(F.col("sku_id") == sku, F.lit(qty)).otherwise(parts)
+    qty = F.when(phases, F.col("demand_to_buy").cast("double")).otherwise(parts)
+    return base.withColumn("allocated_qty", qty).where(F.col("allocated_qty") > 0).drop("_key", "_range")
+
+
+def restock_greedy(scores: DataFrame, budget: float, goal: str = "profit") -> DataFrame:
+    """Greedy budget allocation in (score desc, sku asc) order; see
+    ``_buy_in_order``."""
     score = f"{goal}_score"
     cand = first_choice(scores, goal).select("sku_id", "percentile", "price", "cost", "demand_to_buy",
                                              F.col(score).alias("score"))
-    cand = reliable_checkpoint(cand)
-    spark = scores.sparkSession
-    remaining = float(budget)
-    allocated: list[DataFrame] = []
-    tail_rows: list[tuple] = []
-    order = [F.col("score").desc(), F.col("sku_id").asc()]
-    while remaining > 0:
-        cand = cand.where(F.col("cost") <= F.lit(remaining))
-        n = cand.count()
-        if n == 0:
-            break
-        if n <= driver_tail:
-            for r in cand.orderBy(*order).toLocalIterator():
-                if remaining <= 0:
-                    break
-                afford = math.floor(remaining / r["cost"])
-                if afford <= 0:
-                    continue
-                qty = min(r["demand_to_buy"], afford)
-                remaining -= qty * r["cost"]
-                tail_rows.append((r["sku_id"], r["percentile"], r["price"], r["cost"], float(qty)))
-            break
-        cum = ordered_prefix_sums(cand, order, {"_cum": F.col("demand_to_buy") * F.col("cost")},
-                                  row_number="_rank")
-        cum = reliable_checkpoint(cum)
-        first_over = cum.where(F.col("_cum") > F.lit(remaining)).agg(F.min("_rank")).first()[0]
-        if first_over is None:  # everything fits
-            allocated.append(cum.select("sku_id", "percentile", "price", "cost",
-                                        F.col("demand_to_buy").cast("double").alias("allocated_qty")))
-            break
-        full = cum.where(F.col("_rank") < first_over)
-        allocated.append(full.select("sku_id", "percentile", "price", "cost",
-                                     F.col("demand_to_buy").cast("double").alias("allocated_qty")))
-        k = cum.where(F.col("_rank") == first_over).first()
-        spent = (k["_cum"] - k["demand_to_buy"] * k["cost"])
-        remaining -= spent
-        afford = math.floor(remaining / k["cost"])
-        if afford > 0:
-            qty = min(k["demand_to_buy"], afford)
-            remaining -= qty * k["cost"]
-            tail_rows.append((k["sku_id"], k["percentile"], k["price"], k["cost"], float(qty)))
-        cand = cum.where(F.col("_rank") > first_over).select(*cand.columns)
-    schema = "sku_id long, percentile long, price double, cost double, allocated_qty double"
-    out = spark.createDataFrame(tail_rows, schema)
-    for a in allocated:
-        out = out.unionByName(a.select(F.col("sku_id").cast("long"), F.col("percentile").cast("long"),
-                                       "price", "cost", "allocated_qty"))
+    out = _buy_in_order(cand, budget, "score").select(
+        F.col("sku_id").cast("long"), F.col("percentile").cast("long"), "price", "cost", "allocated_qty")
     out = out.select("*", (F.col("allocated_qty") * F.col("cost")).alias("allocated_budget"),
                      (F.col("allocated_qty") * (F.col("price") - F.col("cost"))).alias("expected_profit"),
                      (F.col("allocated_qty") * F.col("price")).alias("expected_revenue"))
     return out.orderBy(F.col("allocated_budget").desc(), F.col("sku_id").asc())
 
 
-def restock_lagrangian(scores: DataFrame, budget: float, goal: str = "profit", iters: int = 40) -> tuple:
+def restock_lagrangian(scores: DataFrame, budget: float, goal: str = "profit", precision: float = 1e-9) -> tuple:
     """M21 (re-aimed): the integer programme max Σ score·qty, Σ cost·qty <=
     budget, one percentile per SKU, qty <= demand, solved by a Lagrangian
     price λ on the budget: per SKU pick the percentile maximising
     (score − λ·cost)·demand (one aggregation per λ, on a checkpointed table),
-    bisect λ, then fill the marginal SKU with the floor of what is left.
-
-    Returns (allocation DataFrame, info dict with value, dual bound, gap).
-    Scores are rounded to 4 decimals like the reference model.
+    bisect λ to a relative ``precision``, then spend what is left on the SKUs
+    that the λ just below would add, by falling score per cost, in full or in
+    part, until none of them is affordable.
+
+    λ starts between 0 and the largest score / cost, at which nothing is worth
+    buying, so the upper end always keeps the budget. Returns (allocation
+    DataFrame, info dict with value, dual bound, gap). Scores are rounded to 4
+    decimals like the reference model.
     """
     score = half_even(F.col(f"{goal}_score"), 4)
     base = reliable_checkpoint(scores.select("sku_id", "percentile", "price", "cost", "demand_to_buy",
-                                             score.alias("s")))
+                                             score.alias("s")).where("cost > 0"))
 
     def pick(lam: float) -> DataFrame:
         gain = (F.col("s") - F.lit(lam) * F.col("cost")) * F.col("demand_to_buy")
@@ -181,33 +183,24 @@ def restock_lagrangian(scores: DataFrame, budget: float, goal: str = "profit", i
         v = pick(lam).agg(F.sum(F.col("cost") * F.col("demand_to_buy"))).first()[0]
         return float(v or 0.0)
 
-    lo, hi = 0.0, 1.0
+    lo, hi = 0.0, float(base.agg(F.max(F.col("s") / F.col("cost"))).first()[0] or 0.0)
     if spend(0.0) <= budget:
         hi = 0.0
-    else:
-        while spend(hi) > budget and hi < 1e12:
-            hi *= 4
-        for _ in range(iters):
-            mid = (lo + hi) / 2
-            if spend(mid) > budget:
-                lo = mid
-            else:
-                hi = mid
+    top = hi
+    while hi - lo > precision * top:
+        mid = (lo + hi) / 2
+        if spend(mid) > budget:
+            lo = mid
+        else:
+            hi = mid
     chosen = pick(hi)
     used = spend(hi)
-    left = budget - used
-    # marginal SKU: best remaining candidate at the lower multiplier, floor-filled
-    extra = pick(lo).join(chosen.select("sku_id"), "sku_id", "left_anti")
-    extra = extra.where(F.col("cost") <= F.lit(max(left, 0.0))).orderBy(
-        (F.col("s") / F.col("cost")).desc(), F.col("sku_id")).limit(1)
-    e = extra.first()
-    alloc = chosen.select("sku_id", "percentile", "price", "cost", F.col("demand_to_buy").cast("double").alias("qty"),
-                          "s")
-    if e is not None:
-        q = float(min(e["demand_to_buy"], math.floor(left / e["cost"])))
-        if q > 0:
-            alloc = alloc.unionByName(scores.sparkSession.createDataFrame(
-                [(e["sku_id"], e["percentile"], e["price"], e["cost"], q, e["s"])], alloc.schema))
+    extra = pick(lo).join(chosen.select("sku_id"), "sku_id", "left_anti").withColumn("_worth", F.col("s") / F.col("cost"))
+    more = _buy_in_order(extra, max(budget - used, 0.0), "_worth")
+    cols = ["sku_id", "percentile", "price", "cost", "qty", "s"]
+    alloc = reliable_checkpoint(
+        chosen.withColumn("qty", F.col("demand_to_buy").cast("double")).select(*cols)
+        .unionByName(more.withColumn("qty", F.col("allocated_qty")).select(*cols)))
     val = alloc.agg(F.sum(F.col("s") * F.col("qty")).alias("v"), F.sum(F.col("cost") * F.col("qty")).alias("c")).first()
     dual = pick(hi).agg(F.sum((F.col("s") - F.lit(hi) * F.col("cost")) * F.col("demand_to_buy"))).first()[0] or 0.0
     bound = float(dual) + hi * budget
@@ -223,45 +216,43 @@ DELIVERY_OUT = T.StructType([
 
 
 def _reachable(lo: int, hi: int, sizes: list[int]) -> np.ndarray:
-    """Totals in [0, hi] reachable as non-negative combinations of sizes."""
+    """Totals in [0, hi] reachable as non-negative combinations of sizes:
+    per size, along each residue class, whatever follows a reachable total."""
     ok = np.zeros(hi + 1, dtype=bool)
     ok[0] = True
     for s in sizes:
-        if s <= 0:
-            continue
-        for v in range(s, hi + 1):
-            if ok[v - s]:
-                ok[v] = True
+        if 0 < s <= hi:
+            padded = np.zeros(-(-(hi + 1) // s) * s, dtype=bool)
+            padded[:hi + 1] = ok
+            ok = np.logical_or.accumulate(padded.reshape(-1, s), axis=0).ravel()[:hi + 1]
     ok[:max(lo, 0)] = False
     return ok
 
 
 def _deliver(pdf: pd.DataFrame) -> pd.DataFrame:
     """One product: choose a reachable total per marketplace inside
-    [min, max] maximising the sum under the stock cap (exact DP)."""
+    [min, max] maximising the sum under the stock cap. Per marketplace the
+    totals so far are one boolean array; which total each came from is found
+    backwards, so memory is marketplaces x stock bits."""
     pdf = pdf.sort_values("marketplace")
-    stock = int(pdf["stock"].iloc[0])
-    sizes = [int(pdf["small"].iloc[0]), int(pdf["middle"].iloc[0]), int(pdf["large"].iloc[0])]
-    best = {0: []}  # total -> chosen units per marketplace so far
-    for _, r in pdf.iterrows():
-        lo, hi = int(r["min_demand"]), int(min(r["max_demand"], stock))
-        opts = np.nonzero(_reachable(lo, hi, sizes))[0] if hi >= lo else []
-        nxt = {}
-        for tot, picks in best.items():
-            for u in opts:
-                t = tot + int(u)
-                if t <= stock and t not in nxt:
-                    nxt[t] = picks + [int(u)]
-        best = nxt
-        if not best:
-            break
-    prod = int(pdf["product"].iloc[0])
-    if not best:
-        return pd.DataFrame({"product": [prod] * len(pdf), "marketplace": pdf["marketplace"].tolist(),
-                             "units": [0] * len(pdf), "status": ["infeasible"] * len(pdf)})
-    top = max(best)
-    return pd.DataFrame({"product": [prod] * len(pdf), "marketplace": pdf["marketplace"].tolist(),
-                         "units": best[top], "status": ["optimal"] * len(pdf)})
+    product, stock = int(pdf["product"].iloc[0]), int(pdf["stock"].iloc[0])
+    sizes = [int(pdf[c].iloc[0]) for c in ("small", "middle", "large")]
+    steps, options = [np.arange(stock + 1) == 0], []
+    for lo, hi in zip(pdf["min_demand"].astype(int), pdf["max_demand"].astype(int).clip(upper=stock)):
+        units = np.flatnonzero(_reachable(lo, hi, sizes)) if hi >= lo else np.zeros(0, dtype=int)
+        reach = np.zeros(stock + 1, dtype=bool)
+        for u in units:
+            reach[u:] |= steps[-1][:stock + 1 - u]
+        options.append(units)
+        steps.append(reach)
+    chosen, status = np.zeros(len(options), dtype=int), "infeasible"
+    if steps[-1].any():
+        status, total = "optimal", int(np.flatnonzero(steps[-1])[-1])
+        for k in range(len(options) - 1, -1, -1):
+            fits = options[k][options[k] <= total]
+            chosen[k] = fits[steps[k][total - fits]][-1]  # the last marketplaces take as much as they can
+            total -= int(chosen[k])
+    return pd.DataFrame({"product": product, "marketplace": pdf["marketplace"].tolist(), "units": chosen, "status": status})
 
 
 def bundle_delivery(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.topk import top_k_per_group
+from tillwise.session import reliable_checkpoint
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 EMAIL_CANDIDATE = r"[^ \t\n\r@<>]+@[^ \t\n\r@<>]+"
@@ -116,3 +117,52 @@ def bpe_merges(word_table: DataFrame, n_merges: int = 20) -> DataFrame:
         w = reliable_checkpoint(w.select(F.trim(F.regexp_replace(padded, F.lit(pat), F.lit(" " + a + b)))
                                          .alias("sym"), "n"))
     return spark.createDataFrame(merges, "rank int, left string, right string, merged string, count long")
+
+
+# ------------------------------------------------------------ T15 / T45 search
+K1, B = 1.2, 0.75
+
+
+def _bm25_part(tf: Column, dl: Column, n: Column, avg_dl: Column, df: Column) -> Column:
+    idf = F.log(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
+    return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avg_dl))
+
+
+def bm25(docs: DataFrame, terms: list[str], text: str = "text", key: str = "doc_id") -> DataFrame:
+    """BM25 of a fixed list of terms over every document: (key, score),
+    documents without any of the terms left out. Term frequencies are counted
+    inside the row; the corpus statistics are one aggregated row, so the scores
+    need no shuffle."""
+    def count(term: str) -> Column:
+        return F.size(F.filter("w", lambda x: x == F.lit(term))).cast("double")
+
+    found = {f"tf{i}": count(t) for i, t in enumerate(terms)}
+    rows = docs.select(key, tokens(text).alias("w")).select(key, F.size("w").cast("double").alias("dl"),
+                                                            *[c.alias(n) for n, c in found.items()])
+    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl"),
+                     *[F.count_if(F.col(n) > 0).alias(n) for n in found]).first()
+    score = F.lit(0.0)
+    for name in found:
+        score = score + _bm25_part(F.col(name), F.col("dl"), F.lit(float(stats["n"])), F.lit(float(stats["avg_dl"] or 1.0)),
+                                   F.lit(float(stats[name])))
+    return rows.where(F.greatest(*[F.col(n) for n in found], F.lit(0.0)) > 0).select(key, score.alias("score"))
+
+
+def retrieve_topk(docs: DataFrame, queries: DataFrame, query_key: str, k: int = 10, text: str = "text",
+                  key: str = "doc_id") -> DataFrame:
+    """For each row of a stated query set the ``k`` documents of highest
+    BM25 over its distinct words: (query_key, key, score, rank). The corpus is
+    reduced to counts per (document, word), joined on the words that queries
+    have; scores are rounded before ranking so that ties go by document."""
+    asked = queries.select(query_key, F.explode(F.array_distinct(tokens(text))).alias("word"))
+    words = (docs.select(key, tokens(text).alias("w")).select(key, F.size("w").cast("double").alias("dl"), "w")
+             .select(key, "dl", F.explode("w").alias("word")))
+    tf = (words.join(asked.select("word").distinct(), "word", "left_semi").groupBy(key, "word")
+          .agg(F.count(F.lit(1)).cast("double").alias("tf"), F.first("dl").alias("dl")))
+    tf = reliable_checkpoint(tf)
+    all_docs = docs.select(F.size(tokens(text)).alias("dl")).agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl")).first()
+    df = tf.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("df"))
+    part = _bm25_part(F.col("tf"), F.col("dl"), F.lit(float(all_docs["n"])), F.lit(float(all_docs["avg_dl"] or 1.0)), F.col("df"))
+    hits = tf.join(df, "word").select(key, "word", part.alias("part")).join(asked, "word")
+    scores = hits.groupBy(query_key, key).agg(F.round(F.sum("part"), 6).alias("score"))
+    return top_k_per_group(scores, [query_key], [F.col("score").desc(), F.col(key).asc()], k)
