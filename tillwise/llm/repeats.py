@@ -5,17 +5,18 @@ more, in one document or several. Every word that such a window covers goes.
 
 1. Anchors. Each window is filed under its least hashed run of ``gram`` words. Equal
    windows have equal anchors, and neighbouring windows mostly share one, so a document
-   has an anchor for about every 14 words. A *piece* is the stretch of words whose
-   windows share an anchor (``2 * window - gram`` = 62 words at most). Only pieces of
-   anchors that occur twice can hold a repeated window; equal pieces are one.
-2. Confirmed windows. Over the distinct pieces, hashes of windows are counted, weighted
-   by how often the piece occurs: partial sums, so a passage in a third of all documents
-   costs one row per task.
-3. Automata. Distinct pieces and confirmed hashes are dealt over shards by anchor (an
-   anchor with very many distinct pieces over several, each with its confirmed hashes).
-   A shard compiles Aho-Corasick automata of its confirmed windows, a bounded number at a
-   time, as sequences of words, and streams its pieces through them. All occurrences
-   found are in words, not hashes; what a piece covers is a 62-bit mask.
+   has an anchor for about every 14 words. A *piece* is the stretch of words of
+   neighbouring windows that share an anchor (``2 * window - gram`` = 62 words at most).
+   Only pieces of anchors that occur at two places can hold a repeated window.
+2. Confirmed passages. Equal pieces are one distinct piece with its number of copies; one
+   with copies is a repeated passage as a whole. Where an anchor has several distinct
+   pieces, the windows within these are counted by hash. Both are partial sums, so a
+   passage in a third of all documents costs one row per task.
+3. Automata. Distinct pieces and the hashes of windows found twice are dealt over shards
+   by anchor (an anchor with very many distinct pieces over several, each with its hashes).
+   A shard compiles Aho-Corasick automata of its passages, a bounded number at a time, as
+   sequences of words, and streams its pieces through them. Matches are in words, not
+   hashes; what a piece covers is a 62-bit mask.
 4. The masks go back to all places of each piece, and each document drops its words.
 
 Texts are shuffled once, into a table bucketed by document in the shared folder, which
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from tillwise.llm.cells import runs
 from tillwise.llm.common import shared_dir, slices, stored
 
-GRAM, PIECES_PER_SHARD, PHRASES_AT_ONCE, PIECES_AT_ONCE, SLICE = 8, 4096, 10_000, 20_000, 4 << 20
+GRAM, PIECES_PER_SHARD, PASSAGES_AT_ONCE, SLICE = 8, 4096, 10_000, 4 << 20
 _P = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 _INVERSE = pow(_P, -1, 1 << 64)
 
@@ -69,10 +70,10 @@ class Hashed:
 
 
 def pieces_of(docs: list[list[bytes]], window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(document's index, anchor hash, piece hash, first window, number of windows) of each piece."""
+    """(document's index, anchor hash, piece hash, first window, whether the anchor is at several places, number of windows) of each piece."""
     sizes = np.array([len(d) for d in docs], dtype=np.int64)
     if not (sizes >= window).any():
-        return tuple(np.zeros(0, dtype=t) for t in ("i8", "u8", "u8", "i8", "i8"))
+        return tuple(np.zeros(0, dtype=t) for t in ("i8", "u8", "u8", "i8", "?", "i8"))
     hashed = Hashed([w for d in docs for w in d])
     ends = np.cumsum(sizes)
     total = int(ends[-1])
@@ -81,15 +82,19 @@ def pieces_of(docs: list[list[bytes]], window: int, gram: int) -> tuple[np.ndarr
     span = window - gram + 1
     chosen = np.lib.stride_tricks.sliding_window_view(grams, span).argmin(axis=1) + np.arange(total - window + 1)
     doc = np.repeat(np.arange(len(docs)), sizes)[:chosen.size]
-    fits = np.arange(chosen.size) + window <= ends[doc]
-    first = np.flatnonzero(fits)
+    first = np.flatnonzero(np.arange(chosen.size) + window <= ends[doc])
+    anchor = grams[chosen[first]]
     new = np.ones(first.size, dtype=bool)
-    new[1:] = (chosen[first[1:]] != chosen[first[:-1]]) | (doc[first[1:]] != doc[first[:-1]])
+    new[1:] = (anchor[1:] != anchor[:-1]) | (doc[first[1:]] != doc[first[:-1]])
+    # a run of windows over periodic text can be long: it is cut after every ``span`` windows
+    runs_at = np.flatnonzero(new)
+    new |= (np.arange(first.size) - np.repeat(runs_at, np.diff(np.append(runs_at, first.size)))) % span == 0
     heads = np.flatnonzero(new)
     windows = np.diff(np.append(heads, first.size))
-    start = first[heads]
-    return (doc[start], grams[chosen[start]], hashed.stretch(start, start + windows + window - 1),
-            start - (ends - sizes)[doc[start]], windows)
+    start, last = first[heads], first[heads + windows - 1]
+    several = chosen[start] != chosen[last]  # the anchor at more than one place of the piece
+    return (doc[start], anchor[heads], hashed.stretch(start, start + windows + window - 1),
+            start - (ends - sizes)[doc[start]], several, windows)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -97,14 +102,14 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def places(texts: DataFrame, window: int, gram: int) -> DataFrame:
-    """(anchor, piece, k, th, at) of every piece; ``at`` holds the first window and, in its last 6 bits, their number."""
+    """(anchor, piece, k, th, at) of every piece; ``at`` holds the first window, a bit for ``several``, and in its last 6 bits the number of windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             docs = [t.as_buffer().to_pybytes().split() if t.is_valid else [] for t in batch.column("text")]
-            doc, anchor, piece, first, number = pieces_of(docs, window, gram)
+            doc, anchor, piece, first, several, number = pieces_of(docs, window, gram)
             rows = pa.array(doc)
             yield pa.RecordBatch.from_arrays([_signed(anchor), _signed(piece), batch.column("k").take(rows), batch.column("th").take(rows),
-                                              pa.array(first << 6 | number)], names=["anchor", "piece", "k", "th", "at"])
+                                              pa.array(first << 7 | several.astype("i8") << 6 | number)], names=["anchor", "piece", "k", "th", "at"])
 
     return texts.select("k", "th", "text").mapInArrow(run, "anchor long, piece long, k long, th int, at long")
 
@@ -129,18 +134,18 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """The words of the pieces that are asked for."""
     for batch in slices(batches, "text", SLICE):
-        out = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         for i, t in enumerate(batch.column("text")):
             words = t.as_buffer().to_pybytes().split()
             at = np.asarray(batch.column("at")[i].values)
             for a in at.tolist():
-                first = a >> 6
-                out[4].append(b" ".join(words[first:first + (a & 63) + window - 1]))
-            for k, name in enumerate(("anchor", "piece", "copies", "shards")):
-                out[k].append(np.asarray(batch.column(name)[i].values))
+                first = a >> 7
+                out[5].append(b" ".join(words[first:first + (a & 63) + window - 1]))
+            for k, name in enumerate(("anchor", "piece", "copies", "shards", "whole")):
+                out[k].append(batch.column(name)[i].values)
         if out[0]:
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in out[:4]), pa.array(out[4], pa.binary()).cast(pa.string())],
-                                             names=["anchor", "piece", "copies", "shards", "words"])
+            yield pa.RecordBatch.from_arrays([*(pa.concat_arrays(x) for x in out[:5]), pa.array(out[5], pa.binary()).cast(pa.string())],
+                                             names=["anchor", "piece", "copies", "shards", "whole", "words"])
 
 
 def _windows(lists: list[list[bytes]], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,52 +164,60 @@ def _counted(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
         if batch.num_rows:
             owner, _, h = _windows([w.as_buffer().to_pybytes().split(b" ") for w in batch.column("words")], window)
             rows = pa.array(owner)
-            yield pa.RecordBatch.from_arrays([batch.column("anchor").take(rows), _signed(h), batch.column("copies").take(rows),
-                                              batch.column("shards").take(rows)], names=["anchor", "hash", "copies", "shards"])
+            yield pa.RecordBatch.from_arrays([batch.column("anchor").take(rows), _signed(h), batch.column("shards").take(rows)],
+                                             names=["anchor", "hash", "shards"])
 
 
-def _locate(pieces: list[tuple], confirmed: set[tuple[int, int]], window: int) -> Iterator[tuple[int, int, int]]:
-    """(anchor, piece, mask of words that confirmed windows cover): automata over words as numbers."""
-    lists = [p[2].split(b" ") for p in pieces]
-    owner, first, h = _windows(lists, window)
+def _locate(pieces: list[tuple], confirmed: dict[int, set[int]], window: int) -> Iterator[tuple[int, int, int]]:
+    """(anchor, piece, mask of words that repeated passages cover): automata over words as numbers.
+
+    The passages: pieces with copies, and windows whose hash was found twice.
+    """
+    lists = [p[3].split(b" ") for p in pieces]
     numbers: dict[bytes, int] = {}
     coded = [tuple([numbers.setdefault(w, len(numbers)) for w in x]) for x in lists]
-    phrases = {}
-    for o, f, x in zip(owner.tolist(), first.tolist(), h.view("i8").tolist()):
-        key = (pieces[o][0], x)
-        if key in confirmed:
-            phrases.setdefault(key, coded[o][f:f + window])
-    masks, one, todo = [0] * len(pieces), (1 << window) - 1, list(set(phrases.values()))
-    for k in range(0, len(todo), PHRASES_AT_ONCE):
+    passages = {x for p, x in zip(pieces, coded) if p[2] > 1}
+    some = [i for i, p in enumerate(pieces) if p[0] in confirmed]
+    if some:
+        known = set()
+        owner, first, h = _windows([lists[i] for i in some], window)
+        for o, f, x in zip(owner.tolist(), first.tolist(), h.view("i8").tolist()):
+            anchor = pieces[some[o]][0]
+            if x in confirmed[anchor] and (anchor, x) not in known:
+                known.add((anchor, x))
+                passages.add(coded[some[o]][f:f + window])
+    masks, todo = [0] * len(pieces), list(passages)
+    for k in range(0, len(todo), PASSAGES_AT_ONCE):
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for phrase in todo[k:k + PHRASES_AT_ONCE]:
-            automaton.add_word(phrase, 1)
+        for passage in todo[k:k + PASSAGES_AT_ONCE]:
+            automaton.add_word(passage, len(passage))
         automaton.make_automaton()
         for i, x in enumerate(coded):
-            for end, _ in automaton.iter(x):
-                masks[i] |= one << (end - window + 1)
+            for end, n in automaton.iter(x):
+                masks[i] |= (1 << n) - 1 << end - n + 1
     return ((p[0], p[1], m) for p, m in zip(pieces, masks) if m)
 
 
 def _shard(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Groups of (anchor, shard): confirmed hashes (words null) and pieces, gathered up to a bounded number of windows."""
-    def flush(pieces: list, confirmed: set) -> pa.RecordBatch:
-        found = list(_locate(pieces, confirmed, window)) if confirmed else []
+    """Groups of (anchor, shard): hashes found twice (words null) and pieces, gathered up to a bounded number of passages."""
+    def flush() -> pa.RecordBatch:
+        found = list(_locate(pieces, confirmed, window))
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(3)], names=["anchor", "piece", "mask"])
 
-    pieces, confirmed = [], set()
+    pieces, confirmed, held = [], {}, 0
     for table, bounds in runs(batches, ["anchor", "shard"]):
-        anchor, value, words = (table.column(c).to_pylist() for c in ("anchor", "value", "words"))
+        anchor, value, copies, words = (table.column(c).to_pylist() for c in ("anchor", "value", "copies", "words"))
         for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             for i in range(lo, hi):
                 if words[i] is None:
-                    confirmed.add((anchor[i], value[i]))
+                    confirmed.setdefault(anchor[i], set()).add(value[i])
                 else:
-                    pieces.append((anchor[i], value[i], words[i].encode()))
-            if len(confirmed) >= PHRASES_AT_ONCE or len(pieces) >= PIECES_AT_ONCE:
-                yield flush(pieces, confirmed)
-                pieces, confirmed = [], set()
-    yield flush(pieces, confirmed)
+                    pieces.append((anchor[i], value[i], copies[i], words[i].encode()))
+            held += hi - lo
+            if held >= PASSAGES_AT_ONCE:
+                yield flush()
+                pieces, confirmed, held = [], {}, 0
+    yield flush()
 
 
 def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +232,7 @@ def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = t.as_buffer().to_pybytes().split()
             gone = np.zeros(len(words) + 64, dtype=bool)
             if batch.column("mask")[i].is_valid:
-                first = np.asarray(batch.column("at")[i].values) >> 6
+                first = np.asarray(batch.column("at")[i].values) >> 7
                 bits = (np.asarray(batch.column("mask")[i].values)[:, None] >> np.arange(63)) & 1
                 where = (first[:, None] + np.arange(63))[bits.astype(bool)]
                 gone[where] = True
@@ -238,16 +251,17 @@ def drop_repeats(docs: DataFrame, window: int, gram: int = GRAM, id_col: str = "
     spark = docs.sparkSession
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     texts = texts.select("doc_id", "text", F.coalesce("doc_id", F.lit(0).cast("long")).alias("k"), F.hash(F.col("doc_id").isNull(), "text").alias("th"))
-    every = places(texts, window, gram)
-    twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    every = stored(places(texts, window, gram))
+    several = F.col("at").bitwiseAND(F.lit(64).cast("long")) > 0
+    twice = (every.groupBy("anchor").agg(F.sum(F.when(several, 2).otherwise(1)).alias("n")).where("n > 1").select("anchor"))
     again = stored(every.join(twice, "anchor"))
 
     distinct = again.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("k", "th", "at")).alias("one"))
-    many = (distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PIECES_PER_SHARD)
-            .select("anchor", F.ceil(F.col("n") / PIECES_PER_SHARD).alias("shards")))
-    wanted = (distinct.join(many, "anchor", "left").withColumn("shards", F.coalesce("shards", F.lit(1).cast("long")))
-              .groupBy("one.k", "one.th").agg(F.collect_list(F.struct(F.col("one.at").alias("at"), "anchor", "piece", "copies", "shards")).alias("x"))
-              .select("k", "th", "x.at", "x.anchor", "x.piece", "x.copies", "x.shards"))
+    variants = (distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+                .select("anchor", "n", F.ceil(F.col("n") / PIECES_PER_SHARD).alias("shards")))
+    wanted = (distinct.join(variants, "anchor").withColumn("whole", (F.col("n") == 1) & (F.col("copies") > 1))
+              .groupBy("one.k", "one.th").agg(F.collect_list(F.struct(F.col("one.at").alias("at"), "anchor", "piece", "copies", "shards", "whole")).alias("x"))
+              .select("k", "th", "x.at", "x.anchor", "x.piece", "x.copies", "x.shards", "x.whole"))
 
     # all texts once, bucketed by document; those without any such piece leave only their result
     later = again.select("k", "th").distinct().withColumn("later", F.lit(True))
@@ -259,13 +273,14 @@ def drop_repeats(docs: DataFrame, window: int, gram: int = GRAM, id_col: str = "
     table = spark.table(name)
 
     pieces = stored(table.where("text is not null").select("k", "th", "text").join(wanted, ["k", "th"])
-                    .select("text", "at", "anchor", "piece", "copies", "shards")
-                    .mapInArrow(lambda x: _cut(x, window), "anchor long, piece long, copies long, shards long, words string"))
-    confirmed = (pieces.mapInArrow(lambda x: _counted(x, window), "anchor long, hash long, copies long, shards long")
-                 .groupBy("anchor", "hash").agg(F.sum("copies").alias("n"), F.max("shards").alias("shards")).where("n > 1"))
-    shards = (pieces.select("anchor", F.pmod(F.col("piece"), "shards").cast("int").alias("shard"), F.col("piece").alias("value"), "words")
+                    .select("text", "at", "anchor", "piece", "copies", "shards", "whole")
+                    .mapInArrow(lambda x: _cut(x, window), "anchor long, piece long, copies long, shards long, whole boolean, words string"))
+    confirmed = (pieces.where("not whole").select("anchor", "shards", "words")
+                 .mapInArrow(lambda x: _counted(x, window), "anchor long, hash long, shards long")
+                 .groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("n"), F.max("shards").alias("shards")).where("n > 1"))
+    shards = (pieces.select("anchor", F.pmod(F.col("piece"), "shards").cast("int").alias("shard"), F.col("piece").alias("value"), "copies", "words")
               .unionByName(confirmed.select("anchor", F.explode(F.sequence(F.lit(0), F.col("shards").cast("int") - 1)).alias("shard"),
-                                            F.col("hash").alias("value"), F.lit(None).cast("string").alias("words"))))
+                                            F.col("hash").alias("value"), F.lit(0).cast("long").alias("copies"), F.lit(None).cast("string").alias("words"))))
     masks = (shards.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard")
              .mapInArrow(lambda x: _shard(x, window), "anchor long, piece long, mask long"))
     gone = (again.join(masks, ["anchor", "piece"]).groupBy("k", "th").agg(F.collect_set(F.struct("at", "mask")).alias("x"))
