@@ -14,20 +14,40 @@ from conftest import SF_SMALL
 def test_restock_greedy_and_lp_respect_budget(spark):
     scores = inv.restock_scores(fx_restock(spark, SF_SMALL), 2)
     for budget in (5_000, 200_000):
-        g = inv.restock_greedy(scores, budget, "profit", driver_tail=5)
+        g = inv.restock_greedy(scores, budget, "profit")
         spent = g.agg(F.sum("allocated_budget")).first()[0] or 0.0
         assert spent <= budget + 1e-6
         assert g.groupBy("sku_id").count().where("count > 1").count() == 0
-        alloc, info = inv.restock_lagrangian(scores, budget, "profit", iters=20)
+        alloc, info = inv.restock_lagrangian(scores, budget, "profit")
         assert info["spent"] <= budget + 1e-6 and info["value"] <= info["dual_bound"] + 1e-6
 
 
-def test_greedy_rounds_equal_driver_loop(spark):
+def _greedy_loop(rows, budget):
+    """One row after the other: as much as the demand and the rest of the budget allow."""
+    out = {}
+    for sku, cost, demand, _ in sorted(rows, key=lambda r: (-r[3], r[0])):
+        qty = min(demand, int(budget // cost))
+        if qty > 0:
+            out[sku] = float(qty)
+            budget -= qty * cost
+    return out
+
+
+def test_greedy_phases_equal_a_plain_loop(spark):
     scores = inv.restock_scores(fx_restock(spark, SF_SMALL), 3)
-    a = inv.restock_greedy(scores, 50_000, "revenue", driver_tail=0)
-    b = inv.restock_greedy(scores, 50_000, "revenue", driver_tail=10**9)
-    key = lambda r: (r.sku_id, r.allocated_qty)
-    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+    for goal, budget in (("revenue", 50_000), ("profit", 3_000), ("profit", 10**9)):
+        rows = [(r.sku_id, r.cost, r.demand_to_buy, r[f"{goal}_score"]) for r in inv.first_choice(scores, goal).collect()]
+        got = {r.sku_id: r.allocated_qty for r in inv.restock_greedy(scores, budget, goal).collect()}
+        assert got == _greedy_loop(rows, budget)
+
+
+def test_greedy_phases_on_random_costs(spark):
+    rng = np.random.default_rng(4)
+    for budget in (37, 500, 6000):
+        rows = [(i, float(rng.integers(1, 400)), int(rng.integers(1, 9)), float(rng.integers(0, 30))) for i in range(120)]
+        df = spark.createDataFrame(rows, "sku_id long, cost double, demand_to_buy long, score double").repartition(4)
+        got = {r.sku_id: r.allocated_qty for r in inv._buy_in_order(df, budget, "score").collect()}
+        assert got == _greedy_loop(rows, budget)
 
 
 def test_bundle_delivery_within_bounds(spark):

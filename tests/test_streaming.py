@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 
 
 def test_streaming_dau_matches_batch(spark):
-    q = start_daily_active_users(spark, SF_SMALL, "dau_stream_test")
+    q = start_daily_active_users(spark, SF_SMALL, "dau_stream_test", memory=True)
     q.awaitTermination(300)
     got = {r.day: r.dau for r in spark.sql("select * from dau_stream_test").collect()}
     want = {r.day: r.dau for r in act.dau(fx_activity(spark, SF_SMALL)).collect()}

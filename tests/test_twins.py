@@ -220,7 +220,7 @@ def test_restock_lagrangian_brackets_the_integer_optimum(spark):
         budget = float(rng.randint(10, 40))
         df = spark.createDataFrame(rows, "sku_id long, percentile long, demand_to_buy long, price double, "
                                          "cost double, profit_score double")
-        alloc, info = inv.restock_lagrangian(df, budget, "profit", iters=30)
+        alloc, info = inv.restock_lagrangian(df, budget, "profit")
         by = {}
         for r in rows:
             by.setdefault(r[0], []).append(r)
@@ -398,3 +398,36 @@ def test_gaps_islands_with_duplicates_uses_range_semantics(spark):
         want[i] = {grp}
         prev = i
     assert got == want
+
+
+def test_org_tree_with_cycles_orphans_and_a_deep_chain(spark):
+    from tillwise.operators import hierarchy as hier
+    deep = [(i, f"n{i}", i - 1 if i else None, 1.0) for i in range(300)]
+    odd = [(900, "orphan", 899, 5.0), (901, "under orphan", 900, 5.0), (910, "a", 911, 2.0), (911, "b", 910, 2.0), (912, "under cycle", 910, 2.0),
+           (920, "root", None, 3.0)]
+    emp = spark.createDataFrame(deep + odd, "employee_id long, employee_name string, manager_id long, salary double")
+    got = {r.employee_id: (r.level, r.team_size, r.budget) for r in hier.org_report(emp).collect()}
+    assert got == {i: (i + 1, 299 - i, 300.0 - i) for i in range(300)} | {920: (1, 0, 3.0)}
+    assert {r.employee_id: r.level for r in hier.org_levels(emp).collect()} == {k: v[0] for k, v in got.items()}
+    small = emp.where("employee_id < 12 or employee_id >= 900")
+    pairs = {(r.manager_id, r.subordinate_id) for r in hier.org_closure(small).collect()}
+    want = {(a, b) for a in range(12) for b in range(a, 12)} | {(900, 900), (901, 901), (900, 901), (920, 920)}
+    assert pairs == want
+
+
+def test_near_duplicate_links_need_no_common_representative(spark):
+    from tillwise.operators import similarity as sim
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(4000)}" for _ in range(300)) for _ in range(12)]
+    rows = []
+    for i, t in enumerate(texts):
+        for k in range(4):
+            words = t.split()
+            words[rng.randrange(300)] = f"x{k}"
+            rows.append((4 * i + k, " ".join(words)))
+    rows.append((100, rows[0][1]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    groups = {}
+    for r in sim.near_duplicate_groups(docs).collect():
+        groups.setdefault(r.component, set()).add(r.doc_id)
+    assert sorted(map(len, groups.values())) == [4] * 11 + [5]

@@ -83,21 +83,22 @@ def q_key_union(spark, sf_dir):
 
 @query("prefix_until_target",
        sql="""with c as (select c_custkey, c_acctbal,
-                                sum(c_acctbal) over (order by c_acctbal desc, c_custkey
-                                                     rows between unbounded preceding and current row) as cum_balance,
-                                (select sum(c_acctbal) from customer where c_acctbal > 0) as total
-                         from customer where c_acctbal > 0)
+                                sum(greatest(c_acctbal, 0)) over (order by c_acctbal desc, c_custkey
+                                                                  rows between unbounded preceding and current row) as cum_balance,
+                                (select sum(greatest(c_acctbal, 0)) from customer) as total
+                         from customer)
               select c_custkey, c_acctbal, cum_balance from c
-              where cum_balance - c_acctbal < 0.5 * total""",
+              where cum_balance - greatest(c_acctbal, 0) < 0.5 * total""",
        doubles=("c_acctbal", "cum_balance"))
 def q_prefix_until_target(spark, sf_dir):
     """Customers in descending balance order until half of the positive
     balance is covered (the row that crosses the target is included)."""
-    c = read_table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0).select("c_custkey", "c_acctbal")
-    total = c.agg(F.sum("c_acctbal")).first()[0] or 0.0
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    owed = F.greatest(F.col("c_acctbal"), F.lit(0.0))  # debts neither count nor take away
+    total = c.agg(F.sum(owed)).first()[0] or 0.0
     cum = ordered_prefix_sums(c, [F.col("c_acctbal").desc(), F.col("c_custkey")],
-                              {"cum_balance": F.col("c_acctbal")})
-    return cum.where(F.col("cum_balance") - F.col("c_acctbal") < F.lit(0.5 * total)).select(
+                              {"cum_balance": owed})
+    return cum.where(F.col("cum_balance") - owed < F.lit(0.5 * total)).select(
         "c_custkey", "c_acctbal", "cum_balance")
 
 

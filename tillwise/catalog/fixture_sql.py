@@ -11,7 +11,7 @@ select c_custkey as employee_id, c_name as employee_name,
        c_acctbal as salary
 from customer""",
     "fx_logs": """
-select distinct o_orderkey as log_id from orders where o_orderstatus <> 'P'""",
+select distinct o_orderkey + o_orderkey // 7 as log_id from orders""",
     "fx_loans": """
 select l.l_orderkey * 8 + l.l_linenumber as id, cast(20 + o.o_custkey % 50 as int) as age,
        c.c_acctbal as income, cast(o.o_custkey % 4 as int) as dependents,

@@ -163,8 +163,8 @@ def restock_lagrangian(scores: DataFrame, budget: float, goal: str = "profit", p
     that the λ just below would add, by falling score per cost, in full or in
     part, until none of them is affordable.
 
-    λ starts between 0 and the largest score / cost, at which nothing is worth
-    buying, so the upper end always keeps the budget. Returns (allocation
+    λ starts between 0 and just above the largest score / cost, where nothing is
+    worth buying, so the upper end always keeps the budget. Returns (allocation
     DataFrame, info dict with value, dual bound, gap). Scores are rounded to 4
     decimals like the reference model.
     """
@@ -183,7 +183,7 @@ def restock_lagrangian(scores: DataFrame, budget: float, goal: str = "profit", p
         v = pick(lam).agg(F.sum(F.col("cost") * F.col("demand_to_buy"))).first()[0]
         return float(v or 0.0)
 
-    lo, hi = 0.0, float(base.agg(F.max(F.col("s") / F.col("cost"))).first()[0] or 0.0)
+    lo, hi = 0.0, 1.001 * float(base.agg(F.max(F.col("s") / F.col("cost"))).first()[0] or 0.0)
     if spend(0.0) <= budget:
         hi = 0.0
     top = hi

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwise.functions.prefix import ordered_prefix_sums
+
 from tillwise.operators.metrics import pred_col
 
 
@@ -45,7 +47,7 @@ def _fold_table(ranked: DataFrame, n_groups: int, n_splits: int, test_size: int,
     g = F.col("_g")
     role = (F.when((g >= F.col("te_lo")) & (g < F.col("te_hi")), F.lit("test"))
             .when((g >= F.col("tr_lo")) & (g < F.col("tr_hi")), F.lit("train")))
-    # groups x folds: both sides are bounded (distinct groups, n_splits rows)
+    # the fold table has n_splits rows
     return ranked.join(F.broadcast(folds), (g >= F.col("tr_lo")) & (g < F.col("te_hi"))) \
         .select("_grp", "_g", "fold", role.alias("role")).where(F.col("role").isNotNull())
 
@@ -55,7 +57,7 @@ def group_ts_split(df: DataFrame, group: str, n_splits: int = 5, test_size: int
     """L2: expanding-window CV over sorted distinct groups; returns the input
     rows tagged with (fold, role), a row appearing once per fold it is in."""
     groups = df.select(F.col(group).alias("_grp")).distinct()
-    ranked = groups.select("_grp", (F.dense_rank().over(Window.orderBy("_grp")) - 1).alias("_g"))
+    ranked = ordered_prefix_sums(groups, [F.col("_grp")], {}, row_number="_n").select("_grp", (F.col("_n") - 1).alias("_g"))
     n_groups = groups.count()
     n_folds = n_splits + 1
     ts_ = test_size if test_size else n_groups // n_folds
@@ -64,7 +66,7 @@ def group_ts_split(df: DataFrame, group: str, n_splits: int = 5, test_size: int
         raise ValueError(f"too few groups ({n_groups}) for {n_splits} splits")
     starts = list(range(first, n_groups, ts_))
     ft = _fold_table(ranked, n_groups, n_splits, ts_, gap, max_train_size, starts)
-    return df.join(F.broadcast(ft), df[group] == ft["_grp"]).drop("_grp", "_g")
+    return df.join(ft, df[group] == ft["_grp"]).drop("_grp", "_g")
 
 
 def group_ts_split_template(df: DataFrame, group: str, order: list[str], n_splits: int = 5,
@@ -73,14 +75,14 @@ def group_ts_split_template(df: DataFrame, group: str, order: list[str], n_split
     """L3: groups ordered by first appearance in ``order``; default test
     size 1; the last ``n_splits * test_size`` groups are the test folds."""
     first = df.groupBy(F.col(group).alias("_grp")).agg(F.min(F.struct(*order)).alias("_first"))
-    ranked = first.select("_grp", (F.row_number().over(Window.orderBy("_first")) - 1).alias("_g"))
+    ranked = ordered_prefix_sums(first, [F.col("_first"), F.col("_grp")], {}, row_number="_n").select("_grp", (F.col("_n") - 1).alias("_g"))
     n_groups = first.count()
     ts_ = test_size if test_size is not None else 1
     starts = [n_groups - (n_splits - 1 - i) * ts_ - ts_ for i in range(n_splits)]
     if starts and (starts[0] - gap) < 0:
         raise ValueError(f"too few groups ({n_groups}) for {n_splits} splits")
     ft = _fold_table(ranked, n_groups, n_splits, ts_, gap, max_train_size, starts)
-    return df.join(F.broadcast(ft), df[group] == ft["_grp"]).drop("_grp", "_g")
+    return df.join(ft, df[group] == ft["_grp"]).drop("_grp", "_g")
 
 
 # ----------------------------------------------------------- L8 / L9 / L10

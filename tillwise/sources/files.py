@@ -64,8 +64,10 @@ def load_delivery_json(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     ``bundles``, ``costs`` and ``products`` (sorted distinct union, G2).
     A missing top-level key raises ``KeyError``.
     """
-    raw = spark.read.option("multiLine", True).json(path)
-    missing = [k for k in DELIVERY_KEYS if k not in raw.columns]
+    # only the names of the top-level keys are read; no schema is inferred
+    names = spark.read.text(path, wholetext=True).select(F.explode(F.json_object_keys("value")).alias("k"))
+    present = {r["k"] for r in names.where(F.col("k").isin(*DELIVERY_KEYS)).distinct().collect()}
+    missing = [k for k in DELIVERY_KEYS if k not in present]
     if missing:
         raise KeyError(f"Missing required key: {missing[0]}")
     doc = (spark.read.option("multiLine", True).schema(DELIVERY_SCHEMA).json(path)

@@ -43,15 +43,16 @@ def daily_active_users_stream(events: DataFrame, lateness: str = "2 days") -> Da
 
 
 def start_daily_active_users(spark: SparkSession, directory: str, name: str, table: str | None = None,
-                             available_now: bool = True):
-    """Run the streaming D5 into a memory table (tests) or a parquet folder."""
+                             available_now: bool = True, memory: bool = False):
+    """Run the streaming D5 into a parquet folder (by default one in the shared
+    folder); ``memory`` keeps all output on the driver, for tests only."""
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
     q = daily_active_users_stream(read_events_stream(spark, directory)).writeStream.outputMode("append") \
         .option("checkpointLocation", ckpt)
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
-    if table:
-        return q.format("parquet").option("path", table).start()
-    return q.format("memory").queryName(name).start()
+    if memory:
+        return q.format("memory").queryName(name).start()
+    return q.format("parquet").option("path", table or os.path.join(checkpoint_dir(spark), "streams-out", name)).start()
 
 
 def governance_alerts_sink(thresholds: dict | None, out_dir: str):

@@ -1,4 +1,5 @@
-"""Summarise the executed (AQE-final) physical plans of the headline queries.
+"""Summarise the executed (AQE-final) physical plans of the headline queries,
+and all jobs and stages they run, those of eager steps (checkpoints, totals) included.
 
     python tools/plan_report.py [sf_dir] > PLANS.md
 """
@@ -32,15 +33,19 @@ def main() -> None:
     print("# Physical plans of the headline queries\n")
     print(f"Executed AQE plans at `{sf_dir}` (local[8]); counts are plan nodes of the final query "
           "(checkpointed inputs appear as `Scan ExistingRDD`).\n")
-    print("| query | " + " | ".join(COUNT) + " |")
-    print("| --- |" + " --- |" * len(COUNT))
+    print("| query | jobs, eager ones included | stages of all jobs | " + " | ".join(COUNT) + " |")
+    print("| --- | --- | --- |" + " --- |" * len(COUNT))
+    tracker = spark.sparkContext.statusTracker()
     for key in HEADLINE:
+        spark.sparkContext.setJobGroup(key, key)
         df = REGISTRY[key].build(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
         cells = [str(len(re.findall(p, plan))) for p in COUNT.values()]
-        print(f"| {key} | " + " | ".join(cells) + " |")
+        jobs = tracker.getJobIdsForGroup(key)
+        stages = {x for j in jobs if (info := tracker.getJobInfo(j)) for x in info.stageIds}
+        print(f"| {key} | {len(jobs)} | {len(stages)} | " + " | ".join(cells) + " |")
 
 
 if __name__ == "__main__":
