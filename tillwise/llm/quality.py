@@ -42,22 +42,24 @@ CACHED_WORDS = 400_000
 INSULTS = frozenset("clown disgusting idiot loser moron pathetic scum stupid trash worthless".split())
 ASPECTS = ("shouting", "symbols", "tables", "repetition", "toxicity")
 EDGES = ".,;:!?\"'()[]{}|*$%&#@^~"
-SYMBOL = re.compile(r"[*$%&#@^~]")
+SYMBOLS = "*$%&#@^~"
 SYMBOL_END = re.compile(r"[*$%&#@^~]{2,}(?!\S)")
 
 
-def measures(text: str, words: list[str]) -> list[float]:
+def measures(text: str, words: list[str], counts: Counter) -> list[float]:
     """Shares by word that the labellers look at."""
     n = max(1, len(words))
+    symbols = sum(map(text.count, SYMBOLS))
+    ends = len(SYMBOL_END.findall(text)) if symbols else 0
     return [sum(map(str.isupper, words)) / n, text.count("!") / n, sum(map(str.islower, words)) / n,
-            len(SYMBOL.findall(text)) / n, len(SYMBOL_END.findall(text)) / n, sum(map(str.isalpha, words)) / n,
-            words.count("|") / n, text.count(" | ") / n, sum(len(w) == 1 for w in words) / n,
-            sum(map(operator.eq, words, words[1:])) / n, len(set(words)) / n, len(set(zip(words, words[1:]))) / n]
+            symbols / n, ends / n, sum(map(str.isalpha, words)) / n,
+            counts["|"] / n, text.count(" | ") / n, list(map(len, words)).count(1) / n,
+            sum(map(operator.eq, words, words[1:])) / n, len(counts) / n, list(counts.values()).count(1) / n]
 
 
 #: For each measure: bad from this share on (or up to it, if the second is larger), good on the other side of the second.
 LIMITS = [(0.5, 0.2), (0.3, 0.05), (0.3, 0.5), (0.3, 0.05), (0.3, 0.05), (0.3, 0.5),
-          (0.1, 0.02), (0.08, 0.02), (0.25, 0.15), (0.2, 0.05), (0.15, 0.4), (0.25, 0.5)]
+          (0.1, 0.02), (0.08, 0.02), (0.25, 0.15), (0.2, 0.05), (0.15, 0.4), (0.05, 0.2)]
 SHORT = 20  # under so many words, low variety says nothing
 
 
@@ -156,18 +158,27 @@ class Cached(dict):
 
 def toxic_marks(stems: frozenset[str]) -> Cached:
     """1 for an insult, 2 for another word with a listed stem, else 0."""
+    beginnings = {x[:3] for x in stems} | {x.rstrip("$") for x in stems if len(x) <= 3}
+
     def mark(word: str) -> int:
         w = clean(word)
-        return 1 if w in INSULTS else 2 if not stems.isdisjoint(stems_of(w)) else 0
+        if w in INSULTS:
+            return 1
+        return 2 if w[:3] in beginnings and not stems.isdisjoint(stems_of(w)) else 0
     return Cached(mark)
 
 
-def _read(text: str | None, marks: Cached, listed: bool) -> tuple[list[str], list[float], list[int]]:
+def _read(text: str | None) -> tuple[list[str], Counter, list[float]]:
     text = text or ""
     words = text.split()
-    seen = measures(text, words)
-    marked = Counter(map(marks.__getitem__, set(words)))
-    return words, seen, votes(words, seen, marked[1], marked[2] + (marked[1] if listed else 0), listed)
+    counts = Counter(words)
+    return words, counts, measures(text, words, counts)
+
+
+def _votes(words: list[str], counts: Counter, seen: list[float], marks: Cached, listed: bool) -> list[int]:
+    marked = list(map(marks.__getitem__, counts))
+    insults = marked.count(1)
+    return votes(words, seen, insults, marked.count(2) + (insults if listed else 0), listed)
 
 
 def vote_counts(docs: DataFrame, stems: frozenset[str]) -> dict[str, dict[tuple[int, ...], int]]:
@@ -175,7 +186,7 @@ def vote_counts(docs: DataFrame, stems: frozenset[str]) -> dict[str, dict[tuple[
         marks, found = toxic_marks(stems), Counter()
         for batch in slices(batches, "text"):
             for t in batch.column("text").to_pylist():
-                v = _read(t, marks, bool(stems))[2]
+                v = _votes(*_read(t), marks, bool(stems))
                 found.update((a, *v[3 * a:3 * a + 3]) for a in range(len(ASPECTS)))
         keys = list(found)
         cols = [pa.array([k[i] for k in keys], pa.int64()) for i in range(4)] + [pa.array([found[k] for k in keys], pa.int64())]
@@ -257,9 +268,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN) -> tuple[fr
         for batch in slices(batches, "text"):
             features, bad = [], []
             for t in batch.column("text").to_pylist():
-                words, seen, vote = _read(t, marks, bool(stems))
-                features.append([f for w in sorted(set(words)) for f in cached[w]] + step_features(seen))
-                bad.append(posterior(vote, tables))
+                words, counts, seen = _read(t)
+                features.append([f for w in sorted(counts) for f in cached[w]] + step_features(seen))
+                bad.append(posterior(_votes(words, counts, seen, marks, bool(stems)), tables))
             yield pa.RecordBatch.from_arrays([pa.array(features, pa.list_(pa.int32())), pa.array(bad, pa.float64())], names=["features", "bad"])
 
     sample = stored(chosen.select("text").mapInArrow(run, "features array<int>, bad double")
@@ -267,21 +278,35 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN) -> tuple[fr
     return stems, tables, train(sample.coalesce(PARTS))
 
 
+class Scorer:
+    """The linear scorer over hashed features, with a bounded cache of the weights of words."""
+
+    def __init__(self, weights: np.ndarray):
+        self.table = w = weights.tolist()
+
+        def weigh(word: str) -> float:
+            a, b, c = word_features(word)
+            return w[a] + w[b] + w[c]
+        self.words = Cached(weigh)
+
+    def __call__(self, counts: Counter, seen: list[float]) -> float:
+        s = self.table[-1] + sum(self.table[f] for f in step_features(seen)) + math.fsum(map(self.words.__getitem__, counts))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, s))))
+
+
 def classify(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str = "text",
              threshold: float = 0.5) -> DataFrame:
     """doc_id, score (probability of a bad document), weak_label (posterior of the labellers), kept per row."""
     stems, tables, weights = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = toxic_marks(stems)
-        weigh = Cached(lambda w: float(weights[list(word_features(w))].sum()))
+        marks, scorer = toxic_marks(stems), Scorer(weights)
         for batch in slices(batches, "text"):
             score, weak = [], []
             for t in batch.column("text").to_pylist():
-                words, seen, vote = _read(t, marks, bool(stems))
-                s = weights[-1] + weights[step_features(seen)].sum() + math.fsum(map(weigh.__getitem__, set(words)))
-                score.append(1 / (1 + math.exp(-max(-30.0, min(30.0, s)))))
-                weak.append(posterior(vote, tables))
+                words, counts, seen = _read(t)
+                score.append(scorer(counts, seen))
+                weak.append(posterior(_votes(words, counts, seen, marks, bool(stems)), tables))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64()), pa.array(weak, pa.float64()),
                                               pa.array([s < threshold for s in score], pa.bool_())], names=["doc_id", "score", "weak_label", "kept"])
 
@@ -291,18 +316,12 @@ def classify(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: st
 
 def keep_good(docs: DataFrame, model: tuple, threshold: float = 0.5) -> DataFrame:
     """``docs`` without what the classifier rejects; all columns stay, row by row, without a join."""
-    stems, _, weights = model
-    columns = docs.columns
+    weights, columns = model[2], docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = toxic_marks(stems)
-        weigh = Cached(lambda w: float(weights[list(word_features(w))].sum()))
+        scorer = Scorer(weights)
         for batch in slices(batches, "text"):
-            kept = []
-            for t in batch.column("text").to_pylist():
-                words, seen, _ = _read(t, marks, bool(stems))
-                s = weights[-1] + weights[step_features(seen)].sum() + math.fsum(map(weigh.__getitem__, set(words)))
-                kept.append(1 / (1 + math.exp(-max(-30.0, min(30.0, s)))) < threshold)
+            kept = [scorer(*_read(t)[1:]) < threshold for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_())).select(columns)
 
     return docs.mapInArrow(run, docs.schema)
