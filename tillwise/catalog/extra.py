@@ -85,6 +85,24 @@ def q_churn_bootstrap(spark, sf_dir):
     return r.select(F.col("avg_churn_rate"), "abs_ci_lower", "abs_ci_upper")
 
 
-@query("bpe_merges", note="T43: iterative merges, one job per merge; checked against a Python twin in tests")
+BPE_MERGES = 20
+
+
+def _bpe_sql() -> str:
+    """One CTE per merge over the word table; a word is its symbols in angle brackets."""
+    tok = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+    parts = [f"w0 as materialized (select '<' || array_to_string(string_split(w, ''), '><') || '>' as sym, count(*) as n "
+             f"from documents, unnest({tok}) as u(w) group by w)"]
+    for k in range(BPE_MERGES):
+        parts += [
+            f"l{k} as (select string_split(substr(sym, 2, length(sym) - 2), '><') as s, n from w{k})",
+            f"b{k} as materialized (select s[i] as a, s[i + 1] as b, cast(sum(n) as bigint) as count "
+            f"from l{k}, unnest(range(1, len(s))) as r(i) group by all order by count desc, a, b limit 1)",
+            f"w{k + 1} as materialized (select replace(sym, '<' || a || '><' || b || '>', '<' || a || b || '>') as sym, n from w{k}, b{k})"]
+    rows = " union all ".join(f"select {k + 1} as rank, a as \"left\", b as \"right\", a || b as merged, count from b{k}" for k in range(BPE_MERGES))
+    return f"with {', '.join(parts)} {rows}"
+
+
+@query("bpe_merges", sql=_bpe_sql(), longs=("rank",))
 def q_bpe_merges(spark, sf_dir):
-    return tx.bpe_merges(tx.word_counts(read_table(spark, sf_dir, "documents")), n_merges=20)
+    return tx.bpe_merges(tx.word_counts(read_table(spark, sf_dir, "documents")), n_merges=BPE_MERGES)

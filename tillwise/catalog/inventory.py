@@ -132,6 +132,28 @@ def q_bundle_delivery(spark, sf_dir):
     return inv.bundle_delivery(fx_delivery(spark, sf_dir))
 
 
+@query("bundle_delivery_totals",
+       sql="""with recursive
+              m as (select *, row_number() over (partition by product order by marketplace) as place from fx_delivery),
+              p as (select product, max(stock) as stock, max(small) as small, max(middle) as middle, max(large) as large, count(*) as places
+                    from m group by product),
+              sums(product, units) as (select product, cast(0 as bigint) from p
+                  union select s.product, s.units + x.size from sums s join p on p.product = s.product,
+                        lateral (select unnest([p.small, p.middle, p.large]) as size) x where s.units + x.size <= p.stock),
+              choice as (select m.product, m.place, sums.units from m join sums on sums.product = m.product
+                         where sums.units between m.min_demand and m.max_demand),
+              plans(product, place, total) as (select product, cast(0 as bigint), cast(0 as bigint) from p
+                  union select t.product, t.place + 1, t.total + c.units from plans t join p on p.product = t.product
+                        join choice c on c.product = t.product and c.place = t.place + 1 where t.total + c.units <= p.stock)
+              select p.product, coalesce(max(t.total), 0) as units, case when max(t.total) is null then 'infeasible' else 'optimal' end as status
+              from p left join plans t on t.product = p.product and t.place = p.places group by p.product""",
+       longs=("units",))
+def q_bundle_delivery_totals(spark, sf_dir):
+    """The maximised units of each product (the split between marketplaces is not unique)."""
+    return inv.bundle_delivery(fx_delivery(spark, sf_dir)).groupBy("product").agg(
+        F.sum("units").alias("units"), F.first("status").alias("status"))
+
+
 def _requests(spark, sf_dir):
     return fx_predictions(spark, sf_dir).select("sku_id", "stock")
 

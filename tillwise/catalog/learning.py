@@ -11,7 +11,7 @@ from tillwise.sources.fixtures import fx_loans
 from tillwise.sources.tables import read_table
 
 
-@query("sku_embeddings", note="T22: Word2Vec item vectors from order baskets: rows-only")
+@query("sku_embeddings", note="T22: implicit-feedback item factors from order baskets: rows-only")
 def q_sku_embeddings(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     return ml.basket_embeddings(li, "l_orderkey", "l_partkey")

@@ -88,8 +88,20 @@ def q_negation_flags(spark, sf_dir):
     return tx.negation_share(read_table(spark, sf_dir, "documents"))
 
 
-@query("ocr_error_rate", note="DuckDB's levenshtein counts UTF-8 bytes, Spark's characters: rows-only, "
-                                 "checked against a Python edit distance in tests")
+# The accented letters of the four languages. DuckDB's levenshtein counts
+# UTF-8 bytes, Spark's characters, so the oracle gives each letter a control character.
+ACCENTED = "ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü"
+CONTROLS = [*range(1, 9), *range(14, 32)][:len(ACCENTED)]
+ONE_BYTE = "translate({t}, '" + ACCENTED + "', " + " || ".join(f"chr({c})" for c in CONTROLS) + ")"
+
+
+@query("ocr_error_rate",
+       sql="""with s as (select conv_id, text, lag(turn) over w as turn, lag(text) over w as ref from conversations
+                         window w as (partition by conv_id order by turn)),
+                   d as (select conv_id, turn, length(ref) as n, levenshtein(""" + ONE_BYTE.format(t="ref") + ", " + ONE_BYTE.format(t="text") + """) as edits
+                         from s where ref is not null)
+              select conv_id, turn, edits, case when n > 0 then edits / n end as cer from d""",
+       doubles=("cer",), longs=("edits", "turn"))
 def q_ocr_error_rate(spark, sf_dir):
     """T49 on consecutive conversation turns (reference = a turn, hypothesis
     = the next one)."""

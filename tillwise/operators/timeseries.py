@@ -165,14 +165,26 @@ def add_rolling_features(df: DataFrame, features: dict | None = None, key: str =
     for col in sorted({c for c, n, a, q in features.values() if a == "avg"} & integral):
         out = out.withColumn(f"_cum_{col}", F.sum(F.col(col)).over(
             Window.partitionBy(key).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)))
-    # one sorted window array per (column, size) serves every quantile of it;
-    # Spark's windowed ``percentile`` would rebuild a value map per feature
-    arrays = {}
+    # one window array per column serves every size and quantile of it: the last
+    # n rows are its tail, sorted once per size (Spark's windowed ``percentile``
+    # would rebuild a value map per feature)
+    arrays, longest = {}, {}
+    never_null = {f.name for f in df.schema.fields if not f.nullable}
+    for col, n, agg, q in features.values():
+        if agg == "quantile":
+            longest[col] = max(n, longest.get(col, 0))
     for name, (col, n, agg, q) in features.items():
         if agg == "quantile" and (col, n) not in arrays:
-            w = Window.partitionBy(key).orderBy(*by).rowsBetween(-(n - 1), 0)
-            arr = f"_win_{col}_{n}"
-            out = out.withColumn(arr, F.array_sort(F.collect_list(F.col(col).cast("double")).over(w)))
+            arr, value = f"_win_{col}_{n}", F.col(col).cast("double")
+            if col in never_null:
+                if f"_rows_{col}" not in out.columns:
+                    w = Window.partitionBy(key).orderBy(*by).rowsBetween(-(longest[col] - 1), 0)
+                    out = out.withColumn(f"_rows_{col}", F.collect_list(value).over(w))
+                rows = F.col(f"_rows_{col}")
+                tail = F.slice(rows, F.greatest(F.size(rows) - n + 1, F.lit(1)), F.lit(n))
+            else:  # NULLs take a row of the window but no place in the array
+                tail = F.collect_list(value).over(Window.partitionBy(key).orderBy(*by).rowsBetween(-(n - 1), 0))
+            out = out.withColumn(arr, F.array_sort(tail))
             arrays[(col, n)] = arr
     for name, (col, n, agg, q) in features.items():
         w = Window.partitionBy(key).orderBy(*by).rowsBetween(-(n - 1), 0)
@@ -198,7 +210,8 @@ def add_rolling_features(df: DataFrame, features: dict | None = None, key: str =
         else:
             raise ValueError(f"Unknown aggregation function: {agg}")
         out = out.withColumn(name, v)
-    return out.drop(*arrays.values(), *[f"_cum_{c}" for c in integral if f"_cum_{c}" in out.columns])
+    return out.drop(*arrays.values(), *[f"_rows_{c}" for c in longest],
+                    *[f"_cum_{c}" for c in integral if f"_cum_{c}" in out.columns])
 
 
 def add_targets(df: DataFrame, targets: dict | None = None, key: str = "sku_id", order: str = "day",
