@@ -55,10 +55,6 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
-def hash64(*cols: Column) -> Column:
-    return F.xxhash64(*cols)
-
-
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds about ``limit`` bytes of ``text`` (one row at least).
 

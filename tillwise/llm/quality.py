@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import checkpointed, slices, stored
+from tillwise.llm.common import slices, stored
 
 LABELLED, TRAIN, DIMENSIONS, PARTS, ROUNDS, EPOCHS = 20_000, 20_000, 1 << 17, 8, 4, 3
 STEMS, STEM_SUPPORT, STEM_PRECISION = (3, 4, 5, 6, 8), 6, 0.98

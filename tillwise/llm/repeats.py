@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.cells import runs
+from tillwise.functions.cells import runs
 from tillwise.llm.common import shared_dir, slices, stored
 
 GRAM, PIECES_PER_SHARD, PASSAGES_AT_ONCE, SLICE = 8, 4096, 10_000, 4 << 20
