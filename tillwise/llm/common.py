@@ -55,7 +55,19 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def texts(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, whose rows hold whole texts, in small Arrow batches from now on.
+
+    The default of 10,000 rows a batch makes buffers of tens of MB for texts, on both
+    sides of the pipe to Python and for each task; this caps the session's setting.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= rows:
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds about ``limit`` bytes of ``text`` (one row at least).
 
     No row is dropped or cut; this only bounds what Python holds at a time.

@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tillwise.llm.common import slices
+from tillwise.llm.common import slices, texts
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, loss_tokens long")
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 CACHED_LENGTH = 32
 
 
@@ -212,7 +212,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, tokens: int = 4
         yield placed()
 
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return narrow.mapInArrow(pack, PIECES)
+    return texts(narrow).mapInArrow(pack, PIECES)
 
 
 PLACES = "example_id long, tokens long, segments long, loss_tokens long, sequence_id long, offset long"

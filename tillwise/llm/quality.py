@@ -33,11 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import slices, stored
+from tillwise.llm.common import slices, stored, texts
 
 LABELLED, TRAIN, DIMENSIONS, PARTS, ROUNDS, EPOCHS = 20_000, 20_000, 1 << 17, 8, 4, 3
 STEMS, STEM_SUPPORT, STEM_PRECISION = (3, 4, 5, 6, 8), 6, 0.98
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
+FEATURES_AT_ONCE = 1 << 20  # bytes of text whose features are held as Python objects
 #: Insults that the English labeller knows.
 INSULTS = frozenset("clown disgusting idiot loser moron pathetic scum stupid trash worthless".split())
 ASPECTS = ("shouting", "symbols", "tables", "repetition", "toxicity")
@@ -116,7 +117,7 @@ def toxic_stems(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> fro
               .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", FEATURES_AT_ONCE):
             stems, toxic = [], []
             for t, x in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 found = {x for w in map(clean, set((t or "").split())) for x in stems_of(w)}
@@ -125,7 +126,7 @@ def toxic_stems(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> fro
             yield pa.RecordBatch.from_arrays([pa.array(stems, pa.string()), pa.array(toxic, pa.int64())], names=["stem", "toxic"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("long").alias("toxic"))
-    sums = rows.mapInArrow(run, "stem string, toxic long").groupBy("stem").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
+    sums = texts(rows).mapInArrow(run, "stem string, toxic long").groupBy("stem").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
     good = sums.where((F.col("n") >= STEM_SUPPORT) & (F.col("t") >= STEM_PRECISION * F.col("n")))
     return frozenset(r[0] for r in good.select("stem").collect())
 
@@ -192,7 +193,7 @@ def vote_counts(docs: DataFrame, stems: frozenset[str]) -> dict[str, dict[tuple[
         cols = [pa.array([k[i] for k in keys], pa.int64()) for i in range(4)] + [pa.array([found[k] for k in keys], pa.int64())]
         yield pa.RecordBatch.from_arrays(cols, names=["aspect", "a", "b", "c", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "aspect long, a long, b long, c long, n long")
+    counted = texts(docs.select("text")).mapInArrow(run, "aspect long, a long, b long, c long, n long")
     out: dict[str, dict[tuple[int, ...], int]] = {a: {} for a in ASPECTS}
     for r in counted.groupBy("aspect", "a", "b", "c").agg(F.sum("n").alias("n")).collect():
         out[ASPECTS[r[0]]][tuple(r)[1:4]] = r[4]
@@ -265,7 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN) -> tuple[fr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, cached = toxic_marks(stems), Cached(word_features)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", FEATURES_AT_ONCE):
             features, bad = [], []
             for t in batch.column("text").to_pylist():
                 words, counts, seen = _read(t)
@@ -273,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN) -> tuple[fr
                 bad.append(posterior(_votes(words, counts, seen, marks, bool(stems)), tables))
             yield pa.RecordBatch.from_arrays([pa.array(features, pa.list_(pa.int32())), pa.array(bad, pa.float64())], names=["features", "bad"])
 
-    sample = stored(chosen.select("text").mapInArrow(run, "features array<int>, bad double")
+    sample = stored(texts(chosen.select("text")).mapInArrow(run, "features array<int>, bad double")
                     .repartition(PARTS, F.xxhash64("features")).sortWithinPartitions(F.xxhash64("features", F.lit(1))))
     return stems, tables, train(sample.coalesce(PARTS))
 
@@ -311,7 +312,7 @@ def classify(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: st
                                               pa.array([s < threshold for s in score], pa.bool_())], names=["doc_id", "score", "weak_label", "kept"])
 
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, score double, weak_label double, kept boolean")
+    return texts(narrow).mapInArrow(run, "doc_id long, score double, weak_label double, kept boolean")
 
 
 def keep_good(docs: DataFrame, model: tuple, threshold: float = 0.5) -> DataFrame:
@@ -324,7 +325,7 @@ def keep_good(docs: DataFrame, model: tuple, threshold: float = 0.5) -> DataFram
             kept = [scorer(*_read(t)[1:]) < threshold for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_())).select(columns)
 
-    return docs.mapInArrow(run, docs.schema)
+    return texts(docs).mapInArrow(run, docs.schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

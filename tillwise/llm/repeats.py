@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.cells import runs
-from tillwise.llm.common import shared_dir, slices, stored
+from tillwise.llm.common import shared_dir, slices, stored, texts
 
 GRAM, PIECES_PER_SHARD, PASSAGES_AT_ONCE, SLICE = 8, 4096, 10_000, 4 << 20
 _P = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
@@ -101,7 +101,7 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view("i8"))
 
 
-def places(texts: DataFrame, window: int, gram: int) -> DataFrame:
+def places(rows: DataFrame, window: int, gram: int) -> DataFrame:
     """(anchor, piece, k, th, at) of every piece; ``at`` holds the first window, a bit for ``several``, and in its last 6 bits the number of windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
@@ -111,7 +111,7 @@ def places(texts: DataFrame, window: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([_signed(anchor), _signed(piece), batch.column("k").take(rows), batch.column("th").take(rows),
                                               pa.array(first << 7 | several.astype("i8") << 6 | number)], names=["anchor", "piece", "k", "th", "at"])
 
-    return texts.select("k", "th", "text").mapInArrow(run, "anchor long, piece long, k long, th int, at long")
+    return texts(rows.select("k", "th", "text")).mapInArrow(run, "anchor long, piece long, k long, th int, at long")
 
 
 def _kept(words: list[bytes]) -> str:
@@ -249,9 +249,9 @@ def drop_repeats(docs: DataFrame, window: int, gram: int = GRAM, id_col: str = "
     if not gram <= window or 2 * window - gram > 62:
         raise ValueError("a piece must have at most 62 words")
     spark = docs.sparkSession
-    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    texts = texts.select("doc_id", "text", F.coalesce("doc_id", F.lit(0).cast("long")).alias("k"), F.hash(F.col("doc_id").isNull(), "text").alias("th"))
-    every = stored(places(texts, window, gram))
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    rows = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(0).cast("long")).alias("k"), F.hash(F.col("doc_id").isNull(), "text").alias("th"))
+    every = stored(places(rows, window, gram))
     several = F.col("at").bitwiseAND(F.lit(64).cast("long")) > 0
     twice = (every.groupBy("anchor").agg(F.sum(F.when(several, 2).otherwise(1)).alias("n")).where("n > 1").select("anchor"))
     again = stored(every.join(twice, "anchor"))
@@ -266,7 +266,7 @@ def drop_repeats(docs: DataFrame, window: int, gram: int = GRAM, id_col: str = "
     # all texts once, bucketed by document; those without any such piece leave only their result
     later = again.select("k", "th").distinct().withColumn("later", F.lit(True))
     name = f"llm_{uuid.uuid4().hex}"
-    (texts.join(later, ["k", "th"], "left").select("doc_id", "k", "th", "text", F.coalesce("later", F.lit(False)).alias("later"))
+    (rows.join(later, ["k", "th"], "left").select("doc_id", "k", "th", "text", F.coalesce("later", F.lit(False)).alias("later"))
      .mapInArrow(_whole, "doc_id long, k long, th int, text string, n_words long, kept_sha256 string")
      .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "k", "th")
      .option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name))

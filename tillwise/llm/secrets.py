@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import checkpointed, slices
+from tillwise.llm.common import checkpointed, slices, texts
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -210,7 +210,7 @@ def labelled_sample(docs: DataFrame, sample: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
                                           pa.array([r[2] for r in rows], pa.string())], names=["kind", "h", "value"])
 
-    return docs.select("text").mapInArrow(run, "kind string, h long, value string")
+    return texts(docs.select("text")).mapInArrow(run, "kind string, h long, value string")
 
 
 def infer(docs: DataFrame, sample: int = SAMPLE) -> Formats | None:
@@ -245,7 +245,7 @@ def find_secrets(docs: DataFrame, formats: Formats | None, id_col: str = "doc_id
                                              names=["doc_id", "n_assign", "n_access", "n_hex", "n_format", "base_sha256", "spans"])
 
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_format long, base_sha256 string, spans string")
+    return texts(narrow).mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_format long, base_sha256 string, spans string")
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:

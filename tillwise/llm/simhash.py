@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions import cells
 from tillwise.functions.components import components
-from tillwise.llm.common import checkpointed, slices
+from tillwise.llm.common import checkpointed, slices, texts
 
 BLOCK = 4096
 HASHES_AT_ONCE = 1 << 16
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.array(fps, dtype="u8").view("i8"))], names=["doc_id", "fp"])
 
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, fp long")
+    return texts(narrow).mapInArrow(run, "doc_id long, fp long")
 
 
 def _syndrome(word: Column) -> Column:
