@@ -88,7 +88,7 @@ def deviation(slots: list[str], shares: dict[str, int]) -> Fraction:
 
 
 def mix(rows: DataFrame, shares: dict[str, int], block: int = 64, other_share: int = 1,
-        id_col: str = "doc_id", source_col: str = "source", rows_per_range: int = 1 << 15,
+        id_col: str = "doc_id", source_col: str = "source", rows_per_range: int = 1 << 12,
         carry: bool = False) -> DataFrame:
     """doc_id, mix_source, block, slot, position (0-based place of the row in the mix).
 
