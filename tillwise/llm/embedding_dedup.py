@@ -97,7 +97,8 @@ def _compare(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
             if hi - lo < 2:
                 continue
             part = table.slice(lo, hi - lo)
-            x = np.array(part.column("vector").to_pylist(), dtype="f8")
+            flat = part.column("vector").combine_chunks().flatten()
+            x = flat.to_numpy().astype("f8").reshape(hi - lo, -1)
             x /= np.abs(x).max(axis=1, keepdims=True)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             near = x @ x.T >= least
