@@ -34,7 +34,7 @@ from tillwise.llm.common import slices, texts
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, loss_tokens long")
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 CACHED_LENGTH = 32
 
 
