@@ -9,7 +9,7 @@ script), keeps its case and its place among the separators. So:
 
 * type and format: an address stays an address, an octet is 0 to 255, a card keeps
   whether its check digit is right, a calling code and a top-level domain stay;
-* gender and script: titles stay, a name keeps its last letter and its script;
+* gender and script: titles stay, each part of a name keeps its last letter and its script;
 * coreference: letter case and separators do not enter the rounds, so one entity has one
   surrogate in every document, however it is written;
 * distinctness: a permutation has no collisions within a format. It is still checked over
@@ -105,19 +105,30 @@ def surrogate(m: Column, key: str, attempt) -> Column:
                 .when(k == "name", F.regexp_extract(m, rf"^(?:{TITLES})\.? ", 0))
                 .when(k == "iban", F.substring(m, 1, 2)).otherwise(F.lit("")))
         tail = (F.when(k == "email", F.regexp_extract(m, r"\.[^.]*$", 0))
-                .when(k.isin("name", "card"), F.substring(m, -1, 1)).otherwise(F.lit("")))
+                .when(k == "card", F.substring(m, -1, 1)).otherwise(F.lit("")))
         return F.struct(k.alias("kind"), head.alias("head"), tail.alias("tail"))
 
+    def endings(e: Column) -> Column:
+        """The letters that a name keeps."""
+        kept = F.concat_ws("", F.transform(F.filter(e["all"], lambda x: x["r"] == 1), lambda x: F.lower(x["a"])))
+        return F.when(e["p"]["kind"] == "name", kept).otherwise(F.lit(""))
+
     def elements(p: Column) -> Column:
         core = F.substr(m, F.length(p["head"]) + 1, F.length(m) - F.length(p["head"]) - F.length(p["tail"]))
         octets = F.transform(F.split(core, r"\."), lambda o: F.struct(F.lit("ip").alias("a"), o.cast("int").alias("i"), F.lit(256).alias("r")))
-        chars = F.transform(F.filter(F.split(core, ""), lambda c: c != ""), _element)
+        def ending(chars: Column) -> Column:
+            # each part of a name keeps its last letter, which often shows the gender
+            def one(c: Column, k: Column) -> Column:
+                last = (p["kind"] == "name") & (F.coalesce(F.get(chars, k + 1), F.lit(" ")) == " ")
+                return F.when(last, F.struct(c.alias("a"), F.lit(0).alias("i"), F.lit(1).alias("r"))).otherwise(_element(c))
+            return F.transform(chars, one)
+        chars = _let(F.filter(F.split(core, ""), lambda c: c != ""), ending)
         return F.struct(p.alias("p"), core.alias("core"), F.when(p["kind"] == "ip", octets).otherwise(chars).alias("all"))
 
     def halves(e: Column) -> Column:
         own = F.filter(e["all"], lambda x: x["r"] > 1)
         # what identifies the entity: its elements, and the kept parts without case
-        canonical = F.concat_ws("|", said_head(e["p"]), F.lower(e["p"]["tail"]), _said(own))
+        canonical = F.concat_ws("|", said_head(e["p"]), F.lower(e["p"]["tail"]), endings(e), _said(own))
         half = F.ceil(F.size(own) / 2).cast("int")
         return F.struct(e.alias("e"), canonical.alias("canonical"),
                         F.slice(own, F.lit(1), half).alias("x"), F.slice(own, half + 1, F.size(own)).alias("y"),
@@ -157,7 +168,7 @@ def surrogate(m: Column, key: str, attempt) -> Column:
             tail = F.when(p["kind"] == "card", check.cast("string")).otherwise(p["tail"])
             return F.struct(p["kind"].alias("kind"), f["canonical"].alias("canonical"),
                             F.concat(p["head"], core, tail).alias("s"),
-                            F.concat_ws("|", said_head(p), F.lower(tail), _said(new)).alias("s_canonical"))
+                            F.concat_ws("|", said_head(p), F.lower(tail), endings(e), _said(new)).alias("s_canonical"))
         return _let(F.concat(f["x"], f["y"]), text)
 
     return _let(_let(_let(_let(_let(kind_of(m), parts), elements), halves), feistel), written)
