@@ -431,3 +431,21 @@ def test_near_duplicate_links_need_no_common_representative(spark):
     for r in sim.near_duplicate_groups(docs).collect():
         groups.setdefault(r.component, set()).add(r.doc_id)
     assert sorted(map(len, groups.values())) == [4] * 11 + [5]
+
+
+def _pairs_at(jaccards, seed):
+    """Two texts of 400 shingles for each (shared, of all) five-word shingles: the second has other words at its end."""
+    rng, rows = random.Random(seed), []
+    for i, j in enumerate(jaccards):
+        words = [f"v{rng.randrange(10 ** 9)}" for _ in range(404)]
+        changed = round(400 * (1 - j) / (1 + j))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:404 - changed] + [f"c{i}x{k}" for k in range(changed)]))]
+    return rows
+
+
+def test_near_duplicates_are_accepted_on_the_exact_jaccard(spark):
+    from tillwise.operators import similarity as sim
+    rows = _pairs_at([0.81] * 25 + [0.85] * 25 + [0.78] * 50, 5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component for r in sim.near_duplicate_groups(docs).collect()}
+    assert got == {i: i - i % 2 if i < 100 else i for i in range(200)}

@@ -326,12 +326,12 @@ def q_semantic_chunks(spark, sf_dir):
     return sim.semantic_chunks(read_table(spark, sf_dir, "embeddings"))
 
 
-@query("match_items", note="T18: verified MinHash LSH links with Jaccard estimates: rows-only (hash family "
+@query("match_items", note="T18: MinHash LSH links, accepted on the exact Jaccard: rows-only (hash family "
                            "differs across engines)")
 def q_match_items(spark, sf_dir):
     return sim.match_items(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query("near_duplicate_groups", note="T18 + T19: components of links with estimated Jaccard >= 0.8: rows-only")
+@query("near_duplicate_groups", note="T18 + T19: components of links with exact Jaccard >= 0.8: rows-only")
 def q_near_duplicate_groups(spark, sf_dir):
     return sim.near_duplicate_groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -7,6 +7,9 @@ repeated contraction (``functions.components``).
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,64 +58,148 @@ def semantic_chunks(vectors: DataFrame, key: str = "vec_id", vec: str = "embeddi
     return out.select(F.col("k").alias(key), "cos_prev", "chunk_id")
 
 
-def minhash_signatures(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5,
-                       num_hashes: int = 64, seed: int = 42) -> DataFrame:
-    """MinHash signature of every document's word ``shingle``-grams over the
-    whole text (built-in ``xxhash64`` per hash seed, array minimum)."""
+def shingle_sets(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5) -> DataFrame:
+    """(doc, shingles): the distinct 64-bit hashes of a document's word ``shingle``-grams, sorted.
+    A text of fewer words is one shingle."""
     from tillwise.operators.text import tokens
-    w = tokens(text)
-    # one row per shingle; 64 hash columns and a grouped min stay in
-    # whole-stage codegen with map-side partial aggregation
-    rows = docs.select(F.col(key).alias("doc"), w.alias("w")).select(
-        "doc", F.explode(F.sequence(F.lit(1), F.greatest(F.size("w") - shingle + 1, F.lit(1)))).alias("i"), "w")
-    rows = rows.select("doc", F.array_join(F.slice("w", F.col("i"), shingle), " ").alias("s"))
-    hashed = rows.select("doc", *[F.xxhash64(F.lit(seed * 1000 + j), "s").alias(f"h{j}") for j in range(num_hashes)])
-    g = hashed.groupBy("doc").agg(*[F.min(f"h{j}").alias(f"h{j}") for j in range(num_hashes)])
-    return g.select("doc", F.array(*[F.col(f"h{j}") for j in range(num_hashes)]).alias("sig"))
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - shingle + 1, F.lit(1))),
+                        lambda i: F.xxhash64(F.array_join(F.slice("w", i, shingle), " ")))
+    return (docs.select(F.col(key).cast("long").alias("doc"), tokens(text).alias("w"))
+            .select("doc", F.sort_array(F.array_distinct(grams)).alias("shingles")))
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The class of each set of shingles is its 128-bit digest."""
+    for batch in batches:
+        digests = [hashlib.md5(s.values.to_numpy().tobytes()).digest() for s in batch.column("shingles")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(digests, pa.binary()), batch.column("shingles")],
+                                         names=["doc", "class", "shingles"])
+
+
+def _banded(batches: Iterator[pa.RecordBatch], bands: int, rows: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """MinHash bands: one bucket per band from the least of ``rows`` hashes each."""
+    draws = np.random.default_rng(seed).integers(0, 1 << 64, (bands * rows, 2), dtype="u8")
+    for batch in _named(batches):
+        if not batch.num_rows:
+            continue
+        sets = batch.column("shingles")
+        flat, starts = sets.flatten().to_numpy().view("u8"), (sets.offsets.to_numpy() - sets.offsets[0].as_py())[:-1]
+        buckets = np.zeros((batch.num_rows, bands), dtype="u8")
+        for j, (flip, factor) in enumerate(draws):
+            least = np.minimum.reduceat((flat ^ flip) * (factor | np.uint64(1)), starts)
+            if j % rows == 0:
+                buckets[:, j // rows] = j
+            mixed = (buckets[:, j // rows] ^ least) * np.uint64(0x9E3779B97F4A7C15)
+            buckets[:, j // rows] = mixed ^ (mixed >> np.uint64(29))
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("class"), pa.array(list(buckets.view("i8")), pa.list_(pa.int64()))],
+                                         names=["doc", "class", "buckets"])
+
+
+def _met_here(buckets: np.ndarray, side: np.ndarray, band: int, split: bool) -> np.ndarray:
+    """Pairs of a cell that share no bucket of an earlier band (and, in a cell of two blocks, lie on both sides)."""
+    here = side[:, None] != side[None, :] if split else ~np.eye(len(side), dtype=bool)
+    for k in range(band):
+        here &= buckets[:, None, k] != buckets[None, :, k]
+    return here
+
+
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of a cell that have a pair to compare there."""
+    for table, bounds in cells.runs(batches, ["bucket", "lo", "hi"]):
+        flat = table.column("buckets").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+        side, band = table.column("side").to_numpy(), table.column("band").to_numpy()
+        split = table.column("lo").to_numpy() != table.column("hi").to_numpy()
+        wanted = np.zeros(table.num_rows, dtype=bool)
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            if hi - lo > 1:
+                wanted[lo:hi] = _met_here(flat[lo:hi], side[lo:hi], band[lo], split[lo]).any(axis=1)
+        yield from table.filter(pa.array(wanted)).to_batches()
+
+
+def jaccard(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Exact Jaccard similarity of every two sets (distinct values each)."""
+    sizes = np.array([len(s) for s in sets])
+    _, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = n > 1  # what one set alone holds is in no intersection
+    keep = several[at]
+    row, col = np.repeat(np.arange(len(sets)), sizes)[keep], (np.cumsum(several) - 1)[at[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    common = np.zeros((len(sets), len(sets)))
+    for first in range(0, int(several.sum()), columns):
+        lo, hi = np.searchsorted(col, [first, first + columns])
+        member = np.zeros((len(sets), min(columns, int(several.sum()) - first)), dtype="f4")
+        member[row[lo:hi], col[lo:hi] - first] = 1
+        common += member @ member.T
+    return common / (sizes[:, None] + sizes[None, :] - common)
+
+
+def _compare(batches: Iterator[pa.RecordBatch], min_jaccard: float) -> Iterator[pa.RecordBatch]:
+    """A spanning forest over each cell's pairs of at least ``min_jaccard``."""
+    for table, bounds in cells.runs(batches, ["bucket", "lo", "hi"]):
+        names, sets = table.column("class").to_pylist(), table.column("shingles").combine_chunks()
+        buckets = table.column("buckets").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+        side, band = table.column("side").to_numpy(), table.column("band").to_numpy()
+        split = table.column("lo").to_numpy() != table.column("hi").to_numpy()
+        a, b, share = [], [], []
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            exact = jaccard([sets[i].values.to_numpy() for i in range(lo, hi)])
+            near = _met_here(buckets[lo:hi], side[lo:hi], band[lo], split[lo]) & (exact >= min_jaccard)
+            free = near.any(axis=1)
+            for root in np.flatnonzero(free):
+                if free[root]:
+                    free[root], stack = False, [root]
+                    while stack:
+                        at = stack.pop()
+                        hits = np.flatnonzero(near[at] & free)
+                        free[hits] = False
+                        stack += hits.tolist()
+                        a += [names[lo + i] for i in hits]
+                        b += [names[lo + at]] * hits.size
+                        share += exact[at, hits].tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(share, pa.float64())],
+                                         names=["a", "b", "jaccard"])
+
+
+def _near_sets(docs: DataFrame, text: str, key: str, bands: int, rows: int, seed: int, min_jaccard: float,
+               block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc, class), classes (class, rep, copies) of equal shingle sets, and the links found between classes.
+
+    Bands only propose pairs. A pair is compared once, in the first band whose
+    bucket it shares, on the shingle sets themselves; sets go only to the cells
+    where they have such a pair. A bucket of more than ``block`` classes is split
+    (``functions.cells``)."""
+    sets = shingle_sets(docs, text, key)
+    found = reliable_checkpoint(sets.mapInArrow(lambda x: _banded(x, bands, rows, seed), "doc long, class binary, buckets array<long>"))
+    classes = reliable_checkpoint(found.groupBy("class", "buckets").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies")))
+    b = classes.select("class", F.posexplode("buckets").alias("band", "bucket"))
+    full = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    dealt = cells.deal(b.join(full, "bucket"), "bucket", "class", block).join(classes.select("class", "buckets"), "class")
+    shape = "bucket long, lo int, hi int, side int, band int, class binary, buckets array<long>"
+    names = [x.split()[0] for x in shape.split(", ")]
+    wanted = reliable_checkpoint(cells.gathered(dealt.select(*names), "bucket").mapInArrow(_wanted, shape))
+    own = (sets.mapInArrow(_named, "doc long, class binary, shingles array<long>")
+           .join(wanted.select("class").distinct(), "class", "left_semi")
+           .groupBy("class", "shingles").agg(F.count(F.lit(1)).alias("n")).select("class", "shingles"))
+    links = reliable_checkpoint(cells.gathered(wanted.join(own, "class"), "bucket").mapInArrow(
+        lambda x: _compare(x, min_jaccard), "a binary, b binary, jaccard double"))
+    return found.select("doc", "class"), classes.select("class", "rep", "copies"), links
 
 
 def match_items(docs: DataFrame, text: str = "text", key: str = "doc_id", bands: int = 16, rows: int = 4,
-                seed: int = 42, min_jaccard: float = 0.8, block: int = 2048) -> DataFrame:
-    """Near-duplicate links by MinHash LSH: (key, match_id, est_jaccard).
-
-    Documents with equal signatures are one class, linked to its smallest
-    document. Classes that share a band bucket are all compared, in bounded
-    cells (``functions.cells``); what a cell returns are the links of a spanning
-    forest over its pairs of at least ``min_jaccard``, each with its estimate.
-    So documents connected by such links come out connected, and no bucket
-    emits all its pairs."""
-    sig = reliable_checkpoint(minhash_signatures(docs, text, key, num_hashes=bands * rows, seed=seed))
-    classes = reliable_checkpoint(sig.groupBy("sig").agg(F.min("doc").alias("rep")))
-    equal = sig.join(classes, "sig").where(F.col("doc") != F.col("rep")).select(
-        F.col("doc").alias(key), F.col("rep").alias("match_id"), F.lit(1.0).alias("est_jaccard"))
-    b = classes.select("rep", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
-                                                    lambda i: F.xxhash64(i, F.slice("sig", i * rows + 1, rows)))).alias("bucket"))
-    full = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    dealt = cells.deal(b.join(full, "bucket"), "bucket", "rep", block).select("bucket", "lo", "hi", "rep")
-    members = cells.gathered(dealt.join(classes, "rep"), "bucket")
-
-    def forest(batches):
-        for table, bounds in cells.runs(batches, ["bucket", "lo", "hi"]):
-            ids, out = table.column("rep").to_numpy(), ([], [], [])
-            flat = table.column("sig").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-            for lo, hi in zip(bounds[:-1], bounds[1:]):
-                left = np.arange(lo, hi)
-                while left.size > 1:
-                    stack, left = [left[0]], left[1:]
-                    while stack and left.size:
-                        at = stack.pop()
-                        share = (flat[left] == flat[at]).mean(axis=1)
-                        hit = share >= min_jaccard
-                        stack += left[hit].tolist()
-                        out[0].extend(ids[left[hit]].tolist())
-                        out[1].extend([int(ids[at])] * int(hit.sum()))
-                        out[2].extend(share[hit].tolist())
-                        left = left[~hit]
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())],
-                                             names=[key, "match_id", "est_jaccard"])
-
-    close = members.select("bucket", "lo", "hi", F.col("rep").cast("long").alias("rep"), "sig").mapInArrow(
-        forest, f"{key} long, match_id long, est_jaccard double")
+                seed: int = 42, min_jaccard: float = 0.8, block: int = 512) -> DataFrame:
+    """Near-duplicate links by MinHash LSH: (key, match_id, jaccard).
+
+    Documents of equal shingle sets are one class, linked to its smallest
+    document. Classes that share a bucket are compared by the exact Jaccard
+    similarity of their five-word shingle sets; the links are a spanning forest
+    over each cell's pairs of at least ``min_jaccard``. So documents connected by
+    such links come out connected, and no bucket emits all its pairs."""
+    of, classes, links = _near_sets(docs, text, key, bands, rows, seed, min_jaccard, block)
+    equal = of.join(classes, "class").where(F.col("doc") != F.col("rep")).select(
+        F.col("doc").alias(key), F.col("rep").alias("match_id"), F.lit(1.0).alias("jaccard"))
+    rep = lambda c, name: classes.select(F.col("class").alias(c), F.col("rep").alias(name))
+    close = links.join(rep("a", key), "a").join(rep("b", "match_id"), "b").select(key, "match_id", "jaccard")
     return equal.unionByName(close.distinct())
 
 
