@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillwise.operators import activity as act
@@ -449,3 +450,30 @@ def test_near_duplicates_are_accepted_on_the_exact_jaccard(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r.doc_id: r.component for r in sim.near_duplicate_groups(docs).collect()}
     assert got == {i: i - i % 2 if i < 100 else i for i in range(200)}
+
+
+@pytest.mark.parametrize("block", [512, 8])
+def test_match_items_counts_every_link(spark, block):
+    from tillwise.operators import similarity as sim
+    rng = random.Random(8)
+    rows = []
+    for g in range(3):
+        words = [f"g{g}v{rng.randrange(10 ** 6)}" for _ in range(300)]
+        for k in range(20):
+            w = list(words)
+            for _ in range(rng.randrange(1, 7)):
+                w[rng.randrange(300)] = f"x{rng.randrange(10 ** 9)}"
+            rows.append((100 * g + k, " ".join(w)))
+    rows += [(900, rows[0][1]), (901, rows[0][1]), (902, None), (903, None), (904, ""), (None, rows[5][1]), (905, "one two")]
+    grams = [frozenset(tuple((t or "").split()[i:i + 5]) for i in range(max(len((t or "").split()) - 4, 1))) if t is not None else None for _, t in rows]
+    near = lambda a, b: a == b if a is None or b is None else len(a & b) / len(a | b) >= 0.8
+    want, label = [], list(range(len(rows)))
+    for i, a in enumerate(grams):
+        want.append(sum(near(a, b) for j, b in enumerate(grams) if i != j))
+        for j, b in enumerate(grams):
+            if near(a, b):
+                label = [label[i] if x == label[j] else x for x in label]
+    least = {x: min(r[0] for r, y in zip(rows, label) if y == x and r[0] is not None) for x in label}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(str, (tuple(r) for r in sim.match_items(docs, block=block, bands=32, rows=2).collect())))
+    assert got == sorted(str((r[0], least[x], n)) for r, x, n in zip(rows, label, want))

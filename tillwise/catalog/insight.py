@@ -326,7 +326,7 @@ def q_semantic_chunks(spark, sf_dir):
     return sim.semantic_chunks(read_table(spark, sf_dir, "embeddings"))
 
 
-@query("match_items", note="T18: MinHash LSH links, accepted on the exact Jaccard: rows-only (hash family "
+@query("match_items", note="T18: class and number of MinHash LSH links of exact Jaccard >= 0.8: rows-only (hash family "
                            "differs across engines)")
 def q_match_items(spark, sf_dir):
     return sim.match_items(read_table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -135,18 +135,23 @@ def jaccard(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
 
 
 def _compare(batches: Iterator[pa.RecordBatch], min_jaccard: float) -> Iterator[pa.RecordBatch]:
-    """A spanning forest over each cell's pairs of at least ``min_jaccard``."""
+    """Per cell: the links of each class (b null), and a spanning forest over the pairs of at least ``min_jaccard``."""
     for table, bounds in cells.runs(batches, ["bucket", "lo", "hi"]):
         names, sets = table.column("class").to_pylist(), table.column("shingles").combine_chunks()
         buckets = table.column("buckets").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
         side, band = table.column("side").to_numpy(), table.column("band").to_numpy()
+        copies = table.column("copies").to_numpy()
         split = table.column("lo").to_numpy() != table.column("hi").to_numpy()
-        a, b, share = [], [], []
+        a, b, n = [], [], []
         for lo, hi in zip(bounds[:-1], bounds[1:]):
-            exact = jaccard([sets[i].values.to_numpy() for i in range(lo, hi)])
-            near = _met_here(buckets[lo:hi], side[lo:hi], band[lo], split[lo]) & (exact >= min_jaccard)
-            free = near.any(axis=1)
-            for root in np.flatnonzero(free):
+            near = _met_here(buckets[lo:hi], side[lo:hi], band[lo], split[lo])
+            near &= jaccard([sets[i].values.to_numpy() for i in range(lo, hi)]) >= min_jaccard
+            count, free = near @ copies[lo:hi], near.any(axis=1)
+            linked = np.flatnonzero(free)
+            a += [names[lo + i] for i in linked]
+            b += [None] * linked.size
+            n += count[linked].tolist()
+            for root in linked:
                 if free[root]:
                     free[root], stack = False, [root]
                     while stack:
@@ -156,14 +161,14 @@ def _compare(batches: Iterator[pa.RecordBatch], min_jaccard: float) -> Iterator[
                         stack += hits.tolist()
                         a += [names[lo + i] for i in hits]
                         b += [names[lo + at]] * hits.size
-                        share += exact[at, hits].tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(share, pa.float64())],
-                                         names=["a", "b", "jaccard"])
+                        n += [0] * hits.size
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())],
+                                         names=["a", "b", "n"])
 
 
 def _near_sets(docs: DataFrame, text: str, key: str, bands: int, rows: int, seed: int, min_jaccard: float,
                block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (doc, class), classes (class, rep, copies) of equal shingle sets, and the links found between classes.
+    """Rows (doc, class), classes (class, rep, copies) of equal shingle sets, and what ``_compare`` finds between classes.
 
     Bands only propose pairs. A pair is compared once, in the first band whose
     bucket it shares, on the shingle sets themselves; sets go only to the cells
@@ -174,37 +179,38 @@ def _near_sets(docs: DataFrame, text: str, key: str, bands: int, rows: int, seed
     classes = reliable_checkpoint(found.groupBy("class", "buckets").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies")))
     b = classes.select("class", F.posexplode("buckets").alias("band", "bucket"))
     full = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    dealt = cells.deal(b.join(full, "bucket"), "bucket", "class", block).join(classes.select("class", "buckets"), "class")
-    shape = "bucket long, lo int, hi int, side int, band int, class binary, buckets array<long>"
+    dealt = cells.deal(b.join(full, "bucket"), "bucket", "class", block).join(classes.select("class", "copies", "buckets"), "class")
+    shape = "bucket long, lo int, hi int, side int, band int, class binary, copies long, buckets array<long>"
     names = [x.split()[0] for x in shape.split(", ")]
     wanted = reliable_checkpoint(cells.gathered(dealt.select(*names), "bucket").mapInArrow(_wanted, shape))
     own = (sets.mapInArrow(_named, "doc long, class binary, shingles array<long>")
            .join(wanted.select("class").distinct(), "class", "left_semi")
            .groupBy("class", "shingles").agg(F.count(F.lit(1)).alias("n")).select("class", "shingles"))
     links = reliable_checkpoint(cells.gathered(wanted.join(own, "class"), "bucket").mapInArrow(
-        lambda x: _compare(x, min_jaccard), "a binary, b binary, jaccard double"))
+        lambda x: _compare(x, min_jaccard), "a binary, b binary, n long"))
     return found.select("doc", "class"), classes.select("class", "rep", "copies"), links
 
 
 def match_items(docs: DataFrame, text: str = "text", key: str = "doc_id", bands: int = 16, rows: int = 4,
                 seed: int = 42, min_jaccard: float = 0.8, block: int = 512) -> DataFrame:
-    """Near-duplicate links by MinHash LSH: (key, match_id, jaccard).
-
-    Documents of equal shingle sets are one class, linked to its smallest
-    document. Classes that share a bucket are compared by the exact Jaccard
-    similarity of their five-word shingle sets; the links are a spanning forest
-    over each cell's pairs of at least ``min_jaccard``. So documents connected by
-    such links come out connected, and no bucket emits all its pairs."""
-    of, classes, links = _near_sets(docs, text, key, bands, rows, seed, min_jaccard, block)
-    equal = of.join(classes, "class").where(F.col("doc") != F.col("rep")).select(
-        F.col("doc").alias(key), F.col("rep").alias("match_id"), F.lit(1.0).alias("jaccard"))
-    rep = lambda c, name: classes.select(F.col("class").alias(c), F.col("rep").alias(name))
-    close = links.join(rep("a", key), "a").join(rep("b", "match_id"), "b").select(key, "match_id", "jaccard")
-    return equal.unionByName(close.distinct())
+    """Near-duplicate documents by MinHash LSH: (key, match_id, n_links) for each row of ``docs``.
+
+    Two documents are linked if the exact Jaccard similarity of their five-word
+    shingle sets is at least ``min_jaccard``; ``n_links`` counts a document's links,
+    ``match_id`` is the smallest id of its connected class. Documents of equal sets
+    are compared as one. Pairs are counted, not emitted: each in the first band whose
+    bucket it shares. Null ids are ignored for ``match_id``, which is null where the
+    class has no other."""
+    of, classes, found = _near_sets(docs, text, key, bands, rows, seed, min_jaccard, block)
+    counts = found.where("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n"))
+    labels = components(found.where("b is not null").select("a", "b")).select(F.col("id").alias("class"), "label")
+    linked = (classes.join(counts, "class", "left").join(labels, "class", "left")
+              .withColumn("label", F.coalesce("label", "class")))
+    least = linked.groupBy("label").agg(F.min("rep").alias("match_id"))
+    groups = linked.join(least, "label").select("class", "match_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return of.join(groups, "class").select(F.col("doc").alias(key), "match_id", "n_links")
 
 
 def near_duplicate_groups(docs: DataFrame, min_jaccard: float = 0.8, key: str = "doc_id") -> DataFrame:
     """T18 -> T19: components of the near-duplicate links."""
-    m = match_items(docs, key=key, min_jaccard=min_jaccard)
-    edges = m.select(F.col(key).alias("src"), F.col("match_id").alias("dst"))
-    return connected_components(docs.select(key), edges, key)
+    return match_items(docs, key=key, min_jaccard=min_jaccard).select(key, F.col("match_id").alias("component"))
