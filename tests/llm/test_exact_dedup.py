@@ -33,3 +33,12 @@ def test_drop_keeps_columns_and_one_text_each(docs, clashing, empty_docs):
     assert len(texts) == len(set(texts)) == exact_dedup.exact_classes(docs).select("text_sha256").distinct().count()
     assert exact_dedup.drop_exact_copies(empty_docs).count() == 0
     assert exact_dedup.exact_classes(empty_docs).count() == 0
+
+
+def test_one_row_of_each_class_stays(spark):
+    rows = [(None, "Copy", "a"), (None, "copy", "b"), (None, "copy", "c"), (4, "x", "d"), (4, "x", "e"), (5, "X", "f"), (4, "copies", "g"),
+            (None, None, "h"), (None, "", "i"), (7, "one", "j")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    for keep, x in (("smallest", 4), ("largest", 5)):
+        got = [(r["doc_id"], (r["text"] or "").lower()) for r in exact_dedup.drop_exact_copies(docs, keep).collect()]
+        assert sorted(got, key=str) == sorted([(None, "copy"), (x, "x"), (4, "copies"), (None, ""), (7, "one")], key=str)

@@ -105,3 +105,14 @@ def test_stars():
     fps = np.array([0, 1, 3, 7, 0xFFFF, 0xFFFE], dtype="u8")
     found = simhash.stars(fps, 1)
     assert sorted((int(r), sorted(map(int, o))) for r, o in found) == [(0, [1, 3, 7]), (0xFFFF, [0xFFFE])]
+
+
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"t{i}w{rng.randrange(10 ** 6)}" for _ in range(400)) for i in range(5)]
+    near = texts[0].upper()
+    rows = [(None, texts[0]), (None, texts[0]), (None, near), (3, texts[1]), (3, texts[1]), (2, texts[2]), (3, texts[2]), (None, texts[2]),
+            (None, texts[3]), (9, texts[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r["doc_id"], r["text"].lower()) for r in simhash.drop_near_duplicates(docs, 4, 4).collect()]
+    assert sorted(got, key=str) == sorted([(None, texts[0]), (3, texts[1]), (2, texts[2]), (None, texts[3]), (9, texts[4])], key=str)

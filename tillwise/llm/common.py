@@ -83,3 +83,10 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 << 20) -
                 start, held = i, 0
             held += n
         yield batch.slice(start)
+
+
+def one_row_each(df: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """One row of each group of ``keys``, that of least text; the keys go."""
+    others = [c for c in df.columns if c not in keys]
+    row = F.min_by(F.struct(*[F.col(c) for c in others]), F.coalesce(text_col, F.lit("")))
+    return df.groupBy(*keys).agg(row.alias("__row")).select("__row.*")

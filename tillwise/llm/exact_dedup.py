@@ -7,8 +7,8 @@ per map task. Rows then find their class over narrow columns (id and digests); t
 is a plain equi-join, whose large keys Spark splits.
 
 Defined results: a null text counts as empty; a null id loses to any other id and is
-kept only where the class has no id at all; rows that repeat an id and its text share
-their fate; an empty table gives an empty result; further columns of the input are
+kept only where the class has no id at all; in the classes, rows that repeat an id and its
+text share their fate, but of those dropping copies keeps one; an empty table gives an empty result; further columns of the input are
 neither read nor returned.
 """
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import ascii_lower
+from tillwise.llm.common import ascii_lower, checkpointed, one_row_each
 
 
 def exact_classes(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id", text_col: str = "text",
@@ -40,8 +40,13 @@ def exact_classes(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id
 
 def drop_exact_copies(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that are copies; all columns stay."""
-    kept = (exact_classes(docs, keep, id_col, text_col).where("kept")
-            .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct())
+    """``docs`` with one row of each class; all columns stay."""
+    kept = checkpointed(exact_classes(docs, keep, id_col, text_col).where("kept")
+                        .groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).agg(F.count(F.lit(1)).alias("__n")))
     sha = F.sha2(ascii_lower(F.coalesce(docs[text_col], F.lit(""))), 256)
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_semi")
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (sha == F.col("__sha"))
+    several = kept.where("__n > 1")
+    if several.isEmpty():
+        return docs.join(kept, same, "left_semi")
+    single = docs.join(kept.where("__n = 1"), same, "left_semi")
+    return single.unionByName(one_row_each(docs.join(several.drop("__n"), same), ["__id", "__sha"], text_col))

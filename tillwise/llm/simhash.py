@@ -17,7 +17,7 @@ star per component, never all pairs.
 
 Defined results: null text and text without words have fingerprint 0, linked like any
 other; null ids are ignored for the component's id, which is null where there is no
-other; repeated rows share their component; an empty table gives an empty result.
+other; repeated rows share their component, of which dropping keeps one row; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,10 +30,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tillwise.functions import cells
 from tillwise.functions.components import components
-from tillwise.llm.common import checkpointed, slices, texts
+from tillwise.llm.common import checkpointed, one_row_each, slices, texts
 
 BLOCK = 4096
 HASHES_AT_ONCE = 1 << 16
@@ -128,21 +129,49 @@ def links(fps: DataFrame, max_bits: int, block: int = BLOCK) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text",
-                    block: int = BLOCK) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest id of the component) per row."""
+def _labelled(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str, block: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, fp), and (fp, label, component_id) of each distinct fingerprint."""
     rows = checkpointed(fingerprints(docs, shingle, id_col, text_col))
     distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     labels = components(links(distinct.select("fp"), max_bits, block)).select(F.col("id").alias("fp"), "label")
     labelled = distinct.join(labels, "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    of = labelled.select("fp", "label").join(least, "label").select("fp", "component_id")
-    return rows.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return rows, labelled.select("fp", "label").join(least, "label")
+
+
+def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text",
+                    block: int = BLOCK) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest id of the component) per row."""
+    rows, of = _labelled(docs, shingle, max_bits, id_col, text_col, block)
+    return rows.join(of.drop("label"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def with_fingerprint(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
+    """``docs`` with the column ``__fp``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col):
+            fps = [fingerprint(t.as_buffer().to_pybytes(), shingle) if t.is_valid else 0 for t in batch.column(text_col)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(fps, dtype="u8").view("i8"))], names=[*batch.schema.names, "__fp"])
+
+    return texts(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField("__fp", LongType())]))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, that of smallest id; all columns stay."""
-    found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+    """``docs`` with one row of each component, of smallest id (and fingerprint); all columns stay.
+
+    An id that one row has finds its row; rows of null or repeated ids are found by fingerprint too."""
+    rows, of = _labelled(docs, shingle, max_bits, id_col, text_col, BLOCK)
+    chosen = checkpointed(rows.join(of, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                          .groupBy("label").agg(F.min(F.struct("fp", "doc_id")).alias("x"))
+                          .select(F.col("x.doc_id").alias("__id"), F.col("x.fp").alias("__kept")))
+    several = checkpointed(rows.groupBy(F.col("doc_id").alias("__several")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    by_id = docs[id_col].cast("long").eqNullSafe(F.col("__id"))
+    if several.isEmpty():
+        return docs.join(chosen, by_id, "left_semi")
+    unique = chosen.join(several, F.col("__id").eqNullSafe(F.col("__several")), "left_anti")
+    shared = chosen.join(several, F.col("__id").eqNullSafe(F.col("__several")), "left_semi")
+    found = with_fingerprint(docs.join(several, docs[id_col].cast("long").eqNullSafe(F.col("__several")), "left_semi"), shingle, text_col)
+    found = found.join(shared, found[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.col("__fp") == F.col("__kept")))
+    return (docs.join(unique, by_id, "left_semi")
+            .unionByName(one_row_each(found.drop("__fp"), ["__id", "__kept"], text_col)))
