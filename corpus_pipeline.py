@@ -36,8 +36,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences; neighbours in the mix share sequences."""
-    return packing.pack_documents(docs, tokenizer_path(), END_ID, SEQUENCE_TOKENS, SEQUENCE_SEGMENTS)
+    """Pieces of token sequences; neighbours in the mix share sequences.
+
+    Reading Parquet deals files by size, not by name, so the order of the mix is found again
+    from ids and sources: each task packs a range of positions, and later ranges have greater sequence ids."""
+    ordered = mixing.mixed(docs.select("doc_id", "text", "source"), MIX_SHARES, MIX_BLOCK)
+    return packing.pack_documents(ordered, tokenizer_path(), END_ID, SEQUENCE_TOKENS, SEQUENCE_SEGMENTS)
 
 
 STAGES = [

@@ -96,3 +96,26 @@ def test_run_equals_stages(spark, stages):
     a = sorted((r["doc_id"], r["doc_tokens"]) for r in corpus_pipeline.run(spark, SF).select("doc_id", "doc_tokens").distinct().collect())
     assert a == sorted((r["doc_id"], r["doc_tokens"]) for r in stages[4][1].select("doc_id", "doc_tokens").distinct().collect())
     assert exact_dedup.exact_classes(stages[2][1]).where("not kept").count() == 0
+
+
+def test_packing_follows_the_mix_over_several_files(spark, tmp_path):
+    rows = [(i, f"w{i} " * (1 + (i * 7) % 300), "en", "src0" if i % 3 else f"src{i % 21}", 1) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.files.maxPartitionBytes")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        mixing.mixed(docs, MIX_SHARES, MIX_BLOCK).write.option("maxRecordsPerFile", 217).parquet(str(tmp_path / "mix"))
+        mixed = spark.read.parquet(str(tmp_path / "mix"))
+        assert mixed.rdd.getNumPartitions() > 8
+        pieces = corpus_pipeline.pack(spark, mixed, SF).collect()
+        where = {r["doc_id"]: r["position"] for r in mixing.mix(docs, MIX_SHARES, MIX_BLOCK).collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    places = {}
+    for r in pieces:
+        places.setdefault(r["sequence_id"] >> 33, set()).add(where[r["doc_id"]])
+    assert len(places) > 4 and {p for x in places.values() for p in x} == set(range(len(rows)))
+    spans = [(min(places[k]), max(places[k])) for k in sorted(places)]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
