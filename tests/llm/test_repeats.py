@@ -59,3 +59,12 @@ def test_hash_of_stretches():
 def test_bounds(docs):
     with pytest.raises(ValueError):
         repeats.drop_repeats(docs, 40, 8)
+
+
+def test_texts_of_one_32_bit_hash_are_told_apart(spark):
+    from pyspark.sql import functions as F
+    rows = [(None, " ".join(f"{i}w{j}" for j in range(3 + i % 5)) + " " + " ".join(f"{i}q{j}" if i % 2 else f"p{j}" for j in range(40)))
+            for i in (34481, 108309, 9214, 283701, 12634, 136651)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert docs.select(F.hash(F.lit(True), "text")).distinct().count() == 3
+    assert rows_of(docs, window=35) == brute(rows, 35)

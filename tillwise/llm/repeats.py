@@ -22,8 +22,8 @@ more, in one document or several. Every word that such a window covers goes.
 Texts are shuffled once, into a table bucketed by document in the shared folder, which
 both later joins read in place. Nothing is gathered beyond one document's own places.
 
-Defined results: a null text has no words; texts shorter than a window lose nothing; null
-or repeated ids are told apart by their text, and rows equal in both count as two places;
+Defined results: a null text has no words; texts shorter than a window lose nothing; documents
+are told apart by 128 bits of their id and text, and rows equal in both count as two places;
 an empty table gives an empty result; other columns are not read.
 """
 
@@ -37,7 +37,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.cells import runs
@@ -111,7 +111,7 @@ def places(rows: DataFrame, window: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([_signed(anchor), _signed(piece), batch.column("k").take(rows), batch.column("th").take(rows),
                                               pa.array(first << 7 | several.astype("i8") << 6 | number)], names=["anchor", "piece", "k", "th", "at"])
 
-    return texts(rows.select("k", "th", "text")).mapInArrow(run, "anchor long, piece long, k long, th int, at long")
+    return texts(rows.select("k", "th", "text")).mapInArrow(run, "anchor long, piece long, k long, th long, at long")
 
 
 def _kept(words: list[bytes]) -> str:
@@ -244,13 +244,18 @@ def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
+def _told_apart(doc_id: str, text: str) -> list[Column]:
+    """k and th: 128 bits of a document's id and text, by which all steps know it."""
+    return [F.xxhash64(F.lit(seed), F.col(doc_id).isNull(), doc_id, text).alias(name) for seed, name in ((1, "k"), (2, "th"))]
+
+
 def drop_repeats(docs: DataFrame, window: int, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words, joined by blanks) for each row of ``docs``."""
     if not gram <= window or 2 * window - gram > 62:
         raise ValueError("a piece must have at most 62 words")
     spark = docs.sparkSession
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    rows = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(0).cast("long")).alias("k"), F.hash(F.col("doc_id").isNull(), "text").alias("th"))
+    rows = rows.select("doc_id", "text", *_told_apart("doc_id", "text"))
     every = stored(places(rows, window, gram))
     several = F.col("at").bitwiseAND(F.lit(64).cast("long")) > 0
     twice = (every.groupBy("anchor").agg(F.sum(F.when(several, 2).otherwise(1)).alias("n")).where("n > 1").select("anchor"))
@@ -267,7 +272,7 @@ def drop_repeats(docs: DataFrame, window: int, gram: int = GRAM, id_col: str = "
     later = again.select("k", "th").distinct().withColumn("later", F.lit(True))
     name = f"llm_{uuid.uuid4().hex}"
     (rows.join(later, ["k", "th"], "left").select("doc_id", "k", "th", "text", F.coalesce("later", F.lit(False)).alias("later"))
-     .mapInArrow(_whole, "doc_id long, k long, th int, text string, n_words long, kept_sha256 string")
+     .mapInArrow(_whole, "doc_id long, k long, th long, text string, n_words long, kept_sha256 string")
      .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "k", "th")
      .option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name))
     table = spark.table(name)
