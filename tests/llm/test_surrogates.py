@@ -70,3 +70,18 @@ def test_collisions_go_to_a_next_attempt(spark):
 
 def test_empty(empty_docs):
     assert surrogates.replace(empty_docs, "k").count() == 0
+
+
+def test_groupings_and_titles_of_four_languages(spark):
+    found = ["+44 20 7946 0958", "+33 1 42 68 53 00", "+49 30 901820", "+34 612 345 678", "555 123 4567", "+1 415 555 2671", "3782 822463 10005",
+             "01 42 68 53 00", "020 7946 0958", "030 901820", "612 345 678", "Dr. Anna Schmidt", "Prof. Weber", "M. Dupont", "Mme Claire Petit", "Sr. Gomez",
+             "Sra. Lopez", "Herr Dr. Meyer", "555-123-4567", "4111 1111 1111 1111"]
+    plain = ["in 2019 12 345 people", "1 234 567 890 1234", "M Theory", "10 000 000"]
+    docs = spark.createDataFrame([(i, f"say {x}, yes") for i, x in enumerate(found + plain)], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["text"], r["n_replaced"]) for r in surrogates.replace(docs, "key").collect()}
+    for i, x in enumerate(found):
+        text, n = got[i]
+        new = text.removeprefix("say ").removesuffix(", yes")
+        assert n == 1 and new != x and re.sub(r"\w", "x", new) == re.sub(r"\w", "x", x), (x, text, n)
+    assert luhn(got[6][0]) == luhn(found[6]) and got[0][0].startswith("say +44 ") and got[17][0].startswith("say Herr Dr. ")
+    assert all(got[len(found) + i] == (f"say {x}, yes", 0) for i, x in enumerate(plain))

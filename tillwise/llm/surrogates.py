@@ -29,14 +29,21 @@ from pyspark.sql import functions as F
 from tillwise.llm.common import checkpointed
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
-FEMALE = "Mrs|Ms|Miss|Frau|Madame|Señora|Госпожа"
-TITLES = "Mrs|Mr|Ms|Miss|Herr|Frau|Monsieur|Madame|Señora|Señor|Господин|Госпожа"
-NAME = rf"(?<!\p{{L}})(?:{TITLES})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
+FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Sra|Srta|Dra|Госпожа"
+TITLES = ("Mrs|Mr|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Mlle|M(?=\\.)|Señora|Señor|Sra|Srta|Sr|Dra|Dr|Prof|"
+          "Господин|Госпожа")
+TITLED = rf"(?:(?:{TITLES})\.? ){{1,3}}"
+NAME = rf"(?<!\p{{L}}){TITLED}\p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3}[ .-]?\d{4}(?!\w)|(?<!\w)\+\d{8,15}(?!\w)"
-CARD = r"(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\w)"
+NATIONAL = (r"\d{3} \d{3} \d{4}|0\d(?:[ .-]\d{2}){4}|0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}|0\d{2,4}[ /-]\d{5,8}"
+            r"|[6-9]\d{2}(?: \d{3}){2}|[6-9]\d{2}(?: \d{2}){3}")
+PHONE = (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3}[ .-]?\d{4}(?!\w)|(?<!\w)\+\d{8,15}(?!\w)"
+         r"|(?<![\w+])\+(?:\d[ .()/-]{0,2}){7,14}\d(?!\w)"
+         rf"|(?<![\w+])(?<!\d[ .,/-])(?:{NATIONAL})(?![\w]|[ .,/-]\d)")
+CARDS = r"\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}"
+CARD = rf"(?<![\w-])(?:{CARDS})(?!\w)"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)"
 ENTITY = "|".join((EMAIL, NAME, IPV4, SSN, PHONE, CARD, IBAN))
 #: Whatever ENTITY finds has a digit, an at sign or a title: a cheap test that most texts fail.
@@ -53,12 +60,12 @@ def _let(value: Column, f) -> Column:
 
 def kind_of(m: Column) -> Column:
     return (F.when(m.contains("@"), "email")
-            .when(m.rlike(rf"^(?:{TITLES})\.? "), "name")
+            .when(m.rlike(rf"^{TITLED}"), "name")
             .when(m.rlike(rf"^{IPV4}$"), "ip")
             .when(m.rlike(rf"^{SSN}$"), "ssn")
             .when(m.rlike(r"^[A-Z]{2}\d\d"), "iban")
-            .when(m.rlike(r"[+(.]") | m.rlike(r"^\d{3}-\d{3}[ .-]?\d{4}$"), "phone")
-            .otherwise("card"))
+            .when(m.rlike(rf"^(?:{CARDS})$"), "card")
+            .otherwise("phone"))
 
 
 def _element(c: Column) -> Column:
@@ -102,7 +109,7 @@ def surrogate(m: Column, key: str, attempt) -> Column:
 
     def parts(k: Column) -> Column:
         head = (F.when(k == "phone", F.regexp_extract(m, r"^(?:\+\d{1,3}(?=[ .(-])|\+\d)?", 0))
-                .when(k == "name", F.regexp_extract(m, rf"^(?:{TITLES})\.? ", 0))
+                .when(k == "name", F.regexp_extract(m, rf"^{TITLED}", 0))
                 .when(k == "iban", F.substring(m, 1, 2)).otherwise(F.lit("")))
         tail = (F.when(k == "email", F.regexp_extract(m, r"\.[^.]*$", 0))
                 .when(k == "card", F.substring(m, -1, 1)).otherwise(F.lit("")))
