@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from tillwise.catalog import REGISTRY, oracle_text  # noqa: E402
 import oracle_check  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from settings import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="module")

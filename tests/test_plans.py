@@ -2,7 +2,7 @@
 
 from tillwise.catalog import REGISTRY
 
-from conftest import SF_SMALL
+from settings import SF_SMALL
 
 
 def _plan(df) -> str:

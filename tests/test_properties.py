@@ -8,7 +8,7 @@ from tillwise.operators import metrics as mt
 from tillwise.operators import modeling as md
 from tillwise.sources.fixtures import fx_delivery, fx_restock
 
-from conftest import SF_SMALL
+from settings import SF_SMALL
 
 
 def test_restock_greedy_and_lp_respect_budget(spark):
@@ -88,12 +88,12 @@ def test_gbt_small_and_isolation_forest(spark):
     assert sc["out"] == max(sc.values())
 
 
-def test_virtual_ensemble_stages_and_bounds(spark):
+def test_virtual_ensemble_stages_and_bounds(spark, tmp_path):
     import tempfile
     rows = [(float(i % 7), float(i % 5), float((i % 7) * 2 + (i % 5))) for i in range(300)]
     df = md.assemble(spark.createDataFrame(rows, "a double, b double, y double"), ["a", "b"])
     model = md.gbt_regressor(max_iter=12, step=0.3).fit(df)
-    out = md.virtual_ensemble(df, model, ["a", "b"], tempfile.mkdtemp(dir="/tmp"), k=2).collect()
+    out = md.virtual_ensemble(df, model, ["a", "b"], str(tmp_path), k=2).collect()
     full = {(r.a, r.b): r.prediction for r in model.transform(df).collect()}
     for r in out[:50]:
         assert r.lcb <= r.pred_virt <= r.ucb

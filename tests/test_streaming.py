@@ -4,7 +4,7 @@ from tillwise.operators import activity as act
 from tillwise.sources.fixtures import fx_activity
 from tillwise.streaming.activity import start_daily_active_users
 
-from conftest import SF_SMALL
+from settings import SF_SMALL
 
 
 def test_streaming_dau_matches_batch(spark):
