@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import embedding_dedup, exact_dedup, mixing, packing, quality, repeats, secrets, sharding, simhash, surrogates
+from tillwise.llm import collocations, embedding_dedup, exact_dedup, mixing, packing, quality, repeats, secrets, sharding, simhash, surrogates
 from tillwise.llm.common import read
 
 SEQUENCE_TOKENS = 4096
@@ -15,6 +15,7 @@ MIX_BLOCK = 32
 SIMHASH_WORDS, SIMHASH_BITS = 4, 4
 COSINE = 0.95
 REPEAT_WORDS = 35
+SUPPORT, PHRASE_WORDS, PHRASES = 100, 5, 2000
 #: Of this query; a caller of the operator brings a secret one.
 SURROGATE_KEY = "surrogates of the registered query"
 #: Target shares of the sources; any other source is pooled under one share.
@@ -63,6 +64,10 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(read(spark, sf_dir, "embeddings"), COSINE)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), SUPPORT, PHRASE_WORDS, PHRASES)
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.drop_repeats(read(spark, sf_dir, "documents"), REPEAT_WORDS)
 
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_repeats": op10_repeats,
+    "op12_collocations": op12_collocations,
 }
 
 
@@ -109,7 +115,39 @@ g as (select body, max(doc_id) as keep_id, count(*) as group_size from t group b
 select t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id as kept, sha256(t.body) as text_sha256
 from t join g using (body)"""
 
+PHRASE_SQL = f"""
+with d as (
+  select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents),
+p as (select lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) as piece from d),
+w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from p),
+total as (select lang, sum(len(w))::bigint as n from w group by lang),
+g as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+  from w, (select unnest(range(1, {PHRASE_WORDS} + 1)) as k) where len(w) >= k),
+f as (select lang, k, phrase, count(*)::bigint as f from g group by all having count(*) >= {SUPPORT}),
+c as (
+  select lang, phrase, k, f as a, string_split(phrase, ' ') as w from f where k > 1),
+cut as (
+  select c.lang, c.phrase, c.k, c.a, j, l.f as l, r.f as r, n, (1000::hugeint * a * n) // (l.f::hugeint * r.f) as score
+  from c, (select unnest(range(1, {PHRASE_WORDS})) as j), f l, f r, total
+  where j < c.k and l.lang = c.lang and r.lang = c.lang and total.lang = c.lang
+    and l.phrase = array_to_string(w[1:j], ' ') and r.phrase = array_to_string(w[j + 1:], ' ')),
+best as (
+  select lang, phrase, k, a, l, r, n, score::bigint as score from cut
+  qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inside as (
+  select lang, array_to_string(w[i:i + m - 1], ' ') as phrase, max(a) as around
+  from c, (select unnest(range(1, {PHRASE_WORDS})) as i), (select unnest(range(2, {PHRASE_WORDS})) as m)
+  where m < k and i + m - 1 <= k group by all)
+select lang, rank, phrase, a, l, r, n, score from (
+  select b.lang, row_number() over (partition by b.lang order by score desc, a desc, b.phrase) as rank, b.phrase, a, l, r, n, score
+  from best b left join inside i on i.lang = b.lang and i.phrase = b.phrase
+  where i.around is null or 100 * i.around < 100 * a)
+where rank <= {PHRASES}"""
+
 ORACLES = {
+    "op12_collocations": PHRASE_SQL,
     "op2_sharding": shard_sql(SHARD_BYTES),
     "op3_exact_dedup": EXACT_SQL,
 }
