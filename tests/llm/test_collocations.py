@@ -50,7 +50,7 @@ def corpus():
     return [r + ("x",) * 5 for r in rows]
 
 
-@pytest.mark.parametrize("support, longest, top, share, shard", [(8, 5, 40, 100, 2000), (3, 4, 10_000, 60, 1 << 20), (1, 3, 10_000, 100, 500)])
+@pytest.mark.parametrize("support, longest, top, share, shard", [(8, 5, 40, 100, 20_000), (3, 4, 10_000, 60, 1 << 20), (1, 3, 10_000, 100, 30_000)])
 def test_equals_brute_force(spark, support, longest, top, share, shard):
     rows = corpus()
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)
@@ -75,8 +75,11 @@ def test_scores_past_64_bits(spark):
 
 def test_filter_misses_nothing(spark):
     h = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 5000)
-    made = co.Filter.of(spark.createDataFrame([(int(x),) for x in h], "hash long"))
-    assert made(h.view("u8")).all()
+    sent = [co.packed(h[i::3].view("u8"), np.full(h[i::3].size, 5), 1, 4) for i in range(3)]
+    rows = [tuple(r.values()) for b in sent for r in b.to_pylist()]
+    made = co.Filter.of(co.reaching(spark.createDataFrame(rows, co.PACKED), 8, 4))
+    assert made(h.view("u8")).all()  # 5 told and 1 untold by each of three shards
+    assert co.reaching(spark.createDataFrame(rows, co.PACKED), 9, 4).count() == 0
     others = np.random.default_rng(2).integers(-(1 << 63), (1 << 63) - 1, 5000)
     assert made(others.view("u8")).sum() < 5
 

@@ -4,7 +4,7 @@ Texts fall into pieces at ``[.,;:!?\\x0A-\\x0D]`` and these into words ``[^\\x20
 lower-cased. A phrase is 2 to ``longest`` words in a row within a piece; all counts are per
 language (null: ``und``).
 
-1. Words. Their exact counts give n and a filter of the words that reach the support.
+1. Words. The counts of their hashes give a filter of the words that can reach the support.
 2. Shards. What a task reads, some ``SHARD_BYTES`` at a time, is a shard. It is mined
    completely, length by length, at the support ceil(support * its share of all bytes), as a
    phrase that reaches the support must reach that in some shard.
@@ -15,9 +15,11 @@ language (null: ``und``).
    sums decide: the counts are exact.
 4. Scores, containment and ranks are joins and aggregations over the frequent phrases.
 
-What is broadcast are two bit filters of ``FILTER_BITS`` bits (4 MB), whatever the input. Texts
-are never shuffled. With more than ``support`` shards the local support is 1, and the
-shards then send the hashes of all phrases of frequent words, which is still linear.
+What is broadcast are two filters of 2 ** ``FILTER_BITS`` bits (4 MB), whatever the input. Texts
+are never shuffled; shards send sorted, packed hashes (some 4 bytes each) and, of phrases that
+pass, the text, dealt over as many ranges of hashes as there are shards, so that one range is
+bounded. With more than ``support`` shards the local support is 1, and the shards then send
+the hashes of all phrases of frequent words, which is still linear in the input.
 
 Defined results: null and empty texts have no words; a word may be of any length; ids are not
 read, so null ids count and repeated rows count again; an empty table gives no row; columns
@@ -36,8 +38,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.functions.cells import runs
 from tillwise.functions.topk import top_k_per_group
-from tillwise.llm.common import checkpointed, slices, stored, texts
+from tillwise.llm.common import slices, stored, texts
 
 SHARD_BYTES, FILTER_BITS = 24 << 20, 25
 BREAKS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -176,82 +179,138 @@ class Filter:
         self.bits = bits
 
     @staticmethod
-    def of(hashes: DataFrame, column: str = "hash") -> Filter:
-        """Set by a grouped OR over 64-bit parts; at most 2 ** (FILTER_BITS - 6) of these come to the driver."""
+    def of(marks: DataFrame) -> Filter:
+        """From column ``mark``, by a grouped OR over 64-bit parts; at most 2 ** (FILTER_BITS - 6) of these come to the driver."""
         mask = F.lit((1 << FILTER_BITS) - 1).cast("long")
-        probes = F.array(F.col(column).bitwiseAND(mask), F.shiftrightunsigned(F.col(column), FILTER_BITS).bitwiseAND(mask))
-        parts = (hashes.select(F.explode(probes).alias("p"))
+        probes = F.array(F.col("mark").bitwiseAND(mask), F.shiftrightunsigned("mark", FILTER_BITS).bitwiseAND(mask))
+        parts = (marks.select(F.explode(probes).alias("p"))
                  .groupBy(F.shiftright("p", 6).alias("part"))
                  .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))).toArrow()
         bits = np.zeros(1 << (FILTER_BITS - 6), dtype="i8")
         bits[np.asarray(parts.column("part").combine_chunks())] = np.asarray(parts.column("bits").combine_chunks())
         return Filter(bits.view("u8"))
 
+    @staticmethod
+    def mark(top: np.ndarray) -> np.ndarray:
+        """What stands in the filter for the highest 40 bits of a hash."""
+        return longer(top, np.uint64(1))
+
     def __call__(self, h: np.ndarray) -> np.ndarray:
-        mask, six = np.uint64((1 << FILTER_BITS) - 1), np.uint64(63)
+        mask, six, m = np.uint64((1 << FILTER_BITS) - 1), np.uint64(63), self.mark(h >> np.uint64(24))
         out = np.ones(h.size, dtype=bool)
-        for p in (h & mask, (h >> np.uint64(FILTER_BITS)) & mask):
+        for p in (m & mask, (m >> np.uint64(FILTER_BITS)) & mask):
             out &= (self.bits[(p >> np.uint64(6)).astype("i8")] >> (p & six) & np.uint64(1)).astype(bool)
         return out
 
 
-def _batch(lang: list[str], columns: dict[str, pa.Array]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), *columns.values()], names=["lang", *columns])
+def bounds(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Where the sorted hashes ``h`` pass from one of the equal ranges of hashes to the next."""
+    return np.searchsorted(h, np.array([(i << 64) // buckets for i in range(1, buckets)], dtype="u8")).tolist()
+
+
+def packed(h: np.ndarray, count: np.ndarray, untold: int, buckets: int) -> pa.RecordBatch:
+    """A row for each range of hashes: the highest 40 bits of each hash and its count, sorted, byte by byte so that they compress."""
+    order = np.argsort(h)
+    h, count = h[order], count[order].astype(">u4").view("u1").reshape(-1, 4)
+    top = (h >> np.uint64(24)).astype(">u8").view("u1").reshape(-1, 8)[:, 3:]
+    cut = [0, *bounds(h, buckets), h.size]
+    parts = [top[lo:hi].T.tobytes() + count[lo:hi].T.tobytes() for lo, hi in zip(cut, cut[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(range(buckets), pa.int32()), pa.array([untold] * buckets, pa.int64()), pa.array(parts, pa.binary())],
+                                      names=["bucket", "untold", "hashes"])
+
+
+PACKED = "bucket int, untold long, hashes binary"
 
 
-def word_counts(rows: DataFrame, shard: int = SHARD_BYTES) -> DataFrame:
-    """(lang, hash, n): occurrences of each word's hash."""
+def reaching(sent: DataFrame, support: int, buckets: int) -> DataFrame:
+    """``mark`` of the hashes whose counts, with what no shard told of, can reach the support."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cut in runs(batches, ["bucket"]):
+            untold = table.column("untold").to_numpy()
+            hashes = table.column("hashes").to_pylist()
+            for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                parts = [np.frombuffer(x, dtype="u1").reshape(9, -1) for x in hashes[lo:hi] if x]
+                if not parts:
+                    continue
+                whole = np.concatenate(parts, axis=1).T
+                wide = np.zeros((len(whole), 8), dtype="u1")
+                wide[:, 3:] = whole[:, :5]
+                top = wide.view(">u8").ravel().astype("u8")
+                count = np.ascontiguousarray(whole[:, 5:]).view(">u4").ravel().astype("i8")
+                order = np.argsort(top)
+                top, count = top[order], count[order]
+                first = np.flatnonzero(np.append(True, top[1:] != top[:-1]))
+                there = np.add.reduceat(count, first) + int(untold[lo:hi].sum()) >= support
+                yield pa.RecordBatch.from_arrays([pa.array(Filter.mark(top[first[there]]).view("i8"))], names=["mark"])
+    return (sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")).mapInArrow(run, "mark long")
+
+
+def frequent_words(rows: DataFrame, support: int, buckets: int, shard: int = SHARD_BYTES) -> Filter:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, parts in shards(batches, shard):
-            for s in map(Words.close, parts):
-                n = np.bincount(s.codes, minlength=len(s.words))
-                yield _batch([s.lang] * len(n), {"hash": pa.array(s.hashes.view("i8")), "n": pa.array(n.astype("i8"))})
-    return rows.mapInArrow(run, "lang string, hash long, n long").groupBy("lang", "hash").agg(F.sum("n").alias("n"))
+            closed = [s.close() for s in parts]
+            h = np.concatenate([s.hashes for s in closed])
+            n = np.concatenate([np.bincount(s.codes, minlength=len(s.words)) for s in closed])
+            yield packed(h, np.minimum(n, support), 0, buckets)
+    return Filter.of(reaching(rows.mapInArrow(run, PACKED), support, buckets))
 
 
-def local_phrases(rows: DataFrame, total: int, support: int, longest: int, words: Callable,
-                  shard: int = SHARD_BYTES) -> DataFrame:
-    """(hash, surplus): of the phrases that reach their shard's support t, count - (t - 1); hash null: t - 1 itself."""
+def candidates(rows: DataFrame, total: int, support: int, longest: int, words: Callable, buckets: int,
+               shard: int = SHARD_BYTES) -> Filter:
+    """Phrases that reach the support t of a shard, with count - (t - 1); each shard leaves out t - 1 of any other at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows_of(h: list, surplus) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(surplus, pa.int64())], names=["hash", "surplus"])
-
         for size, parts in shards(batches, shard):
             least = max(1, -(-support * size // max(1, total)))
 
             def keep(k: int, count: np.ndarray, h: np.ndarray, least=least) -> np.ndarray:
                 return (count >= least) & words(h) if k == 1 else count >= least
 
-            for s in map(Words.close, parts):
-                for k, _, count, h in phrases(s, longest, keep):
-                    if k > 1 and h.size:
-                        yield rows_of(h.view("i8"), (count - (least - 1)).astype("i8"))
-            yield rows_of([None], [least - 1])
-    return rows.mapInArrow(run, "hash long, surplus long")
-
+            found = [(h, count) for s in parts for k, _, count, h in phrases(s.close(), longest, keep) if k > 1]
+            h = np.concatenate([np.zeros(0, dtype="u8"), *(x for x, _ in found)])
+            count = np.concatenate([np.zeros(0, dtype="i8"), *(x for _, x in found)])
+            yield packed(h, np.minimum(count - (least - 1), support), least - 1, buckets)
+    return Filter.of(reaching(rows.mapInArrow(run, PACKED), support, buckets))
 
-def candidate_hashes(local: DataFrame, support: int) -> DataFrame:
-    """Hashes of the phrases that may reach the support, given what the shards did not tell of."""
-    untold = local.where("hash is null").agg(F.sum("surplus")).first()[0] or 0
-    return (local.where("hash is not null").groupBy("hash").agg(F.sum("surplus").alias("surplus"))
-            .where(F.col("surplus") + untold >= support).select("hash"))
 
-
-def exact_counts(rows: DataFrame, support: int, longest: int, words: Callable, candidates: Callable,
+def exact_counts(rows: DataFrame, support: int, longest: int, words: Callable, found: Callable, buckets: int,
                  shard: int = SHARD_BYTES) -> DataFrame:
-    """(lang, k, phrase, f) of all words and phrases that reach the support."""
+    """(lang, k, phrase, f) of all words and phrases that reach the support; of the empty phrase, k = 0, f is the number of all words."""
+    names = ["bucket", "lang", "phrase", "f"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in (w.close() for _, parts in shards(batches, shard) for w in parts):
-            for k, first, count, _ in phrases(s, longest, lambda k, n, h: words(h) if k == 1 else candidates(h)):
-                for lo in range(0, first.size, 50_000):
-                    at = first[lo:lo + 50_000]
-                    parts = [s.words.take(pa.array(s.codes[at + j])) for j in range(k)]
-                    joined = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
-                    n = len(at)
-                    yield _batch([s.lang] * n, {"k": pa.array([k] * n, pa.int32()), "phrase": joined.cast(pa.large_string()).cast(pa.string()),
-                                                "f": pa.array(count[lo:lo + 50_000].astype("i8"))})
-    return (rows.mapInArrow(run, "lang string, k int, phrase string, f long")
-            .groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support))
+        for _, parts in shards(batches, shard):
+            for s in parts:
+                s.close()
+                text, f, hashes = [pa.array([b""], pa.large_binary())], [np.array([s.codes.size])], [np.zeros(1, dtype="u8")]
+                for k, first, count, h in phrases(s, longest, lambda k, n, h: words(h) if k == 1 else found(h)):
+                    at = [s.words.take(pa.array(s.codes[first + j])) for j in range(k)]
+                    text.append(at[0] if k == 1 else pc.binary_join_element_wise(*at, pa.scalar(b" ", pa.large_binary())))
+                    f.append(count)
+                    hashes.append(h)
+                h = np.concatenate(hashes)
+                order = np.argsort(h, kind="stable")
+                text, f = pa.concat_arrays(text).take(pa.array(order)).cast(pa.large_string()), np.concatenate(f)[order].astype("i8")
+                cut = [0, *bounds(h[order], buckets), h.size]
+                for b, (lo, hi) in enumerate(zip(cut, cut[1:])):
+                    if lo < hi:
+                        ends = pa.array([0, hi - lo], pa.int32())
+                        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([s.lang]),
+                                                          pa.ListArray.from_arrays(ends, text.slice(lo, hi - lo).cast(pa.string())),
+                                                          pa.ListArray.from_arrays(ends, pa.array(f[lo:hi]))], names=names)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cut in runs(batches, ["bucket"]):
+            for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                part = table.slice(lo, hi - lo).combine_chunks()
+                owner = pc.list_parent_indices(part.column("phrase").combine_chunks())
+                whole = pa.table({"lang": part.column("lang").take(owner), "phrase": pc.list_flatten(part.column("phrase")), "f": pc.list_flatten(part.column("f"))})
+                sums = whole.group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+                sums = sums.filter(pc.or_(pc.greater_equal(sums.column("f_sum"), support), pc.equal(sums.column("phrase"), "")))
+                yield from sums.select(["lang", "phrase", "f_sum"]).rename_columns(["lang", "phrase", "f"]).to_batches()
+
+    sent = rows.mapInArrow(run, "bucket int, lang string, phrase array<string>, f array<long>")
+    return (sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(add, "lang string, phrase string, f long")
+            .select("lang", F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1).alias("k"), "phrase", "f"))
 
 
 def _big(c: str | Column) -> Column:
@@ -288,13 +347,12 @@ def collocations(docs: DataFrame, support: int = 100, longest: int = 5, top: int
     A phrase goes if a longer one that reaches the support contains it and has ``share`` percent
     or more of its occurrences."""
     rows = texts(docs.select(docs[text_col].cast("string").alias("text"), F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang")))
-    counts = stored(word_counts(rows, shard_bytes))
-    totals = checkpointed(counts.groupBy("lang").agg(F.sum("n").alias("n")))
-    words = docs.sparkSession.sparkContext.broadcast(Filter.of(counts.where(F.col("n") >= support)))
+    sc = docs.sparkSession.sparkContext
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    local = local_phrases(rows, total, support, longest, lambda h: words.value(h), shard_bytes)
-    found = docs.sparkSession.sparkContext.broadcast(Filter.of(candidate_hashes(stored(local), support)))
-    frequent = stored(exact_counts(rows, support, longest, lambda h: words.value(h), lambda h: found.value(h), shard_bytes))
-    best = scored(frequent, totals, share)
+    buckets = max(1, -(-total // shard_bytes))
+    words = sc.broadcast(frequent_words(rows, support, buckets, shard_bytes))
+    found = sc.broadcast(candidates(rows, total, support, longest, lambda h: words.value(h), buckets, shard_bytes))
+    counted = stored(exact_counts(rows, support, longest, lambda h: words.value(h), lambda h: found.value(h), buckets, shard_bytes))
+    best = scored(counted.where("k > 0"), counted.where("k = 0").select("lang", F.col("f").alias("n")), share)
     ranked = top_k_per_group(best, ["lang"], [F.desc("score"), F.desc("a"), F.asc("phrase")], top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
