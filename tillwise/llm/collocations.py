@@ -203,9 +203,9 @@ class Filter:
         return out
 
 
-def bounds(h: np.ndarray, buckets: int) -> np.ndarray:
-    """Where the sorted hashes ``h`` pass from one of the equal ranges of hashes to the next."""
-    return np.searchsorted(h, np.array([(i << 64) // buckets for i in range(1, buckets)], dtype="u8")).tolist()
+def edges(buckets: int) -> np.ndarray:
+    """Where each of the equal ranges of hashes but the first begins."""
+    return np.array([(i << 64) // buckets for i in range(1, buckets)], dtype="u8")
 
 
 def packed(h: np.ndarray, count: np.ndarray, untold: int, buckets: int) -> pa.RecordBatch:
@@ -213,7 +213,7 @@ def packed(h: np.ndarray, count: np.ndarray, untold: int, buckets: int) -> pa.Re
     order = np.argsort(h)
     h, count = h[order], count[order].astype(">u4").view("u1").reshape(-1, 4)
     top = (h >> np.uint64(24)).astype(">u8").view("u1").reshape(-1, 8)[:, 3:]
-    cut = [0, *bounds(h, buckets), h.size]
+    cut = [0, *np.searchsorted(h, edges(buckets)).tolist(), h.size]
     parts = [top[lo:hi].T.tobytes() + count[lo:hi].T.tobytes() for lo, hi in zip(cut, cut[1:])]
     return pa.RecordBatch.from_arrays([pa.array(range(buckets), pa.int32()), pa.array([untold] * buckets, pa.int64()), pa.array(parts, pa.binary())],
                                       names=["bucket", "untold", "hashes"])
@@ -287,10 +287,13 @@ def exact_counts(rows: DataFrame, support: int, longest: int, words: Callable, f
                     text.append(at[0] if k == 1 else pc.binary_join_element_wise(*at, pa.scalar(b" ", pa.large_binary())))
                     f.append(count)
                     hashes.append(h)
-                h = np.concatenate(hashes)
-                order = np.argsort(h, kind="stable")
-                text, f = pa.concat_arrays(text).take(pa.array(order)).cast(pa.large_string()), np.concatenate(f)[order].astype("i8")
-                cut = [0, *bounds(h[order], buckets), h.size]
+                # sorted by text within a range, as texts then compress well
+                text = pa.concat_arrays(text)
+                order = np.asarray(pc.sort_indices(text))
+                of = np.searchsorted(edges(buckets), np.concatenate(hashes)[order], side="right")
+                order, of = order[np.argsort(of, kind="stable")], np.sort(of, kind="stable")
+                text, f = text.take(pa.array(order)).cast(pa.large_string()), np.concatenate(f)[order].astype("i8")
+                cut = np.searchsorted(of, np.arange(buckets + 1)).tolist()
                 for b, (lo, hi) in enumerate(zip(cut, cut[1:])):
                     if lo < hi:
                         ends = pa.array([0, hi - lo], pa.int32())

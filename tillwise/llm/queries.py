@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import collocations, embedding_dedup, exact_dedup, mixing, packing, quality, repeats, secrets, sharding, simhash, surrogates
+from tillwise.llm import collocations, embedding_dedup, exact_dedup, mixing, packing, quality, repeats, secrets, sharding, simhash, surrogates, url_filters
 from tillwise.llm.common import read
 
 SEQUENCE_TOKENS = 4096
@@ -16,6 +16,7 @@ SIMHASH_WORDS, SIMHASH_BITS = 4, 4
 COSINE = 0.95
 REPEAT_WORDS = 35
 SUPPORT, PHRASE_WORDS, PHRASES = 100, 5, 2000
+URL_RULES = [url_filters.rule(*r) for r in (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))]
 #: Of this query; a caller of the operator brings a secret one.
 SURROGATE_KEY = "surrogates of the registered query"
 #: Target shares of the sources; any other source is pooled under one share.
@@ -72,6 +73,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.drop_repeats(read(spark, sf_dir, "documents"), REPEAT_WORDS)
 
 
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_sharding": op2_sharding,
@@ -84,6 +89,7 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_repeats": op10_repeats,
     "op12_collocations": op12_collocations,
+    "op13_url_filters": op13_url_filters,
 }
 
 
