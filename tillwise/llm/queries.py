@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwise.llm import collocations, embedding_dedup, exact_dedup, mixing, packing, quality, repeats, secrets, sharding, simhash, surrogates, url_filters
+from tillwise.llm import collocations, embedding_dedup, exact_dedup, hard_negatives, mixing, packing, quality, repeats, secrets, sharding, simhash, surrogates, url_filters
 from tillwise.llm.common import read
 
 SEQUENCE_TOKENS = 4096
@@ -15,6 +16,7 @@ MIX_BLOCK = 32
 SIMHASH_WORDS, SIMHASH_BITS = 4, 4
 COSINE = 0.95
 REPEAT_WORDS = 35
+POSITIVES, NEGATIVES, NEGATIVE_PERCENT = 5, 3, (50, 95)
 SUPPORT, PHRASE_WORDS, PHRASES = 100, 5, 2000
 URL_RULES = [url_filters.rule(*r) for r in (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))]
 #: Of this query; a caller of the operator brings a secret one.
@@ -65,6 +67,13 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(read(spark, sf_dir, "embeddings"), COSINE)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantised(vectors, moved, 256)
+    return hard_negatives.hard_negatives(rows, F.col("id") % 50 == 0, POSITIVES, NEGATIVES, *NEGATIVE_PERCENT)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"), SUPPORT, PHRASE_WORDS, PHRASES)
 
@@ -88,6 +97,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_repeats": op10_repeats,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_collocations": op12_collocations,
     "op13_url_filters": op13_url_filters,
 }
@@ -152,7 +162,28 @@ select lang, rank, phrase, a, l, r, n, score from (
   where i.around is null or 100 * i.around < 100 * a)
 where rank <= {PHRASES}"""
 
+NEGATIVE_SQL = f"""
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, e.vec_id, a.label = e.label as same, list_dot_product(a.q, e.q)::bigint as score
+  from e a, e where a.vec_id % 50 = 0 and a.vec_id <> e.vec_id and len(a.q) = len(e.q)),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {POSITIVES})
+select p.anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from (
+  select p.anchor_id, p.positive_id, s.vec_id as negative_id, positive_score, s.score as negative_score,
+         row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id) as rank
+  from p join s on s.anchor_id = p.anchor_id
+  where not s.same and {NEGATIVE_PERCENT[0]} * positive_score <= 100 * s.score and 100 * s.score <= {NEGATIVE_PERCENT[1]} * positive_score) p
+where rank <= {NEGATIVES}"""
+
 ORACLES = {
+    "op11_hard_negatives": NEGATIVE_SQL,
     "op12_collocations": PHRASE_SQL,
     "op2_sharding": shard_sql(SHARD_BYTES),
     "op3_exact_dedup": EXACT_SQL,
