@@ -68,3 +68,17 @@ def test_texts_of_one_32_bit_hash_are_told_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert docs.select(F.hash(F.lit(True), "text")).distinct().count() == 3
     assert rows_of(docs, window=35) == brute(rows, 35)
+
+
+def test_a_hot_anchor_of_many_distinct_pieces(spark, monkeypatch):
+    """Every text holds one short common run, so that most windows around it are filed under it, and few repeat."""
+    monkeypatch.setattr(repeats, "PIECES_PER_SHARD", 16)
+    monkeypatch.setattr(repeats, "GATHERED", 2000)
+    monkeypatch.setattr(repeats, "PASSAGES_AT_ONCE", 7)
+    rng = random.Random(5)
+    rows = [(i, " ".join([f"{rng.randrange(10 ** 6)}" for _ in range(12)] + ["common", "run"] + [f"{rng.randrange(10 ** 6)}" for _ in range(12)])) for i in range(400)]
+    rows += [(1000 + i, t.replace(t.split()[0], "other")) for i, t in rows[:60]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute(rows, 6)
+    assert sum(n[2] > 0 for n in want) == 120
+    assert rows_of(docs, window=6, gram=2) == want

@@ -13,7 +13,7 @@ more, in one document or several. Every word that such a window covers goes.
    pieces, the windows within these are counted by hash. Both are partial sums, so a
    passage in a third of all documents costs one row per task.
 3. Automata. Distinct pieces and the hashes of windows found twice are dealt over shards
-   by anchor (an anchor with very many distinct pieces over several, each with its hashes).
+   by anchor (an anchor with very many distinct pieces over several, each with the hashes of its pieces).
    A shard compiles Aho-Corasick automata of its passages, a bounded number at a time, as
    sequences of words, and streams its pieces through them. Matches are in words, not
    hashes; what a piece covers is a 62-bit mask.
@@ -43,7 +43,9 @@ from pyspark.sql import functions as F
 from tillwise.functions.cells import runs
 from tillwise.llm.common import shared_dir, slices, stored, texts
 
-GRAM, PIECES_PER_SHARD, PASSAGES_AT_ONCE, SLICE = 8, 4096, 10_000, 4 << 20
+GRAM, PIECES_PER_SHARD, PASSAGES_AT_ONCE, SLICE = 8, 1024, 2000, 4 << 20
+#: Bytes of pieces (and, by 64 each, hashes) that a task gathers before it compiles automata for them.
+GATHERED = 1 << 20
 _P = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 _INVERSE = pow(_P, -1, 1 << 64)
 
@@ -164,8 +166,8 @@ def _counted(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
         if batch.num_rows:
             owner, _, h = _windows([w.as_buffer().to_pybytes().split(b" ") for w in batch.column("words")], window)
             rows = pa.array(owner)
-            yield pa.RecordBatch.from_arrays([batch.column("anchor").take(rows), _signed(h), batch.column("shards").take(rows)],
-                                             names=["anchor", "hash", "shards"])
+            yield pa.RecordBatch.from_arrays([batch.column("anchor").take(rows), _signed(h), batch.column("shard").take(rows), batch.column("shards").take(rows)],
+                                             names=["anchor", "hash", "shard", "shards"])
 
 
 def _locate(pieces: list[tuple], confirmed: dict[int, set[int]], window: int) -> Iterator[tuple[int, int, int]]:
@@ -186,6 +188,8 @@ def _locate(pieces: list[tuple], confirmed: dict[int, set[int]], window: int) ->
             if x in confirmed[anchor] and (anchor, x) not in known:
                 known.add((anchor, x))
                 passages.add(coded[some[o]][f:f + window])
+        del known, owner, first, h
+    del lists, numbers
     masks, todo = [0] * len(pieces), list(passages)
     for k in range(0, len(todo), PASSAGES_AT_ONCE):
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
@@ -199,7 +203,7 @@ def _locate(pieces: list[tuple], confirmed: dict[int, set[int]], window: int) ->
 
 
 def _shard(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Groups of (anchor, shard): hashes found twice (words null) and pieces, gathered up to a bounded number of passages."""
+    """Groups of (anchor, shard): hashes found twice (words null) and pieces, gathered up to a bounded size."""
     def flush() -> pa.RecordBatch:
         found = list(_locate(pieces, confirmed, window))
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(3)], names=["anchor", "piece", "mask"])
@@ -211,10 +215,11 @@ def _shard(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
             for i in range(lo, hi):
                 if words[i] is None:
                     confirmed.setdefault(anchor[i], set()).add(value[i])
+                    held += 64
                 else:
                     pieces.append((anchor[i], value[i], copies[i], words[i].encode()))
-            held += hi - lo
-            if held >= PASSAGES_AT_ONCE:
+                    held += len(words[i])
+            if held >= GATHERED:
                 yield flush()
                 pieces, confirmed, held = [], {}, 0
     yield flush()
@@ -280,12 +285,19 @@ def drop_repeats(docs: DataFrame, window: int, gram: int = GRAM, id_col: str = "
     pieces = stored(table.where("text is not null").select("k", "th", "text").join(wanted, ["k", "th"])
                     .select("text", "at", "anchor", "piece", "copies", "shards", "whole")
                     .mapInArrow(lambda x: _cut(x, window), "anchor long, piece long, copies long, shards long, whole boolean, words string"))
-    confirmed = (pieces.where("not whole").select("anchor", "shards", "words")
-                 .mapInArrow(lambda x: _counted(x, window), "anchor long, hash long, shards long")
-                 .groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("n"), F.max("shards").alias("shards")).where("n > 1"))
-    shards = (pieces.select("anchor", F.pmod(F.col("piece"), "shards").cast("int").alias("shard"), F.col("piece").alias("value"), "copies", "words")
-              .unionByName(confirmed.select("anchor", F.explode(F.sequence(F.lit(0), F.col("shards").cast("int") - 1)).alias("shard"),
-                                            F.col("hash").alias("value"), F.lit(0).cast("long").alias("copies"), F.lit(None).cast("string").alias("words"))))
+    shard = F.pmod(F.col("piece"), "shards").cast("int").alias("shard")
+    windows = (pieces.where("not whole").select("anchor", shard, "shards", "words")
+               .mapInArrow(lambda x: _counted(x, window), "anchor long, hash long, shard int, shards long")
+               .groupBy("anchor", "hash", "shard").agg(F.count(F.lit(1)).alias("n"), F.max("shards").alias("shards")))
+    confirmed = windows.where("shards = 1 and n > 1")
+    if not pieces.where("shards > 1").isEmpty():
+        # a hash goes only to those shards of a hot anchor that have it
+        spread = stored(windows.where("shards > 1"))
+        twice = spread.groupBy("anchor", "hash").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
+        confirmed = confirmed.unionByName(spread.join(twice, ["anchor", "hash"], "left_semi"))
+    shards = (pieces.select("anchor", shard, F.col("piece").alias("value"), "copies", "words")
+              .unionByName(confirmed.select("anchor", "shard", F.col("hash").alias("value"), F.lit(0).cast("long").alias("copies"),
+                                            F.lit(None).cast("string").alias("words"))))
     masks = (shards.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard")
              .mapInArrow(lambda x: _shard(x, window), "anchor long, piece long, mask long"))
     gone = (again.join(masks, ["anchor", "piece"]).groupBy("k", "th").agg(F.collect_set(F.struct("at", "mask")).alias("x"))
