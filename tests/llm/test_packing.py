@@ -114,3 +114,46 @@ def test_instruction_examples(spark):
         assert all(x <= m for x, m in zip(tuple(r)[1:], limits))
     with pytest.raises(Exception, match="exceeds a limit"):
         packing.pack_examples(examples, 1, 1, 1).collect()
+
+
+def test_short_rows_leave_little_padding(spark, tokenizer):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(("a", "be", "see")) for _ in range(rng.randrange(4)))) for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    got = packing.pack_documents(docs, tokenizer_path(), 2, 4096, 4096).collect()
+    used = {}
+    for r in got:
+        used[r["sequence_id"]] = used.get(r["sequence_id"], 0) + r["length"]
+    padded = sum(n if n & (n - 1) == 0 else 4096 for n in used.values())
+    assert sum(used.values()) == sum(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+    assert padded <= 1.01 * sum(used.values())
+
+
+def test_small_examples_fill_sequences():
+    packer = Packer((100, 1000, 100), False, waiting=4)
+    for i in range(1000):
+        packer.add(i, 0, 1 + i % 3, 1)
+    packer.finish()
+    tokens = {}
+    for _, _, n, sequence, _, _ in packer.out:
+        tokens[sequence] = tokens.get(sequence, 0) + n
+    assert len(packer.out) == 1000 and sum(n < 97 for n in tokens.values()) <= 1
+
+
+def test_another_vocabulary_gives_its_own_ids(spark):
+    import os
+    folder = os.path.dirname(tokenizer_path())
+    from tokenizers import Tokenizer
+    others = [f"{folder}/{f}" for f in sorted(os.listdir(folder)) if f.endswith(".json") and f != "word_bpe_49k.json"]
+    texts = ["It's 12.5% of Don't", "Été Straße", "plain words HERE", ""]
+    tried = 0
+    for path in others:
+        try:
+            own = Tokenizer.from_file(path)
+        except Exception:
+            continue  # not of this library
+        words = packing.WordIds(path)
+        tried += 1
+        for t in texts:
+            assert words.text(t) == np.array(own.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes(), (path, t)
+    assert tried or not others

@@ -9,7 +9,7 @@ from tillwise.llm import collocations, embedding_dedup, exact_dedup, hard_negati
 from tillwise.llm.common import read
 
 SEQUENCE_TOKENS = 4096
-SEQUENCE_SEGMENTS = 512
+SEQUENCE_SEGMENTS = SEQUENCE_TOKENS
 END_ID = 2
 SHARD_BYTES = 32 << 20
 MIX_BLOCK = 32
