@@ -76,3 +76,51 @@ def test_without_credentials(spark, empty_docs):
     docs = spark.createDataFrame([(1, "plain words without anything")], "doc_id long, text string")
     assert [tuple(r)[1:5] for r in secrets.scan_secrets(docs).collect()] == [(0, 0, 0, 0)]
     assert secrets.scan_secrets(empty_docs).count() == 0
+
+
+def test_candidates_against_brute_force():
+    rng = random.Random(9)
+    pieces = [*PIECES, " ", "\n", "QRSTUVWXYZqrstuvwx", "0123456789abcdef0123", "foo-bar_baz"]
+    seen = 0
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 20)))
+        spans = secrets.base_spans(text)
+        want = []
+        for m in secrets.CANDIDATE.finditer(text):
+            s, e = m.span()
+            if not any(a <= s and e <= b for a, _, b, *_ in spans):
+                want.append((s, m[0], any(a < e and s < b for a, _, b, *_ in spans)))
+        assert list(secrets.candidates(text, spans)) == want, text
+        seen += sum(x[2] for x in want)
+    assert seen > 100
+
+
+def test_a_run_around_a_base_span_is_scored_whole(spark, rows):
+    text = "see AKfoo" + "0123456789abcdef0123456789" + "ZZtopQRS there"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+
+    class All:
+        def is_credential(self, word):
+            return True
+    row = secrets.find_secrets(docs, All()).first()
+    assert row.spans == "format:4:43,hex:9:35" and (row.n_hex, row.n_format) == (1, 1)
+
+
+def test_added_spans_against_plain_scoring(spark, rows):
+    """All candidates of all texts, scored one by one by automata inferred in this process."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    formats = secrets.infer(docs)
+    for r in secrets.scan_secrets(docs).collect():
+        t = dict(rows)[r.doc_id]
+        spans = secrets.base_spans(t)
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]{12,}", t):
+            inside = any(a <= m.start() and m.end() <= b for a, _, b, _ in spans)
+            word = m[0]
+            fits = False
+            for a, floor in formats.kinds:
+                p = a.log_likelihood(word)
+                fits |= p / (len(word) + 1) >= floor and p - formats.words.log_likelihood(word) >= secrets.MARGIN
+            if fits and not inside:
+                want.append(f"format:{m.start()}:{m.end()}")
+        assert [x for x in r.spans.split(",") if x.startswith("format")] == want

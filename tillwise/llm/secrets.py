@@ -4,8 +4,9 @@ Detectors (the base) give labelled credentials of three kinds. For each kind a p
 tree of a bounded sample of them is built, and states whose outgoing and ending
 frequencies agree within a Hoeffding bound, all the way down, are merged (ALERGIA),
 which leaves a probabilistic automaton of the format. A further automaton of the same
-make describes ordinary long words. Every candidate in every text that the base
-leaves, however many there are, is scored: it becomes a span of kind ``format`` when a
+make describes ordinary long words. Every candidate in every text, however many there are,
+is scored, also one that a base span touches or lies in (only what lies within a base
+span adds nothing): it becomes a span of kind ``format`` when a
 credential automaton gives it the per-character log-likelihood that all but a few of
 its own credentials reach, less ``SLACK`` (one odd character in forty), and is at least ``MARGIN`` nats likelier than under
 the automaton of ordinary words.
@@ -14,9 +15,9 @@ What the driver holds is bounded by ``SAMPLE`` strings for each of the four auto
 taken by least hash over all documents; strings over ``LONGEST`` characters are not
 used for inference, but are scored.
 
-Defined results: a null or empty text has no spans; a table without credentials has
+Defined results: a null or empty text has no spans; texts of any length are scanned whole; a table without credentials has
 base spans only (no automaton, none added); repeated rows repeat their result; null ids
-stay null; other columns are not read.
+stay null; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -56,12 +57,23 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
-def outside(text: str, spans: list[tuple]) -> Iterator[tuple[int, str]]:
-    """Candidates that overlap no base span."""
+def candidates(text: str, spans: list[tuple]) -> Iterator[tuple[int, str, bool]]:
+    """(start, run, whether it overlaps a base span) of all candidate runs but those within a base span.
+
+    ``spans`` are ordered by start, so both lists are gone through once: of the spans that begin before
+    the run ends, the one that ends last decides."""
+    k, last, inner = 0, -1, -1
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
-        if not any(a < e and s < b for a, _, b, *_ in spans):
-            yield s, m[0]
+        while k < len(spans) and spans[k][0] < e:
+            last = max(last, spans[k][2])  # of all spans begun so far
+            if spans[k][0] <= s:
+                inner = max(inner, spans[k][2])  # of those that begin no later than the run
+            k += 1
+        if inner < e:
+            yield s, m[0], last > s
+        # spans that begin within this run begin before all later runs
+        inner = max(inner, last)
 
 
 class Automaton:
@@ -199,7 +211,7 @@ def labelled_sample(docs: DataFrame, sample: int) -> DataFrame:
             for t in batch.column("text").to_pylist():
                 if t:
                     spans = base_spans(t)
-                    for kind, v in [*((KINDS[k], v) for _, k, _, v in spans), *(("word", v) for _, v in outside(t, spans))]:
+                    for kind, v in [*((KINDS[k], v) for _, k, _, v in spans), *(("word", v) for _, v, touches in candidates(t, spans) if not touches)]:
                         if len(v) <= LONGEST and (h := xxhash.xxh64_intdigest(v)) <= floor[kind]:
                             least[kind][v] = h
                             if len(least[kind]) >= 4 * sample:
@@ -236,7 +248,7 @@ def find_secrets(docs: DataFrame, formats: Formats | None, id_col: str = "doc_id
             for doc, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 spans, more = base_spans(t or ""), []
                 if t and formats:
-                    more = [(s, 3, s + len(v)) for s, v in outside(t, spans) if formats.is_credential(v)]
+                    more = [(s, 3, s + len(v)) for s, v, _ in candidates(t, spans) if formats.is_credential(v)]
                 base = [x[:3] for x in spans]
                 counts = [sum(k == i for _, k, _ in base) for i in range(3)]
                 rows.append((doc, *counts, len(more), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(sorted(base + more))))
