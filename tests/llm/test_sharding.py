@@ -41,9 +41,14 @@ def test_limits_and_odd_rows(spark, docs, empty_docs, clashing):
     assert run(clashing, 2000) == run(docs, 2000)
 
 
-def test_written_shards(spark, docs, tmp_path):
-    rows = docs.where("doc_id > 9")
+def test_written_shards(spark, docs, docs_rows, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+    rows = docs.withColumn("__address", F.lit("x"))
     shards = sharding.extendible_shards(rows, 3000)
-    sharding.write_shards(rows, shards, str(tmp_path / "out"))
-    back = spark.read.parquet(str(tmp_path / "out"))
-    assert back.count() == rows.count() and back.select("shard").distinct().count() == shards.select("shard").distinct().count()
+    sharding.write_shards(rows, 3000, str(tmp_path / "out"))
+    back = spark.read.option("mergeSchema", True).parquet(str(tmp_path / "out"))
+    assert sorted(map(repr, back.select("doc_id", "text", "__address").collect())) == sorted(map(repr, rows.select("doc_id", "text", "__address").collect()))
+    assert back.select("shard").distinct().count() == shards.select("shard").distinct().count()
+    with pytest.raises(ValueError):
+        sharding.write_shards(docs.withColumn("Shard", F.lit(1)), 3000, str(tmp_path / "no"))

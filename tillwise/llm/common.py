@@ -85,8 +85,20 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 << 20) -
         yield batch.slice(start)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for own columns that ``df`` does not have, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def one_row_each(df: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     """One row of each group of ``keys``, that of least text; the keys go."""
     others = [c for c in df.columns if c not in keys]
-    row = F.min_by(F.struct(*[F.col(c) for c in others]), F.coalesce(text_col, F.lit("")))
-    return df.groupBy(*keys).agg(row.alias("__row")).select("__row.*")
+    [name] = fresh(df, "__row")
+    row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in others]), F.coalesce(text_col, F.lit("")))
+    return df.groupBy(*keys).agg(row.alias(name)).select(f"{name}.*")

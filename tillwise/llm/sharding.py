@@ -12,7 +12,8 @@ their own rows only; most inputs need one round.
 
 Defined results: a null key and a null text count as empty; a row larger than the
 limit gets a shard of its own, and rows equal in key and content, which no bit can
-separate, share one: both are marked ``oversize``. An empty table gives no shard.
+separate, share one: both are marked ``oversize``. Texts of any length are hashed whole. An empty
+table gives no shard; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import checkpointed
+from tillwise.llm.common import checkpointed, fresh
 
 ADDRESS_BITS = 120
 NEXT_BITS = 16
@@ -32,17 +33,22 @@ def _bits(digest: Column) -> Column:
     return F.lpad(F.bin(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")), 60, "0")
 
 
+def address(key: Column, text: Column) -> Column:
+    return F.concat(_bits(F.md5(F.coalesce(key.cast("string"), F.lit("")))), _bits(F.md5(F.coalesce(text, F.lit("")))))
+
+
 def addresses(rows: DataFrame, key: str, text: str) -> DataFrame:
-    body = F.coalesce(F.col(text), F.lit(""))
-    return rows.select(
-        F.col(key).alias("doc_id"),
-        F.concat(_bits(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))), _bits(F.md5(body))).alias("address"),
-        F.octet_length(body).cast("bigint").alias("bytes"))
+    return rows.select(rows[key].alias("doc_id"), address(rows[key], rows[text]).alias("address"),
+                       F.octet_length(F.coalesce(rows[text], F.lit(""))).cast("bigint").alias("bytes"))
 
 
 def extendible_shards(rows: DataFrame, limit: int, key: str = "doc_id", text: str = "text",
                       first_depth: int | None = None) -> DataFrame:
     """doc_id, bytes, shard (its bits), depth, shard_bytes, shard_rows, oversize for each row."""
+    return _placed(rows, limit, key, text, first_depth).drop("address")
+
+
+def _placed(rows: DataFrame, limit: int, key: str, text: str, first_depth: int | None = None) -> DataFrame:
     if limit < 1:
         raise ValueError("limit must be positive")
     pending = addresses(rows, key, text)
@@ -62,7 +68,7 @@ def extendible_shards(rows: DataFrame, limit: int, key: str = "doc_id", text: st
         directory = (paths.select("prefix", "shard").join(leaves, "shard").groupBy("prefix")
                      .agg(F.min(F.struct("depth", "shard", "shard_bytes", "shard_rows")).alias("leaf")))
         placed = (pending.withColumn("prefix", F.substring("address", 1, depth)).join(directory, "prefix")
-                  .select("doc_id", "bytes", "leaf.shard", "leaf.depth", "leaf.shard_bytes", "leaf.shard_rows",
+                  .select("doc_id", "address", "bytes", "leaf.shard", "leaf.depth", "leaf.shard_bytes", "leaf.shard_rows",
                           (F.col("leaf.shard_bytes") > limit).alias("oversize")))
         out = placed if out is None else out.unionByName(placed)
         too_large = fine.where((F.col("b") > limit) & (F.col("n") > 1)).select("prefix")
@@ -73,8 +79,15 @@ def extendible_shards(rows: DataFrame, limit: int, key: str = "doc_id", text: st
         lowest, depth = depth + 1, min(ADDRESS_BITS, depth + NEXT_BITS)
 
 
-def write_shards(rows: DataFrame, shards: DataFrame, path: str, key: str = "doc_id") -> None:
-    """Write ``rows`` with one folder per shard; a shard is bounded, so one task writes it."""
-    placed = rows.join(shards.select(F.col("doc_id").alias(key), "shard", "depth"), key)
-    (placed.withColumn("shard", F.concat(F.lit("b"), "shard")).drop("depth")
-     .repartition("shard").write.partitionBy("shard").parquet(path))
+def write_shards(rows: DataFrame, limit: int, path: str, key: str = "doc_id", text: str = "text") -> None:
+    """Write ``rows``, all columns, with one folder per shard; a shard is bounded, so one task writes it.
+
+    Rows find their shard by address, which rows equal in key and content share: null and repeated
+    keys included, each row is written once. The folders are named by a column ``shard`` that the
+    input may not have."""
+    if "shard" in [c.lower() for c in rows.columns]:
+        raise ValueError("rename the column shard: it names the folders")
+    [mine] = fresh(rows, "__address")
+    where = _placed(rows, limit, key, text).groupBy(F.col("address").alias(mine)).agg(F.concat(F.lit("b"), F.first("shard")).alias("shard"))
+    placed = rows.withColumn(mine, address(rows[key], rows[text])).join(where, mine).drop(mine)
+    placed.repartition("shard").write.partitionBy("shard").parquet(path)
