@@ -7,7 +7,8 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 #: Columns that operators use themselves; an input may have them too.
-CLASHING = ("kept", "h", "n", "row", "prefix", "bytes", "address", "fp", "k", "th", "label", "score", "shard", "anchor", "position", "hash128")
+CLASHING = ("kept", "h", "n", "row", "prefix", "bytes", "address", "fp", "k", "th", "label", "score", "shard", "anchor", "position", "hash128",
+            "__id", "__sha", "__n", "__row", "__kept", "__fp", "__several", "__found", "__map", "__address")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 

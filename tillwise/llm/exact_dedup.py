@@ -8,8 +8,9 @@ is a plain equi-join, whose large keys Spark splits.
 
 Defined results: a null text counts as empty; a null id loses to any other id and is
 kept only where the class has no id at all; in the classes, rows that repeat an id and its
-text share their fate, but of those dropping copies keeps one; an empty table gives an empty result; further columns of the input are
-neither read nor returned.
+text share their fate, but of those dropping copies keeps one; an empty table gives an empty result; texts of any length are
+hashed and compared whole; in the classes, further columns of the input are neither read nor returned,
+and dropping copies keeps them all, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import ascii_lower, checkpointed, one_row_each
+from tillwise.llm.common import ascii_lower, checkpointed, fresh, one_row_each
 
 
 def exact_classes(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id", text_col: str = "text",
@@ -41,12 +42,13 @@ def exact_classes(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id
 def drop_exact_copies(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class; all columns stay."""
+    own, sha_, n = fresh(docs, "__id", "__sha", "__n")
     kept = checkpointed(exact_classes(docs, keep, id_col, text_col).where("kept")
-                        .groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).agg(F.count(F.lit(1)).alias("__n")))
+                        .groupBy(F.col("doc_id").alias(own), F.col("text_sha256").alias(sha_)).agg(F.count(F.lit(1)).alias(n)))
     sha = F.sha2(ascii_lower(F.coalesce(docs[text_col], F.lit(""))), 256)
-    same = docs[id_col].eqNullSafe(F.col("__id")) & (sha == F.col("__sha"))
-    several = kept.where("__n > 1")
+    same = docs[id_col].eqNullSafe(F.col(own)) & (sha == F.col(sha_))
+    several = kept.where(F.col(n) > 1)
     if several.isEmpty():
         return docs.join(kept, same, "left_semi")
-    single = docs.join(kept.where("__n = 1"), same, "left_semi")
-    return single.unionByName(one_row_each(docs.join(several.drop("__n"), same), ["__id", "__sha"], text_col))
+    single = docs.join(kept.where(F.col(n) == 1), same, "left_semi")
+    return single.unionByName(one_row_each(docs.join(several.drop(n), same), [own, sha_], text_col))

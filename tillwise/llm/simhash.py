@@ -34,7 +34,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tillwise.functions import cells
 from tillwise.functions.components import components
-from tillwise.llm.common import checkpointed, one_row_each, slices, texts
+from tillwise.llm.common import checkpointed, fresh, one_row_each, slices, texts
 
 BLOCK = 4096
 HASHES_AT_ONCE = 1 << 16
@@ -146,14 +146,14 @@ def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: str =
     return rows.join(of.drop("label"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def with_fingerprint(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
-    """``docs`` with the column ``__fp``."""
+def with_fingerprint(docs: DataFrame, shingle: int, text_col: str, name: str) -> DataFrame:
+    """``docs`` with the fingerprint in the column ``name``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
             fps = [fingerprint(t.as_buffer().to_pybytes(), shingle) if t.is_valid else 0 for t in batch.column(text_col)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(fps, dtype="u8").view("i8"))], names=[*batch.schema.names, "__fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(fps, dtype="u8").view("i8"))], names=[*batch.schema.names, name])
 
-    return texts(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField("__fp", LongType())]))
+    return texts(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id",
@@ -161,17 +161,18 @@ def drop_near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: s
     """``docs`` with one row of each component, of smallest id (and fingerprint); all columns stay.
 
     An id that one row has finds its row; rows of null or repeated ids are found by fingerprint too."""
+    own, kept, fp, repeated = fresh(docs, "__id", "__kept", "__fp", "__several")
     rows, of = _labelled(docs, shingle, max_bits, id_col, text_col, BLOCK)
     chosen = checkpointed(rows.join(of, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                           .groupBy("label").agg(F.min(F.struct("fp", "doc_id")).alias("x"))
-                          .select(F.col("x.doc_id").alias("__id"), F.col("x.fp").alias("__kept")))
-    several = checkpointed(rows.groupBy(F.col("doc_id").alias("__several")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    by_id = docs[id_col].cast("long").eqNullSafe(F.col("__id"))
+                          .select(F.col("x.doc_id").alias(own), F.col("x.fp").alias(kept)))
+    several = checkpointed(rows.groupBy(F.col("doc_id").alias(repeated)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    by_id = docs[id_col].cast("long").eqNullSafe(F.col(own))
     if several.isEmpty():
         return docs.join(chosen, by_id, "left_semi")
-    unique = chosen.join(several, F.col("__id").eqNullSafe(F.col("__several")), "left_anti")
-    shared = chosen.join(several, F.col("__id").eqNullSafe(F.col("__several")), "left_semi")
-    found = with_fingerprint(docs.join(several, docs[id_col].cast("long").eqNullSafe(F.col("__several")), "left_semi"), shingle, text_col)
-    found = found.join(shared, found[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.col("__fp") == F.col("__kept")))
+    unique = chosen.join(several, F.col(own).eqNullSafe(F.col(repeated)), "left_anti")
+    shared = chosen.join(several, F.col(own).eqNullSafe(F.col(repeated)), "left_semi")
+    found = with_fingerprint(docs.join(several, docs[id_col].cast("long").eqNullSafe(F.col(repeated)), "left_semi"), shingle, text_col, fp)
+    found = found.join(shared, found[id_col].cast("long").eqNullSafe(F.col(own)) & (F.col(fp) == F.col(kept)))
     return (docs.join(unique, by_id, "left_semi")
-            .unionByName(one_row_each(found.drop("__fp"), ["__id", "__kept"], text_col)))
+            .unionByName(one_row_each(found.drop(fp), [own, kept], text_col)))
