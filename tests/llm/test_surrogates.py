@@ -59,13 +59,109 @@ def test_distinct_and_keyed(spark):
     assert one != two
 
 
-def test_collisions_go_to_a_next_attempt(spark):
-    # a space of ten surrogates: some entity keeps its own at the first attempt under some key
-    docs = spark.createDataFrame([(i, f"Mr B{c}t") for i, c in enumerate("aei")], "doc_id long, text string")
-    for key in ("a", "b", "c"):
-        again = surrogates.attempts(docs, key)
-        text = [r["text"] for r in surrogates.replace(docs, key).orderBy("doc_id").collect()]
-        assert len(set(text)) == 3 and not set(text) & {f"Mr B{c}t" for c in "aei"} or again is not None
+def twin(m, kind, key, attempt=0):
+    """The permutation in plain Python: (canonical form, surrogate)."""
+    import hashlib
+    head = tail = ""
+    if kind == "phone":
+        head = re.match(r"(?:\+\d{1,3}(?=[ .(-])|\+\d)?", m)[0]
+    elif kind == "name":
+        head = re.match(rf"^{surrogates.TITLED}", m)[0]
+    elif kind == "iban":
+        head = m[:2]
+    elif kind == "email":
+        tail = re.search(r"\.[^.]*$", m)[0]
+    elif kind == "card":
+        tail = m[-1]
+    core = m[len(head):len(m) - len(tail)]
+    said = head.lower() if kind != "name" else "f" if re.match(rf"(?:{surrogates.FEMALE})\b", head) else "m"
+    if kind == "ip":
+        cells = [(None, int(o), 256) for o in core.split(".")]
+    else:
+        cells = []
+        for k, c in enumerate(core):
+            alphabet = next((a for a in surrogates.CLASSES if c.lower() in a), None)
+            if alphabet is None or kind == "name" and (k + 1 == len(core) or core[k + 1] == " "):
+                cells.append((c, 0, 1))
+            else:
+                cells.append((alphabet, alphabet.index(c.lower()), len(alphabet)))
+    own = [x for x in cells if x[2] > 1]
+    write = lambda part: ",".join(f"{i}:{r}" for _, i, r in part)
+    endings = "".join(a.lower() for a, _, r in cells if r == 1) if kind == "name" else ""
+    canonical = "|".join([said, tail.lower(), endings, write(own)])
+    half = -(-len(own) // 2)
+    x, y = own[:half], own[half:]
+    for n in range(4):
+        moved, other = (y, x) if n % 2 == 0 else (x, y)
+        tag = "|".join([key, kind, str(attempt), said, tail.lower() if kind != "card" else "", str(n), write(other)])
+        digest = hashlib.sha256(tag.encode()).hexdigest()
+        moved = [(a, (i + int(digest[j % 16 * 4:j % 16 * 4 + 4], 16)) % r, r) for j, (a, i, r) in enumerate(moved)]
+        x, y = (x, moved) if n % 2 == 0 else (moved, y)
+    new = x + y
+    if kind == "ip":
+        return canonical, head + ".".join(str(i) for _, i, _ in new)
+    out, queue = "", iter(new)
+    for c, (a, _, r) in zip(core, cells):
+        if r == 1:
+            out += a
+        else:
+            a, i, _ = next(queue)
+            out += a[i].upper() if c != c.lower() else a[i]
+    if kind == "card":
+        check = lambda part: -sum(sum(divmod(2 * d, 10)) if (len(part) - k) % 2 else d for k, d in enumerate(part)) % 10
+        digits = lambda part: [i for _, i, r in part if r == 10]
+        tail = str((check(digits(new)) + int(tail) - check(digits(own))) % 10)
+    return canonical, head + out + tail
+
+
+KNOWN = [("the.72@mail3.example.com", "email"), ("A@B.c", "email"), ("169.122.221.182", "ip"), ("4111 1111 1111 1111", "card"), ("4952935900253052", "card"),
+         ("123-45-6789", "ssn"), ("+1 (017) 555-7713", "phone"), ("555-123-4567", "phone"), ("DE89370400440532013000", "iban"), ("Mrs Anna", "name"),
+         ("Mr. José Müller", "name"), ("Госпожа Иванова", "name"), ("Herr Dr. Łukasz Żak", "name"), ("Mr Νίκος Παπαδόπουλος", "name"), ("Ms Արմեն", "name")]
+
+
+def test_against_the_permutation_in_plain_python(spark):
+    rows = spark.createDataFrame([(m, k) for m, k in KNOWN], "m string, want string")
+    for attempt in (0, 3):
+        got = {r.m: r for r in rows.select("m", "want", surrogates.surrogate(F.col("m"), "key", lambda k, c: F.lit(attempt)).alias("x")).select("m", "want", "x.*").collect()}
+        for m, kind in KNOWN:
+            assert got[m].kind == kind
+            assert (got[m].canonical, got[m].s) == twin(m, kind, "key", attempt), m
+
+
+def test_whole_texts_against_plain_python(spark):
+    docs = spark.createDataFrame([(i, f"one {m}, two {KNOWN[i - 1][0]} end") for i, (m, _) in enumerate(KNOWN)], "doc_id long, text string").repartition(3)
+    assert surrogates.attempts(docs, "key") is None
+    new = {m: twin(m, k, "key")[1] for m, k in KNOWN}
+    for r in surrogates.replace(docs, "key").collect():
+        assert r.text == f"one {new[KNOWN[r.doc_id][0]]}, two {new[KNOWN[r.doc_id - 1][0]]} end" and r.n_replaced == 2
+
+
+def test_full_formats_stay_distinct(spark):
+    """All 25 names of one format, and all 50 addresses of another: some would keep their own at first, and none is free for them."""
+    names = [f"Mr A{a}{b}t" for a in "aeiou" for b in "aeiou"] + [f"Mr {A}{b}t" for A in "EIOU" for b in "aeiou"]
+    addresses = [f"{a}@{d}.com" for a in "aeiou" for d in range(10)]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(names + addresses)], "doc_id long, text string").repartition(3)
+    tokens = 0
+    for key in ("a", "b"):
+        got = [r.text for r in surrogates.replace(docs, key).orderBy("doc_id").collect()]
+        assert len(set(got)) == len(got)
+        assert all(x != y for x, y in zip(got, names + addresses))
+        assert all(x.startswith("Mr ") for x in got[:len(names)]) and all(re.fullmatch(r"[a-z]+@[a-z0-9]+\.com", x) for x in got[len(names):])
+        tokens += sum(len(x) > 8 for x in got)
+    assert tokens
+
+
+def test_scripts(spark):
+    names = ["Mr Νίκος", "Mr Σ" + "ς" * 3, "Mr Ǆǆǆ", "Ms Արմեն", "Frau Çiğdem", "Mr Łżź", "Господин Їжак", "Mr Ꭰꭰꭰ", "Mr Ⲁⲁⲁ", "Mr Ⴀⴀⴀ"]
+    docs = spark.createDataFrame([(i, f"{x} called. {x} left") for i, x in enumerate(names)], "doc_id long, text string").repartition(4)
+    got = surrogates.replace(docs, "key").orderBy("doc_id").collect()
+    seen = set()
+    for r, x in zip(got, names):
+        title, own = x.split(" ")
+        m = re.fullmatch(rf"{title} (\w+) called\. {title} (\w+) left", r.text)
+        assert m and m[1] == m[2] != own and r.n_replaced == 2, (x, r.text)
+        seen.add(m[1])
+    assert len(seen) == len(names)
 
 
 def test_empty(empty_docs):

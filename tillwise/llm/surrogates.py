@@ -14,11 +14,17 @@ script), keeps its case and its place among the separators. So:
   surrogate in every document, however it is written;
 * distinctness: a permutation has no collisions within a format. It is still checked over
   all distinct entities; entities that would share a surrogate, or keep their own, go to a
-  next attempt (the smallest stays), until none is left. These exceptions, usually none,
+  next attempt (the smallest stays). What has none after ``ATTEMPTS`` of them, because its
+  format is full or it has no letter of a known class, gets a keyed token of 96 bits in its
+  place (after its title; as an address if it is one). These exceptions, usually none,
   are joined by document; all others need no join and no shuffle.
 
-Defined results: null text stays null, empty text empty; null ids and repeated rows are
-treated like any; an empty table gives an empty result; only the text column changes.
+Names become letter strings of the same script, not names from a list.
+
+Defined results: null text stays null, empty text empty; texts of any length are read whole;
+null ids and repeated rows are treated like any; an empty table gives an empty result; of the
+input's columns only the text changes, except that one called ``n_replaced`` is replaced by the
+operator's own; other names may clash with none.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import checkpointed
+from tillwise.llm.common import checkpointed, fresh
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Sra|Srta|Dra|Госпожа"
@@ -49,8 +55,12 @@ ENTITY = "|".join((EMAIL, NAME, IPV4, SSN, PHONE, CARD, IBAN))
 #: Whatever ENTITY finds has a digit, an at sign or a title: a cheap test that most texts fail.
 HINT = rf"@|\d\d|\d\.\d|{TITLES}"
 #: Classes of characters, each permuted within itself.
-CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "àáâãäåèéêëìíîïòóôöõùúûü", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ")
-ATTEMPTS = 32
+CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "àáâãäåèéêëìíîïòóôöõùúûü", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ",
+           "çñýðþ", "æøœ", "āăąēĕėęěĩīĭįōŏőũūŭůűų", "ćĉċčďđĝğġģĥħĵķĺļľłńņňŕŗřśŝşšţťŧŵŷźżž", "іїєў", "ґђћљњџѓќјѕ",
+           "αεηιουωάέήίόύώϊϋ", "βγδζθκλμνξπρστφχψ", "".join(map(chr, range(0x561, 0x587))))
+ATTEMPTS = 8
+#: Letters for the 16 digits of a hash.
+TOKEN = "bcdfghjklmnpqrst"
 
 
 def _let(value: Column, f) -> Column:
@@ -139,6 +149,7 @@ def surrogate(m: Column, key: str, attempt) -> Column:
         half = F.ceil(F.size(own) / 2).cast("int")
         return F.struct(e.alias("e"), canonical.alias("canonical"),
                         F.slice(own, F.lit(1), half).alias("x"), F.slice(own, half + 1, F.size(own)).alias("y"),
+                        attempt(e["p"]["kind"], canonical).alias("n"),
                         F.concat_ws("|", F.lit(key), e["p"]["kind"],
                                     attempt(e["p"]["kind"], canonical).cast("string"), said_head(e["p"]),
                                     F.when(e["p"]["kind"] != "card", F.lower(e["p"]["tail"])).otherwise(F.lit(""))).alias("tag"))
@@ -148,7 +159,7 @@ def surrogate(m: Column, key: str, attempt) -> Column:
         def step(o: Column) -> Column:
             tag = F.concat_ws("|", o["tag"], F.lit(n).cast("string"))
             x, y = (o["x"], _round(o["y"], o["x"], tag)) if n % 2 == 0 else (_round(o["x"], o["y"], tag), o["y"])
-            return F.struct(o["e"].alias("e"), o["canonical"].alias("canonical"), x.alias("x"), y.alias("y"), o["tag"].alias("tag"))
+            return F.struct(o["e"].alias("e"), o["canonical"].alias("canonical"), x.alias("x"), y.alias("y"), o["n"].alias("n"), o["tag"].alias("tag"))
         return step
 
     def feistel(h: Column) -> Column:
@@ -173,6 +184,10 @@ def surrogate(m: Column, key: str, attempt) -> Column:
             core = F.when(p["kind"] == "ip", F.concat_ws(".", F.transform(new, lambda y: y["i"].cast("string")))) \
                 .otherwise(F.concat_ws("", F.transform(e["all"], char)))
             tail = F.when(p["kind"] == "card", check.cast("string")).otherwise(p["tail"])
+            digest = F.translate(F.sha2(F.concat_ws("|", F.lit(key), F.lit("token"), p["kind"], f["canonical"]), 256), "0123456789abcdef", TOKEN)
+            token = (F.when(p["kind"] == "email", F.concat(F.substring(digest, 1, 16), F.lit("@"), F.substring(digest, 17, 8)))
+                     .otherwise(F.concat(F.upper(F.substring(digest, 1, 1)), F.substring(digest, 2, 23))))
+            core = F.when(f["n"] < 0, token).otherwise(core)
             return F.struct(p["kind"].alias("kind"), f["canonical"].alias("canonical"),
                             F.concat(p["head"], core, tail).alias("s"),
                             F.concat_ws("|", said_head(p), F.lower(tail), endings(e), _said(new)).alias("s_canonical"))
@@ -202,29 +217,34 @@ def attempts(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame | N
         again = (bad.withColumn("x", surrogate(F.col("m"), key, lambda k, c, n=n: F.lit(n)))
                  .select("kind", "canonical", "m", F.col("x.s_canonical").alias("s"), F.lit(n).alias("attempt")))
         state = checkpointed(state.join(bad.select("kind", "canonical"), ["kind", "canonical"], "left_anti").unionByName(again))
-    raise ValueError("a format is too small to give its entities distinct surrogates")
+    first = state.groupBy("kind", "s").agg(F.min("canonical").alias("first"))
+    left = state.join(first, ["kind", "s"]).where((F.col("first") != F.col("canonical")) | (F.col("s") == F.col("canonical")))
+    tokens = left.select("kind", "canonical", F.lit(-1).alias("attempt"))
+    return checkpointed(state.join(tokens.select("kind", "canonical"), ["kind", "canonical"], "left_anti").where("attempt > 0")
+                        .select("kind", "canonical", "attempt").unionByName(tokens))
 
 
 def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with surrogates in the text, and ``n_replaced``."""
     exceptions = attempts(docs, key, text_col)
+    found, own, chosen = fresh(docs, "__found", "__id", "__map")
     again = F.lit(0)
     choose = lambda k, c: again
     columns = [docs[c] for c in docs.columns if c != "n_replaced"]
     if exceptions is None:
-        rows = docs.select(*columns, entities(docs[text_col]).alias("__found"))
+        rows = docs.select(*columns, entities(docs[text_col]).alias(found))
     else:
-        mine = (docs.select(docs[id_col].alias("__id"), F.explode(entities(docs[text_col])).alias("m"))
-                .select("__id", surrogate(F.col("m"), key, lambda k, c: F.lit(0)).alias("x")).select("__id", "x.kind", "x.canonical").distinct()
+        mine = (docs.select(docs[id_col].alias(own), F.explode(entities(docs[text_col])).alias("m"))
+                .select(own, surrogate(F.col("m"), key, lambda k, c: F.lit(0)).alias("x")).select(own, "x.kind", "x.canonical").distinct()
                 .join(exceptions, ["kind", "canonical"])
-                .groupBy("__id").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "canonical"), "attempt"))).alias("__map")))
-        rows = (docs.join(mine, docs[id_col].eqNullSafe(F.col("__id")), "left")
-                .select(*columns, "__map", entities(docs[text_col]).alias("__found")))
-        choose = lambda k, c: F.coalesce(F.element_at(F.col("__map"), F.concat_ws("|", k, c)), F.lit(0))
+                .groupBy(own).agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "canonical"), "attempt"))).alias(chosen)))
+        rows = (docs.join(mine, docs[id_col].eqNullSafe(F.col(own)), "left")
+                .select(*columns, chosen, entities(docs[text_col]).alias(found)))
+        choose = lambda k, c: F.coalesce(F.element_at(F.col(chosen), F.concat_ws("|", k, c)), F.lit(0))
     text = F.col(text_col)
-    new = F.transform("__found", lambda m: surrogate(m, key, choose)["s"])
+    new = F.transform(found, lambda m: surrogate(m, key, choose)["s"])
     filled = F.array_join(F.zip_with(F.split(text, ENTITY), new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    changed = F.when(F.size("__found") > 0, filled).otherwise(text)
+    changed = F.when(F.size(found) > 0, filled).otherwise(text)
     names = [c for c in docs.columns if c != "n_replaced"]
     return rows.select(*[changed.alias(c) if c == text_col else F.col(c) for c in names],
-                       F.when(text.isNull(), F.lit(0)).otherwise(F.size("__found")).alias("n_replaced"))
+                       F.when(text.isNull(), F.lit(0)).otherwise(F.size(found)).alias("n_replaced"))
