@@ -4,7 +4,7 @@ Importing this package imports every catalog module so all keys register.
 """
 
 from tillwise.catalog.base import REGISTRY, Entry, finish, oracle_text  # noqa: F401
-from tillwise.catalog import (core, extra, governance, insight, inventory, learning, metrics, modeling,  # noqa: F401
+from tillwise.catalog import (core, extra, governance, insight, inventory, learning, metrics, modeling, neighbours,  # noqa: F401
                               people, pricing, product, text, timeseries)
 
 
