@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwise.catalog.base import query
+from tillwise.operators import baskets
 from tillwise.operators import metrics as mt
 from tillwise.operators import neighbours as nb
 from tillwise.plans.model_store import table_model
@@ -93,3 +94,19 @@ def q_fraud_report_lof(spark, sf_dir):
     late = (read_table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id"))
             .agg(F.max((F.col("o_orderstatus") == "P").cast("int")).alias("y")))
     return mt.classification_report(_lof(spark, sf_dir).join(late, "id").withColumn("rid", F.col("id").cast("string")), "y", "score")
+
+
+@query("cart_ranking",
+       sql="""with held as (select distinct l_orderkey as basket, l_partkey as item from lineitem where l_orderkey is not null and l_partkey is not null),
+              s as (select item, count(*) as n_item from held group by item),
+              p as (select a.item as item, b.item as other, count(*) as n_both from held a join held b on a.basket = b.basket and a.item <> b.item
+                    group by all having count(*) >= 2),
+              l as (select p.*, s.n_item, t.n_item as n_other,
+                           n_both * cast((select count(distinct basket) from held) as double) / (s.n_item * t.n_item) as lift
+                    from p join s on s.item = p.item join s t on t.item = p.other)
+              select item, row_number() over (partition by item order by lift desc, n_both desc, other) as rank, other, n_both, n_item, n_other, lift
+              from l qualify rank <= 5""",
+       doubles=("lift",), longs=("rank",))
+def q_cart_ranking(spark, sf_dir):
+    """Per part, the five others of greatest lift among those ordered together at least twice."""
+    return baskets.cart_ranking(read_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
