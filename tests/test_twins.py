@@ -207,6 +207,29 @@ def test_bundle_delivery_is_optimal_against_brute_force(spark):
             assert got[prod] == (best, "optimal"), (prod, got[prod], best)
 
 
+def test_deliver_by_residues_against_all_combinations():
+    from itertools import product
+
+    from tillwise.operators.inventory import deliver
+    rng = random.Random(8)
+    for _ in range(400):
+        sizes = [rng.randint(-1, 9) for _ in range(3)]
+        stock = rng.randint(0, 45)
+        bounds = [(rng.randint(-2, 15), rng.randint(-1, 25)) for _ in range(rng.randint(1, 3))]
+        reach = {0}
+        for s in {s for s in sizes if s > 0}:
+            reach = {x + s * k for x in reach for k in range((stock - x) // s + 1)}
+        options = [[u for u in sorted(reach) if lo <= u <= min(hi, stock)] for lo, hi in bounds]
+        totals = [sum(p) for p in product(*options) if sum(p) <= stock]
+        units = deliver(stock, sizes, bounds)
+        if not totals:
+            assert units is None
+        else:
+            assert sum(units) == max(totals) and all(u in o for u, o in zip(units, options))
+    # a stock of a billion takes no more memory than one of ten
+    assert sum(deliver(10 ** 9, [7, 11, 13], [(3, 10 ** 9), (5, 40)])) == 10 ** 9
+
+
 def test_restock_lagrangian_brackets_the_integer_optimum(spark):
     from itertools import product
 

@@ -9,13 +9,14 @@ can never be funded) and then fills the budget in rounds of prefix sums.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwise.functions.cells import runs
 from tillwise.functions.numeric import half_even
 from tillwise.functions.prefix import ordered_prefix_sums
 from tillwise.session import reliable_checkpoint
@@ -215,52 +216,88 @@ DELIVERY_OUT = T.StructType([
     T.StructField("units", T.LongType()), T.StructField("status", T.StringType())])
 
 
-def _reachable(lo: int, hi: int, sizes: list[int]) -> np.ndarray:
-    """Totals in [0, hi] reachable as non-negative combinations of sizes:
-    per size, along each residue class, whatever follows a reachable total."""
-    ok = np.zeros(hi + 1, dtype=bool)
-    ok[0] = True
-    for s in sizes:
-        if 0 < s <= hi:
-            padded = np.zeros(-(-(hi + 1) // s) * s, dtype=bool)
-            padded[:hi + 1] = ok
-            ok = np.logical_or.accumulate(padded.reshape(-1, s), axis=0).ravel()[:hi + 1]
-    ok[:max(lo, 0)] = False
-    return ok
-
-
-def _deliver(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One product: choose a reachable total per marketplace inside
-    [min, max] maximising the sum under the stock cap. Per marketplace the
-    totals so far are one boolean array; which total each came from is found
-    backwards, so memory is marketplaces x stock bits."""
-    pdf = pdf.sort_values("marketplace")
-    product, stock = int(pdf["product"].iloc[0]), int(pdf["stock"].iloc[0])
-    sizes = [int(pdf[c].iloc[0]) for c in ("small", "middle", "large")]
-    steps, options = [np.arange(stock + 1) == 0], []
-    for lo, hi in zip(pdf["min_demand"].astype(int), pdf["max_demand"].astype(int).clip(upper=stock)):
-        units = np.flatnonzero(_reachable(lo, hi, sizes)) if hi >= lo else np.zeros(0, dtype=int)
-        reach = np.zeros(stock + 1, dtype=bool)
-        for u in units:
-            reach[u:] |= steps[-1][:stock + 1 - u]
-        options.append(units)
-        steps.append(reach)
-    chosen, status = np.zeros(len(options), dtype=int), "infeasible"
-    if steps[-1].any():
-        status, total = "optimal", int(np.flatnonzero(steps[-1])[-1])
-        for k in range(len(options) - 1, -1, -1):
-            fits = options[k][options[k] <= total]
-            chosen[k] = fits[steps[k][total - fits]][-1]  # the last marketplaces take as much as they can
-            total -= int(chosen[k])
-    return pd.DataFrame({"product": product, "marketplace": pdf["marketplace"].tolist(), "units": chosen, "status": status})
+def least_totals(sizes: list[int]) -> list[int | None]:
+    """By residue modulo the smallest size, the least total that bundles of these sizes can make.
+
+    Of one residue, just this total and all larger ones can be made. For each further size the
+    residues are gone through in the circles in which adding it leads, twice each."""
+    modulus = min(sizes)
+    least: list[int | None] = [None] * modulus
+    least[0] = 0
+    for size in sizes:
+        circles = math.gcd(size, modulus)
+        for start in range(circles):
+            at = start
+            for _ in range(2 * modulus // circles):
+                after = (at + size) % modulus
+                if least[at] is not None and (least[after] is None or least[at] + size < least[after]):
+                    least[after] = least[at] + size
+                at = after
+    return least
+
+
+def deliver(stock: int, sizes: list[int], bounds: list[tuple[int, int]]) -> list[int] | None:
+    """Units for each marketplace, of greatest sum within ``stock``; None if there are none.
+
+    What a marketplace can take of one residue is an arithmetic progression whose step is the
+    smallest size, and so is any sum of such choices. So it is enough to know, for each residue and
+    greatest sum, the least sum: there are few of these, however large the stock."""
+    sizes = sorted({s for s in sizes if s > 0})
+    step = sizes[0] if sizes else 1
+    least = least_totals(sizes) if sizes else [0]
+    # (residue, greatest sum) -> (least sum, progressions chosen)
+    state: dict[tuple[int, int], tuple[int, tuple]] = {(0, 0): (0, ())}
+    for low, high in bounds:
+        high = min(high, stock)
+        options = []
+        for residue, first in enumerate(least):
+            if first is None:
+                continue
+            first = max(first, low + (residue - low) % step)
+            last = high - (high - residue) % step if sizes else min(high, 0)
+            if first <= last:
+                options.append((residue, first, last))
+        after: dict[tuple[int, int], tuple[int, tuple]] = {}
+        for (residue, most), (few, chosen) in state.items():
+            for r, first, last in options:
+                key, total = ((residue + r) % step, most + last), few + first
+                if total <= stock and (key not in after or total < after[key][0]):
+                    after[key] = total, (*chosen, (first, last))
+        state = after
+    best = max(((min(most, stock - (stock - residue) % step), chosen, few) for (residue, most), (few, chosen) in state.items()), default=None)
+    if best is None:
+        return None
+    units, left = [first for first, _ in best[1]], best[0] - best[2]
+    for k in range(len(units) - 1, -1, -1):  # the last marketplaces take as much as they can
+        more = min(best[1][k][1] - units[k], left)
+        units[k] += more
+        left -= more
+    return units
+
+
+def _delivered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ("product", "marketplace", "min_demand", "max_demand", "stock", "small", "middle", "large")
+    for table, cut in runs(batches, ["product"]):
+        product, place, low, high, stock, *sizes = (table.column(c).to_pylist() for c in names)
+        units, status = [], []
+        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            found = deliver(stock[lo], [s[lo] for s in sizes], list(zip(low[lo:hi], high[lo:hi])))
+            units += found or [0] * (hi - lo)
+            status += ["infeasible" if found is None else "optimal"] * (hi - lo)
+        yield pa.RecordBatch.from_arrays([pa.array(product, pa.int64()), pa.array(place, pa.string()), pa.array(units, pa.int64()),
+                                          pa.array(status, pa.string())], names=["product", "marketplace", "units", "status"])
 
 
 def bundle_delivery(df: DataFrame) -> DataFrame:
     """Per product, integer bundles (three sizes) per marketplace inside
     its [min, max] demand, total within stock, units maximised. Products do not
-    interact, so each is an exact small DP in a grouped-map task; a product
-    has at most a handful of marketplaces, so groups are bounded."""
-    return df.groupBy("product").applyInPandas(_deliver, DELIVERY_OUT)
+    interact, so each is an exact small search by residues of the smallest
+    size; memory does not depend on the stock, and a product has at most a
+    handful of marketplaces, so its rows are bounded."""
+    whole = df.select(F.col("product").cast("long"), F.col("marketplace").cast("string"),
+                      *[F.floor(c).cast("long").alias(c) for c in ("min_demand", "max_demand", "stock", "small", "middle", "large")])
+    return (whole.repartition("product").sortWithinPartitions("product", "marketplace")
+            .mapInArrow(_delivered, DELIVERY_OUT))
 
 
 # --------------------------------------------------------- K14 inventory KPIs
