@@ -139,8 +139,8 @@ def quality_metrics(df: DataFrame, by: list[str] | None = None) -> DataFrame | N
     return df.groupBy(*(by or [])).agg(*aggs)
 
 
-def alerts(df: DataFrame, thresholds: dict | None = None) -> DataFrame:
-    """M5 (as coded): SUPPLY / MODEL / DATA alerts from one aggregation row.
+def alerts(df: DataFrame, thresholds: dict | None = None, by: list[str | Column] | None = None) -> DataFrame:
+    """M5 (as coded): SUPPLY / MODEL / DATA alerts from one aggregation row, or one for each group of ``by``.
 
     The alert rows are produced by exploding an array of optional structs, so
     the whole rule set is one job over the daily table.
@@ -156,7 +156,8 @@ def alerts(df: DataFrame, thresholds: dict | None = None) -> DataFrame:
         aggs += [w_raw.alias("wape_raw"), w_ok.alias("wape_non_oos")]
     else:
         aggs += [F.lit(0.0).alias("wape_raw"), F.lit(0.0).alias("wape_non_oos")]
-    row = df.agg(*aggs)
+    row = df.groupBy(*(by or [])).agg(*aggs)
+    groups = row.columns[:len(by or [])]
 
     def alert(cond, level, typ, message, owner, action):
         return F.when(cond, F.struct(F.lit(level).alias("level"), F.lit(typ).alias("type"),
@@ -175,7 +176,7 @@ def alerts(df: DataFrame, thresholds: dict | None = None) -> DataFrame:
     data = alert(F.coalesce(F.col("bad_price"), F.lit(False)), "WARN", "DATA",
                  F.lit(ALERT_TEXTS["DATA"]),
                  *ALERT_OWNERS["DATA"])
-    return row.select(F.explode(F.array_compact(F.array(supply, model, data))).alias("a")).select("a.*")
+    return row.select(*groups, F.explode(F.array_compact(F.array(supply, model, data))).alias("a")).select(*groups, "a.*")
 
 
 def weekly_summary_sql(df: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@ governance alerts (M5), for incremental inputs.
 
 The reference has no streaming operator; these run the same logic on
 micro-batches: event-time watermark, de-duplication of (user, day) inside the
-watermark, a daily window count in append mode, and an alert table written
-per batch with ``foreachBatch``. State and offsets live under the shared
+watermark and a daily window count in append mode; for the alerts, running totals
+of each week, judged when the week closes. State and offsets live under the shared
 checkpoint folder, so a restarted query resumes where it stopped.
 """
 
@@ -55,10 +55,26 @@ def start_daily_active_users(spark: SparkSession, directory: str, name: str, tab
     return q.format("parquet").option("path", table or os.path.join(checkpoint_dir(spark), "streams-out", name)).start()
 
 
-def governance_alerts_sink(thresholds: dict | None, out_dir: str):
-    """foreachBatch writer: alerts (M5) of each micro-batch of SKU-day rows,
-    appended with the batch id (idempotent per batch id on retry)."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        a = gov.alerts(gov.enrich(gov.coerce_types(batch)), thresholds).withColumn("batch_id", F.lit(batch_id))
-        a.write.mode("overwrite").parquet(os.path.join(out_dir, f"batch_id={batch_id}"))
-    return write
+#: Windows start at the epoch, a Thursday; weeks start four days later.
+MONDAY = "4 days"
+
+
+def weekly_alerts_stream(rows: DataFrame, thresholds: dict | None = None, lateness: str = "2 days") -> DataFrame:
+    """Streaming M5: the alerts of each Monday week, on the totals of the whole week.
+
+    ``rows``: the streaming SKU-day table. State holds the running totals of the open weeks only
+    (a few sums for each). A week is judged once, when the watermark (latest day seen less
+    ``lateness``) has passed its end, so how rows are split into batches does not matter; rows that
+    come after that are dropped."""
+    daily = gov.enrich(gov.coerce_types(rows)).withColumn("ts", F.col("date").cast("timestamp"))
+    week = F.window(F.col("ts"), "7 days", "7 days", MONDAY).alias("week")
+    return (gov.alerts(daily.withWatermark("ts", lateness), thresholds, by=[week])
+            .withColumn("week", F.to_date(F.col("week.start"))))
+
+
+def start_weekly_alerts(rows: DataFrame, name: str, out_dir: str, thresholds: dict | None = None,
+                        lateness: str = "2 days", available_now: bool = True):
+    """Append the alerts of each closed week to parquet files in ``out_dir``; each week's are written exactly once."""
+    q = (weekly_alerts_stream(rows, thresholds, lateness).writeStream.outputMode("append").format("parquet")
+         .option("path", out_dir).option("checkpointLocation", os.path.join(checkpoint_dir(rows.sparkSession), "streams", name)))
+    return (q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")).start()
