@@ -257,7 +257,31 @@ def test_restock_lagrangian_brackets_the_integer_optimum(spark):
                 best = max(best, sum(r[5] * q for r, q in combo))
         assert info["spent"] <= budget + 1e-9
         assert info["value"] <= best + 1e-9
-        assert info["dual_bound"] >= best - 1e-6
+        # the optimum of the relaxation equals the least dual value over all slopes at which a choice can change
+        points = {s: [(0.0, 0.0)] + [(r[4] * r[2], r[5] * r[2]) for r in opts] for s, opts in by.items()}
+        prices = {0.0} | {(w - v) / (d - c) for p in points.values() for c, v in p for d, w in p if d > c and w > v}
+        dual = min(lam * budget + sum(max(v - lam * c for c, v in p) for p in points.values()) for lam in prices)
+        assert abs(info["dual_bound"] - dual) < 1e-9
+        assert best - 1e-9 <= dual
+        # no more is lost than the largest whole purchase
+        assert info["gap"] <= max(v for p in points.values() for _, v in p) + 1e-9
+
+
+def test_restock_lagrangian_of_odd_rows(spark):
+    from tillwise.operators import inventory as inv
+    schema = "sku_id long, percentile long, demand_to_buy long, price double, cost double, profit_score double"
+    empty, info = inv.restock_lagrangian(spark.createDataFrame([], schema), 10.0, "profit")
+    assert empty.isEmpty() and info["dual_bound"] == 0.0
+    rows = [(1, 10, 3, 2.0, 1.0, 1.0), (1, 50, 3, 2.0, 1.0, 2.0),  # as dear and worth less: never bought
+            (2, 10, 3, 2.0, 1.0, -1.0), (3, 10, 3, 2.0, 0.0, 1.0), (4, 10, 0, 2.0, 1.0, 1.0), (5, 10, 2, None, None, None),
+            (6, 10, 2, 2.0, 1.0, 1.5), (6, 50, 4, 2.0, 1.0, 1.5)]
+    alloc, info = inv.restock_lagrangian(spark.createDataFrame(rows, schema), 100.0, "profit")
+    assert {(r.sku_id, r.percentile, r.qty) for r in alloc.collect()} == {(1, 50, 3.0), (6, 50, 4.0)}
+    assert info["gap"] == 0.0 and info["value"] == 12.0
+    # the budget ends within the second purchase of SKU 6: its larger one is bought in part
+    alloc, info = inv.restock_lagrangian(spark.createDataFrame(rows, schema), 6.0, "profit")
+    assert {(r.sku_id, r.qty) for r in alloc.collect()} == {(1, 3.0), (6, 3.0)}
+    assert info["value"] == info["dual_bound"] == 10.5
 
 
 def test_salted_top_k_equals_plain_ranking(spark):

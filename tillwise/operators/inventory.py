@@ -155,58 +155,98 @@ def restock_greedy(scores: DataFrame, budget: float, goal: str = "profit") -> Da
     return out.orderBy(F.col("allocated_budget").desc(), F.col("sku_id").asc())
 
 
-def restock_lagrangian(scores: DataFrame, budget: float, goal: str = "profit", precision: float = 1e-9) -> tuple:
+def _hull_steps(base: DataFrame) -> DataFrame:
+    """Steps of every SKU's upper hull of (spent, worth): from buying nothing,
+    over some percentiles' whole demands, to the most worthwhile one. Slopes of
+    a SKU never rise. A group holds the percentiles of one SKU."""
+    point = F.struct((F.col("cost") * F.col("demand_to_buy")).alias("c"), (-F.col("s") * F.col("demand_to_buy")).alias("loss"),
+                     "percentile", "price", "cost", "demand_to_buy", "s")
+    per_sku = base.groupBy("sku_id").agg(F.array_sort(F.collect_list(point)).alias("p"))
+
+    def worth(x):
+        return -x["loss"]
+
+    def slope(x, y):
+        return (worth(y) - worth(x)) / (y["c"] - x["c"])
+
+    # a point counts if nothing cheaper (or as cheap and sorted before it) is worth as much
+    useful = F.filter("p", lambda x, i: worth(x) > F.greatest(
+        F.lit(0.0), F.coalesce(F.array_max(F.transform(F.slice("p", F.lit(1), i), worth)), F.lit(0.0))))
+    rising = per_sku.withColumn("p", useful)
+
+    def on_hull(x, i):
+        before = F.least(worth(x) / x["c"], F.array_min(F.transform(F.slice("p", F.lit(1), i), lambda y: slope(y, x))))
+        after = F.array_max(F.transform(F.slice("p", i + 2, F.size("p")), lambda y: slope(x, y)))
+        return before > F.coalesce(after, F.lit(0.0))
+
+    hull = rising.withColumn("p", F.filter("p", on_hull))
+
+    def step(x, i):
+        prev = F.get("p", i - 1)
+        dc, dv = x["c"] - F.coalesce(prev["c"], F.lit(0.0)), worth(x) - F.coalesce(worth(prev), F.lit(0.0))
+        return F.struct(x.alias("to"), prev.alias("from"), dc.alias("dc"), dv.alias("dv"), (dv / dc).alias("slope"))
+
+    steps = hull.withColumn("p", F.transform("p", step))
+    falling = F.transform("p", lambda x, i: F.struct(
+        x["to"].alias("to"), x["from"].alias("from"), x["dc"].alias("dc"), x["dv"].alias("dv"),
+        F.array_min(F.transform(F.slice("p", F.lit(1), i + 1), lambda y: y["slope"])).alias("slope")))
+    return steps.select("sku_id", F.explode(falling).alias("x")).select("sku_id", "x.*")
+
+
+def restock_lagrangian(scores: DataFrame, budget: float, goal: str = "profit") -> tuple:
     """M21 (re-aimed): the integer programme max Σ score·qty, Σ cost·qty <=
-    budget, one percentile per SKU, qty <= demand, solved by a Lagrangian
-    price λ on the budget: per SKU pick the percentile maximising
-    (score − λ·cost)·demand (one aggregation per λ, on a checkpointed table),
-    bisect λ to a relative ``precision``, then spend what is left on the SKUs
-    that the λ just below would add, by falling score per cost, in full or in
-    part, until none of them is affordable.
-
-    λ starts between 0 and just above the largest score / cost, where nothing is
-    worth buying, so the upper end always keeps the budget. Returns (allocation
-    DataFrame, info dict with value, dual bound, gap). Scores are rounded to 4
-    decimals like the reference model.
+    budget, one percentile per SKU, qty <= demand.
+
+    Its relaxation is solved exactly: of each SKU only the upper hull of (spent,
+    worth) matters, the steps of all hulls are funded by falling slope, and one
+    prefix sum finds the step at which the budget ends. The plan takes all steps
+    before that one; what is left goes to the SKU of that step, if it has more to
+    gain there, and then to SKUs without a purchase by falling score per cost, in
+    full or in part, until none of them is affordable.
+
+    Rows without a cost, a demand or a positive score are never bought. Returns
+    (allocation DataFrame, info dict: value, spent, dual_bound = optimum of the
+    relaxation, lambda = slope of the last step, gap). Scores are rounded to 4
+    decimals like the reference model. ``scores`` has one row per SKU and percentile.
     """
     score = half_even(F.col(f"{goal}_score"), 4)
-    base = reliable_checkpoint(scores.select("sku_id", "percentile", "price", "cost", "demand_to_buy",
-                                             score.alias("s")).where("cost > 0"))
-
-    def pick(lam: float) -> DataFrame:
-        gain = (F.col("s") - F.lit(lam) * F.col("cost")) * F.col("demand_to_buy")
-        g = base.where(gain > 0).withColumn("_g", gain)
-        return g.groupBy("sku_id").agg(F.max_by(F.struct("percentile", "price", "cost", "demand_to_buy", "s"),
-                                                F.struct(F.col("_g"), -F.col("percentile"))).alias("r")).select("r.*",
-                                                                                                                 "sku_id")
-
-    def spend(lam: float) -> float:
-        v = pick(lam).agg(F.sum(F.col("cost") * F.col("demand_to_buy"))).first()[0]
-        return float(v or 0.0)
-
-    lo, hi = 0.0, 1.001 * float(base.agg(F.max(F.col("s") / F.col("cost"))).first()[0] or 0.0)
-    if spend(0.0) <= budget:
-        hi = 0.0
-    top = hi
-    while hi - lo > precision * top:
-        mid = (lo + hi) / 2
-        if spend(mid) > budget:
-            lo = mid
-        else:
-            hi = mid
-    chosen = pick(hi)
-    used = spend(hi)
-    extra = pick(lo).join(chosen.select("sku_id"), "sku_id", "left_anti").withColumn("_worth", F.col("s") / F.col("cost"))
-    more = _buy_in_order(extra, max(budget - used, 0.0), "_worth")
+    base = scores.select("sku_id", "percentile", "price", "cost", "demand_to_buy", score.alias("s")).where(
+        "cost > 0 and demand_to_buy > 0 and s > 0")
+    key = F.struct((-F.col("slope")).alias("k"), "sku_id", F.col("to.c").alias("c"))
+    steps = reliable_checkpoint(ordered_prefix_sums(
+        _hull_steps(base), [-F.col("slope"), F.col("sku_id"), F.col("to.c")], {"sum_c": F.col("dc")}).withColumn("key", key))
+    end = steps.where(F.col("sum_c") > budget).agg(F.min(F.struct("key", "slope", "sku_id", "to", "from")).alias("r")).first()["r"]
+    funded = steps if end is None else steps.where(F.col("key") < F.struct(
+        F.lit(end["key"]["k"]).alias("k"), F.lit(end["sku_id"]).alias("sku_id"), F.lit(end["key"]["c"]).alias("c")))
+    full = funded.agg(F.sum("dc").alias("c"), F.sum("dv").alias("v")).first()
+    spent, value = float(full["c"] or 0.0), float(full["v"] or 0.0)
+    lam = float(end["slope"]) if end else 0.0
+    bound = value + lam * max(budget - spent, 0.0)
+    chosen = funded.groupBy("sku_id").agg(F.max_by("to", "to.c").alias("r")).select("sku_id", "r.*").withColumn(
+        "qty", F.col("demand_to_buy").cast("double"))
     cols = ["sku_id", "percentile", "price", "cost", "qty", "s"]
-    alloc = reliable_checkpoint(
-        chosen.withColumn("qty", F.col("demand_to_buy").cast("double")).select(*cols)
-        .unionByName(more.withColumn("qty", F.col("allocated_qty")).select(*cols)))
+    left, parts = max(budget - spent, 0.0), []
+    if end and end["from"] is not None:  # the SKU of the last step has a smaller purchase already
+        old, new = end["from"], end["to"]
+        qty = min(new["demand_to_buy"], math.floor((left + old["c"]) / new["cost"]))
+        if qty * new["s"] > -old["loss"]:
+            one = chosen.where(F.col("sku_id") == end["sku_id"]).select(
+                "sku_id", *[F.lit(new[c]).alias(c) for c in ("percentile", "price", "cost")],
+                F.lit(float(qty)).alias("qty"), F.lit(new["s"]).alias("s"))
+            parts.append(one)
+            chosen = chosen.where(F.col("sku_id") != end["sku_id"])
+            left = max(left + old["c"] - qty * new["cost"], 0.0)
+    firsts = steps.where(F.col("from").isNull()).select("sku_id", "to.*")
+    bought = funded.select("sku_id").distinct()
+    extra = firsts.join(bought, "sku_id", "left_anti").withColumn("_worth", F.col("s") / F.col("cost"))
+    parts.append(_buy_in_order(extra, left, "_worth").withColumn("qty", F.col("allocated_qty")).select(*cols))
+    alloc = chosen.select(*cols)
+    for p in parts:
+        alloc = alloc.unionByName(p)
+    alloc = reliable_checkpoint(alloc)
     val = alloc.agg(F.sum(F.col("s") * F.col("qty")).alias("v"), F.sum(F.col("cost") * F.col("qty")).alias("c")).first()
-    dual = pick(hi).agg(F.sum((F.col("s") - F.lit(hi) * F.col("cost")) * F.col("demand_to_buy"))).first()[0] or 0.0
-    bound = float(dual) + hi * budget
     info = {"value": float(val["v"] or 0.0), "spent": float(val["c"] or 0.0), "dual_bound": bound,
-            "lambda": hi, "gap": bound - float(val["v"] or 0.0)}
+            "lambda": lam, "gap": bound - float(val["v"] or 0.0)}
     return alloc, info
 
 
