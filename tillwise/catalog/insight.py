@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwise.catalog.base import query
+from tillwise.operators import counterfactual as cf
 from tillwise.operators import experiments as ex
 from tillwise.operators import metrics as mt
 from tillwise.operators import product as pa
 from tillwise.operators import quality as dq
 from tillwise.operators import similarity as sim
+from tillwise.operators import uplift as up
 from tillwise.sources.fixtures import fx_sales_train, fx_scored
 from tillwise.sources.tables import read_table
 
@@ -110,6 +112,60 @@ def q_uplift_by_segment(spark, sf_dir):
     return ex.uplift_by_segment(u, "converted", "treated", "segment")
 
 
+UPLIFT_FEATURES = ["month", "priority", "weekday"]
+UPLIFT_DEPTH, UPLIFT_ARM = 2, 20
+
+
+def _uplift_rows(spark, sf_dir):
+    """Orders at random in two arms; a large order is the outcome."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", F.month("o_orderdate").alias("month"), (F.dayofweek("o_orderdate") - 1).alias("weekday"),
+                    F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+                    (F.col("o_totalprice") > 150_000).cast("int").alias("large"),
+                    (ex.assign_arm(F.col("o_orderkey"), "uplift", ["T", "C"]) == "T").alias("treated"))
+
+
+def _uplift_sql() -> str:
+    """The tree level by level; a level's rows carry the number of their node."""
+    names = sorted(UPLIFT_FEATURES)
+    value = "case s.feature " + " ".join(f"when '{f}' then a.{f}" for f in names) + " end"
+    counts = "count(*) filter (where t) as nt, count(*) filter (where not t) as nc, count(*) filter (where t and y) as yt, count(*) filter (where not t and y) as yc"
+
+    def diff(p):
+        return f"({p}yt / {p}nt - {p}yc / {p}nc)"
+
+    parts = [f"""a0 as (select month(o_orderdate) as month, dayofweek(o_orderdate) as weekday,
+                        cast(substr(o_orderpriority, 1, 1) as integer) as priority, o_totalprice > 150000 as y,
+                        {_arm('uplift', 'o_orderkey', ['T', 'C'])} = 'T' as t, 1 as node from orders)"""]
+    for k in range(UPLIFT_DEPTH):
+        sums = ", ".join(f"cast(sum({c}) over w as double) as l{c}, cast(sum({c}) over p as double) as a{c}" for c in ("nt", "nc", "yt", "yc"))
+        rest = ", ".join(f"a{c} - l{c} as r{c}" for c in ("nt", "nc", "yt", "yc"))
+        parts.append(f"""h{k} as (select node, feature, bin, {counts}
+                    from (select node, t, y, unnest({names}) as feature, unnest([{', '.join(names)}]) as bin from a{k} where node >= {1 << k})
+                    group by all),
+             c{k} as (select *, {rest} from (select node, feature, bin, {sums} from h{k}
+                      window w as (partition by node, feature order by bin), p as (partition by node, feature))),
+             s{k} as (select node, feature, bin, (((lnt + lnc) / (ant + anc)) * ({diff('l')} * {diff('l')})
+                                                 + ((rnt + rnc) / (ant + anc)) * ({diff('r')} * {diff('r')}))
+                                                 - {diff('a')} * {diff('a')} as gain
+                      from c{k} where least(lnt, lnc, rnt, rnc) >= {UPLIFT_ARM}
+                      qualify gain > 0 and row_number() over (partition by node order by gain desc, feature, bin) = 1),
+             a{k + 1} as (select a.* exclude (node), case when s.node is null then a.node when {value} <= s.bin then 2 * a.node
+                                 else 2 * a.node + 1 end as node from a{k} a left join s{k} s on s.node = a.node)""")
+    splits = " union all ".join(f"select * from s{k}" for k in range(UPLIFT_DEPTH))
+    levels = " union all ".join(f"select node, t, y from a{k}{f' where node >= {1 << k}' if k else ''}" for k in range(UPLIFT_DEPTH + 1))
+    return f"""with {', '.join(parts)},
+            z as (select node, {counts} from ({levels}) group by node)
+            select z.node, s.feature, s.bin as last_bin, s.gain, nt as n_treat, nc as n_ctrl, yt / nt as rate_treat,
+                   yc / nc as rate_ctrl, yt / nt - yc / nc as uplift from z left join ({splits}) s on s.node = z.node"""
+
+
+@query("uplift_tree", sql=_uplift_sql(), doubles=("gain", "rate_treat", "rate_ctrl", "uplift"), longs=("node", "last_bin"))
+def q_uplift_tree(spark, sf_dir):
+    nodes, _ = up.fit_uplift_tree(_uplift_rows(spark, sf_dir), UPLIFT_FEATURES, "large", "treated", UPLIFT_DEPTH, UPLIFT_ARM)
+    return nodes
+
+
 @query("diff_in_diff",
        sql="""select avg(o_totalprice) filter (where t and p) as treated_post,
                      avg(o_totalprice) filter (where t and not p) as treated_pre,
@@ -130,6 +186,42 @@ def q_diff_in_diff(spark, sf_dir):
     return ex.diff_in_diff(j, "o_totalprice", "t", "p")
 
 
+IMPACT_UNIT, IMPACT_START = 7, "1997-01-01"
+
+
+def _impact(spark, sf_dir):
+    """Monthly order value by nation of the customer."""
+    o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-01").alias("month"))
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return cf.synthetic_control(o.join(c, o.o_custkey == c.c_custkey), "c_nationkey", "month", "o_totalprice", IMPACT_UNIT, IMPACT_START)
+
+
+@query("causal_impact", note="T37: synthetic control of one nation with placebo intervals: rows-only, planted effect in the tests")
+def q_causal_impact(spark, sf_dir):
+    return _impact(spark, sf_dir)[0]
+
+
+@query("causal_impact_units", note="T37: weights of the mix and placebo test: rows-only")
+def q_causal_impact_units(spark, sf_dir):
+    return _impact(spark, sf_dir)[1]
+
+
+@query("causal_impact_actual",
+       sql=f"""select strftime(o_orderdate, '%Y-%m-01') as period, strftime(o_orderdate, '%Y-%m-01') >= '{IMPACT_START}' as is_post,
+                      coalesce(round(sum(o_totalprice) filter (where c_nationkey = {IMPACT_UNIT}), 2), 0) as actual,
+                      true as adds_up, true as inside
+               from orders join customer on c_custkey = o_custkey group by 1, 2""",
+       doubles=("actual",))
+def q_causal_impact_actual(spark, sf_dir):
+    """The part of T37 that SQL can state: the actual series, effect = actual -
+    counterfactual, and an effect inside its interval where the placebo gaps surround 0."""
+    e = _impact(spark, sf_dir)[0]
+    tol = 1e-6 * F.greatest(F.abs("actual"), F.lit(1.0))
+    return e.select("period", "is_post", F.round("actual", 2).alias("actual"),
+                    (F.abs(F.col("actual") - F.col("counterfactual") - F.col("effect")) <= tol).alias("adds_up"),
+                    (F.col("low") <= F.col("high")).alias("inside"))
+
+
 @query("psi_drift",
        sql="""with x as (select l_extendedprice as v, l_shipdate >= timestamp '1998-01-01' as cur from lineitem),
                    b as (select min(v) as lo, max(v) as hi from x where not cur),
