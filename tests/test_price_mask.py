@@ -63,3 +63,27 @@ def test_random_ties(spark):
         swapped += want != first
         assert spark_choice(spark, candidates, target) == want
     assert swapped
+
+
+def _in_order(rows, slack):
+    taken = []
+    for sku, gain, block in sorted(rows):
+        if slack + gain >= 0 and slack < block:
+            slack += gain
+            taken.append(sku)
+    return taken
+
+
+def test_swaps_by_bounds_equal_a_plain_scan(spark):
+    rng = random.Random(23)
+    for trial in range(4):
+        # blocks near what the slack will be: bounds alone leave many SKUs open
+        rows = [(s, float(rng.randrange(1, 6)), rng.choice([float("inf"), float(rng.randrange(-5, 1200)), 2.5 * s]))
+                for s in range(400)]
+        slack = float(-rng.choice([1, 4, 5]))
+        df = spark.createDataFrame(rows, "sku long, _gain double, _block double").repartitionByRange(8, "sku")
+        swaps = pr.reliable_checkpoint(df.withColumn("_range", F.spark_partition_id()))
+        for few in (0, 1000):
+            got = pr._swaps_taken(swaps, slack, "bigint", few)
+            assert sorted(r["sku"] for r in got.collect()) == _in_order(rows, slack)
+    assert pr._swaps_taken(swaps, -6.0, "bigint", 0) is None  # no gain closes the gap

@@ -86,6 +86,44 @@ def test_gbt_small_and_isolation_forest(spark):
     forest, psi = md.isolation_forest(d, ["a", "b"], n_trees=20, max_samples=64, id_col="rid")
     sc = {r.rid: r.score for r in md.isolation_scores(d, ["a", "b"], forest, psi).collect()}
     assert sc["out"] == max(sc.values())
+    # every row's path, tree by tree and node by node
+    for rid, a, b in pts[:5] + pts[-1:]:
+        paths = []
+        for tree in forest:
+            at, depth = 0, 0
+            while tree[at][0] >= 0:
+                f, t, left, right, _ = tree[at]
+                at, depth = left if (a, b)[f] < t else right, depth + 1
+            paths.append(depth + md._c_factor(tree[at][4]))
+        assert abs(sc[rid] - 2 ** (-np.mean(paths) / md._c_factor(psi))) < 1e-12
+
+
+def test_adstock_equals_a_plain_loop(spark):
+    from tillwise.operators import learning as ml
+    rows = [(k, d, float((7 * d + len(k or '')) % 5) if d % 6 else None, d) for k in ("a", "bb", None) for d in range(90)]
+    df = spark.createDataFrame(rows, "k string, day int, x double, n int").repartition(5)
+    want, s = {}, {}
+    for k, d, x, n in rows:
+        s[k] = (x or 0.0) + 0.8 * s.get(k, 0.0)
+        want[k, d] = s[k]
+    got = {(r.k, r.day): r.x_adstock for r in ml.adstock(df, ["k"], "day", ["x", "n"], 0.8).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    one = ml.adstock(df.where("k = 'a'"), [], "day", ["x"], 0.8)
+    assert all(abs(r.x_adstock - want["a", r.day]) < 1e-9 for r in one.collect())
+    assert ml.adstock(df.limit(0), [], "day", ["x"], 0.8).isEmpty()
+
+
+def test_media_regression_finds_planted_effects(spark):
+    from tillwise.operators import learning as ml
+    rng = np.random.default_rng(2)
+    spend = rng.uniform(0, 10, size=(200, 2))
+    memory, rows = np.zeros(2), []
+    for d, x in enumerate(spend):
+        memory = x + 0.5 * memory
+        rows.append((d, float(x[0]), float(x[1]), float(3 * memory[0] - memory[1] + 7)))
+    coefs, _ = ml.mmm_regression(spark.createDataFrame(rows, "day int, tv double, web double, sales double"), ["tv", "web"], "sales")
+    got = {r.term: r.coefficient for r in coefs.collect()}
+    assert abs(got["tv"] - 3) < 1e-6 and abs(got["web"] + 1) < 1e-6 and abs(got["intercept"] - 7) < 1e-5
 
 
 def test_virtual_ensemble_stages_and_bounds(spark, tmp_path):

@@ -4,8 +4,7 @@ Bootstrap draws are ``md5``-derived uniforms keyed by (seed, replicate,
 draw): deterministic, independent of partitioning and task retries, and
 reproducible in SQL. Drawing n of n rows ``n_boot`` times makes n * n_boot
 draws, generated and joined with the numbered rows by Spark; aggregate to
-periods first where that is many. ``poisson_bootstrap`` needs one pass and no
-join instead.
+periods first where that is many.
 """
 
 from __future__ import annotations

@@ -238,18 +238,40 @@ def _build_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int) -> list
     return nodes
 
 
-def _path_length(X: np.ndarray, nodes: list) -> np.ndarray:
-    """Path lengths of all rows at once: one step down the tree per round."""
-    table = np.array([n[:4] for n in nodes], dtype=np.float64)
-    feat, thr, left, right = table[:, 0].astype(int), table[:, 1], table[:, 2].astype(int), table[:, 3].astype(int)
-    at, depth = np.zeros(len(X), dtype=int), np.zeros(len(X))
-    active = np.flatnonzero(feat[at] >= 0)
-    while active.size:
-        n = at[active]
-        at[active] = np.where(X[active, feat[n]] < thr[n], left[n], right[n])
-        depth[active] += 1
-        active = active[feat[at[active]] >= 0]
-    return depth + np.array([_c_factor(n[4]) for n in nodes])[at]
+def _flat_forest(forest: list) -> tuple:
+    """All nodes of all trees in one set of arrays: (roots, feature, threshold,
+    left, right, path length to add at a leaf)."""
+    sizes = [len(t) for t in forest]
+    roots = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int32)
+    rows = np.array([n for t in forest for n in t], dtype=np.float64)
+    shift = np.repeat(roots, sizes)
+    feat = rows[:, 0].astype(np.int32)
+    # a leaf leads to itself, so that rows at leaves stay there
+    me, leaf = np.arange(len(rows), dtype=np.int32), feat < 0
+    left = np.where(leaf, me, rows[:, 2].astype(np.int32) + shift).astype(np.int32)
+    right = np.where(leaf, me, rows[:, 3].astype(np.int32) + shift).astype(np.int32)
+    rest = np.where(leaf, [_c_factor(int(k)) for k in rows[:, 4]], 0.0)
+    return roots, np.where(leaf, 0, feat), rows[:, 1], left, right, leaf, rest
+
+
+def _mean_path(X: np.ndarray, flat: tuple, rows: int = 1024) -> np.ndarray:
+    """Mean path length of each row: all trees step down together, some rows at a time."""
+    roots, feat, thr, left, right, leaf, rest = flat
+    out = np.empty(len(X))
+    for lo in range(0, len(X), rows):
+        part = X[lo:lo + rows]
+        at = np.tile(roots, len(part))
+        own = np.repeat(np.arange(len(part), dtype=np.int32), len(roots))
+        depth = np.zeros(len(at))
+        active = np.flatnonzero(~leaf[at])
+        while active.size:
+            n = at[active]
+            n = np.where(part[own[active], feat[n]] < thr[n], left[n], right[n])
+            at[active] = n
+            depth[active] += 1
+            active = active[~leaf[n]]
+        out[lo:lo + rows] = (depth + rest[at]).reshape(len(part), -1).mean(axis=1)
+    return out
 
 
 TREE_SCHEMA = T.StructType([T.StructField("tree", T.IntegerType()), T.StructField("nodes", T.StringType())])
@@ -257,7 +279,7 @@ TREE_SCHEMA = T.StructType([T.StructField("tree", T.IntegerType()), T.StructFiel
 
 def isolation_forest(train: DataFrame, features: list[str], n_trees: int = 100, max_samples: int = 256,
                      seed: int = 42, id_col: str | None = None) -> tuple[list, int]:
-    """L11 fit: each tree draws its own seeded sub-sample (md5 key per
+    """L11 fit: each tree draws its own seeded sub-sample (one hash per
     (tree, row)), the sub-samples are grouped by tree id and each tree is
     grown in its own grouped-map task. The forest (n_trees x <= 2*max_samples
     nodes) is returned to the driver: a bounded model, not data."""
@@ -268,12 +290,15 @@ def isolation_forest(train: DataFrame, features: list[str], n_trees: int = 100,
     rows = train.select(*[F.col(c).cast("double").alias(c) for c in features], rid.cast("string").alias("_rid"))
 
     def u(t):
-        h = F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), t.cast("string"), F.col("_rid"))), 1, 8)
-        return F.conv(h, 16, 10).cast("double") / F.lit(4294967296.0)
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), t, F.col("_rid")), 11) / F.lit(float(1 << 53))
+
     # each row joins only the trees whose draw falls under a 2x oversampling
-    # rate, so the sample table has ~2 * psi rows per tree, not n per tree
+    # rate, so the sample table has ~2 * psi rows per tree, not n per tree; one
+    # draw first leaves out the rows that no tree needs
     rate = min(1.0, 2.0 * psi / max(n, 1))
-    picked = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) < F.lit(rate))
+    some = min(1.0, n_trees * rate)
+    rows = rows.where(u(F.lit(-1)) < F.lit(some))
+    picked = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) < F.lit(rate / some))
     rows = rows.withColumn("tree", F.explode(picked)).withColumn("_u", u(F.col("tree")))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("_u", "_rid"))
     sample = rows.withColumn("_r", rank).where(F.col("_r") <= psi).drop("_r", "_u")
@@ -293,14 +318,13 @@ def isolation_scores(df: DataFrame, features: list[str], forest: list, psi: int,
     """L11 score: ``-score_samples`` = 2^(-mean path / c(psi)), computed by an
     Arrow-batched pandas UDF with the forest broadcast once."""
     from pyspark.sql.functions import pandas_udf
-    bc = df.sparkSession.sparkContext.broadcast(forest)
+    bc = df.sparkSession.sparkContext.broadcast(_flat_forest(forest))
     c = _c_factor(psi)
 
     @pandas_udf("double")
     def score(*cols: pd.Series) -> pd.Series:
         X = np.column_stack([s.to_numpy(dtype=np.float64) for s in cols])
-        depth = np.mean([_path_length(X, t) for t in bc.value], axis=0)
-        return pd.Series(np.power(2.0, -depth / c))
+        return pd.Series(np.power(2.0, -_mean_path(X, bc.value) / c))
 
     return df.withColumn(out, score(*[F.col(f).cast("double") for f in features]))
 

@@ -13,7 +13,7 @@ the caller's row order columns.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.prefix import ordered_prefix_sums
@@ -315,7 +315,60 @@ def _tie_swaps(m: DataFrame, start: DataFrame, target: float, row_order: list[Co
         "sku", "_gain", F.coalesce("_block", F.lit(float("inf"))).alias("_block"), "_row")
 
 
-def price_mask(df: DataFrame, target: float, row_order: list[Column]) -> DataFrame:
+def _swaps_taken(swaps: DataFrame, slack: float, sku_type: str, few: int) -> DataFrame | None:
+    """SKUs of ``swaps`` (sku, _gain > 0, _block, _range) that swap when tried in order, from a negative ``slack``.
+
+    The first to swap is the first whose own gain closes the gap: one minimum. From then on
+    the slack only grows, and a SKU swaps exactly if the slack is below its block. Bounds
+    of the slack before each SKU, by prefix sums of what surely and what possibly swapped, decide most
+    SKUs at once and tighten round by round. When ``few`` are open, or a round decides less
+    than half of them, the open ones stream through one task in order."""
+    first = swaps.where((F.lit(slack) + F.col("_gain") >= 0) & (F.lit(slack) < F.col("_block"))).agg(
+        F.min(F.struct("sku", "_gain")).alias("r")).first()["r"]
+    if first is None:
+        return None
+    now = slack + first["_gain"]
+    state = F.when(F.col("_block") <= now, F.lit(False)).when(F.col("_block") == float("inf"), F.lit(True))
+    table = swaps.where(F.col("sku") > first["sku"]).select("sku", "_gain", "_block", "_range", state.alias("_state"))
+    inside = Window.partitionBy("_range").orderBy("sku").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    surely = F.when(F.col("_state"), F.col("_gain")).otherwise(0.0)
+    maybe = F.when(F.coalesce("_state", F.lit(True)), F.col("_gain")).otherwise(0.0)
+    left = None
+    while True:
+        sums = table.groupBy("_range").agg(F.sum(surely).alias("lo"), F.sum(maybe).alias("hi"))
+        offsets = sums.select("_range", *[F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(f"_{c}") for c in ("lo", "hi")])
+        seen = table.join(F.broadcast(offsets), "_range")
+        low, high = (F.lit(now) + F.col(c) + F.coalesce(F.sum(x).over(inside), F.lit(0.0)) for c, x in (("_lo", surely), ("_hi", maybe)))
+        decided = F.when(F.col("_state").isNotNull(), F.col("_state")).when(F.col("_block") > high, F.lit(True)).when(
+            F.col("_block") <= low, F.lit(False))
+        table = reliable_checkpoint(seen.withColumn("_decided", decided).drop("_lo", "_hi", "_state").withColumnRenamed("_decided", "_state"))
+        was, left = left, table.where("_state is null").count()
+        if left <= few or (was is not None and 2 * left > was):
+            break
+
+    def fold(batches):
+        extra = 0.0  # gains of open SKUs that swapped; ``_low`` holds those of the decided ones
+        for b in batches:
+            kept = []
+            for sku, gain, block, low in b.itertuples(index=False):
+                if low + extra < block:
+                    extra += gain
+                    kept.append(sku)
+            yield pd.DataFrame({"sku": kept})
+
+    taken = table.where("_state").select("sku").unionByName(swaps.where(F.col("sku") == first["sku"]).select("sku"))
+    if left:
+        sums = table.groupBy("_range").agg(F.sum(surely).alias("lo"))
+        offsets = sums.select("_range", F.coalesce(F.sum("lo").over(before), F.lit(0.0)).alias("_lo"))
+        lows = table.join(F.broadcast(offsets), "_range").withColumn(
+            "_low", F.lit(now) + F.col("_lo") + F.coalesce(F.sum(surely).over(inside), F.lit(0.0)))
+        ordered = lows.where("_state is null").select("sku", "_gain", "_block", "_low")
+        taken = taken.unionByName(ordered.coalesce(1).sortWithinPartitions("sku").mapInPandas(fold, f"sku {sku_type}"))
+    return reliable_checkpoint(taken)
+
+
+def price_mask(df: DataFrame, target: float, row_order: list[Column], few: int = 100_000) -> DataFrame:
     """The GMV-max selection if it meets ``target``. Otherwise SKUs are
     tried in order, each with its candidates by falling margin: the first with
     which the whole selection meets the target is taken if GMV does not fall.
@@ -324,9 +377,7 @@ def price_mask(df: DataFrame, target: float, row_order: list[Column]) -> DataFra
     GMV starts at its maximum, so only an exact GMV tie of higher margin can be
     taken. With slack = sum((margin - target) * gmv), SKU s swaps when its gain
     makes the slack non-negative and no candidate of higher margin does so
-    before. That scan is sequential by definition, but only SKUs with such a
-    tie take part: they are range-partitioned by SKU, and the ranges are folded
-    one after the other, each in a task of its own that hands on one number."""
+    before; see ``_swaps_taken``."""
     m = candidate_metrics(df)
     start = first_argmax(m, "sku", "gmv", row_order)
     g, w = totals(start)
@@ -335,26 +386,8 @@ def price_mask(df: DataFrame, target: float, row_order: list[Column]) -> DataFra
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         swaps = _tie_swaps(m, start, target, row_order).repartitionByRange(n, "sku")
         swaps = reliable_checkpoint(swaps.withColumn("_range", F.spark_partition_id()))
-        slack, taken = w - target * g, []
-        for (part,) in swaps.select("_range").distinct().orderBy("_range").collect():
-            def fold(batches, slack=slack):
-                now = slack
-                rows = sorted((r for b in batches for r in b[["sku", "_gain", "_block"]].itertuples(index=False)))
-                kept = []
-                for sku, gain, block in rows:
-                    if now + gain >= 0 and now < block:
-                        now += gain
-                        kept.append((sku, now))
-                yield pd.DataFrame(kept, columns=["sku", "slack"])
-
-            here = reliable_checkpoint(swaps.where(F.col("_range") == part).coalesce(1)
-                                       .mapInPandas(fold, f"sku {dict(swaps.dtypes)['sku']}, slack double"))
-            slack = here.agg(F.max("slack")).first()[0] if not here.isEmpty() else slack
-            taken.append(here.select("sku"))
-        if slack >= 0 and taken:
-            accepted = taken[0]
-            for t in taken[1:]:
-                accepted = accepted.unionByName(t)
+        accepted = _swaps_taken(swaps, w - target * g, dict(swaps.dtypes)["sku"], few)
+        if accepted is not None:
             chosen = (start.join(accepted, "sku", "left_anti").select(*m.columns)
                       .unionByName(swaps.join(accepted, "sku", "left_semi").select("_row.*")))
         else:
