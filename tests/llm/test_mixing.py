@@ -61,3 +61,20 @@ def test_order_columns_and_odd_inputs(docs, clashing, empty_docs):
 
 def test_deviation_counts_blocks():
     assert mixing.deviation(["a", "a", "b", "b"], {"a": 1, "b": 1}) == Fraction(1)
+
+
+def test_a_hot_id_is_split_by_text(spark):
+    rows = [(None if k % 3 else k, f"text {k % 700}", "s0" if k % 4 else "s1") for k in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    shares = {"s0": 3, "s1": 1}
+    plain = mixing.mix(df.drop("text"), shares, 8, rows_per_range=16)
+    split = mixing.mix(df, shares, 8, rows_per_range=16, carry=True)
+    again = mixing.mix(df.repartition(7), shares, 8, rows_per_range=16, carry=True)
+    for out in (plain, split):
+        got = out.collect()
+        assert sorted(r["position"] for r in got) == list(range(2000))
+        sizes = Counter(r["mix_source"] for r in got)
+        want = brute({"other": 1} | shares, {s: -(-n // 8) for s, n in sizes.items()})
+        assert [(s, b) for _, s, b in sorted({(r["slot"], r["mix_source"], r["block"]) for r in got})] == want
+    key = lambda r: (r["position"], r["row"])
+    assert sorted(map(key, split.collect()), key=lambda x: x[0]) == sorted(map(key, again.collect()), key=lambda x: x[0])

@@ -148,10 +148,10 @@ def near_vectors(vectors: DataFrame, least: float, id_col: str = "vec_id", vecto
     finite = ~F.exists("vector", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     usable = F.coalesce(finite & F.exists("vector", lambda v: v != 0), F.lit(False))
     rows = rows.withColumn("vector", F.when(usable, F.col("vector")))
-    # a class is named by the hash of its vector and its least id, so that null ids have one as well
+    # a class is named by a number given once, when its table is written: null ids have one as well, and no two share it
     named = (rows.where("vector is not null").groupBy("vector")
              .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-             .withColumn("class", F.xxhash64("vector")))
+             .withColumn("class", F.monotonically_increasing_id()))
     classes = stored(named)
     decoded = stored(_decoded(classes.select("class", "copies", "vector"), blocks, codes, passes))
     passed = (decoded.select("class", F.size("vector").alias("dim"), F.explode("passes").alias("direction"))

@@ -31,6 +31,8 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.llm.common import checkpointed
+
 OTHER = "other"
 
 
@@ -89,10 +91,13 @@ def deviation(slots: list[str], shares: dict[str, int]) -> Fraction:
 
 def mix(rows: DataFrame, shares: dict[str, int], block: int = 64, other_share: int = 1,
         id_col: str = "doc_id", source_col: str = "source", rows_per_range: int = 1 << 12,
-        carry: bool = False) -> DataFrame:
+        carry: bool = False, tie_col: str = "text") -> DataFrame:
     """doc_id, mix_source, block, slot, position (0-based place of the row in the mix).
 
-    With ``carry`` the whole input row comes along as the struct ``row``.
+    With ``carry`` the whole input row comes along as the struct ``row``. Rows are ranked in
+    ranges of their id's hash. A range far above ``rows_per_range`` (a repeated id, or null) is split
+    by the hash of ``tie_col``, if the input has it; only then is that column read. Rows that are
+    equal in both stay together, sorted by one task.
     """
     if any(a < 1 for a in [*shares.values(), other_share, block]):
         raise ValueError("shares and block are positive")
@@ -100,22 +105,32 @@ def mix(rows: DataFrame, shares: dict[str, int], block: int = 64, other_share: i
     known = F.col(source_col).isin(*[s for s in shares if s != OTHER])
     keyed = rows.select(F.col(id_col).alias("doc_id"),
                         F.when(known, F.col(source_col)).otherwise(F.lit(OTHER)).alias("mix_source"),
+                        (F.xxhash64(rows[tie_col]) if tie_col in rows.columns else F.lit(0).cast("long")).alias("tie"),
                         *([F.struct(*[rows[c] for c in rows.columns]).alias("row")] if carry else []))
+    kept = [c for c in keyed.columns if c != "tie"]
     n = keyed.count()
     bits = min(31, max(0, math.ceil(math.log2(max(1, n) / rows_per_range))))
     # xxhash64 with its sign bit flipped orders like the unsigned hash; its high bits are the range
     keyed = keyed.withColumn("h", F.xxhash64("doc_id"))
     keyed = keyed.withColumn("range", F.shiftright("h", 64 - bits) if bits else F.lit(0).cast("long"))
-    counts = keyed.groupBy("mix_source", "range").agg(F.count(F.lit(1)).alias("n"))
+    ranges = ["mix_source", "range", "part"]
+    keyed = keyed.withColumn("part", F.lit(0).cast("long"))
+    counts = checkpointed(keyed.groupBy(*ranges).agg(F.count(F.lit(1)).alias("n")))
+    hot = counts.where(F.col("n") > 4 * rows_per_range)
+    if tie_col in rows.columns and not hot.isEmpty():
+        parts = hot.select("mix_source", "range", F.ceil(F.col("n") / rows_per_range).alias("parts"))
+        keyed = (keyed.drop("part").join(parts, ["mix_source", "range"], "left")
+                 .withColumn("part", F.pmod("tie", F.coalesce("parts", F.lit(1).cast("long")))).drop("parts"))
+        counts = checkpointed(keyed.groupBy(*ranges).agg(F.count(F.lit(1)).alias("n")))
     totals = {r[0]: r[1] for r in counts.groupBy("mix_source").agg(F.sum("n")).collect()}
     phases = pfair_phases(shares, {s: -(-c // block) for s, c in totals.items()})
     spark = rows.sparkSession
-    starts = counts.select("mix_source", "range", F.coalesce(F.sum("n").over(
-        Window.partitionBy("mix_source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    starts = counts.select(*ranges, F.coalesce(F.sum("n").over(
+        Window.partitionBy("mix_source").orderBy("range", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     ranked = (keyed.withColumn("i", F.row_number().over(
-        Window.partitionBy("mix_source", "range").orderBy("h", "doc_id")) - 1)
-        .join(starts, ["mix_source", "range"]).withColumn("rank", F.col("before") + F.col("i")))
-    blocks = ranked.select(*keyed.drop("h", "range").columns, F.floor(F.col("rank") / block).alias("block"),
+        Window.partitionBy(*ranges).orderBy("h", "doc_id", "tie")) - 1)
+        .join(starts, ranges).withColumn("rank", F.col("before") + F.col("i")))
+    blocks = ranked.select(*kept, F.floor(F.col("rank") / block).alias("block"),
                            (F.col("rank") % block).alias("within"))
     return _placed(spark, blocks, phases, totals, block)
 
