@@ -51,17 +51,3 @@ def md5_uniform(seed, *keys) -> Column:
     parts = [F.lit(str(seed))] + [_col(k).cast("string") for k in keys]
     hexed = F.substring(F.md5(F.concat_ws("-", *parts)), 1, 8)
     return F.conv(hexed, 16, 10).cast("double") / F.lit(4294967296.0)
-
-
-def quantile_of_sorted(arr, q: float) -> Column:
-    """Linear-interpolated quantile of a sorted numeric array column
-    (position q*(n-1), the definition of ``percentile``/``quantile_cont``)."""
-    a = _col(arr)
-    n = F.size(a)
-    pos = (n - 1).cast("double") * F.lit(float(q))
-    lo = F.floor(pos).cast("int")
-    hi = F.ceil(pos).cast("int")
-    v_lo = F.element_at(a, lo + 1).cast("double")
-    v_hi = F.element_at(a, hi + 1).cast("double")
-    val = F.when(lo == hi, v_lo).otherwise(v_lo + (pos - lo.cast("double")) * (v_hi - v_lo))
-    return F.when(n > 0, val)

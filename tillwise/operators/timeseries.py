@@ -9,12 +9,16 @@ day) are fetched as bounded scalar rows. Dense calendars are generated with
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.functions.dates import day_string, week_key
-from tillwise.functions.numeric import quantile_of_sorted
 from tillwise.session import reliable_checkpoint
 
 # Order statuses that do not count as sales
@@ -151,6 +155,74 @@ def _strict(df: DataFrame, order: str) -> list[str]:
     return [order, "price"] if "price" in df.columns and order != "price" else [order]
 
 
+def _window_quantiles(values: np.ndarray, counted: np.ndarray, start: np.ndarray, n: int, quantiles: list[float],
+                      full: bool, first: int, rows: int = 8192) -> list[pa.Array]:
+    """Quantiles of the last ``n`` rows from ``start`` on, for the rows from ``first`` on. Windows are sorted a
+    block of rows at a time; what does not count is NaN, which sorts last as Spark's NaN does."""
+    padded = np.concatenate([np.full(n - 1, np.nan), np.where(counted, values, np.nan)])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, n)
+    seen = np.concatenate([[0], np.cumsum(counted)])
+    found: list[list[np.ndarray]] = [[] for _ in quantiles]
+    void = []
+    for lo in range(first, len(values), rows):
+        at = np.arange(lo, min(lo + rows, len(values)))
+        since = np.maximum(start[at], at - n + 1)
+        ordered = np.sort(windows[lo:lo + rows], axis=1)
+        cut = since - (at - n + 1)  # rows of the key before that the window would reach into
+        short = np.flatnonzero(cut)
+        ordered[short] = np.sort(np.where(np.arange(n) < cut[short, None], np.nan, windows[at[short]]), axis=1)
+        count = seen[at + 1] - seen[since]
+        void.append(count != n if full else count == 0)
+        line = np.arange(len(at))
+        for q, out in zip(quantiles, found):
+            pos = np.maximum(count - 1, 0) * q
+            below, above = np.floor(pos).astype(int), np.ceil(pos).astype(int)
+            v = ordered[line, below]
+            with np.errstate(invalid="ignore"):
+                between = v + (pos - below) * (ordered[line, above] - v)
+            out.append(np.where(below == above, v, between))
+    return [pa.array(np.concatenate(out), mask=np.concatenate(void)) for out in found]
+
+
+def _sliding_quantiles(df: DataFrame, features: dict[str, tuple[str, int, float]], key: str, by: list[str],
+                       min_periods: str) -> DataFrame:
+    """Quantiles {name: (column, rows, q)} of sliding windows. Rows stream in the order of key and ``by``;
+    a task holds a batch and the rows of one window before it, however long a key's history is."""
+    wanted: dict[tuple[str, int], list[tuple[str, float]]] = {}
+    for name, (col, n, q) in features.items():
+        wanted.setdefault((col, n), []).append((name, q))
+    kept, reach = [c for c in df.columns if c not in features], max(n for _, n in wanted) - 1
+    columns = {col: f"_value_{i}" for i, col in enumerate(dict.fromkeys(col for col, _ in wanted))}
+
+    def slide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = pa.Table.from_batches([batch]).select([key, *columns.values()])
+            both = pa.concat_tables([before, now]).combine_chunks() if before is not None else now
+            first, size = both.num_rows - batch.num_rows, both.num_rows
+            keys = both.column(key).combine_chunks()
+            a, b = keys.slice(1), keys.slice(0, size - 1)
+            change = pc.fill_null(pc.not_equal(a, b), False).to_numpy(zero_copy_only=False) | (
+                a.is_null().to_numpy(zero_copy_only=False) != b.is_null().to_numpy(zero_copy_only=False))
+            start = np.maximum.accumulate(np.where(np.concatenate([[True], change]), np.arange(size), 0))
+            found = {}
+            for (col, n), asked in wanted.items():
+                v = both.column(columns[col])
+                counted = v.is_valid().to_numpy()
+                found |= zip([name for name, _ in asked],
+                             _window_quantiles(v.to_numpy(), counted, start, n, [q for _, q in asked],
+                                               min_periods == "window", first))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *[found[f] for f in features]],
+                                             names=[*kept, *features])
+            before = both.slice(max(size - reach, 0))
+
+    shape = T.StructType([*[f for f in df.schema.fields if f.name in kept], *[T.StructField(f, T.DoubleType()) for f in features]])
+    rows = df.select("*", *[F.col(col).cast("double").alias(v) for col, v in columns.items()])
+    return rows.repartition(F.col(key)).sortWithinPartitions(key, *by).mapInArrow(slide, shape)
+
+
 def add_rolling_features(df: DataFrame, features: dict | None = None, key: str = "sku_id",
                          order: str = "day", min_periods: str = "one") -> DataFrame:
     """Rolling mean / linear-interpolated quantile over the last N rows
@@ -158,22 +230,14 @@ def add_rolling_features(df: DataFrame, features: dict | None = None, key: str =
     ``'window'`` (feature_engineering.py: NULL until N rows exist)."""
     features = features or DEFAULT_FEATURES
     by = _strict(df, order)
-    out = df
+    quantiles = {k: (c, n, q / 100.0) for k, (c, n, a, q) in features.items() if a == "quantile"}
+    out = _sliding_quantiles(df, quantiles, key, by, min_periods) if quantiles else df
     # integral columns without NULLs get running totals for the means
     integral = {f.name for f in df.schema.fields if not f.nullable and
                 isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))}
     for col in sorted({c for c, n, a, q in features.values() if a == "avg"} & integral):
         out = out.withColumn(f"_cum_{col}", F.sum(F.col(col)).over(
             Window.partitionBy(key).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)))
-    # one sorted window array per (column, size) serves every quantile of it;
-    # Spark's windowed ``percentile`` would rebuild a value map per feature
-    arrays = {}
-    for name, (col, n, agg, q) in features.items():
-        if agg == "quantile" and (col, n) not in arrays:
-            w = Window.partitionBy(key).orderBy(*by).rowsBetween(-(n - 1), 0)
-            arr = f"_win_{col}_{n}"
-            out = out.withColumn(arr, F.array_sort(F.collect_list(F.col(col).cast("double")).over(w)))
-            arrays[(col, n)] = arr
     for name, (col, n, agg, q) in features.items():
         w = Window.partitionBy(key).orderBy(*by).rowsBetween(-(n - 1), 0)
         if agg == "avg" and col in integral:
@@ -191,14 +255,11 @@ def add_rolling_features(df: DataFrame, features: dict | None = None, key: str =
             if min_periods == "window":
                 v = F.when(F.count(F.col(col)).over(w) == n, v)
         elif agg == "quantile":
-            arr = F.col(arrays[(col, n)])
-            v = quantile_of_sorted(arr, q / 100.0)
-            if min_periods == "window":
-                v = F.when(F.size(arr) == n, v)
+            continue
         else:
             raise ValueError(f"Unknown aggregation function: {agg}")
         out = out.withColumn(name, v)
-    return out.drop(*arrays.values(), *[f"_cum_{c}" for c in integral if f"_cum_{c}" in out.columns])
+    return out.select(*[c for c in df.columns if c not in features], *features)
 
 
 def add_targets(df: DataFrame, targets: dict | None = None, key: str = "sku_id", order: str = "day",
