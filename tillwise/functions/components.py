@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.session import reliable_checkpoint
+from tillwise.session import measured_checkpoint, reliable_checkpoint
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,10 +21,10 @@ def components(edges: DataFrame) -> DataFrame:
         return (e.where(F.col("a") != F.col("b"))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
-    left, maps = reliable_checkpoint(tidy(edges)), []
+    left, maps = measured_checkpoint(tidy(edges)), []
     while not left.isEmpty():
         left, parents = _round(left, len(maps) + 1)
-        left = reliable_checkpoint(tidy(left))
+        left = measured_checkpoint(tidy(left))
         maps.append(parents)
     if not maps:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("label")).limit(0)
