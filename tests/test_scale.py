@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from tillwise.functions.components import components
+from tillwise.operators import modeling as md
 from tillwise.operators import pricing as pr
+from tillwise.operators import timeseries as ts
 from tillwise.sources.fixtures import fx_price_candidates
 
 
@@ -52,3 +56,50 @@ def test_size_estimates_stay_bounded_over_the_rounds_of_components(spark, capsys
     assert labels.select("label").distinct().count() == 1 and labels.count() == n
     digits = [int(x) for x in re.findall(r"E\+(\d+) B", _plan(labels, capsys, "cost"))]
     assert max(digits, default=0) < 200
+
+
+def test_fits_of_a_set_of_rows_are_those_of_its_rows_alone():
+    rng = np.random.default_rng(3)
+    X = np.column_stack([rng.normal(size=300), rng.integers(0, 9, 300)])
+    Y = np.column_stack([X @ [2.0, -1.0] + rng.normal(size=300), X @ [0.5, 3.0] + rng.normal(size=300)])
+    sets = np.array([np.ones(300, dtype=bool), np.arange(300) < 240])
+    got = md.fit_linear_quantiles(X, Y, [0.1, 0.9], sets)
+    in_blocks = md.fit_linear_quantiles(X, Y, [0.1, 0.9], sets, block=64)
+    np.testing.assert_allclose(in_blocks, got, atol=1e-7)
+    for s, rows in enumerate(sets):
+        for c, q in enumerate((0.1, 0.9)):
+            np.testing.assert_allclose(got[s, c], _one_fit(X[rows], Y[rows, c], q), atol=1e-6)
+
+
+def _one_fit(X, y, q):
+    """Reweighted least squares of one regression, a step at a time."""
+    A = np.hstack([np.ones((len(X), 1)), X])
+    beta = np.linalg.lstsq(A, y, rcond=None)[0]
+    for _ in range(60):
+        r = y - A @ beta
+        w = np.where(r >= 0, q, 1 - q) / np.maximum(np.abs(r), 1e-6)
+        beta = np.linalg.solve((A * w[:, None]).T @ A + 1e-9 * np.eye(A.shape[1]), (A * w[:, None]).T @ y)
+    return beta
+
+
+def test_the_days_of_a_key_are_made_where_its_sales_are(spark, capsys):
+    rows = [("2024-01-04", 1, "a", 5.0, 2), ("2024-01-04", 1, "a", 6.0, 4), ("2024-01-10", 1, "b", 5.0, 7),
+            ("2024-01-01", 2, "c", 1.0, 1), (None, 3, "d", 2.0, 9), ("2024-01-06", None, "e", 3.0, 4), ("2024-01-06", 5, "z", 1.0, None)]
+    orders = spark.createDataFrame(rows, "ts string, sku_id long, sku string, price double, qty long")
+    got = ts.extract_sales(orders)
+    days = [f"2024-01-{d:02d}" for d in range(1, 11)]
+    sold = {(d, k): [r for r in rows if r[:2] == (d, k) and k is not None] for d in days for k in (1, 2, 3, None, 5)}
+    dims = {k: {r[2:4] for r in rows if r[1] == k and k is not None} or {(None, None)} for k in (1, 2, 3, None, 5)}
+    want = [(d, k, r[2] or a, r[3] or b, r[4] or 0) for (d, k), rs in sold.items()
+            for r in (rs or [(None,) * 5]) for a, b in dims[k]]
+    assert sorted(map(str, want)) == sorted(str((str(r.day), r.sku_id, r.sku, r.price, r.qty)) for r in got.collect())
+    assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_boosting_rows_fill_their_partitions(spark, monkeypatch):
+    rows = [(f"p{p}", w, float(p + w), float(p * w % 7)) for p in range(4) for w in range(24)]
+    df = spark.createDataFrame(rows, "product string, week int, x double, y double").repartition(8)
+    parts, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, data: parts.append(data.rdd.getNumPartitions()) or fit(self, data))
+    report = md.cv_report(df, ["x"], "y", "week", n_splits=3, max_iter=2)
+    assert report.count() == 3 and parts == [1, 1, 1]
