@@ -103,3 +103,17 @@ def test_boosting_rows_fill_their_partitions(spark, monkeypatch):
     monkeypatch.setattr(GBTRegressor, "fit", lambda self, data: parts.append(data.rdd.getNumPartitions()) or fit(self, data))
     report = md.cv_report(df, ["x"], "y", "week", n_splits=3, max_iter=2)
     assert report.count() == 3 and parts == [1, 1, 1]
+
+
+def test_a_price_constant_within_its_key_leaves_the_fit_to_the_data():
+    rng = np.random.default_rng(0)
+    X = np.column_stack([np.full(2000, 20.0), rng.poisson(3, 2000) * rng.integers(0, 20, 2000), rng.normal(size=2000)])
+    Y = (X[:, 1:2] * 3 + rng.exponential(5, (2000, 1))) @ np.ones((1, 3))
+    at = rng.permutation(2000)
+    a, b = (md.fit_linear_quantiles(x, y, [0.1, 0.5, 0.9])[0] for x, y in ((X, Y), (X[at], Y[at])))
+    assert (a[:, 1] == 0).all() and (b[:, 1] == 0).all()
+    r = [Y - np.column_stack([np.ones(2000), X]) @ fit.T for fit in (a, b)]
+    q = np.array([0.1, 0.5, 0.9])
+    losses = [np.maximum(q * x, (q - 1) * x).mean(axis=0) for x in r]
+    np.testing.assert_allclose(losses[0], losses[1], rtol=1e-4)
+    np.testing.assert_allclose((r[0] < 0).mean(axis=0), q, atol=0.01)
