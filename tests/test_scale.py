@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import numpy as np
 from pyspark.ml.regression import GBTRegressor
@@ -117,3 +118,43 @@ def test_a_price_constant_within_its_key_leaves_the_fit_to_the_data():
     losses = [np.maximum(q * x, (q - 1) * x).mean(axis=0) for x in r]
     np.testing.assert_allclose(losses[0], losses[1], rtol=1e-4)
     np.testing.assert_allclose((r[0] < 0).mean(axis=0), q, atol=0.01)
+
+
+def _paths_node_by_node(X, forest):
+    """All trees of a row step together: each step looks up node, feature and value of every tree."""
+    roots = np.cumsum([0] + [len(t) for t in forest[:-1]])
+    nodes = np.array([n for t in forest for n in t])
+    shift = np.repeat(roots, [len(t) for t in forest])
+    feat, thr, left, right = nodes[:, 0].astype(int), nodes[:, 1], (nodes[:, 2] + shift).astype(int), (nodes[:, 3] + shift).astype(int)
+    rest = np.array([md._c_factor(int(n)) for n in nodes[:, 4]])
+    out = []
+    for lo in range(0, len(X), 1024):
+        part = X[lo:lo + 1024]
+        at, own = np.tile(roots, len(part)), np.repeat(np.arange(len(part)), len(roots))
+        steps, active = np.zeros(len(at)), np.flatnonzero(feat[at] >= 0)
+        while active.size:
+            n = at[active]
+            at[active] = n = np.where(part[own[active], feat[n]] < thr[n], left[n], right[n])
+            steps[active] += 1
+            active = active[feat[n] >= 0]
+        out.append((steps + rest[at]).reshape(len(part), -1).mean(axis=1))
+    return np.concatenate(out)
+
+
+def test_rows_step_down_one_tree_at_a_time():
+    rng = np.random.default_rng(0)
+    X = np.column_stack([rng.integers(1, 51, 20000).astype(float), rng.normal(size=20000), rng.integers(0, 11, 20000) / 100])
+    forest = [md._build_tree(X[rng.choice(20000, 256)], rng, 8) for _ in range(100)]
+    forest[3] = [(-1, 0.0, -1, -1, 7)]
+    X[0], X[1, 1], X[2, 0], X[3, 1] = np.nan, np.nan, np.inf, -np.inf
+    for i, t in enumerate(forest[4:]):
+        X[10 + i, t[0][0]] = t[0][1]  # a row at the threshold goes right
+    flat = md._flat_forest(forest)
+    took, got = [], []
+    for f in (lambda: md._mean_path(X, flat), lambda: _paths_node_by_node(X, forest)):
+        began = time.process_time()
+        got.append(f())
+        took.append(time.process_time() - began)
+    np.testing.assert_allclose(got[0], got[1], rtol=1e-12)
+    assert took[0] < took[1] / 2
+    assert md._mean_path(X[:0], md._flat_forest([])).size == 0

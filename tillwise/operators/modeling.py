@@ -308,38 +308,48 @@ def _build_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int) -> list
 
 
 def _flat_forest(forest: list) -> tuple:
-    """All nodes of all trees in one set of arrays: (roots, feature, threshold,
-    left, right, path length to add at a leaf)."""
-    sizes = [len(t) for t in forest]
-    roots = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int32)
-    rows = np.array([n for t in forest for n in t], dtype=np.float64)
-    shift = np.repeat(roots, sizes)
-    feat = rows[:, 0].astype(np.int32)
-    # a leaf leads to itself, so that rows at leaves stay there
-    me, leaf = np.arange(len(rows), dtype=np.int32), feat < 0
-    left = np.where(leaf, me, rows[:, 2].astype(np.int32) + shift).astype(np.int32)
-    right = np.where(leaf, me, rows[:, 3].astype(np.int32) + shift).astype(np.int32)
-    rest = np.where(leaf, [_c_factor(int(k)) for k in rows[:, 4]], 0.0)
-    return roots, np.where(leaf, 0, feat), rows[:, 1], left, right, leaf, rest
-
-
-def _mean_path(X: np.ndarray, flat: tuple, rows: int = 1024) -> np.ndarray:
-    """Mean path length of each row: all trees step down together, some rows at a time."""
-    roots, feat, thr, left, right, leaf, rest = flat
+    """(sorted thresholds of each feature, trees): a tree is (depth, feature, place of
+    the threshold among its feature's, children (left, right), path length at the node)."""
+    nodes = [np.array(t, dtype=np.float64).reshape(-1, 5) for t in forest]
+    seen = np.concatenate([np.empty((0, 5)), *nodes])
+    cuts = {f: np.unique(seen[seen[:, 0] == f, 1]) for f in range(int(seen[:, 0].max(initial=-1)) + 1)}
+    trees = []
+    for n in nodes:
+        feat, inner = n[:, 0].astype(np.intp), n[:, 0] >= 0
+        place = np.zeros(len(n), dtype=np.int32)
+        for f, c in cuts.items():
+            place[feat == f] = np.searchsorted(c, n[feat == f, 1])
+        # a leaf leads to itself, so that rows at leaves stay there
+        children = np.where(inner[:, None], n[:, 2:4], np.arange(len(n))[:, None]).astype(np.intp)
+        depth = np.zeros(len(n), dtype=np.intp)
+        for i in np.flatnonzero(inner):  # a node comes before its children
+            depth[children[i]] = depth[i] + 1
+        path = depth + np.array([_c_factor(int(k)) for k in n[:, 4]])
+        trees.append((int(depth.max()), np.where(inner, feat, 0), place, children.ravel(), path))
+    return cuts, trees
+
+
+def _mean_path(X: np.ndarray, flat: tuple, rows: int = 8192) -> np.ndarray:
+    """Mean path length of each row. Values become places among the thresholds of all trees
+    once (not a number: beyond the last, to the right as ``<`` has it); the rows step down
+    a tree together, some at a time so that they stay in the cache."""
+    cuts, trees = flat
     out = np.empty(len(X))
     for lo in range(0, len(X), rows):
         part = X[lo:lo + rows]
-        at = np.tile(roots, len(part))
-        own = np.repeat(np.arange(len(part), dtype=np.int32), len(roots))
-        depth = np.zeros(len(at))
-        active = np.flatnonzero(~leaf[at])
-        while active.size:
-            n = at[active]
-            n = np.where(part[own[active], feat[n]] < thr[n], left[n], right[n])
-            at[active] = n
-            depth[active] += 1
-            active = active[~leaf[n]]
-        out[lo:lo + rows] = (depth + rest[at]).reshape(len(part), -1).mean(axis=1)
+        size = len(part)
+        places = np.zeros((max(1, len(cuts)), size), dtype=np.int32)
+        for f, c in cuts.items():
+            places[f] = np.searchsorted(c, part[:, f], side="right")
+        places, own, total = places.ravel(), np.arange(size), np.zeros(size)
+        for depth, feat, place, children, path in trees:
+            start = feat * size
+            at = np.zeros(size, dtype=np.intp)
+            for _ in range(depth):
+                right = places.take(start.take(at) + own) > place.take(at)
+                at = children.take(2 * at + right)
+            total += path.take(at)
+        out[lo:lo + rows] = total / max(1, len(trees))
     return out
 
 
