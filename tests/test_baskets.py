@@ -49,3 +49,19 @@ def test_a_heavy_basket_leaves_one_row_for_two_blocks(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "cart long, sku long")
     assert baskets.cart_ranking(df, "cart", "sku").count() == 0
+
+
+@pytest.mark.parametrize("small", [1, 3, 500])
+def test_small_and_large_baskets_add_up(spark, small):
+    df = spark.createDataFrame(carts(), "cart long, sku long").repartition(5)
+    got = {(r.a, r.b): r.n for r in baskets.pair_counts(df, "cart", "sku", block=8, small=small).collect()}
+    assert got == pairs_of(carts())[1]
+
+
+def test_small_baskets_make_no_cells(spark, monkeypatch):
+    # two baskets an item, and as many blocks as items: nearly each pair would be a cell of its own
+    rows = [(b, i) for b in range(200) for i in (b, (b + 1) % 200, (b * 7 + 3) % 200)]
+    df = spark.createDataFrame(rows, "cart long, sku long")
+    monkeypatch.setattr(baskets, "_block_counts", lambda *_: pytest.fail("a cell for small baskets"), raising=False)
+    monkeypatch.setattr(baskets, "_add", lambda *_: pytest.fail("a cell for small baskets"))
+    assert {(r.a, r.b): r.n for r in baskets.pair_counts(df, "cart", "sku", block=1).collect()} == pairs_of(rows)[1]

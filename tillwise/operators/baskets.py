@@ -1,12 +1,14 @@
 """Co-purchase ranking (T23): how often items are bought together, as a blocked sparse product.
 
-Items fall into blocks by hash, so that a block has about ``block`` items, and a basket
-has one list of items for each block that it touches. A cell joins the lists of two blocks
-of the same basket and adds them up in a dense table of counts, which leaves the cell once,
-as its entries over zero: no basket emits its pairs, and one of many thousand items costs a
-row for each two blocks it touches. Cells that get many baskets (those of an item that a
-third of the baskets hold, say) are dealt over several tasks by basket, and the tables'
-entries are summed.
+A basket of at most ``small`` items emits its pairs, (small - 1) / 2 for each of its rows
+at most, which are counted as any group is. Larger baskets do not: their items fall into
+blocks by hash, so that a block has about ``block`` items, and a basket has one list of
+items for each block that it touches. A cell joins the lists of two blocks of the same
+basket and adds them up in a dense table of counts, which leaves the cell once, as its
+entries over zero: a basket of many thousand items costs a row for each two blocks it
+touches. Cells that get many baskets (those of an item that a third of the baskets hold,
+say) are dealt over several tasks by basket, and the tables' entries are summed. (Blocks
+alone would give each few small baskets a cell: with many items, as many cells as pairs.)
 
 Defined results: an item counts once in a basket however often it is in it; rows without a
 basket or an item take no part; an empty table gives no row.
@@ -26,7 +28,7 @@ from tillwise.functions.cells import runs
 from tillwise.functions.topk import top_k_per_group
 from tillwise.session import reliable_checkpoint
 
-BLOCK, LISTS = 1024, 50_000
+BLOCK, LISTS, SMALL = 1024, 50_000, 32
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,10 +62,29 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(n)], names=["a", "b", "n"])
 
 
-def pair_counts(rows: DataFrame, basket: str, item: str, block: int = BLOCK, lists: int = LISTS) -> DataFrame:
-    """(a, b, n): baskets that hold both items, a < b, n > 0. Items are whole numbers of 64 bits."""
-    held = reliable_checkpoint(rows.select(rows[basket].alias("basket"), rows[item].cast("long").alias("item"))
+def _held(rows: DataFrame, basket: str, item: str) -> DataFrame:
+    """(basket, item), each once."""
+    return reliable_checkpoint(rows.select(rows[basket].alias("basket"), rows[item].cast("long").alias("item"))
                                .where("basket is not null and item is not null").distinct())
+
+
+def pair_counts(rows: DataFrame, basket: str, item: str, block: int = BLOCK, lists: int = LISTS, small: int = SMALL) -> DataFrame:
+    """(a, b, n): baskets that hold both items, a < b, n > 0. Items are whole numbers of 64 bits."""
+    return _pairs(_held(rows, basket, item), block, lists, small)
+
+
+def _pairs(held: DataFrame, block: int = BLOCK, lists: int = LISTS, small: int = SMALL) -> DataFrame:
+    large = reliable_checkpoint(held.groupBy("basket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > small).select("basket"))
+    few = held.join(large, "basket", "left_anti").groupBy("basket").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    first = few.select("items", F.posexplode("items").alias("at", "a"))
+    found = first.select("a", F.explode(F.expr("slice(items, at + 2, size(items))")).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    if large.isEmpty():
+        return found
+    return found.unionByName(_block_counts(held.join(large, "basket", "left_semi"), block, lists)).groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def _block_counts(held: DataFrame, block: int, lists: int) -> DataFrame:
+    held = reliable_checkpoint(held)
     blocks = max(1, math.ceil(held.select("item").distinct().count() / block))
     of = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
     # a list has at most the items of one block
@@ -75,16 +96,16 @@ def pair_counts(rows: DataFrame, basket: str, item: str, block: int = BLOCK, lis
     load = cells.groupBy("left", "right").agg(F.ceil(F.count(F.lit(1)) / lists).cast("int").alias("parts"))
     dealt = cells.join(load, ["left", "right"]).withColumn("part", F.expr("cast(pmod(xxhash64(basket), parts) as int)"))
     keys = ["left", "right", "part"]
-    found = (dealt.select(*keys, "a", "b").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_add, "a long, b long, n long"))
-    return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return (dealt.select(*keys, "a", "b").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_add, "a long, b long, n long")
+            .groupBy("a", "b").agg(F.sum("n").alias("n")))
 
 
 def cart_ranking(rows: DataFrame, basket: str, item: str, top: int = 5, least: int = 2, **sizes) -> DataFrame:
     """Per item the ``top`` others by lift = n_both * baskets / (n_item * n_other), of those bought
     together in ``least`` baskets or more; ties by n_both, then the smaller item."""
-    pairs = reliable_checkpoint(pair_counts(rows, basket, item, **sizes).where(F.col("n") >= least))
-    held = rows.select(rows[basket].alias("basket"), rows[item].cast("long").alias("item")).where("basket is not null and item is not null")
-    single = reliable_checkpoint(held.distinct().groupBy("item").agg(F.count(F.lit(1)).alias("n_item")))
+    held = _held(rows, basket, item)
+    pairs = reliable_checkpoint(_pairs(held, **sizes).where(F.col("n") >= least))
+    single = reliable_checkpoint(held.groupBy("item").agg(F.count(F.lit(1)).alias("n_item")))
     baskets = held.agg(F.count_distinct("basket")).first()[0]
     both = pairs.select(F.col("a").alias("item"), F.col("b").alias("other"), F.col("n").alias("n_both")).union(pairs.select("b", "a", "n"))
     lift = F.col("n_both") * F.lit(float(baskets)) / (F.col("n_item") * F.col("n_other"))
