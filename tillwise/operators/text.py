@@ -4,11 +4,18 @@ digits), so the work stays in JVM expressions and scales with the corpus."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.functions.cells import runs
+from tillwise.functions.prefix import ordered_prefix_sums
 from tillwise.functions.topk import top_k_per_group
-from tillwise.session import reliable_checkpoint
+from tillwise.session import measured_checkpoint, reliable_checkpoint
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 EMAIL_CANDIDATE = r"[^ \t\n\r@<>]+@[^ \t\n\r@<>]+"
@@ -148,21 +155,117 @@ def bm25(docs: DataFrame, terms: list[str], text: str = "text", key: str = "doc_
     return rows.where(F.greatest(*[F.col(n) for n in found], F.lit(0.0)) > 0).select(key, score.alias("score"))
 
 
+def _best(table: pa.Table, k: int) -> pa.RecordBatch | None:
+    """Of one cell: each query's ``k`` best documents. Rows of the queries have query, word and weight, those
+    of the documents doc, word and part, sorted by document."""
+    asks = np.asarray(table.column("query").is_valid())
+    whole = lambda name, rows: table.column(name).filter(pa.array(rows)).to_numpy()
+    queries, query = np.unique(whole("query", asks), return_inverse=True)
+    words, word = np.unique(whole("word", asks), return_inverse=True)
+    doc_of, at, part = whole("doc", ~asks), whole("word", ~asks), whole("part", ~asks)
+    if not queries.size or not doc_of.size:
+        return None
+    # the queries of each word, one after another
+    order = np.argsort(word, kind="stable")
+    query, weight = query[order], whole("weight", asks)[order]
+    starts = np.searchsorted(word[order], np.arange(words.size + 1))
+    place = np.minimum(np.searchsorted(words, at), words.size - 1)
+    asked = words[place] == at
+    doc_of, place, part = doc_of[asked], place[asked], part[asked]
+    docs, doc = np.unique(doc_of, return_inverse=True)
+    out = []
+    step = max(k, 2_000_000 // queries.size)
+    for lo in range(0, docs.size, step):
+        n = min(step, docs.size - lo)
+        first, last = np.searchsorted(doc, [lo, lo + n])
+        score = np.zeros(queries.size * n)
+        hits = np.cumsum(starts[place[first:last] + 1] - starts[place[first:last]])
+        cuts = first + np.searchsorted(hits, np.arange(0, hits[-1], 1_000_000))
+        for a, b in zip(cuts, [*cuts[1:], last]):  # about a million hits at a time
+            many = starts[place[a:b] + 1] - starts[place[a:b]]
+            hit = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(starts[place[a:b]], many)
+            # in the order of the rows, as a plain sum
+            np.add.at(score, query[hit] * n + np.repeat(doc[a:b] - lo, many), np.repeat(part[a:b], many) * weight[hit])
+        score = score.reshape(queries.size, n)
+        # every part of a score is over zero, and scores rank as rounded to 6 decimals
+        micros = np.where(score > 0, np.floor(score * 1e6 + 0.5), -1.0)
+        top = np.empty((queries.size, min(k, n)), dtype=np.intp)
+        for q in range(queries.size):
+            kth = np.partition(micros[q], n - min(k, n))[n - min(k, n)]
+            over = np.flatnonzero(micros[q] > kth)
+            top[q] = np.concatenate([over, np.flatnonzero(micros[q] == kth)[:min(k, n) - over.size]])
+        value = np.take_along_axis(micros, top, axis=1).ravel()
+        q = np.repeat(np.arange(queries.size), top.shape[1])
+        found = value >= 0
+        out.append((queries[q[found]], docs[lo + top.ravel()[found]], value[found] / 1e6))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=["query", "doc", "score"])
+
+
 def retrieve_topk(docs: DataFrame, queries: DataFrame, query_key: str, k: int = 10, text: str = "text",
-                  key: str = "doc_id") -> DataFrame:
+                  key: str = "doc_id", block: int = 200_000, chunk: int = 1024) -> DataFrame:
     """For each row of a stated query set the ``k`` documents of highest
     BM25 over its distinct words: (query_key, key, score, rank). The corpus is
-    reduced to counts per (document, word), joined on the words that queries
-    have; scores are rounded before ranking so that ties go by document."""
-    asked = queries.select(query_key, F.explode(F.array_distinct(tokens(text))).alias("word"))
-    words = (docs.select(key, tokens(text).alias("w")).select(key, F.size("w").cast("double").alias("dl"), "w")
-             .select(key, "dl", F.explode("w").alias("word")))
-    tf = (words.join(asked.select("word").distinct(), "word", "left_semi").groupBy(key, "word")
+    reduced to counts per (document, word) of the words that queries have. About
+    ``block`` of these counts, of whole documents, and ``chunk`` queries meet in a cell,
+    which returns ``k`` documents of each query at most: neither a frequent word nor the
+    scores of all documents come together in a task. Scores are rounded before ranking so
+    that ties go by document."""
+    spark = docs.sparkSession
+    asked = queries.select(F.col(query_key).alias("query_key"), F.explode(F.array_distinct(tokens(text))).alias("word"))
+    asked = asked.groupBy("query_key", "word").agg(F.count(F.lit(1)).alias("times"))
+    names = reliable_checkpoint(asked.select("query_key").distinct().withColumn("query", F.monotonically_increasing_id()))
+    vocabulary = measured_checkpoint(asked.select("word").distinct().withColumn("number", F.monotonically_increasing_id()))
+    # a file may hold all documents in one row group: dealt out, no task splits and counts the words of a file
+    dealt = docs.select(F.col(key).alias("doc_key"), F.col(text).alias("text")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_key", "text")
+    words = (dealt.select("doc_key", tokens("text").alias("w")).select("doc_key", F.size("w").cast("double").alias("dl"), "w")
+             .select("doc_key", "dl", F.explode("w").alias("word")))
+    tf = (words.join(vocabulary, "word").groupBy("doc_key", F.col("number").alias("word"))
           .agg(F.count(F.lit(1)).cast("double").alias("tf"), F.first("dl").alias("dl")))
     tf = reliable_checkpoint(tf)
-    all_docs = docs.select(F.size(tokens(text)).alias("dl")).agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl")).first()
+    all_docs = dealt.select(F.size(tokens("text")).alias("dl")).agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl")).first()
+    n_docs, avg_dl = F.lit(float(all_docs["n"])), F.lit(float(all_docs["avg_dl"] or 1.0))
+    ids = reliable_checkpoint(ordered_prefix_sums(tf.select("doc_key").distinct(), [F.col("doc_key")], {}, row_number="doc"))
     df = tf.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("df"))
-    part = _bm25_part(F.col("tf"), F.col("dl"), F.lit(float(all_docs["n"])), F.lit(float(all_docs["avg_dl"] or 1.0)), F.col("df"))
-    hits = tf.join(df, "word").select(key, "word", part.alias("part")).join(asked, "word")
-    scores = hits.groupBy(query_key, key).agg(F.round(F.sum("part"), 6).alias("score"))
-    return top_k_per_group(scores, [query_key], [F.col("score").desc(), F.col(key).asc()], k)
+    parts = max(1, math.ceil(tf.count() / block))
+    chunks = max(1, math.ceil(names.count() / chunk))
+    cells = ["part_no", "chunk_no"]
+    columns = [*cells, "doc", "word", "query", "weight", "part"]
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    null = F.lit(None)
+    # a score is the sum of idf * times * f(tf, dl); the queries bring the first two
+    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    mine = (asked.join(names, asked["query_key"].eqNullSafe(names["query_key"])).drop("query_key").join(vocabulary, "word")
+            .select("query", F.col("number").alias("word"), "times").join(df, "word")
+            .select("query", "word", (idf * F.col("times")).alias("weight"), F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int").alias("chunk_no"))
+            .withColumn("part_no", each(parts)).withColumns({"doc": null.cast("long"), "part": null.cast("double")}))
+    share = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / avg_dl))
+    theirs = (tf.join(ids.withColumnRenamed("doc_key", "same_key"), F.col("doc_key").eqNullSafe(F.col("same_key")))
+              .select("doc", "word", share.alias("part"), F.pmod(F.xxhash64("doc"), F.lit(parts)).cast("int").alias("part_no"))
+              .withColumn("chunk_no", each(chunks)).withColumns({"query": null.cast("long"), "weight": null.cast("double")}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in runs(batches, cells):
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                found = _best(table.slice(lo, hi - lo).combine_chunks(), k)
+                if found:
+                    yield found
+
+    hits = (mine.select(*columns).unionByName(theirs.select(*columns))
+            .repartition(min(parts * chunks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts * chunks // 16)), *cells)
+            .sortWithinPartitions(*cells, "doc", "word").mapInArrow(run, "query long, doc long, score double"))
+    # documents are numbered in the order of their keys
+    best = reliable_checkpoint(top_k_per_group(hits, ["query"], [F.col("score").desc(), F.col("doc").asc()], k))
+    return (best.join(ids, "doc").join(names, "query")
+            .select(F.col("query_key").alias(query_key), F.col("doc_key").alias(key), "score", "rank"))
+
+
+def holding(best: DataFrame, docs: DataFrame, queries: DataFrame, query_key: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``best`` with ``hit``: 1 if the document's text holds the query's whole text. The few rows of
+    ``best`` bring the text asked for to the documents, whose texts are read past them: no task sorts
+    or keeps the texts of its share."""
+    asked = best.join(queries.select(query_key, F.col(text).alias("_asked")), query_key)
+    asked = reliable_checkpoint(asked)
+    size = asked.agg(F.coalesce(F.sum(F.octet_length("_asked") + 64), F.lit(0))).first()[0]
+    asked = asked.hint("broadcast" if size <= 16 << 20 else "shuffle_hash")
+    hit = F.col("_text").contains(F.col("_asked")).cast("int").alias("hit")
+    return reliable_checkpoint(docs.select(key, F.col(text).alias("_text")).join(asked, key).select(*best.columns, hit))
