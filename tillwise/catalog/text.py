@@ -159,7 +159,6 @@ def q_retrieve_eval(spark, sf_dir):
     from tillwise.operators.metrics import ranking_metrics
     docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     best = tx.retrieve_topk(docs, items, "item_id", 10)
-    j = best.join(docs.select("doc_id", "text"), "doc_id").join(items.select("item_id", F.col("text").alias("item")), "item_id")
-    j = j.select("item_id", "doc_id", "score", F.col("text").contains(F.col("item")).cast("int").alias("hit"), (-F.col("rank")).alias("order"))
+    j = tx.holding(best, docs, items, "item_id").withColumn("order", -F.col("rank"))
     m = ranking_metrics(j, "item_id", "order", "hit", "doc_id", 10)
     return m.select("item_id", F.col("relevant").cast("long").alias("hits"), "ndcg_at_10")
