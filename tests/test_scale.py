@@ -6,10 +6,12 @@ import re
 import time
 
 import numpy as np
-from pyspark.ml.regression import GBTRegressor
+import pytest
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
 from tillwise.functions.components import components
+from tillwise.operators import learning as ml
 from tillwise.operators import modeling as md
 from tillwise.operators import pricing as pr
 from tillwise.operators import timeseries as ts
@@ -158,3 +160,22 @@ def test_rows_step_down_one_tree_at_a_time():
     np.testing.assert_allclose(got[0], got[1], rtol=1e-12)
     assert took[0] < took[1] / 2
     assert md._mean_path(X[:0], md._flat_forest([])).size == 0
+
+
+def test_the_rows_of_a_tree_are_dealt_out(spark, monkeypatch):
+    df = spark.range(600).selectExpr("id", "double(id % 20) as a", "double(id % 7) as b", "if(id % 20 > 9, 5, 0) as y").coalesce(1)
+    parts, fit = [], DecisionTreeRegressor.fit
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", lambda self, data: parts.append(data.rdd.getNumPartitions()) or fit(self, data))
+    for sizes in ({"rows_per_task": 100}, {}):
+        out = ml.tree_scoring(df, ["a", "b"], "y", **sizes).collect()
+        assert [r["id"] for r in out] == list(range(600)) and all(abs(r["prediction"] - r["y"]) < 1e-9 for r in out)
+    assert parts == [6, 1]  # few rows stay as they are
+
+
+def test_bounds_of_keys_are_read_from_the_rows(spark, monkeypatch):
+    lines = spark.createDataFrame([(1, 5), (1, 6), (2, 6), (2, 5)], "basket long, item long")
+    counts = lines.groupBy("basket", "item").count()
+    agg = type(counts).agg
+    monkeypatch.setattr(type(counts), "agg", lambda self, *a: pytest.fail("groups counted for their bounds") if "count" in self.columns else agg(self, *a))
+    got, table = ml._int_keys(counts, "item", "number", lines)
+    assert table is None and {(r["item"], r["number"]) for r in got.collect()} == {(5, 5), (6, 6)}

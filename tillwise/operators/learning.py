@@ -13,14 +13,15 @@ from tillwise.operators.text import tokens
 from tillwise.session import reliable_checkpoint
 
 
-def _int_keys(df: DataFrame, key: str, out: str) -> tuple[DataFrame, DataFrame | None]:
+def _int_keys(df: DataFrame, key: str, out: str, rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """``df`` with ``key`` as an int ``out``, and the table (key, out) that leads back.
-    Keys that are ints already need no table; others are numbered in their order, across ranges."""
+    Keys that are ints already need no table; others are numbered in their order, across ranges.
+    ``rows`` hold the same keys and are read for their bounds."""
     if isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        r = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+        r = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
         if r["lo"] is None or -(1 << 31) <= r["lo"] and r["hi"] < 1 << 31:
             return df.withColumn(out, F.col(key).cast("int")), None
-    ids = ordered_prefix_sums(df.select(key).distinct(), [F.col(key)], {}, row_number=out).withColumn(out, F.col(out).cast("int"))
+    ids = ordered_prefix_sums(rows.select(key).distinct(), [F.col(key)], {}, row_number=out).withColumn(out, F.col(out).cast("int"))
     ids = reliable_checkpoint(ids)
     return df.join(ids, key), ids
 
@@ -33,8 +34,8 @@ def basket_embeddings(lines: DataFrame, basket: str, item: str, dim: int = 16, s
     from pyspark.ml.recommendation import ALS
     rows = lines.select(F.col(basket).alias("basket_key"), F.col(item).alias("item_key")).dropna()
     counts = rows.groupBy("basket_key", "item_key").agg(F.count(F.lit(1)).cast("float").alias("n"))
-    counts, _ = _int_keys(counts, "basket_key", "basket")
-    counts, items = _int_keys(counts, "item_key", "item")
+    counts, _ = _int_keys(counts, "basket_key", "basket", rows)
+    counts, items = _int_keys(counts, "item_key", "item", rows)
     blocks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     model = ALS(rank=dim, implicitPrefs=True, maxIter=3, seed=seed, userCol="basket", itemCol="item", ratingCol="n",
                 numUserBlocks=blocks, numItemBlocks=blocks).fit(counts.select("basket", "item", "n"))
@@ -52,13 +53,18 @@ def kmeans_segments(df: DataFrame, vec: str, k: int = 8, seed: int = 42) -> Data
     return model.transform(x).drop("_features")
 
 
-def tree_scoring(df: DataFrame, features: list[str], label: str, depth: int = 5, seed: int = 42) -> DataFrame:
-    """Decision-tree regressor fitted on the loan features."""
+def tree_scoring(df: DataFrame, features: list[str], label: str, depth: int = 5, seed: int = 42,
+                 rows_per_task: int = 250_000) -> DataFrame:
+    """Decision-tree regressor fitted on the loan features. The fit keeps its rows by
+    partition, several times as large as they were shuffled: partitions of more than
+    ``rows_per_task`` rows on average are dealt out for it."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import DecisionTreeRegressor
-    x = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep").transform(
-        df.withColumn(label, F.col(label).cast("double")))
-    model = DecisionTreeRegressor(featuresCol="_features", labelCol=label, maxDepth=depth, seed=seed).fit(x)
+    rows = reliable_checkpoint(df.withColumn(label, F.col(label).cast("double")))
+    x = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep").transform(rows)
+    parts = -(-rows.count() // rows_per_task)
+    known = x if parts <= rows.rdd.getNumPartitions() else x.repartition(parts)
+    model = DecisionTreeRegressor(featuresCol="_features", labelCol=label, maxDepth=depth, seed=seed).fit(known)
     return model.transform(x).drop("_features")
 
 
