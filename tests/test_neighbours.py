@@ -84,3 +84,45 @@ def test_lof_with_fewer_rows_than_neighbours(spark):
     got = nb.lof_scores(a, b, ["a", "b"], k=20).first().score
     assert got == pytest.approx(lof_twin(train, [(0.5, 0.5)], 20)[0], rel=1e-7)
     assert nb.lof_scores(a.limit(0), b, ["a", "b"]).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [SIZES, dict(block=3, chunk=5, per_pivot=4), {}])
+def test_boxes_against_brute_force(spark, sizes):
+    rng = random.Random(7)
+    points = [(i, [float(rng.randint(0, 6)), float(rng.randint(0, 6)), 2.5]) for i in range(200)]  # many equal distances, one constant component
+    points += [(1000 + i, [3.0, 3.0, 2.5]) for i in range(50)] + [(2000, [1e9, -1e9, 2.5]), (2001, [1e-9, 0.0, 2.5])]
+    queries = points[::7] + [(-1, [50.0, 3.0, 0.0]), (-2, [-1e6, 1e6, 9.0]), (-3, [3.0, 3.0, 2.5])]
+    p = spark.createDataFrame([(k, k + 1, v) for k, v in points], "key long, weight long, vec array<double>").repartition(4)
+    q = spark.createDataFrame(queries, "query long, vec array<double>").repartition(3)
+    got = Counter((r.query, r["rank"], r.key, r.weight, round(r.distance, 9)) for r in nb.nearest_in_boxes(q, p, 6, **sizes).collect())
+    want = Counter()
+    for i, v in queries:
+        near = sorted((math.dist(v, w), j) for j, w in points if j != i)[:6]
+        want.update((i, n + 1, j, j + 1, round(d, 9)) for n, (d, j) in enumerate(near))
+    assert got == want
+    few = nb.nearest_in_boxes(q, p.where("key in (2, 5)"), 6, **sizes).collect()
+    assert sorted(r.query for r in few) == sorted([i for i, _ in queries for j in (2, 5) if i != j])
+    assert nb.nearest_in_boxes(q, p.limit(0), 6, **sizes).count() == 0
+    assert nb.nearest_in_boxes(q.limit(0), p, 6, **sizes).count() == 0
+
+
+def test_work_of_lof_grows_with_its_rows(spark, monkeypatch):
+    """A point meets no more others in a larger table."""
+    rng = random.Random(3)
+    rows = [(i, rng.random(), rng.random(), rng.random()) for i in range(18000)]
+    kept, keep = [], nb.reliable_checkpoint
+
+    def spy(df):
+        kept.append(keep(df))
+        return kept[-1]
+    monkeypatch.setattr(nb, "reliable_checkpoint", spy)
+
+    def met(n):
+        kept.clear()
+        df = spark.createDataFrame(rows[:n], "id long, a double, b double, c double")
+        nb.lof_scores(df.where("id % 5 <> 0"), df.where("id % 5 = 0"), ["a", "b", "c"], k=4, block=32, per_pivot=16)
+        blocks = [d for d in kept if {"key", "vec", "cell", "shell"} <= set(d.columns)]
+        visits = [d for d in kept if {"query", "cell", "shell", "bound"} <= set(d.columns)]
+        assert blocks and len(blocks) == len(visits)
+        return sum(v.join(b.groupBy("cell", "shell").count(), ["cell", "shell"]).agg(F.sum("count")).first()[0] for b, v in zip(blocks, visits)) / n
+    assert met(18000) < 1.5 * met(3000)

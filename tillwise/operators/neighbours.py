@@ -11,6 +11,10 @@ queries meet in cells of bounded size, each of which returns k rows for a query
 at most; these lists are merged by salted ranks. No pairs are emitted, and only
 the pivots (at most ``most_pivots``) reach the driver.
 
+Points of few components (``nearest_in_boxes``) lie in the boxes of a tree instead,
+whose number grows with theirs: a query meets the box that it lies in and those
+that its bound reaches, so its work does not grow with the table.
+
 Defined results: rows whose vector is null, empty or holds a null or non-finite
 component take no part; vectors of different length are never neighbours; among
 equal distances the smaller key comes first; rows that share a key are separate
@@ -118,8 +122,9 @@ def _closest(table: pa.Table, k: int) -> pa.RecordBatch | None:
             near[query[lo:lo + 256][:, None] == key[None, :]] = np.inf
             # rounding of this form; what is kept is measured again by differences
             slack = SLACK * (q2 + x2.max()) + 1e-300
-            kth = np.partition(near, min(k, near.shape[1]) - 1, axis=1)[:, min(k, near.shape[1]) - 1]
-            limit = np.minimum(kth, (bound[lo:lo + 256] * (1 + SLACK)) ** 2) + slack
+            limit = (bound[lo:lo + 256] * (1 + SLACK)) ** 2 + slack
+            many = np.flatnonzero((near <= limit[:, None]).sum(axis=1) > k)  # the bound alone leaves the others k at most
+            limit[many] = np.minimum(limit[many], np.partition(near[many], min(k, near.shape[1]) - 1, axis=1)[:, min(k, near.shape[1]) - 1] + slack[many])
             i, j = np.nonzero((near <= limit[:, None]) & np.isfinite(near))
             d = np.sqrt(((part[i] - x[j]) ** 2).sum(axis=1))
             order = np.lexsort((key[j], d, i))
@@ -132,6 +137,31 @@ def _closest(table: pa.Table, k: int) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[n] for o in out])) for n in range(4)], names=["query", "key", "weight", "distance"])
 
 
+FOUND = "query long, key long, weight long, distance double"
+
+
+def _meet(visits: DataFrame, placed: DataFrame, blocks: DataFrame, chunk: int, answer, schema: str) -> DataFrame:
+    """``answer`` of each cell in which a chunk of ``visits`` (query, cell, shell, vec, bound) meets a part of a block of points."""
+    load = visits.groupBy("cell", "shell").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
+    load = load.join(blocks.select("cell", "shell", "parts"), ["cell", "shell"])
+    names = ["cell", "shell", "part", "chunk", "query", "key", "weight", "bound", F.size("vec").alias("size"), "vec"]
+    each = lambda c: F.explode(F.expr(f"sequence(0, {c} - 1)"))
+    mine = (visits.join(load, ["cell", "shell"]).withColumn("chunk", F.expr("cast(pmod(xxhash64(query), chunks) as int)"))
+            .withColumn("part", each("parts")).withColumns({"key": F.lit(None).cast("long"), "weight": F.lit(None).cast("long")}))
+    theirs = (placed.join(load, ["cell", "shell"]).withColumn("part", F.expr("cast(pmod(xxhash64(key, vec), parts) as int)"))
+              .withColumn("chunk", each("chunks")).withColumns({"query": F.lit(None).cast("long"), "bound": F.lit(None).cast("double")}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in runs(batches, ["cell", "shell", "part", "chunk"]):
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                found = answer(table.slice(lo, hi - lo).combine_chunks())
+                if found:
+                    yield found
+
+    keys = ["cell", "shell", "part", "chunk"]
+    return mine.select(*names).unionByName(theirs.select(*names)).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
 def nearest(queries: DataFrame, points: DataFrame, k: int, block: int = 4096, chunk: int = 1024,
             per_pivot: int = 2048, most_pivots: int = 256) -> DataFrame:
     """(query, rank, key, weight, distance): the ``k`` points nearest to each query.
@@ -162,25 +192,7 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, block: int = 4096, ch
 
     def met(visits: DataFrame) -> DataFrame:
         """``visits``: (query, cell, shell), with vec and bound of the queries."""
-        load = visits.groupBy("cell", "shell").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
-        load = load.join(blocks.select("cell", "shell", "parts"), ["cell", "shell"])
-        names = ["cell", "shell", "part", "chunk", "query", "key", "weight", "bound", F.size("vec").alias("size"), "vec"]
-        each = lambda c: F.explode(F.expr(f"sequence(0, {c} - 1)"))
-        mine = (visits.join(load, ["cell", "shell"]).withColumn("chunk", F.expr("cast(pmod(xxhash64(query), chunks) as int)"))
-                .withColumn("part", each("parts")).withColumns({"key": F.lit(None).cast("long"), "weight": F.lit(None).cast("long")}))
-        theirs = (placed.join(load, ["cell", "shell"]).withColumn("part", F.expr("cast(pmod(xxhash64(key, vec), parts) as int)"))
-                  .withColumn("chunk", each("chunks")).withColumns({"query": F.lit(None).cast("long"), "bound": F.lit(None).cast("double")}))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for table, bounds in runs(batches, ["cell", "shell", "part", "chunk"]):
-                for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                    found = _closest(table.slice(lo, hi - lo).combine_chunks(), k)
-                    if found:
-                        yield found
-
-        keys = ["cell", "shell", "part", "chunk"]
-        found = (mine.select(*names).unionByName(theirs.select(*names)).repartition(*keys).sortWithinPartitions(*keys)
-                 .mapInArrow(run, "query long, key long, weight long, distance double"))
+        found = _meet(visits, placed, blocks, chunk, lambda cell: _closest(cell, k), FOUND)
         # rows that share key and distance are separate; the salt deals them out
         return top_k_per_group(found, ["query"], [F.asc("distance"), F.asc("key")], k)
 
@@ -211,6 +223,136 @@ def _with(points: DataFrame, pivots: Pivots) -> DataFrame:
     return reliable_checkpoint(points.mapInArrow(run, "key long, weight long, vec array<double>, cell int, d double"))
 
 
+# ------------------------------------------------------- few components
+#: Vectors of at most so many components are searched in boxes.
+BOXED = 8
+#: Sampled points to a box of the tree.
+DRAWN = 16
+
+
+class Boxes:
+    """A tree of cuts through the widest component of a sample, near its median. A leaf is a cell; the
+    box of each node is that of all points in it (``bind``), so a query skips what its bound does not reach."""
+
+    def __init__(self, sample: np.ndarray, leaves: int):
+        most = max(1, math.ceil(len(sample) / leaves))
+        nodes: list[list] = []  # component, cut, child below the cut, child from the cut on; a leaf is its own child
+        todo: list[tuple] = [(sample, None, None)]
+        while todo:
+            part, above, side = todo.pop()
+            node = len(nodes)
+            nodes.append([0, 0.0, node, node])
+            if above is not None:
+                nodes[above][side] = node
+            if len(part) <= most or not (spread := np.ptp(part, axis=0)).max() > 0:
+                continue
+            d = int(spread.argmax())
+            v = np.sort(part[:, d])
+            at = v[len(v) // 2]
+            at = at if at > v[0] else v[v > at][0]
+            nodes[node][:2] = d, at
+            todo += [(part[part[:, d] < at], node, 2), (part[part[:, d] >= at], node, 3)]
+        self.dim, self.cut, self.left, self.right = (np.array(c) for c in zip(*nodes))
+
+    def cells(self, x: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(x), dtype="i8")
+        while True:
+            down = np.where(x[np.arange(len(x)), self.dim[at]] < self.cut[at], self.left[at], self.right[at])
+            if (down == at).all():
+                return at
+            at = down
+
+    def bind(self, cells: list[int], least: np.ndarray, most: np.ndarray) -> None:
+        """Boxes of the leaves ``cells``, and of the nodes above them."""
+        self.least = np.full((len(self.dim), least.shape[1]), np.inf)
+        self.most = -self.least
+        self.least[cells], self.most[cells] = least, most
+        for node in reversed(range(len(self.dim))):  # a child comes after its parent
+            below = [self.left[node], self.right[node]]
+            self.least[node], self.most[node] = self.least[below].min(axis=0), self.most[below].max(axis=0)
+
+    def reached(self, x: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row of ``x``, cell) of the boxes no farther than the row's bound."""
+        rows, cells = [np.zeros(0, dtype="i8")], [np.zeros(0, dtype="i8")]
+        limit = bound * (1 + SLACK) + SLACK
+        todo = [(0, np.arange(len(x)))]
+        while todo:
+            node, at = todo.pop()
+            gap = np.maximum(np.maximum(self.least[node] - x[at], x[at] - self.most[node]), 0)
+            at = at[np.sqrt((gap ** 2).sum(axis=1)) <= limit[at]]
+            if at.size and self.left[node] == node:
+                rows.append(at)
+                cells.append(np.full(at.size, node))
+            elif at.size:
+                todo += [(self.left[node], at), (self.right[node], at)]
+        return np.concatenate(rows), np.concatenate(cells)
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("vec").flatten().to_numpy().reshape(batch.num_rows, -1)
+
+
+def _in_cells(rows: DataFrame, boxes: Boxes, schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(boxes.cells(_matrix(b)), pa.int32())], names=[*b.schema.names, "cell"])
+    return rows.mapInArrow(run, f"{schema}, cell int").withColumn("shell", F.lit(0))
+
+
+def _kth(cell: pa.Table, k: int) -> pa.RecordBatch | None:
+    """Of one cell: the distance of the ``k``-th point of each query that has as many."""
+    found = _closest(cell, k)
+    if not found:
+        return None
+    query = found.column("query").to_numpy()
+    start = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]]))
+    full = start[np.diff(np.append(start, query.size)) == k] + k - 1
+    return pa.RecordBatch.from_arrays([found.column("query").take(pa.array(full)), found.column("distance").take(pa.array(full))], names=["query", "bound"])
+
+
+def nearest_in_boxes(queries: DataFrame, points: DataFrame, k: int, block: int = 4096, chunk: int = 8192,
+                     per_pivot: int = 1024, most_pivots: int = 16384) -> DataFrame:
+    """``nearest`` for vectors that all have the same few components, by boxes of about ``per_pivot`` points.
+
+    The driver holds the tree: ``most_pivots`` boxes at most, cut through ``DRAWN`` sampled points each. The sample
+    only decides where the cuts lie; beyond that number the boxes hold more points."""
+    points = reliable_checkpoint(points.select(F.col("key").cast("long"), F.col("weight").cast("long"), "vec"))
+    n, width = points.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    if not n:
+        return queries.sparkSession.createDataFrame([], f"query long, rank int, {FOUND.removeprefix('query long, ')}")
+    number = min(most_pivots, math.ceil(n / per_pivot))
+    share = math.ceil(min(1.0, number * DRAWN / n) * 2 ** 30)
+    drawn = points.where(F.pmod(F.xxhash64("key", "vec", F.lit("drawn")), F.lit(2 ** 30)) < share).select("vec").collect()
+    boxes = Boxes(np.array([r[0] for r in drawn], dtype="f8").reshape(-1, width), number)
+    placed = reliable_checkpoint(_in_cells(points, boxes, "key long, weight long, vec array<double>"))
+    ends = [f(F.col("vec")[i]) for f in (F.min, F.max) for i in range(width)]
+    blocks = reliable_checkpoint(placed.groupBy("cell", "shell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"), F.array(*ends).alias("ends")))
+    held = blocks.select("cell", "ends").collect()  # a row for each box
+    ends = np.array([r["ends"] for r in held], dtype="f8")
+    boxes.bind([r["cell"] for r in held], ends[:, :width], ends[:, width:])
+    own = reliable_checkpoint(_in_cells(queries.select(F.col("query").cast("long"), "vec"), boxes, "query long, vec array<double>"))
+    # the k-th distance within a part of the own box is a bound, the least over its parts the best one
+    first = _meet(own.withColumn("bound", F.lit(float("inf"))), placed, blocks, chunk, lambda cell: _kth(cell, k), "query long, bound double")
+    bounded = own.join(first.groupBy("query").agg(F.min("bound").alias("bound")), "query", "left")
+    # rows of a box together: a batch then reaches few of the nodes
+    bounded = (bounded.select("query", "cell", "vec", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+               .repartitionByRange("cell", "query").sortWithinPartitions("cell"))
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                rows, cells = boxes.reached(_matrix(b), b.column("bound").to_numpy())
+                met = b.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([met.column("query"), pa.array(cells, pa.int32()), met.column("vec"), met.column("bound")], names=["query", "cell", "vec", "bound"])
+
+    visits = reliable_checkpoint(bounded.mapInArrow(reach, "query long, cell int, vec array<double>, bound double").withColumn("shell", F.lit(0)))
+    found = _meet(visits, placed, blocks, chunk, lambda cell: _closest(cell, k), FOUND)
+    # at most k rows of each part of a box that a query reaches
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "key"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "rank", "key", "weight", "distance")
+
+
 # ------------------------------------------------------------- T14, T20, T21
 def knn_topk(rows: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding", **sizes) -> DataFrame:
     """(query_id, rank, neighbour_id, distance) of the rows that ``is_query`` chooses, against all rows.
@@ -264,17 +406,18 @@ def lof_scores(train: DataFrame, test: DataFrame, features: list[str], k: int =
     points = (train.select(vec(train).alias("vec")).where("vec is not null").groupBy("vec").agg(F.count(F.lit(1)).alias("weight"))
               .select(F.xxhash64("vec").alias("key"), "weight", "vec"))
     points = reliable_checkpoint(points)
-    others = _used_with_copies(points, nearest(points.select(F.col("key").alias("query"), "vec"), points, k, **sizes), k)
-    others = reliable_checkpoint(others)
-    reach = others.groupBy("query").agg(F.max("distance").alias("kdist"))
-    density = _density(others, reach).select(F.col("query").alias("key"), "lrd")
     asked = test.select(test[id_col].alias("id"), vec(test).alias("vec")).where("vec is not null")
     # test rows of one vector are one query, whose number is no key of a point: an equal train row is its neighbour
     distinct = reliable_checkpoint(asked.groupBy("vec").agg(F.count(F.lit(1)).alias("rows")).select(F.xxhash64("vec", F.lit("asked")).alias("query"), "vec"))
-    near = reliable_checkpoint(_used(nearest(distinct, points, k, **sizes), k))
-    own = _density(near, reach)
-    around = (near.join(density, "key").groupBy("query").agg((F.sum(F.col("used") * F.col("lrd")) / F.sum("used")).alias("around")))
-    scores = own.join(around, "query").select("query", (F.col("around") / F.col("lrd")).alias("score"))
+    search = nearest_in_boxes if len(features) <= BOXED else nearest
+    found = search(points.select(F.col("key").alias("query"), "vec").unionByName(distinct), points, k, **sizes)
+    used = reliable_checkpoint(_used_with_copies(points, found, k))  # of points and of test rows
+    reach = used.groupBy("query").agg(F.max("distance").alias("kdist"))
+    density = reliable_checkpoint(_density(used, reach))
+    near = used.join(distinct.select("query"), "query", "left_semi")
+    around = (near.join(density.select(F.col("query").alias("key"), "lrd"), "key").groupBy("query")
+              .agg((F.sum(F.col("used") * F.col("lrd")) / F.sum("used")).alias("around")))
+    scores = density.join(around, "query").select("query", (F.col("around") / F.col("lrd")).alias("score"))
     return asked.join(distinct, "vec").join(scores, "query").select("id", "score")
 
 
