@@ -126,3 +126,18 @@ def test_work_of_lof_grows_with_its_rows(spark, monkeypatch):
         assert blocks and len(blocks) == len(visits)
         return sum(v.join(b.groupBy("cell", "shell").count(), ["cell", "shell"]).agg(F.sum("count")).first()[0] for b, v in zip(blocks, visits)) / n
     assert met(18000) < 1.5 * met(3000)
+
+
+def test_fraud_report_takes_the_scores_once(spark, tmp_path, monkeypatch):
+    from tillwise.catalog import neighbours as registered
+    spark.createDataFrame([(i, i % 90, "P" if i % 7 == 0 else "O", 100.0 + i) for i in range(300)],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    made = spark.sparkContext.accumulator(0)
+
+    def scored(i):
+        made.add(1)
+        return True
+    monkeypatch.setattr(registered, "_lof", lambda spark, sf_dir: spark.range(90).where(F.udf(scored, "boolean").asNondeterministic()("id")).select("id", (F.col("id") % 13 + 0.5).alias("score")))
+    report = registered.q_fraud_report_lof(spark, str(tmp_path)).collect()
+    assert len(report) == 1 and 0 < report[0].roc_auc < 1
+    assert made.value == 90
