@@ -84,6 +84,28 @@ def _one_fit(X, y, q):
     return beta
 
 
+def test_fits_with_rare_and_constant_columns_are_those_of_all_products():
+    rng = np.random.default_rng(5)
+    X = np.column_stack([np.full(400, 7.0), rng.normal(size=400), np.where(np.arange(400) % 9 == 4, rng.normal(size=400), 0.0)])
+    Y = (X @ [0.5, 2.0, -1.0] + rng.normal(size=400))[:, None]
+    sets = np.array([np.ones(400, dtype=bool), np.arange(400) < 300])
+    got = md.fit_linear_quantiles(X, Y, [0.3], sets)
+    np.testing.assert_allclose(md.fit_linear_quantiles(X, Y, [0.3], sets, block=64), got, atol=1e-7)
+    assert (got[:, 0, 1] == 0).all()
+    for s, rows in enumerate(sets):
+        np.testing.assert_allclose(got[s, 0][[0, 2, 3]], _one_fit(X[rows][:, 1:], Y[rows, 0], 0.3), atol=1e-6)
+
+
+def test_products_with_a_rare_column_are_summed_over_its_rows():
+    rng = np.random.default_rng(6)
+    A, w = rng.normal(size=(90, 4)), rng.uniform(size=(90, 2))
+    A[20:, 2:] = 0.0
+    j, i = np.tril_indices(4)
+    for block in (16, 90):
+        got = md._pair_sums(A, i, j, 2, 20, block)(w)
+        np.testing.assert_allclose(got, w.T @ (A[:, i] * A[:, j]), atol=1e-12)
+
+
 def test_the_days_of_a_key_are_made_where_its_sales_are(spark, capsys):
     rows = [("2024-01-04", 1, "a", 5.0, 2), ("2024-01-04", 1, "a", 6.0, 4), ("2024-01-10", 1, "b", 5.0, 7),
             ("2024-01-01", 2, "c", 1.0, 1), (None, 3, "d", 2.0, 9), ("2024-01-06", None, "e", 3.0, 4), ("2024-01-06", 5, "z", 1.0, None)]
