@@ -14,6 +14,7 @@ from tillwise.operators import learning as ml
 from tillwise.operators import modeling as md
 from tillwise.operators import pricing as pr
 from tillwise.operators import timeseries as ts
+from tillwise.plans import demand
 from tillwise.sources.fixtures import fx_price_candidates
 
 
@@ -106,6 +107,22 @@ def test_products_with_a_rare_column_are_summed_over_its_rows():
         np.testing.assert_allclose(got, w.T @ (A[:, i] * A[:, j]), atol=1e-12)
 
 
+def _orders(spark):
+    rows = [("2024-01-04", 1, "a", 5.0, 2), ("2024-01-04", 1, "a", 6.0, 4), ("2024-02-10", 1, "b", 5.0, 7), ("2024-03-01", 4, "q", 9.0, 3),
+            ("2024-01-01", 2, "c", 1.0, 1), (None, 3, "d", 2.0, 9), ("2024-03-06", None, "e", 3.0, 4), ("2024-02-06", 5, "z", 1.0, None)]
+    return spark.createDataFrame(rows, "ts string, sku_id long, sku string, price double, qty long")
+
+
+def test_the_days_of_the_split_are_not_looked_for_in_the_features(spark, monkeypatch):
+    asked, bounds = [], ts.day_bounds
+    monkeypatch.setattr(ts, "day_bounds", lambda df, day="day": asked.append(df.columns) or bounds(df, day))
+    models = tuple(spark.createDataFrame([], md.COEF_SCHEMA) for _ in range(2))
+    got = demand.demand_training(_orders(spark), 20, models)["features"]
+    assert asked == [["day"]]  # once, and of the orders
+    want = ts.train_test_split(got.drop("role"), 20)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < got.where("role = 'test'").count()
+
+
 def test_the_days_of_a_key_are_made_where_its_sales_are(spark, capsys):
     rows = [("2024-01-04", 1, "a", 5.0, 2), ("2024-01-04", 1, "a", 6.0, 4), ("2024-01-10", 1, "b", 5.0, 7),
             ("2024-01-01", 2, "c", 1.0, 1), (None, 3, "d", 2.0, 9), ("2024-01-06", None, "e", 3.0, 4), ("2024-01-06", 5, "z", 1.0, None)]
