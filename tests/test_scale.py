@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import time
+from datetime import date
 
 import numpy as np
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
@@ -123,6 +124,13 @@ def test_the_days_of_the_split_are_not_looked_for_in_the_features(spark, monkeyp
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < got.where("role = 'test'").count()
 
 
+def test_days_before_those_read_are_not_made(spark):
+    orders = _orders(spark)
+    for since in (date(2023, 12, 1), date(2024, 1, 4), date(2024, 2, 8), date(2024, 3, 6)):
+        got, want = ts.extract_sales(orders, since=since), ts.extract_sales(orders).where(F.col("day") >= F.lit(since))
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < got.count()
+
+
 def test_the_days_of_a_key_are_made_where_its_sales_are(spark, capsys):
     rows = [("2024-01-04", 1, "a", 5.0, 2), ("2024-01-04", 1, "a", 6.0, 4), ("2024-01-10", 1, "b", 5.0, 7),
             ("2024-01-01", 2, "c", 1.0, 1), (None, 3, "d", 2.0, 9), ("2024-01-06", None, "e", 3.0, 4), ("2024-01-06", 5, "z", 1.0, None)]
