@@ -1,5 +1,7 @@
 """Learning queries against structure planted in small inputs."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -53,3 +55,31 @@ def test_cross_validation_reports_every_fold(spark):
     report = md.cv_report(df, ["x", "product"], "y", "week", n_splits=3, max_iter=8, step=0.5, depth=3, min_leaf=1).collect()
     assert sorted(r["fold"] for r in report) == [0, 1, 2] or sorted(r["fold"] for r in report) == [1, 2, 3]
     assert all(np.isfinite(r["wape"]) and r["wape"] < 0.3 for r in report)
+
+
+def test_rounds_of_the_embeddings_give_back_what_they_sent(spark, monkeypatch):
+    from pyspark.ml.recommendation import ALS
+    seen, fit = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, data: seen.append((self, data)) or fit(self, data))
+    rng = np.random.default_rng(2)
+    rows = [(int(b), int(i)) for b, i in zip(rng.integers(0, 60, 400), rng.integers(0, 12, 400))]
+    got = {r["item"]: r["vector"] for r in ml.basket_embeddings(spark.createDataFrame(rows, "basket long, item long"),
+                                                                "basket", "item", dim=3).collect()}
+    (als, data), = seen
+    # shuffles of a round go with its checkpoint; the last factors of the baskets, which nobody reads, are not made
+    assert als.getCheckpointInterval() == 1 and als.getFinalStorageLevel() == "NONE"
+    plain = fit(als.copy({als.checkpointInterval: -1, als.finalStorageLevel: "MEMORY_AND_DISK"}), data)
+    assert got == {str(r["id"]): r["features"] for r in plain.itemFactors.collect()}
+
+
+def test_the_driver_looks_for_unused_shuffles_during_a_long_job():
+    from types import SimpleNamespace as Part
+
+    from tillwise.session import unused_shuffles_removed
+    looks = []
+    jvm = Part(System=Part(gc=lambda: looks.append(1)))
+    with unused_shuffles_removed(Part(sparkContext=Part(_jvm=jvm)), every=0.01):
+        time.sleep(0.5)
+    seen = len(looks)
+    time.sleep(0.1)
+    assert 0 < seen == len(looks)

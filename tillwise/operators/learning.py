@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tillwise.functions.prefix import ordered_prefix_sums
 from tillwise.operators.text import tokens
-from tillwise.session import reliable_checkpoint
+from tillwise.session import checkpoint_dir, reliable_checkpoint, unused_shuffles_removed
 
 
 def _int_keys(df: DataFrame, key: str, out: str) -> tuple[DataFrame, DataFrame | None]:
@@ -29,16 +29,21 @@ def basket_embeddings(lines: DataFrame, basket: str, item: str, dim: int = 16, s
     """Item vectors learned from baskets: implicit-feedback factors of the
     basket x item counts. Training and factors stay distributed (Word2Vec
     would hold the whole vocabulary on the driver). Keys of any type, up to 2^31
-    of each; rows without basket or item take no part."""
+    of each; rows without basket or item take no part. A half-step sends each factor to
+    every block that needs it, many times what it reads: item factors are checkpointed in
+    each round, so that what was sent before them is given back, and basket factors are kept
+    no longer than the next round reads them."""
     from pyspark.ml.recommendation import ALS
+    checkpoint_dir(lines.sparkSession)
     rows = lines.select(F.col(basket).alias("basket_key"), F.col(item).alias("item_key")).dropna()
     counts = rows.groupBy("basket_key", "item_key").agg(F.count(F.lit(1)).cast("float").alias("n"))
     counts, _ = _int_keys(counts, "basket_key", "basket")
     counts, items = _int_keys(counts, "item_key", "item")
     blocks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    model = ALS(rank=dim, implicitPrefs=True, maxIter=3, seed=seed, userCol="basket", itemCol="item", ratingCol="n",
-                numUserBlocks=blocks, numItemBlocks=blocks).fit(counts.select("basket", "item", "n"))
-    factors = model.itemFactors
+    als = ALS(rank=dim, implicitPrefs=True, maxIter=3, seed=seed, userCol="basket", itemCol="item", ratingCol="n",
+              numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=1, finalStorageLevel="NONE")
+    with unused_shuffles_removed(lines.sparkSession):
+        factors = als.fit(counts.select("basket", "item", "n")).itemFactors
     named = factors.withColumn("item_key", F.col("id")) if items is None else factors.join(items, factors.id == items["item"])
     return named.select(F.col("item_key").cast("string").alias(item), F.col("features").alias("vector"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import SparkSession
@@ -84,3 +86,23 @@ def measured_checkpoint(df):
         return reliable_checkpoint(stored)
     finally:
         stored.unpersist()
+
+
+@contextmanager
+def unused_shuffles_removed(spark: SparkSession, every: float = 20.0):
+    """For a long job of many rounds: Spark removes shuffle files once the driver's garbage
+    collector finds that nothing refers to them, by itself every 30 minutes or when its heap is
+    full. Here it looks every so many seconds."""
+    done, collect = threading.Event(), spark.sparkContext._jvm.System.gc
+
+    def look():
+        while not done.wait(every):
+            collect()
+
+    looking = threading.Thread(target=look, daemon=True)
+    looking.start()
+    try:
+        yield
+    finally:
+        done.set()
+        looking.join()
